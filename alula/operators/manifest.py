@@ -95,25 +95,26 @@ def scan_records(files: DataFrame, stem: Column, readable: Column | None = None)
     )
 
 
-def duplicate_groups(scan: DataFrame, path: str = "raw_path") -> DataFrame:
-    """Identical contents: number of copies and their paths.
-
-    Paths are gathered only for groups that have at least two rows."""
-    hashed = scan.filter(S.blank_to_null(F.col("content_hash")).isNotNull())
-    return (
-        hashed.groupBy("content_hash")
-        .agg(F.count(F.lit(1)).alias("n_copies"), F.array_join(F.sort_array(F.collect_list(path)), " | ").alias("paths"))
-        .filter(F.col("n_copies") > 1)
-    )
-
-
 def duplicate_members(scan: DataFrame, path: str = "raw_path") -> DataFrame:
-    """The same report in long form, one row per copy; no group is gathered."""
+    """Every file of every repeated content, one row per copy."""
     hashed = scan.filter(S.blank_to_null(F.col("content_hash")).isNotNull())
     sizes = hashed.groupBy("content_hash").agg(F.count(F.lit(1)).alias("n_copies")).filter(F.col("n_copies") > 1)
     return hashed.select("content_hash", path).join(sizes, "content_hash")
 
 
+def duplicate_groups(scan: DataFrame, path: str = "raw_path", paths_per_row: int = 10_000) -> DataFrame:
+    """Identical contents: number of copies and their paths in one text.
+
+    A content with more copies than fit one row continues in further parts, so
+    no row and no task ever holds an unbounded group."""
+    ranked = numbered(duplicate_members(scan, path), ["content_hash"], [path], "__rank")
+    part = (F.floor((F.col("__rank") - 1) / paths_per_row) + 1).cast("int")
+    return (
+        ranked.groupBy("content_hash", "n_copies", part.alias("part"))
+        .agg(F.array_join(F.sort_array(F.collect_list(path)), " | ").alias("paths"))
+    )
+
+
 def biological_table(
     df: DataFrame, bio_columns: Sequence[str], order: Order, device_values: Sequence[str] | None = None
 ) -> DataFrame:
