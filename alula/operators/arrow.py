@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from alula.schema import DOUBLES
 
@@ -59,16 +60,13 @@ def summed_vectors(
     so long vectors and many keys spread over the shuffle partitions."""
     key_fields = [df.schema[k] for k in keys]
     schema = T.StructType([*key_fields, T.StructField("n", T.LongType()), T.StructField("v", DOUBLES)])
-    arrow_types = None
+    arrow_schema = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = list(kernel(batches))
         if rows:
-            names = [*keys, "n", "v"]
-            yield pa.RecordBatch.from_pydict(
-                {name: [r[i] for r in rows] if name != "v" else [np.asarray(r[i]).tolist() for r in rows]
-                 for i, name in enumerate(names)}
-            )
+            columns = [pa.array(values, type=field.type) for values, field in zip(zip(*rows), arrow_schema)]
+            yield pa.RecordBatch.from_arrays(columns, schema=arrow_schema)
 
     partial = df.mapInArrow(run, schema)
     exploded = partial.select(*keys, "n", F.posexplode("v").alias("pos", "value"))

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,15 +16,11 @@ from pyspark.storagelevel import StorageLevel
 from alula.functions import shapes as G
 from alula.operators.arrow import append_arrow, complex_shapes, gathered, list_column, summed_vectors
 from alula.operators.dataset import EmptyDatasetError, majority_point_count
-from alula.operators.ordering import Order, lookup, order_key
+from alula.operators.ordering import Order, order_key
 from alula.schema import DOUBLES, SchemaError
 from alula.session import broadcast_bytes, pinned
 
 
-class DegenerateShapeError(ValueError):
-    """All landmarks of a configuration coincide."""
-
-
 def standardized(df: DataFrame, label: str | None = None) -> DataFrame:
     """Adds centred, unit-size ``xs``/``ys`` and the raw ``centroid_size``.
 
@@ -216,12 +213,10 @@ def consensus_by_group(df: DataFrame, group: str, order: Order = ("ord",), max_i
     keys = pa.array(names)
 
     def kernel(batch: pa.RecordBatch) -> list[pa.Array]:
-        at_row = pa.compute.index_in(batch.column(group), value_set=keys).to_numpy(zero_copy_only=False)
+        at_row = pc.index_in(batch.column(group), value_set=keys).to_numpy(zero_copy_only=False)
         z = rotate_rows(complex_shapes(batch, "xs", "ys"), previous[at_row.astype(int)])
         return [list_column(z.real), list_column(z.imag)]
 
-    import pyarrow.compute  # noqa: F401  (registers pa.compute for the kernels)
-
     aligned = append_arrow(base, [T.StructField("ax", DOUBLES), T.StructField("ay", DOUBLES)], kernel)
     means = spark.createDataFrame(
         [
@@ -239,8 +234,6 @@ def consensus_by_group(df: DataFrame, group: str, order: Order = ("ord",), max_i
 
 def _group_fold(group: str, keys: pa.Array, refs: np.ndarray):
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        import pyarrow.compute as pc
-
         acc = np.zeros(refs.shape, dtype=complex)
         count = np.zeros(len(refs), dtype=np.int64)
         for batch in batches:
@@ -307,8 +300,3 @@ def reference_shape(df: DataFrame, order: str = "ord", n_points: int | None = No
     shape = result.mean_shape
     return shape if drop_point is None else np.delete(shape, drop_point, axis=0)
 
-
-__all__ = [
-    "Consensus", "DegenerateShapeError", "GroupedConsensus", "align_to_reference", "aligned_columns", "consensus",
-    "consensus_by_group", "lookup", "reference_shape", "rotate_rows", "rotated_onto", "standardized", "unit",
-]
