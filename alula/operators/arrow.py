@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,7 +18,18 @@ from alula.schema import DOUBLES
 def matrix(column: pa.Array) -> np.ndarray:
     """Equal-length list column as a (rows, length) float matrix."""
     flat = column.flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 0)
+    if not len(column):
+        return flat.reshape(0, 0)
+    sizes = column.value_lengths()
+    if sizes.null_count or len(flat) % len(column) or pc.min_max(sizes)["min"] != pc.min_max(sizes)["max"]:
+        raise ValueError("shape mismatch: configurations have different landmark counts")
+    return flat.reshape(len(column), -1)
+
+
+def shape_matrix(batch: pa.RecordBatch, x: str, y: str) -> np.ndarray:
+    """Rows x1, y1, x2, y2, ..."""
+    a, b = matrix(batch.column(x)), matrix(batch.column(y))
+    return np.stack([a, b], axis=2).reshape(len(a), 2 * a.shape[1])
 
 
 def complex_shapes(batch: pa.RecordBatch, x: str, y: str) -> np.ndarray:
@@ -32,6 +44,15 @@ def list_column(values: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(values, dtype=np.float64).ravel()))
 
 
+def exploded_points(df: DataFrame, keys: Sequence[str], x: str = "ax", y: str = "ay") -> DataFrame:
+    """One row per landmark: keys, i, px, py.
+
+    The outer form keeps the optimizer from adding a size filter that would
+    evaluate the arrays a second time."""
+    points = df.select(*keys, F.posexplode_outer(F.arrays_zip(F.col(x).alias("px"), F.col(y).alias("py"))).alias("i", "pt"))
+    return points.select(*keys, "i", "pt.px", "pt.py")
+
+
 def append_arrow(
     df: DataFrame,
     fields: Sequence[T.StructField],
@@ -69,7 +90,7 @@ def summed_vectors(
             yield pa.RecordBatch.from_arrays(columns, schema=arrow_schema)
 
     partial = df.mapInArrow(run, schema)
-    exploded = partial.select(*keys, "n", F.posexplode("v").alias("pos", "value"))
+    exploded = partial.select(*keys, "n", F.posexplode_outer("v").alias("pos", "value"))
     return exploded.groupBy(*keys, "pos").agg(F.sum("n").alias("n"), F.sum("value").alias("total"))
 
 

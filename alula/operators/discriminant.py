@@ -17,10 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from alula.operators.arrow import append_arrow, complex_shapes, gathered, list_column, matrix, summed_vectors
+from alula.operators.arrow import append_arrow, gathered, list_column, matrix, shape_matrix, summed_vectors
 from alula.operators.dataset import EmptyDatasetError
 from alula.operators.reports import prediction_columns
-from alula.operators.superimposition import rotate_rows
+from alula.operators.superimposition import rotate_rows, unit_shapes
 from alula.schema import DOUBLES
 from alula.session import broadcast_bytes, hot_group_rows, setting
 
@@ -42,7 +42,7 @@ class Components:
     explained_ratio: np.ndarray  # (k,)
 
 
-def fit_components(df: DataFrame, n_points: int, centre: np.ndarray, vector: str = "v") -> Components:
+def fit_components(df: DataFrame, n_points: int, centre: np.ndarray, x: str = "ax", y: str = "ay") -> Components:
     """Keeps 2p - 4 components, the freedom left after planar superimposition.
 
     ``centre`` (any fixed shape near the data) is subtracted before summing so
@@ -54,14 +54,14 @@ def fit_components(df: DataFrame, n_points: int, centre: np.ndarray, vector: str
         s, q, n = np.zeros(width), np.zeros((width, width)), 0
         for batch in batches:
             if batch.num_rows:
-                x = matrix(batch.column(vector)) - shift
-                s += x.sum(axis=0)
-                q += x.T @ x
-                n += len(x)
+                v = shape_matrix(batch, x, y) - shift
+                s += v.sum(axis=0)
+                q += v.T @ v
+                n += len(v)
         if n:
             yield n, np.concatenate([s, q.ravel()])
 
-    n, flat = gathered(summed_vectors(df.select(vector), [], fold), width + width * width)
+    n, flat = gathered(summed_vectors(df.select(x, y), [], fold), width + width * width)
     keep = width - 4
     if n < keep:
         raise ModelError(f"{keep} components need at least {keep} rows, found {n}")
@@ -75,11 +75,11 @@ def fit_components(df: DataFrame, n_points: int, centre: np.ndarray, vector: str
     return Components(mean + shift, loadings[:keep], values[:keep] / values.sum())
 
 
-def with_scores(df: DataFrame, pca: Components, vector: str = "v", out: str = "scores") -> DataFrame:
+def with_scores(df: DataFrame, pca: Components, x: str = "ax", y: str = "ay", out: str = "scores") -> DataFrame:
     mean, loadings = pca.mean, pca.loadings
 
     def kernel(batch: pa.RecordBatch) -> list[pa.Array]:
-        return [list_column((matrix(batch.column(vector)) - mean) @ loadings.T)]
+        return [list_column((shape_matrix(batch, x, y) - mean) @ loadings.T)]
 
     return append_arrow(df, [T.StructField(out, DOUBLES)], kernel)
 
@@ -407,12 +407,7 @@ def score_shapes(model: TrainedModel, df: DataFrame, projection: bool = False) -
     p = model.n_points
 
     def kernel(batch: pa.RecordBatch) -> list[pa.Array]:
-        z = complex_shapes(batch, "x", "y")
-        z = z - z.mean(axis=1, keepdims=True)
-        size = np.sqrt((np.abs(z) ** 2).sum(axis=1, keepdims=True))
-        if (size == 0).any():
-            raise ModelError("degenerate specimen (centroid size = 0)")
-        a = rotate_rows(z / size, ref)
+        a = rotate_rows(unit_shapes(batch)[0], ref)
         distance = np.sqrt((np.abs(a - ref) ** 2).sum(axis=1))
         vectors = np.stack([a.real, a.imag], axis=2).reshape(len(a), 2 * p)
         x = (vectors - pca.mean) @ pca.loadings.T

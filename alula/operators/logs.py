@@ -72,10 +72,10 @@ def resume_plan(
 
 def status_crosstab(df: DataFrame, rows: Sequence[str], column: str = "status") -> DataFrame:
     """Zero-filled counts with a fixed set of status columns and a total."""
-    counts = df.groupBy(*rows).pivot(column, STATUSES).count()
-    filled = [F.coalesce(F.col(s), F.lit(0)).cast("long").alias(s) for s in STATUSES]
+    counts = df.groupBy(*rows).pivot(column, REVIEW_STATUSES).count()
+    filled = [F.coalesce(F.col(s), F.lit(0)).cast("long").alias(s) for s in REVIEW_STATUSES]
     table = counts.select(*rows, *filled)
-    return table.withColumn("Total", sum((F.col(s) for s in STATUSES[1:]), F.col(STATUSES[0])))
+    return table.withColumn("Total", sum((F.col(s) for s in REVIEW_STATUSES[1:]), F.col(REVIEW_STATUSES[0])))
 
 
 def with_species(status: DataFrame, biology: DataFrame, columns: Sequence[str] = ("species", "caste")) -> DataFrame:

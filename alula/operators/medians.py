@@ -14,14 +14,19 @@ BINS = 1024
 MAX_PASSES = 64
 
 
-def grouped_medians(df: DataFrame, keys: Sequence[str], values: Mapping[str, Column]) -> DataFrame:
+def grouped_medians(
+    df: DataFrame, keys: Sequence[str], values: Mapping[str, Column], heaviest: int | None = None
+) -> DataFrame:
     """Exact median of each value per key.
 
     Groups below the hot-group limit use the built-in exact aggregate. If some
     group is larger, its two middle order statistics are found by counting
-    values in narrowing intervals, which never gathers a group anywhere."""
+    values in narrowing intervals, which never gathers a group anywhere. Pass
+    ``heaviest`` when the largest group size is already known."""
     limit = hot_group_rows(df.sparkSession)
-    top = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    top = heaviest
+    if top is None:
+        top = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
     if top <= limit:
         return df.groupBy(*keys).agg(*[F.median(v).alias(n) for n, v in values.items()])
     result = None

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from alula.operators.arrow import exploded_points
 from alula.operators.medians import grouped_medians
 from alula.operators.ordering import Order, lookup
 from alula.operators.superimposition import consensus_by_group
+from alula.session import pinned
 
 # Fixed values of the published rule.
 MIN_GROUP_SIZE = 10
@@ -22,17 +24,17 @@ def landmark_outliers(
 
     Groups below ``min_group`` are left out (never flagged)."""
     sizes = aligned.groupBy(group).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") >= min_group)
+    heaviest = sizes.agg(F.max("__n")).first()[0] or 0
     judged = lookup(aligned.select(row_id, group, "ax", "ay"), sizes, [group], "inner")
-    points = judged.select(row_id, group, F.posexplode(F.arrays_zip("ax", "ay")).alias("i", "pt")).select(
-        row_id, group, "i", F.col("pt.ax").alias("px"), F.col("pt.ay").alias("py")
-    )
+    points = exploded_points(judged, [row_id, group])
     keys = [group, "i"]
-    centre = grouped_medians(points, keys, {"mx": F.col("px"), "my": F.col("py")})
+    centre = grouped_medians(points, keys, {"mx": F.col("px"), "my": F.col("py")}, heaviest)
     dx, dy = F.col("px") - F.col("mx"), F.col("py") - F.col("my")
-    far = lookup(points, centre, keys).select(row_id, *keys, F.sqrt(dx * dx + dy * dy).alias("dist"))
-    middle = grouped_medians(far, keys, {"md": F.col("dist")})
+    # three more passes follow: keep the distances instead of realigning each time
+    far = pinned(lookup(points, centre, keys).select(row_id, *keys, F.sqrt(dx * dx + dy * dy).alias("dist")))
+    middle = grouped_medians(far, keys, {"md": F.col("dist")}, heaviest)
     spread = lookup(far, middle, keys)
-    mad = grouped_medians(spread, keys, {"mad": F.abs(F.col("dist") - F.col("md"))})
+    mad = grouped_medians(spread, keys, {"mad": F.abs(F.col("dist") - F.col("md"))}, heaviest)
     limits = lookup(middle, mad, keys).select(*keys, (F.col("md") + mad_factor * F.col("mad")).alias("threshold"))
     return lookup(far, limits, keys).withColumn("is_outlier", F.col("dist") > F.col("threshold"))
 

@@ -25,7 +25,7 @@ def shape_vector(x: str = "ax", y: str = "ay") -> Column:
 
 
 def _long(df: DataFrame, vector: str, keys: Sequence[str]) -> DataFrame:
-    return df.select(*keys, F.posexplode(vector).alias("pos", "v"))
+    return df.select(*keys, F.posexplode_outer(vector).alias("pos", "v"))
 
 
 def within_group_variance(df: DataFrame, group: str, vector: str = "v") -> DataFrame:
@@ -184,7 +184,7 @@ def _permuted_sums(
         _whole_strata_kernel(n_perm, seed), "q array<double>"
     )
     total = np.zeros(n_perm)
-    for r in per_bucket.select(F.posexplode("q").alias("pos", "q")).groupBy("pos").agg(F.sum("q").alias("q")).collect():
+    for r in per_bucket.select(F.posexplode_outer("q").alias("pos", "q")).groupBy("pos").agg(F.sum("q").alias("q")).collect():
         total[r["pos"]] += r["q"]
     if large.isEmpty():
         return total
@@ -201,7 +201,7 @@ def _permuted_sums(
         .applyInArrow(_piece_kernel(n_perm, seed), "stratum string, label string, perm int, s array<double>")
     )
     cell_sizes = counts.groupBy("stratum", "label").agg(F.sum("n").alias("n"))
-    coordinates = sums.select("stratum", "label", "perm", F.posexplode("s").alias("pos", "s"))
+    coordinates = sums.select("stratum", "label", "perm", F.posexplode_outer("s").alias("pos", "s"))
     cells = coordinates.groupBy("stratum", "label", "perm", "pos").agg(F.sum("s").alias("s"))
     share = cells.join(cell_sizes, ["stratum", "label"]).groupBy("perm").agg(
         F.sum(F.col("s") * F.col("s") / F.col("n")).alias("q")
