@@ -235,7 +235,7 @@ def leave_group_out(
     small = rows.join(large, "grp", "left_anti") if has_large else rows
     schema = T.StructType([df.schema[row_id], T.StructField("proba", DOUBLES)])
 
-    def fold(table: pa.Table) -> pa.Table:
+    def fold(table):
         groups = np.asarray(table.column("grp").to_pylist(), dtype=object)
         codes = np.searchsorted(names, np.asarray(table.column("lab").to_pylist(), dtype=str))
         x = matrix(table.column(scores).combine_chunks())
@@ -248,7 +248,7 @@ def leave_group_out(
         return pa.table({row_id: table.column(row_id).combine_chunks(), "proba": list_column(out)})
 
     bucket = F.pmod(F.xxhash64("grp"), F.lit(buckets)).alias("bucket")
-    scored = small.groupBy(bucket).applyInArrow(lambda t: fold(t), schema)
+    scored = small.groupBy(bucket).applyInArrow(fold, schema)
     if has_large:
         scored = scored.unionByName(_score_large(rows.join(large, "grp", "left_semi"), totals, scores, row_id, schema))
     return df.join(scored, row_id), totals.classes
@@ -279,7 +279,7 @@ def _score_large(rows: DataFrame, totals: ClassSums, scores: str, row_id: str, s
 
     sums = summed_vectors(rows.select("grp", "lab", scores), ["grp"], per_group)
 
-    def models(key, table: pa.Table) -> pa.Table:
+    def models(key, table):
         flat = np.zeros(k + k * d + d * d)
         flat[np.asarray(table.column("pos"))] = np.asarray(table.column("total"))
         present, coef, intercept = _reduced_model(

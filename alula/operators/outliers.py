@@ -17,15 +17,24 @@ MAD_FACTOR = 6.0
 HEAVY_FRACTION = 0.55
 
 
+def group_sizes(df: DataFrame, group: str, min_group: int) -> tuple[DataFrame, int]:
+    """Groups large enough to judge, and the size of the largest."""
+    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") >= min_group)
+    return sizes.select(group), sizes.agg(F.max("__n")).first()[0] or 0
+
+
 def landmark_outliers(
     aligned: DataFrame, group: str, row_id: str, mad_factor: float = MAD_FACTOR, min_group: int = MIN_GROUP_SIZE
 ) -> DataFrame:
     """One row per (shape, landmark) with its distance, threshold and flag.
 
     Groups below ``min_group`` are left out (never flagged)."""
-    sizes = aligned.groupBy(group).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") >= min_group)
-    heaviest = sizes.agg(F.max("__n")).first()[0] or 0
-    judged = lookup(aligned.select(row_id, group, "ax", "ay"), sizes, [group], "inner")
+    large, heaviest = group_sizes(aligned, group, min_group)
+    judged = lookup(aligned.select(row_id, group, "ax", "ay"), large, [group], "inner")
+    return _outlying_points(judged, group, row_id, mad_factor, heaviest)
+
+
+def _outlying_points(judged: DataFrame, group: str, row_id: str, mad_factor: float, heaviest: int) -> DataFrame:
     points = exploded_points(judged, [row_id, group])
     keys = [group, "i"]
     centre = grouped_medians(points, keys, {"mx": F.col("px"), "my": F.col("py")}, heaviest)
@@ -39,6 +48,22 @@ def landmark_outliers(
     return lookup(far, limits, keys).withColumn("is_outlier", F.col("dist") > F.col("threshold"))
 
 
+def _per_shape(points: DataFrame, row_id: str, heavy_fraction: float) -> DataFrame:
+    counts = points.groupBy(row_id).agg(
+        F.count_if("is_outlier").alias("n_outlier_landmarks"), F.count(F.lit(1)).alias("__p")
+    )
+    return counts.withColumn("heavy", F.col("n_outlier_landmarks") >= heavy_fraction * F.col("__p")).drop("__p")
+
+
+def _everyone(rows: DataFrame, flagged: DataFrame, row_id: str, group: str) -> DataFrame:
+    return rows.select(row_id, group).join(flagged, row_id, "left").select(
+        row_id,
+        group,
+        F.coalesce("n_outlier_landmarks", F.lit(0)).alias("n_outlier_landmarks"),
+        F.coalesce("heavy", F.lit(False)).alias("heavy"),
+    )
+
+
 def shape_flags(
     aligned: DataFrame,
     group: str,
@@ -48,19 +73,8 @@ def shape_flags(
     min_group: int = MIN_GROUP_SIZE,
 ) -> DataFrame:
     """Per shape: number of outlying landmarks and whether the whole shape is suspect."""
-    per_shape = (
-        landmark_outliers(aligned, group, row_id, mad_factor, min_group)
-        .groupBy(row_id)
-        .agg(F.count_if("is_outlier").alias("n_outlier_landmarks"), F.count(F.lit(1)).alias("__p"))
-    )
-    flagged = per_shape.withColumn("heavy", F.col("n_outlier_landmarks") >= heavy_fraction * F.col("__p"))
-    joined = aligned.select(row_id, group).join(flagged.drop("__p"), row_id, "left")
-    return joined.select(
-        row_id,
-        group,
-        F.coalesce("n_outlier_landmarks", F.lit(0)).alias("n_outlier_landmarks"),
-        F.coalesce("heavy", F.lit(False)).alias("heavy"),
-    )
+    points = landmark_outliers(aligned, group, row_id, mad_factor, min_group)
+    return _everyone(aligned, _per_shape(points, row_id, heavy_fraction), row_id, group)
 
 
 def flag_by_group(
@@ -76,18 +90,9 @@ def flag_by_group(
     """Consensus per group, then the robust rule on the aligned shapes.
 
     Groups below ``min_group`` are not superimposed at all; they come back unflagged."""
-    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("__n"))
-    large = sizes.filter(F.col("__n") >= min_group).select(group)
-    judged = df.join(large, group, "left_semi")
-    everyone = df.select(row_id, group)
-    if judged.isEmpty():
-        return everyone.withColumn("n_outlier_landmarks", F.lit(0).cast("long")).withColumn("heavy", F.lit(False))
-    fitted = consensus_by_group(judged, group, order, max_iter)
-    flags = shape_flags(fitted.aligned, group, row_id, mad_factor, heavy_fraction, min_group).drop(group)
-    joined = everyone.join(flags, row_id, "left")
-    return joined.select(
-        row_id,
-        group,
-        F.coalesce("n_outlier_landmarks", F.lit(0)).alias("n_outlier_landmarks"),
-        F.coalesce("heavy", F.lit(False)).alias("heavy"),
-    )
+    large, heaviest = group_sizes(df, group, min_group)
+    if not heaviest:
+        return df.select(row_id, group, F.lit(0).cast("long").alias("n_outlier_landmarks"), F.lit(False).alias("heavy"))
+    fitted = consensus_by_group(df.join(large, group, "left_semi"), group, order, max_iter)
+    points = _outlying_points(fitted.aligned.select(row_id, group, "ax", "ay"), group, row_id, mad_factor, heaviest)
+    return _everyone(df, _per_shape(points, row_id, heavy_fraction), row_id, group)

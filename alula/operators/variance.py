@@ -217,7 +217,7 @@ def _codes(column: pa.ChunkedArray) -> np.ndarray:
 
 
 def _whole_strata_kernel(n_perm: int, seed: int):
-    def run(key, table: pa.Table) -> pa.Table:
+    def run(key, table):
         rid = np.asarray(table.column("rid").to_pylist(), dtype=str)
         start = np.argsort(rid, kind="stable")
         x = matrix(table.column("v").combine_chunks())[start]
@@ -260,7 +260,7 @@ def _drawn_labels(rng: np.random.Generator, left: np.ndarray, n: int) -> np.ndar
 def _allocation_kernel(n_perm: int, seed: int):
     """How many of each label go to each piece of one large stratum."""
 
-    def run(key, table: pa.Table) -> pa.Table:
+    def run(key, table):
         pdf = table.to_pandas()
         grid = pdf.pivot_table(index="piece", columns="label", values="n", aggfunc="sum", fill_value=0).sort_index()
         piece_sizes, names = grid.sum(axis=1).to_numpy(), list(grid.columns)
@@ -287,7 +287,7 @@ def _allocation_kernel(n_perm: int, seed: int):
 def _piece_kernel(n_perm: int, seed: int):
     """Cell sums of one piece for every permutation."""
 
-    def run(key, rows: pa.Table, plan: pa.Table) -> pa.Table:
+    def run(key, rows, plan):
         rid = np.asarray(rows.column("rid").to_pylist(), dtype=str)
         x = matrix(rows.column("v").combine_chunks())[np.argsort(rid, kind="stable")]
         names = np.asarray(plan.column("label").to_pylist(), dtype=object)
