@@ -35,6 +35,14 @@ def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 
 
+def evaluated_once(df: DataFrame) -> DataFrame:
+    """Keeps later filters from being merged into the expressions of ``df``.
+
+    A one-row explode is a boundary the optimizer does not move predicates
+    across, so long expressions are computed once per row."""
+    return df.select(F.explode(F.array(F.struct(*df.columns))).alias("r")).select("r.*")
+
+
 def lookup(rows: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """NULL-safe many-to-one join that keeps the key columns of ``rows``."""
     renamed = table.select([F.col(c).alias(f"__{c}") if c in keys else F.col(c) for c in table.columns])

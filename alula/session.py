@@ -71,3 +71,20 @@ def pinned(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: fixes row placement and cuts the lineage."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the executors once per application."""
+    import shutil
+    from pathlib import Path
+
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    bundle = shutil.make_archive(tempfile.mkdtemp(prefix="spark-") + "/alula", "zip", root.parent, root.name)
+    spark.sparkContext.addPyFile(bundle)
+    _shipped.add(app)

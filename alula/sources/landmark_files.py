@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from alula.functions import strings as S
 from alula.functions.shapes import dropped_point
-from alula.operators.ordering import numbered, running_totals, sequential_ids
+from alula.operators.ordering import evaluated_once, numbered, running_totals, sequential_ids
 from alula.schema import LANDMARKS
 
 
@@ -37,7 +37,7 @@ def _blocks(scan: DataFrame) -> DataFrame:
     whole = F.when(own, F.col("value")).otherwise(F.concat(F.lit("LM="), F.col("value")))
     pieces = F.split(whole, r"(?im)^[ \t]*LM=")
     return (
-        scan.select("source", "start", "seq", F.posexplode(pieces).alias("pos", "text"))
+        scan.select("source", "start", "seq", F.posexplode_outer(pieces).alias("pos", "text"))
         .filter((F.col("pos") > 0) | (F.trim(F.regexp_replace("text", r"\s+", " ")) != ""))
     )
 
@@ -146,7 +146,7 @@ def parse_blocks(blocks: DataFrame) -> DataFrame:
     usable = (
         known & (F.size(faults) == 0) & (F.size("pts") == F.col("n_points")) & F.col("tps_id").isNotNull()
     )
-    return fields.select(
+    return evaluated_once(fields.select(
         "source", "start", "seq", "pos", "n_points",
         F.transform("pts", lambda e: e["x"]).alias("x"),
         F.transform("pts", lambda e: e["y"]).alias("y"),
@@ -156,7 +156,7 @@ def parse_blocks(blocks: DataFrame) -> DataFrame:
         F.coalesce(usable, F.lit(False)).alias("usable"),
         F.when(known, counted).otherwise(uncounted).alias("problems"),
         F.size(F.split("text", LINE_BREAK)).alias("n_lines"),
-    )
+    ))
 
 
 FILE_ORDER = ["source", "start", "seq", "pos"]
