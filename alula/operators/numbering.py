@@ -26,7 +26,7 @@ START_ANGLES = (0, 90, 180, 270)
 MIRRORS = (False, True)
 MAX_ROUNDS = 15
 
-BATCH = 256  # clouds solved together
+BATCH = 1024  # clouds solved together
 
 Method = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
@@ -38,16 +38,19 @@ def assign_batch(cost: np.ndarray) -> np.ndarray:
     their shortest augmenting paths in step, after a greedy start on row minima."""
     m, n, _ = cost.shape
     u = cost.min(axis=2)
-    v = np.zeros((m, n))
+    reduced = cost - u[:, :, None]
+    v = reduced.min(axis=1)
+    tight = reduced - v[:, None, :] <= 0
     col_of = np.full((m, n), -1)
     row_of = np.full((m, n), -1)
-    nearest = cost.argmin(axis=2)
-    every = np.arange(m)
+    open_col = np.ones((m, n), dtype=bool)
     for i in range(n):
-        j = nearest[:, i]
-        free = row_of[every, j] < 0
-        row_of[every[free], j[free]] = i
-        col_of[every[free], i] = j[free]
+        usable = tight[:, i] & open_col
+        r = np.flatnonzero(usable.any(axis=1))
+        j = usable[r].argmax(axis=1)
+        open_col[r, j] = False
+        row_of[r, j] = i
+        col_of[r, i] = j
     for i in range(n):
         todo = np.flatnonzero(col_of[:, i] < 0)
         if len(todo):
@@ -56,42 +59,65 @@ def assign_batch(cost: np.ndarray) -> np.ndarray:
 
 
 def _augment(cost, u, v, col_of, row_of, todo, start) -> None:
+    """Matches row ``start`` in the problems ``todo`` along cheapest alternating paths.
+
+    Finished problems are masked, and dropped from the working arrays once they
+    are a third of them. A closed column gets potential -inf, so it is never
+    reached again."""
     k, n = len(todo), cost.shape[1]
-    best = np.full((k, n), np.inf)
-    path = np.full((k, n), -1)
-    done_col = np.zeros((k, n), dtype=bool)
-    seen_row = np.zeros((k, n), dtype=bool)
-    reached = np.zeros(k)
-    row = np.full(k, start)
-    sink = np.full(k, -1)
-    live = np.arange(k)
-    while len(live):
-        at, here = todo[live], row[live]
-        seen_row[live, here] = True
-        slack = reached[live, None] + cost[at, here] - u[at, here][:, None] - v[at]
-        better = (slack < best[live]) & ~done_col[live]
-        best[live] = np.where(better, slack, best[live])
-        path[live] = np.where(better, here[:, None], path[live])
-        open_ = np.where(done_col[live], np.inf, best[live])
+    all_path, all_lift = np.empty((k, n), dtype=np.int64), np.empty((k, n))
+    all_end, all_cost = np.empty(k, dtype=np.int64), np.empty(k)
+    at, where = np.arange(k), todo
+    vl, ul = v[todo], u[todo]
+    open_, final = np.full((k, n), np.inf), np.zeros((k, n))
+    closed, path = np.zeros((k, n), dtype=bool), np.zeros((k, n), dtype=np.int64)
+    row, reached = np.full(k, start), np.zeros(k)
+    alive, idx = np.ones(k, dtype=bool), np.arange(k)
+    while True:
+        slack = cost[where, row]
+        slack += (reached - ul[idx, row])[:, None]
+        slack -= vl
+        better = slack < open_
+        np.copyto(open_, slack, where=better)
+        np.copyto(path, row[:, None], where=better)
         j = open_.argmin(axis=1)
-        reached[live] = open_[np.arange(len(live)), j]
-        done_col[live, j] = True
-        owner = row_of[at, j]
-        ends = owner < 0
-        sink[live[ends]] = j[ends]
-        row[live[~ends]] = owner[~ends]
-        live = live[~ends]
-    # potentials of everything the search touched
-    owned = np.take_along_axis(best, np.where(col_of[todo] < 0, 0, col_of[todo]), axis=1)
-    lift = np.where(seen_row, reached[:, None] - owned, 0.0)
-    lift[:, start] = reached
-    u[todo] += lift
-    v[todo] -= np.where(done_col, reached[:, None] - best, 0.0)
+        run = np.flatnonzero(alive)
+        jr = j[run]
+        reached[run] = open_[run, jr]
+        final[run, jr] = reached[run]
+        closed[run, jr] = True
+        open_[run, jr] = np.inf
+        vl[run, jr] = -np.inf
+        owner = row_of[where[run], jr]
+        ended = owner < 0
+        e = run[ended]
+        if len(e):
+            g = at[e]
+            all_end[g], all_cost[g], all_path[g] = j[e], reached[e], path[e]
+            all_lift[g] = np.where(closed[e], reached[e][:, None] - final[e], 0.0)
+            alive[e] = False
+            vl[e] = -np.inf
+        row[run[~ended]] = owner[~ended]
+        left = int(alive.sum())
+        if not left:
+            break
+        if 3 * left < 2 * len(alive):
+            keep = np.flatnonzero(alive)
+            at, where, vl, ul, open_, final, closed, path, row, reached = (
+                a[keep] for a in (at, where, vl, ul, open_, final, closed, path, row, reached)
+            )
+            alive, idx = np.ones(left, dtype=bool), np.arange(left)
+    # potentials: closed columns down, their rows and the start row up
+    v[todo] -= all_lift
+    owners = row_of[todo]
+    rise = np.zeros((k, n))
+    np.put_along_axis(rise, np.where(owners < 0, start, owners), np.where(owners < 0, 0.0, all_lift), axis=1)
+    rise[:, start] = all_cost
+    u[todo] += rise
     # flip the path from the free column back to the start row
-    live = np.arange(k)
-    j = sink
+    live, j = np.arange(k), all_end
     while len(live):
-        i = path[live, j]
+        i = all_path[live, j]
         row_of[todo[live], j] = i
         before = col_of[todo[live], i]
         col_of[todo[live], i] = j
@@ -104,7 +130,8 @@ def rotate_and_match(z: np.ndarray, reference: np.ndarray) -> tuple[np.ndarray,
 
     z: (m, n) complex clouds; reference: (n,) complex. Returns the order of the
     points (point ``order[r, k]`` is landmark k) and the mean squared residual.
-    Every fit starts again from the original centred cloud."""
+    Every fit starts again from the original centred cloud, so two starts that
+    agree on an assignment in the same round stay equal: only one continues."""
     m, n = z.shape
     centred = z - z.mean(axis=1, keepdims=True)
     power = (np.abs(centred) ** 2).sum(axis=1)
@@ -118,7 +145,7 @@ def rotate_and_match(z: np.ndarray, reference: np.ndarray) -> tuple[np.ndarray,
     source = np.repeat(centred, k, axis=0)
     weight = np.repeat(power, k)
     assigned = np.full((m * k, n), -1)
-    live = np.arange(m * k)
+    live = survivors = np.arange(m * k)
     for _ in range(MAX_ROUNDS):
         gap = current[live][:, :, None] - reference
         found = assign_batch(gap.real**2 + gap.imag**2)
@@ -127,11 +154,18 @@ def rotate_and_match(z: np.ndarray, reference: np.ndarray) -> tuple[np.ndarray,
         if not len(live):
             break
         assigned[live] = found
+        _, first = np.unique(np.column_stack([live // k, found]), axis=0, return_index=True)
+        first = np.sort(first)
+        survivors = np.setdiff1d(survivors, np.delete(live, first), assume_unique=True)
+        live, found = live[first], found[first]
         target = reference[found]
         middle = target.mean(axis=1, keepdims=True)
         factor = (np.conj(source[live]) * (target - middle)).sum(axis=1) / weight[live]
         current[live] = factor[:, None] * source[live] + middle
-    residual = (np.abs(current - reference[assigned]) ** 2).mean(axis=1).reshape(m, k)
+    # starts merged into an earlier one never win: they keep an unfinished fit
+    settled = np.zeros(m * k, dtype=bool)
+    settled[survivors] = True
+    residual = np.where(settled, (np.abs(current - reference[assigned]) ** 2).mean(axis=1), np.inf).reshape(m, k)
     best = residual.argmin(axis=1)
     chosen = assigned.reshape(m, k, n)[np.arange(m), best]
     order = np.empty_like(chosen)
@@ -157,7 +191,17 @@ def _gather(values: np.ndarray, first: np.ndarray, rows: np.ndarray, width: int)
     return values[first[rows][:, None] + np.arange(width)]
 
 
-def number_landmarks(df: DataFrame, reference: np.ndarray, method: str = "hungarian_umeyama") -> DataFrame:
+def spread_rows(df: DataFrame, key: str) -> DataFrame:
+    """Rows hashed over all cores: solving costs far more than moving a row, and a
+    small file would otherwise be a single task."""
+    spark = df.sparkSession
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(parts, F.xxhash64(key))
+
+
+def number_landmarks(
+    df: DataFrame, reference: np.ndarray, method: str = "hungarian_umeyama", row_id: str = "ord"
+) -> DataFrame:
     """Adds ``nx``/``ny`` (reference order), ``status``, ``registration_cost``, ``error_reason``.
 
     A cloud with another point count, or with all points in one place, is FAILED
@@ -203,7 +247,7 @@ def number_landmarks(df: DataFrame, reference: np.ndarray, method: str = "hungar
         T.StructField("nx", DOUBLES), T.StructField("ny", DOUBLES), T.StructField("status", T.StringType()),
         T.StructField("registration_cost", T.DoubleType()), T.StructField("error_reason", T.StringType()),
     ]
-    return append_arrow(df, fields, kernel)
+    return append_arrow(spread_rows(df, row_id), fields, kernel)
 
 
 def renumber(
@@ -222,7 +266,7 @@ def renumber(
 
     FAILED rows stay in the result (the log); ``usable`` tells which belong in
     the numbered landmark file."""
-    numbered = number_landmarks(landmarks, reference, method)
+    numbered = number_landmarks(landmarks, reference, method, row_id)
     usable = F.col("status") != FAILED
     if biology is None:
         return numbered.withColumn("n_outlier_landmarks", F.lit(None).cast("long")).withColumn("usable", usable)
