@@ -358,7 +358,7 @@ def renumber_noise_clouds(spark, d):
 , t as (select ord, i, 10000 * x as x, 10000 * y as y from std),
 p as (select ord, i, x + 0.02 * (i % 5) * (1 + ord % 90) as px, y as py from t where not (ord % 10 = 3 and i = 31)),
 d as (select t.ord, sqrt((x - px) * (x - px)) as d from t join p using (ord, i)), c as (select count(distinct ord) as n, count(distinct ord) filter (ord % 10 = 3) as m, count(distinct ord) filter (ord % 10 = 4) as s from t)
-select c.n as n_specimens, c.n as ok, 0 as suspect, 0 as failed, count(*) as n_matched_points, any_value(m) as n_missed_points, any_value(s) as n_spurious_points,
+select c.n as n_specimens, c.n as ok, 0::bigint as suspect, 0::bigint as failed, count(*) as n_matched_points, any_value(m) as n_missed_points, any_value(s) as n_spurious_points,
        round(avg(d), 6) as mean_error_px, round(avg(cast(d <= 5.001 as int)), 6) as pct_within_5px, round(avg(cast(d <= 10 as int)), 6) as pct_within_10px, round(median(d), 6) as median_error_px
 from d, c group by c.n""")
 def localization_error(spark, d):
