@@ -141,20 +141,17 @@ def posteriors(x: np.ndarray, coef: np.ndarray, intercept: np.ndarray) -> np.nda
 def class_sums(df: DataFrame, label: str, scores: str = "scores") -> ClassSums:
     """Counts and sums per class, products over everything (model-sized results)."""
     labelled = df.filter(F.col(label).isNotNull()).select(F.col(label).cast("string").alias(label), scores)
-    first = labelled.select(F.size(scores).alias("d")).first()
-    if first is None:
-        raise EmptyDatasetError("no labelled row")
-    d = first["d"]
-    k = labelled.select(label).distinct().count()
-    if k * d * 8 > broadcast_bytes(df.sparkSession):
-        raise ModelError(f"{k} classes of {d} scores exceed the model size limit")
 
-    def per_class(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        """Score sums per class, and the product matrix under the NULL class."""
         acc: dict[str, list] = {}
+        products, total = 0.0, 0
         for batch in batches:
             if not batch.num_rows:
                 continue
             x = matrix(batch.column(scores))
+            products = products + x.T @ x
+            total += len(x)
             names, at = np.unique(np.asarray(batch.column(label).to_pylist(), dtype=str), return_inverse=True)
             part = np.zeros((len(names), x.shape[1]))
             np.add.at(part, at, x)
@@ -164,26 +161,26 @@ def class_sums(df: DataFrame, label: str, scores: str = "scores") -> ClassSums:
                 slot[1] += s
         for name, (n, s) in acc.items():
             yield name, n, s
-
-    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        q, n = np.zeros((d, d)), 0
-        for batch in batches:
-            if batch.num_rows:
-                x = matrix(batch.column(scores))
-                q += x.T @ x
-                n += len(x)
-        if n:
-            yield n, q.ravel()
-
-    rows = summed_vectors(labelled, [label], per_class).collect()
-    classes = sorted({r[label] for r in rows})
+        if total:
+            yield None, total, products.ravel()
+
+    most = broadcast_bytes(df.sparkSession) // 8
+    rows = summed_vectors(labelled, [label], fold).limit(most + 1).collect()  # model-sized, and checked
+    if len(rows) > most:
+        raise ModelError("classes and scores exceed the model size limit")
+    if not rows:
+        raise EmptyDatasetError("no labelled row")
+    d = round(sum(r[label] is None for r in rows) ** 0.5)
+    classes = sorted({r[label] for r in rows if r[label] is not None})
     at = {c: i for i, c in enumerate(classes)}
-    counts, sums = np.zeros(len(classes)), np.zeros((len(classes), d))
+    counts, sums, products = np.zeros(len(classes)), np.zeros((len(classes), d)), np.zeros(d * d)
     for r in rows:
-        counts[at[r[label]]] = r["n"]
-        sums[at[r[label]], r["pos"]] = r["total"]
-    _, flat = gathered(summed_vectors(labelled.select(scores), [], whole), d * d)
-    return ClassSums(classes, counts, sums, flat.reshape(d, d))
+        if r[label] is None:
+            products[r["pos"]] = r["total"]
+        else:
+            counts[at[r[label]]] = r["n"]
+            sums[at[r[label]], r["pos"]] = r["total"]
+    return ClassSums(classes, counts, sums, products.reshape(d, d))
 
 
 def fit_discriminant(df: DataFrame, label: str, scores: str = "scores") -> Discriminant:

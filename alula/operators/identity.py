@@ -159,12 +159,11 @@ def flag_inconsistent(df: DataFrame, order: Order, bio_columns: Sequence[str], k
 # --- frozen surrogate keys ----------------------------------------------------------
 
 
-def extend_mapping(
-    existing: DataFrame, specimens: DataFrame, frozen_at: str, embedded_numbering: bool, check: bool = True
-) -> DataFrame:
+def extend_mapping(existing: DataFrame, specimens: DataFrame, frozen_at: str, embedded_numbering: bool) -> DataFrame:
     """Existing rows untouched, unseen specimens appended with fresh ids.
 
-    ``specimens`` has one row per (source_type, original_id)."""
+    ``specimens`` has one row per (source_type, original_id). An id another
+    source already holds stops the query."""
     keys = ["source_type", "original_id"]
     new = specimens.join(existing.select(*keys), keys, "left_anti")
     if embedded_numbering:
@@ -185,10 +184,11 @@ def extend_mapping(
             .withColumn("inv_id", S.numbered_id(F.col("inv_name"), F.col("inv_num")))
         )
     added = added.withColumn("frozen_at", F.lit(frozen_at)).withColumn("inv_num", F.col("inv_num").cast("long"))
-    if check:
-        clash = added.select("inv_id").join(existing.select("inv_id"), "inv_id", "left_semi").limit(10).collect()
-        if clash:
-            raise IdentityError(f"inv_id already taken by another source: {sorted(r[0] for r in clash)}")
+    taken = existing.select("inv_id", F.lit(True).alias("__taken")).distinct()
+    problem = F.raise_error(F.concat(F.lit("inv_id already taken by another source: "), F.col("inv_id"))).cast("string")
+    added = added.join(taken, "inv_id", "left").withColumn(
+        "inv_id", F.when(F.col("__taken"), problem).otherwise(F.col("inv_id"))
+    )
     return existing.select(MAPPING_COLUMNS).unionByName(added.select(MAPPING_COLUMNS))
 
 

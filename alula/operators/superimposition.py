@@ -8,7 +8,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
@@ -117,13 +117,23 @@ def aligned_columns(df: DataFrame, ref: np.ndarray) -> DataFrame:
     return append_arrow(df, ALIGNED, kernel)
 
 
-def _common_points(df: DataFrame) -> int:
-    span = df.agg(F.min(F.size("x")).alias("lo"), F.max(F.size("x")).alias("hi")).first()
-    if span["lo"] is None:
+def _starts(order: Order) -> list[Column]:
+    """First shape in order and the range of landmark counts."""
+    return [
+        F.min_by(F.struct("xs", "ys"), order_key(order)).alias("s"),
+        F.min(F.size("xs")).alias("lo"),
+        F.max(F.size("xs")).alias("hi"),
+        F.count(F.lit(1)).alias("n"),
+    ]
+
+
+def _common_points(rows: Sequence[Row]) -> int:
+    counts = {c for r in rows for c in (r["lo"], r["hi"])}
+    if not counts or None in counts:
         raise EmptyDatasetError("no specimen to superimpose")
-    if span["lo"] != span["hi"]:
-        raise SchemaError(f"landmark counts differ: {span['lo']} to {span['hi']}")
-    return span["lo"]
+    if len(counts) > 1:
+        raise SchemaError(f"landmark counts differ: {min(counts)} to {max(counts)}")
+    return counts.pop()
 
 
 def consensus(df: DataFrame, order: Order = ("ord",), max_iter: int = 100, tol: float = 1e-8,
@@ -134,8 +144,8 @@ def consensus(df: DataFrame, order: Order = ("ord",), max_iter: int = 100, tol:
     per iteration; each task returns one partial sum, so 2p numbers per task are
     all that ever moves."""
     base = standardized(df, label).persist(StorageLevel.MEMORY_AND_DISK)
-    p = _common_points(base)
-    start = base.agg(F.min_by(F.struct("xs", "ys"), order_key(order)).alias("s")).first()["s"]
+    first = base.agg(*_starts(order)).first()
+    p, start = _common_points([first]), first["s"]
     ref = np.array(start["xs"]) + 1j * np.array(start["ys"])
     previous, done, count = ref, 0, 0
     slim = base.select("xs", "ys")
@@ -180,12 +190,11 @@ def consensus_by_group(df: DataFrame, group: str, order: Order = ("ord",), max_i
     stay a table joined to the rows in every pass."""
     spark = df.sparkSession
     base = standardized(df, label).filter(F.col(group).isNotNull()).persist(StorageLevel.MEMORY_AND_DISK)
-    p = _common_points(base)
-    starts = base.groupBy(group).agg(
-        F.count(F.lit(1)).alias("n"), F.min_by(F.struct("xs", "ys"), order_key(order)).alias("s")
-    )
-    n_groups = base.select(group).distinct().count()
-    if n_groups * p * 2 * 8 * 4 > broadcast_bytes(spark):
+    starts = base.groupBy(group).agg(*_starts(order))
+    span = starts.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.count(F.lit(1)).alias("groups")).first()
+    p = _common_points([span])
+    # a reference is 2p numbers; sums and the previous reference double it twice
+    if span["groups"] * p * 2 * 8 * 4 > broadcast_bytes(spark):
         return _joined_consensus(base, starts, group, p, max_iter, tol)
     rows = starts.collect()
     names = [r[group] for r in rows]

@@ -78,7 +78,7 @@ def parse_blocks(blocks: DataFrame) -> DataFrame:
     )
     stop = F.array_position(F.transform("body", lambda e: e["t"].rlike(DIRECTIVES)), F.lit(True))
     head_size = F.when(stop > 0, stop - 1).otherwise(F.size("body")).cast("int")
-    cut = split.withColumn("head", F.slice("body", F.lit(1), F.greatest(head_size, F.lit(0))))
+    cut = evaluated_once(split.withColumn("head", F.slice("body", F.lit(1), F.greatest(head_size, F.lit(0)))).drop("lines"))
 
     def coordinate(e: Column) -> Column:
         parts = F.split(F.trim(F.translate(e["t"], ",", " ")), r"\s+")
@@ -89,7 +89,7 @@ def parse_blocks(blocks: DataFrame) -> DataFrame:
             .when(x.isNull() | y.isNull(), "non-numeric coordinate: '").alias("fault"),
         )
 
-    read = cut.withColumn("read", F.transform("head", coordinate))
+    read = evaluated_once(cut.withColumn("read", F.transform("head", coordinate)).drop("head"))
     # how many lines are consumed until n good pairs are found
     used = F.aggregate(
         "read",
@@ -112,6 +112,7 @@ def parse_blocks(blocks: DataFrame) -> DataFrame:
             lambda e: F.struct(e["n"].alias("n"), e["t"].alias("t"), _after_equals(e["t"]).alias("v")),
         )
 
+    good = evaluated_once(good.drop("read"))
     ids = good.withColumn("id_lines", directive("ID=")).withColumn(
         "comment", F.array_join(F.transform(directive("COMMENT="), lambda e: e["v"]), ";")
     )
