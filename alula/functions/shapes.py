@@ -71,3 +71,19 @@ def count_outside(x: Column, y: Column, width: float, height: float) -> Column:
         lambda p: (p["x"] < 0) | (p["x"] >= width) | (p["y"] < 0) | (p["y"] >= height),
     )
     return F.size(bad)
+
+
+def similarity_fit(xs: Column, ys: Column, xt: Column, yt: Column) -> Column:
+    """struct(angle, scale, cx, cy, tx, ty) of the best similarity without reflection.
+
+    target = scale * R(angle) (source - (cx, cy)) + (tx, ty). Coincident source
+    points have no fit and stop the query."""
+    sx, sy, tx, ty = (centered(c) for c in (xs, ys, xt, yt))
+    a, b = rotation_terms(sx, sy, tx, ty)
+    power = dot(sx, sx) + dot(sy, sy)
+    problem = F.raise_error(F.lit("degenerate specimen: landmarks coincide (zero variance)")).cast("double")
+    return F.struct(
+        F.atan2(b, a).alias("angle"),
+        (F.sqrt(a * a + b * b) / F.when(power == 0, problem).otherwise(power)).alias("scale"),
+        *[(total(c) / F.size(c)).alias(n) for c, n in ((xs, "cx"), (ys, "cy"), (xt, "tx"), (yt, "ty"))],
+    )

@@ -99,6 +99,13 @@ def load_dataset(
     return result
 
 
+def select_images(manifest: DataFrame, photo_ids: DataFrame | None = None) -> DataFrame:
+    """Photos with a usable file (status OK), optionally only those listed."""
+    require_columns(manifest, ["photo_id", "inv_id", "path", "status"], "manifest")
+    usable = manifest.filter(F.col("status") == OK)
+    return usable if photo_ids is None else usable.join(photo_ids.select("photo_id"), "photo_id", "left_semi")
+
+
 def complete_individuals(df: DataFrame, devices: Sequence[str], key: str = "inv_id") -> DataFrame:
     """Individuals that have every required device tag keep all their photos."""
     required = sorted(set(devices))

@@ -74,3 +74,11 @@ def write_package(tables: dict[str, DataFrame], path: str, name: str, single_fil
     bio.write.mode("overwrite").option("header", True).csv(f"{folder}-biological_data.csv")
     tables["failed"].write.mode("overwrite").option("header", True).csv(f"{folder}-failed.csv")
     return f"{path}/{n_points}lm"
+
+
+def write_upload_root(tables: dict[str, DataFrame], path: str, order: Sequence[str] = ("ord",)) -> str:
+    """Writes the tables of ``operators.dataset.upload_root`` as a dataset root."""
+    tables["biological_data"].write.mode("overwrite").parquet(f"{path}/biological_data")
+    tables["manifest"].write.mode("overwrite").parquet(f"{path}/manifest")
+    write_landmarks(tables["landmarks"], f"{path}/landmarks/landmarks_numbered.tps", order)
+    return path

@@ -16,7 +16,7 @@ from workload import all_queries  # noqa: E402
 HEADLINE = [
     "align_distance_by_species", "gpa_consensus", "gpa_by_species", "outlier_flags_by_species", "nested_anova",
     "within_group_variance", "permutation_p", "pca_scores", "lda_posteriors", "logo_cv", "renumber",
-    "renumber_noise_clouds", "localization_error", "reproject_round_trip", "landmark_file_round_trip",
+    "renumber_eighteen_points", "renumber_noise_clouds", "localization_error", "reproject_round_trip", "landmark_file_round_trip",
     "harmonised_identity", "identity_conflicts", "allocate_ids", "attach_ids", "photo_ids", "scan_status",
     "duplicate_groups", "duplicate_keys", "dataset_join", "latest_status", "step_stats", "failure_run_lengths",
     "status_crosstab", "exclusion_report", "path_match", "class_report", "top_three_choices",
@@ -49,7 +49,7 @@ def main() -> None:
             print(f"{name}: {type(problem).__name__}: {str(problem)[:300]}", file=sys.stderr)
             seconds[name] = None
     shapes = spark.read.parquet(f"{sf_dir}/embeddings.parquet").count()
-    for name in ("renumber", "renumber_noise_clouds"):
+    for name in ("renumber", "renumber_eighteen_points", "renumber_noise_clouds"):
         if seconds.get(name):
             rates[f"{name}_shapes_per_sec"] = round(shapes / seconds[name], 1)
     total = round(sum(s for s in seconds.values() if s is not None), 3)

@@ -15,6 +15,7 @@ from alula.operators import reports as P
 from alula.operators import superimposition as A
 from alula.operators import variance as VA
 from alula.operators.arrow import exploded_points
+from alula.plans.variance_report import variance_report
 from workload import views as V
 from workload.registry import query
 
@@ -142,6 +143,19 @@ def reference_shape(spark, d):
     return frame.select("i", _r("x"), _r("y"))
 
 
+@query(V.with_sql(V.POINTS_SQL, STD_SQL) + """
+, r as (select i, x, y from pts where ord = 0), rc as (select avg(x) as tx, avg(y) as ty from r),
+f as (select p.ord, sum((p.x - cx) * (r.x - tx) + (p.y - cy) * (r.y - ty)) as a, sum((p.x - cx) * (r.y - ty) - (p.y - cy) * (r.x - tx)) as b,
+             sum((p.x - cx) * (p.x - cx) + (p.y - cy) * (p.y - cy)) as w, any_value(cx) as cx, any_value(cy) as cy
+      from pts p join cen using (ord) join r using (i), rc group by 1)
+select ord, round(atan2(b, a), 6) + 0.0 as angle, round(sqrt(a * a + b * b) / w, 6) as scale, round(cx, 6) + 0.0 as cx, round(cy, 6) + 0.0 as cy from f""")
+def similarity_fit(spark, d):
+    target = V.shapes(spark, d).filter("ord = 0").select("x", "y").first()
+    fit = G.similarity_fit(F.col("x"), F.col("y"), G.literal_array(target["x"]), G.literal_array(target["y"]))
+    rows = V.shapes(spark, d).select("ord", fit.alias("f")).select("ord", "f.*")
+    return rows.select("ord", *[_r(c) for c in ("angle", "scale", "cx", "cy")])
+
+
 # --- robust outliers ------------------------------------------------------------------
 
 
@@ -176,7 +190,7 @@ def _vectors(spark, d) -> DataFrame:
     return frozen_aligned(spark, d).select("ord", "species", "caste", "inv_id", VA.shape_vector().alias("v"))
 
 
-@query(V.with_sql(V.PHOTO_SQL, V.POINTS_SQL, STD_SQL, *FROZEN, LONG_SQL) + """
+ANOVA_SQL = """
 , fine as (select pos, species, caste, inv_id, count(*) as n, sum(v) as s, sum(v * v) as q from lp group by all),
 g as (select pos, sum(n) as n, sum(s) as s, sum(q) as q from fine group by 1),
 b0 as (select sum(s * s / n) as b, sum(q) as q, max(n) as rows from g),
@@ -187,12 +201,21 @@ t as (select 1 as rank, 'species' as source, b1.b - b0.b as ss, b1.c - 1 as df f
       union all select 2, 'caste', b2.b - b1.b, b2.c - b1.c from b1, b2 union all select 3, 'inv_id', b3.b - b2.b, b3.c - b2.c from b2, b3
       union all select 4, 'Residual', b0.q - b3.b, b0.rows - b3.c from b0, b3),
 r as (select ss / df as m from t where rank = 4)
-select cast(rank as int) as rank, source, round(ss, 6) as ss, cast(df as bigint) as df, round(ss / df, 6) as ms, case when rank < 4 then round(ss / df / m, 6) end as f from t, r""")
+select cast(rank as int) as rank, source, round(ss, 6) as ss, cast(df as bigint) as df, round(ss / df, 6) as ms, case when rank < 4 then round(ss / df / m, 6) end as f from t, r"""
+
+
+@query(V.with_sql(V.PHOTO_SQL, V.POINTS_SQL, STD_SQL, *FROZEN, LONG_SQL) + ANOVA_SQL)
 def nested_anova(spark, d):
     table = VA.nested_anova(_vectors(spark, d), ["species", "caste", "inv_id"])
     return table.select("rank", "source", _r("ss"), "df", _r("ms"), _r("f"))
 
 
+@query(V.with_sql(V.PHOTO_SQL, V.POINTS_SQL, STD_SQL, consensus_sql(ROUNDS), LONG_SQL.replace("from al", f"from al{ROUNDS}")) + ANOVA_SQL)
+def variance_report_job(spark, d):
+    table = variance_report(V.shapes(spark, d), ["species", "caste", "inv_id"], max_iter=ROUNDS)
+    return table.select("rank", "source", _r("ss"), "df", _r("ms"), _r("f"))
+
+
 @query(V.with_sql(V.PHOTO_SQL, V.POINTS_SQL, STD_SQL, *FROZEN, LONG_SQL) + """
 select inv_id, max(n) as n, round(sum(vs), 6) as shape_variance from (select inv_id, pos, count(*) as n, var_samp(v) as vs from lp group by 1, 2) group by 1""")
 def within_group_variance(spark, d):
@@ -302,32 +325,41 @@ whole as (select * from cloud where ord % 10 <> 3)
 """
 
 
-def _clouds(spark, d) -> tuple[DataFrame, np.ndarray]:
-    ref = frozen_reference(spark, d)
+def _clouds(spark, d, n: int = 32, step: int = 7) -> tuple[DataFrame, np.ndarray]:
+    """``step`` is coprime to ``n``: point k of a cloud is landmark (step * k + ord) mod n."""
+    shapes = V.shapes(spark, d).select(
+        "ord", "inv_id", "species", F.slice("x", 1, n).alias("x"), F.slice("y", 1, n).alias("y"))
+    row = A.standardized(shapes.filter("ord = 0")).select("xs", "ys").first()
+    ref = np.column_stack([row["xs"], row["ys"]])
     rx, ry = G.literal_array(ref[:, 0].tolist()), G.literal_array(ref[:, 1].tolist())
-    base = A.standardized(V.shapes(spark, d).select("ord", "inv_id", "species", "x", "y")).withColumn(
+    base = A.standardized(shapes).withColumn(
         "th", F.expr("0.1D + (ord % 4) * 1.5707963267948966D + (ord % 7) * 0.05D"))
     c, s = F.cos("th"), F.sin("th")
     near = base.withColumn("px", F.zip_with("xs", rx, lambda a, r: r + 0.004 * a)).withColumn(
         "py", F.zip_with("ys", ry, lambda a, r: r + 0.004 * a))
     turned = near.withColumn("qx", F.zip_with("px", "py", lambda a, b: 100 * (c * a - s * b) + 50)).withColumn(
         "qy", F.zip_with("px", "py", lambda a, b: 100 * (s * a + c * b) + 20))
-    slot = lambda v: F.transform(F.sequence(F.lit(0), F.lit(31)), lambda k: F.get(v, F.pmod(k * 7 + F.col("ord"), F.lit(32)).cast("int")))
-    keep = lambda v: F.when(F.col("ord") % 10 == 3, F.slice(v, 1, 31)).otherwise(v)
+    slot = lambda v: F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda k: F.get(v, F.pmod(k * step + F.col("ord"), F.lit(n)).cast("int")))
+    keep = lambda v: F.when(F.col("ord") % 10 == 3, F.slice(v, 1, n - 1)).otherwise(v)
     mixed = turned.select("ord", "inv_id", "species", keep(slot(F.col("qx"))).alias("x"), keep(slot(F.col("qy"))).alias("y"))
     return mixed, ref
 
 
-@query(V.with_sql(V.POINTS_SQL, STD_SQL, "frozen as (select i, x, y from std where ord = 0)", CLOUD_SQL) + """
+def numbering_sql(n: int) -> str:
+    points = V.POINTS_SQL.replace("range(32)", f"range({n})")
+    head = V.with_sql(points, STD_SQL, "frozen as (select i, x, y from std where ord = 0)", CLOUD_SQL)
+    return head + f"""
 , m as (select ord, avg(x) as mx, avg(y) as my from whole group by 1), f as (select avg(x) as fx, avg(y) as fy from frozen),
 k as (select w.ord, sum((w.x - mx) * (r.x - fx) + (w.y - my) * (r.y - fy)) as a, sum((w.x - mx) * (r.y - fy) - (w.y - my) * (r.x - fx)) as b,
              sum((w.x - mx) * (w.x - mx) + (w.y - my) * (w.y - my)) as p, sum((r.x - fx) * (r.x - fx) + (r.y - fy) * (r.y - fy)) as t
       from whole w join frozen r using (i) join m using (ord), f group by 1)
-select ord, 'OK' as status, '' as error_reason, round((t - (a * a + b * b) / p) / 32, 8) as cost,
+select ord, 'OK' as status, '' as error_reason, round((t - (a * a + b * b) / p) / {n}, 8) as cost,
        (select round(sum(x * (i + 1)), 3) from whole w where w.ord = k.ord) as check_x, (select round(sum(y * (i + 1)), 3) from whole w where w.ord = k.ord) as check_y from k
-union all select distinct ord, 'FAILED', '31 landmarks, 32 expected', null, null, null from std where ord % 10 = 3""")
-def renumber(spark, d):
-    clouds, ref = _clouds(spark, d)
+union all select distinct ord, 'FAILED', '{n - 1} landmarks, {n} expected', null, null, null from std where ord % 10 = 3"""
+
+
+def _numbering_check(spark, d, n: int, step: int) -> DataFrame:
+    clouds, ref = _clouds(spark, d, n, step)
     done = N.number_landmarks(clouds, ref)
     good = F.col("status") == "OK"
     weight = lambda v: G.total(F.transform(v, lambda e, i: e * (i + 1)))
@@ -337,6 +369,17 @@ def renumber(spark, d):
     )
 
 
+@query(numbering_sql(32))
+def renumber(spark, d):
+    return _numbering_check(spark, d, 32, 7)
+
+
+@query(numbering_sql(18))
+def renumber_eighteen_points(spark, d):
+    """The landmark count of the published throughput figure."""
+    return _numbering_check(spark, d, 18, 5)
+
+
 @query(V.with_sql(V.PHOTO_SQL) + """
 select 'OK' as status, count(*) as n from photo where ord % 10 <> 3 union all select 'FAILED', count(*) from photo where ord % 10 = 3""")
 def renumber_statuses(spark, d):

@@ -9,6 +9,7 @@ from alula.functions import strings as S
 from alula.operators import discriminant as LD
 from alula.operators import logs as L
 from alula.operators import ordering as O
+from alula.operators import ordering as O
 from alula.plans import export as E
 from alula.plans import prepare as PR
 from alula.plans import train as T
@@ -97,6 +98,34 @@ def clean_file_rewrite(spark, d):
     return rows.select(F.col("tps_id").cast("long").alias("tps_id"), "image_path", "n_points")
 
 
+@query("""
+select concat('ph', vec_id) as photo_id, row_number() over (order by concat('ph', vec_id)) as tps_id from embeddings""")
+def merged_landmark_uploads(spark, d):
+    rows, paths = _landmarks(spark, d), []
+    for k in range(2):
+        paths.append(scratch_path(spark, "upload"))
+        LF.write_landmarks(rows.filter(F.col("ord") % 2 == k), paths[-1])
+    merged = LF.read_landmarks(spark, paths, strict=False, rank=False)
+    return O.sequential_ids(merged).select("photo_id", "tps_id")
+
+
+@query("""
+select i, round(cast(embedding[2 * i + 1] as double), 4) + 0.0 as x, round(cast(embedding[2 * i + 2] as double), 4) + 0.0 as y
+from embeddings, range(32) t(i) where vec_id = 0""")
+def reference_file(spark, d):
+    path = scratch_path(spark, "reference")
+    LF.write_landmarks(_landmarks(spark, d).filter("ord = 0"), path)
+    shape = LF.read_reference(spark, path)
+    return spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(shape)], "i long, x double, y double")
+
+
+@query(V.with_sql(V.PHOTO_SQL) + """
+select 'demo_set' as dataset_name, count(*) as n_photos, count(distinct inv_id) as n_specimens from photo""")
+def dataset_config(spark, d):
+    photos = V.photos(spark, d)
+    return TB.write_dataset_config(spark, scratch_path(spark, "config"), "demo/set", photos, photos.select("inv_id").distinct())
+
+
 @query(V.with_sql(V.LOG_SQL) + """
 select photo_key, arg_max(status, ord) as status from log group by 1""")
 def csv_log_round_trip(spark, d):

@@ -936,3 +936,33 @@ def quad_problems(spark, d):
 def canonical_order(spark, d):
     rows = V.photos(spark, d).select("ord", "species", "inv_id")
     return lead_with(rows, ["inv_id", "inv_name"])
+
+
+@query(V.with_sql(V.LOG_SQL) + """
+select ord from log where status = 'OK' and photo_key in (select c_custkey from customer where c_mktsegment = 'BUILDING')""")
+def selected_images(spark, d):
+    manifest = V.log(spark, d).selectExpr("ord", "photo_key as photo_id", "photo_key as inv_id", "'p' as path", "status")
+    wanted = V.table(spark, d, "customer").filter("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("photo_id"))
+    return D.select_images(manifest, wanted).select("ord")
+
+
+@query(V.with_sql(V.LOG_SQL, LATEST, V.SPECIMEN_SQL) + """
+, m as (select coalesce(species, '?') as species, coalesce(case when photo_key % 2 = 0 then 'queen' end, '?') as caste, l.status
+        from latest l left join specimen s on s.original_id = l.photo_key),
+c as (select species, caste, count(*) filter (status = 'OK') as "OK", count(*) filter (status = 'SUSPECT') as "SUSPECT",
+             count(*) filter (status = 'FAILED') as "FAILED" from m group by 1, 2)
+select *, "OK" + "SUSPECT" + "FAILED" as "Total" from c""")
+def status_crosstab_by_caste(spark, d):
+    status = _latest(spark, d).select(F.col("photo_key").alias("inv_id"), "status")
+    biology = V.specimens(spark, d).selectExpr("original_id as inv_id", "species", "case when original_id % 2 = 0 then 'queen' end as caste")
+    return L.status_crosstab(L.with_species(status, biology), ["species", "caste"])
+
+
+@query("""
+select event_id, case when event_id % 3 = 0 then '' else cast(event_id as varchar) end as a, case when event_id % 5 = 0 then '' else event_type end as b from events""")
+def export_text(spark, d):
+    rows = V.table(spark, d, "events").selectExpr(
+        "event_id", "case when event_id % 6 = 0 then double('NaN') when event_id % 3 = 0 then null end as n",
+        "case when event_id % 5 = 0 then null else event_type end as t")
+    number = F.when(F.col("event_id") % 3 == 0, S.text_or_empty(F.col("n"))).otherwise(S.text_or_empty(F.col("event_id")))
+    return rows.select("event_id", number.alias("a"), S.text_or_empty(F.col("t")).alias("b"))
