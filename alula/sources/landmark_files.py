@@ -27,6 +27,13 @@ BLOCK_SEPARATOR = "\nLM="
 DIRECTIVES = r"(?i)^(LM=|IMAGE=|ID=|COMMENT=|SCALE=)"
 LINE_BREAK = "\r\n|\n|\r"
 WHOLE_NUMBER = r"^[+-]?\d+$"
+# A block without surprises: count, pairs, directives. Possessive, so it never backtracks.
+TIDY_BLOCK = (
+    r"(?i)\A\d{1,4}[ \t\r]*+(?:\n[ \t]*+[^\s,=]++[ \t,]++[^\s,=]++[ \t\r]*+)++"
+    r"(?:\n[ \t]*+(?:IMAGE|ID|COMMENT|SCALE)=[^\n]*+)++\s*+\z"
+)
+TIDY_LIMIT = 8000  # characters; longer blocks take the line-by-line way
+PAIRS = r"(?is)\A(.*?)\s*\n[ \t]*(?:IMAGE|ID|COMMENT|SCALE)="
 
 
 def _blocks(scan: DataFrame) -> DataFrame:
@@ -66,10 +73,25 @@ def _after_equals(line: Column) -> Column:
     return F.trim(F.substring(line, F.instr(line, "=") + 1, F.length(line)))
 
 
+def _tidy(blocks: DataFrame) -> DataFrame:
+    """Adds ``pairs`` (count, x1, y1, ...) for blocks read in one go, else NULL.
+
+    Line-by-line reading only has to look at what is left in ``rest``."""
+    plain = (F.length("text") < TIDY_LIMIT) & F.ltrim("text").rlike(TIDY_BLOCK)
+    tokens = F.split(F.regexp_extract(F.ltrim("text"), PAIRS, 1), r"[\s,]+").try_cast("array<double>")
+    found = evaluated_once(blocks.withColumn("pairs", F.when(plain, tokens)))
+    whole = (F.size("pairs") == 2 * F.get("pairs", 0) + 1) & (F.size(F.array_compact("pairs")) == F.size("pairs"))
+    checked = evaluated_once(found.withColumn("pairs", F.when(whole, F.col("pairs"))))
+    short = F.regexp_replace(F.ltrim("text"), r"(?is)\A(\d+)(.*?)(\n[ \t]*(?:IMAGE|ID|COMMENT|SCALE)=)", "$1$3")
+    return checked.withColumn("rest", F.when(F.col("pairs").isNotNull(), short).otherwise(F.col("text")))
+
+
 def parse_blocks(blocks: DataFrame) -> DataFrame:
     """Fields of every block plus ``problems``: array of (line_in_block, message)."""
+    blocks = _tidy(blocks)
+    tidy = F.col("pairs").isNotNull()
     numbered_lines = F.filter(
-        F.transform(F.split("text", LINE_BREAK), lambda t, i: F.struct(i.alias("n"), F.trim(t).alias("t"))),
+        F.transform(F.split("rest", LINE_BREAK), lambda t, i: F.struct(i.alias("n"), F.trim(t).alias("t"))),
         lambda e: (e["t"] != "") | (e["n"] == 0),
     )
     split = blocks.withColumn("lines", numbered_lines).withColumn("count_text", F.get("lines", 0)["t"])
@@ -134,29 +156,36 @@ def parse_blocks(blocks: DataFrame) -> DataFrame:
         lambda e: note(e["n"], F.concat(e["fault"], e["t"], quote)),
     )
     wrong_count = F.when(
-        F.size("pts") != F.col("n_points"),
+        ~tidy & (F.size("pts") != F.col("n_points")),
         note(F.lit(0), F.format_string("expected %d landmarks, found %d", F.col("n_points"), F.size("pts"))),
     )
     bad_ids = F.transform(
         F.filter("id_lines", lambda e: ~e["v"].rlike(WHOLE_NUMBER)),
-        lambda e: note(e["n"], F.concat(F.lit("non-integer ID: '"), e["t"], quote)),
+        lambda e: note(e["n"] + F.when(tidy, F.col("n_points")).otherwise(0), F.concat(F.lit("non-integer ID: '"), e["t"], quote)),
     )
     no_id = F.when(F.col("tps_id").isNull(), note(F.lit(0), F.lit("no ID= found for this specimen")))
     counted = F.concat(faults, F.array_compact(F.array(wrong_count)), bad_ids, F.array_compact(F.array(no_id)))
     known = F.col("n_points").isNotNull()
     usable = (
-        known & (F.size(faults) == 0) & (F.size("pts") == F.col("n_points")) & F.col("tps_id").isNotNull()
+        known & (F.size(faults) == 0) & (tidy | (F.size("pts") == F.col("n_points"))) & F.col("tps_id").isNotNull()
     )
+
+    def coordinates(axis: str, offset: int) -> Column:
+        every = F.transform(F.sequence(F.lit(1), F.col("n_points")), lambda k: F.get("pairs", 2 * k - 2 + offset))
+        return F.when(tidy, every).otherwise(F.transform("pts", lambda e: e[axis])).alias(axis)
+
+    breaks = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
+
     return evaluated_once(fields.select(
         "source", "start", "seq", "pos", "n_points",
-        F.transform("pts", lambda e: e["x"]).alias("x"),
-        F.transform("pts", lambda e: e["y"]).alias("y"),
+        coordinates("x", 1),
+        coordinates("y", 2),
         "image_path", "tps_id",
         S.comment_field(F.col("comment"), "photo_id").alias("photo_id"),
         S.comment_field(F.col("comment"), "inv_id").alias("inv_id"),
         F.coalesce(usable, F.lit(False)).alias("usable"),
         F.when(known, counted).otherwise(uncounted).alias("problems"),
-        F.size(F.split("text", LINE_BREAK)).alias("n_lines"),
+        F.when(tidy, breaks).otherwise(F.size(F.split(F.regexp_replace("text", r"\r\z", ""), LINE_BREAK))).alias("n_lines"),
     ))
 
 

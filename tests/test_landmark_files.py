@@ -55,6 +55,16 @@ def test_every_kind_of_problem(spark, tmp_path):
     assert [int(r["tps_id"]) for r in LF.read_landmarks(spark, path, strict=False).collect()] == [8]
 
 
+def test_tidy_blocks_report_the_same_lines(spark, tmp_path):
+    path = write(tmp_path, "LM=2\n1 2\n3 4\nIMAGE=i\nID=q\n" + "LM=2\r\n1 2\r\n3, 4\r\nID=5\r\n\r\n" + "LM=1\n1 2\n3 4\nID=6\n" + "LM=2\n1 2\n3 z\nID=7\n")
+    assert errors(spark, path) == [
+        (0, 1, "no ID= found for this specimen"), (0, 5, "non-integer ID: 'ID=q'"),
+        (3, 15, "expected 2 landmarks, found 1"), (3, 17, "non-numeric coordinate: '3 z'"),
+    ]
+    rows = {int(r["tps_id"]): r for r in LF.read_landmarks(spark, path, strict=False).collect()}
+    assert rows[5]["y"] == [2.0, 4.0] and rows[6]["x"] == [1.0] and set(rows) == {5, 6}
+
+
 def test_order_survives_many_splits(spark, tmp_path):
     path = write(tmp_path, "".join(f"LM=1\n{i} {i}\nID={i}\n" for i in range(500)))
     spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
