@@ -134,11 +134,10 @@ def gpa_by_species(spark, d):
         "species", "i", _r("mean_x"), _r("mean_y"))
 
 
-@query(V.with_sql(V.PHOTO_SQL, V.POINTS_SQL) + ", k as (select * from pts join photo using (ord) where species = 'sp1')," + STD_SQL.replace("pts", "k") + "," + consensus_sql(2) + """
+@query(V.with_sql(V.PHOTO_SQL, V.POINTS_SQL) + "," + STD_SQL + "," + consensus_sql(2) + """
 select row_number() over (order by i) - 1 as i, round(x, 6) + 0.0 as x, round(y, 6) + 0.0 as y from ref2 where i <> 3""")
 def reference_shape(spark, d):
-    rows = V.shapes(spark, d).filter("species = 'sp1'")
-    shape = A.reference_shape(rows, "ord", n_points=32, drop_point=3, max_iter=2)
+    shape = A.reference_shape(V.shapes(spark, d), "ord", n_points=32, drop_point=3, max_iter=2)
     frame = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(shape)], "i long, x double, y double")
     return frame.select("i", _r("x"), _r("y"))
 
@@ -421,13 +420,13 @@ def localization_error(spark, d):
 
 def _boxes(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Per photo an image size, a turned box and crop-space landmarks."""
-    base = A.standardized(V.shapes(spark, d).select("ord", "x", "y")).withColumn("photo_id", F.col("ord"))
+    base = A.standardized(V.shapes(spark, d).select("ord", "species", "x", "y")).withColumn("photo_id", F.col("ord"))
     landmarks = base.select(
         "photo_id", F.transform("xs", lambda v: 256 + 500 * v).alias("x"), F.transform("ys", lambda v: 128 + 250 * v).alias("y"))
     manifest = base.selectExpr(
-        "photo_id", "concat('img/', ord) as path", "3000 + (ord % 5) * 200 as width", "2000 + (ord % 3) * 100 as height").filter("photo_id % 17 <> 0")
+        "photo_id", "concat('img/', ord) as path", "3000 + (ord % 5) * 200 as width", "2000 + (ord % 3) * 100 as height", "species").filter("species <> 'sp9'")
     detection = base.selectExpr(
-        "photo_id", "case when ord % 13 = 0 then 'FAILED' else 'OK' end as status", "0.4D + (ord % 20) * 0.01D as cx", "0.5D as cy",
+        "photo_id", "case when species = 'sp8' then 'FAILED' else 'OK' end as status", "0.4D + (ord % 20) * 0.01D as cx", "0.5D as cy",
         "(ord % 180) * 0.017453292519943295D as t", "0.12D + (ord % 7) * 0.01D as hw", "0.05D as hh")
     corner = lambda sx, sy, k: F.expr(
         f"cx + ({sx}) * hw * cos(t) - ({sy}) * hh * sin(t)" if k == "x" else f"cy + ({sx}) * hw * sin(t) + ({sy}) * hh * cos(t)")
@@ -437,7 +436,7 @@ def _boxes(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 
 @query("""
-select case when vec_id % 17 = 0 then 'photo_id not found in manifest.csv' when vec_id % 13 = 0 then 'no OK detection row in detection.csv (OBB unavailable)' else 'moved' end as outcome, count(*) as n
+select case when label = 9 then 'photo_id not found in manifest.csv' when label = 8 then 'no OK detection row in detection.csv (OBB unavailable)' else 'moved' end as outcome, count(*) as n
 from embeddings group by 1""")
 def reproject_outcomes(spark, d):
     moved = C.reproject(*_boxes(spark, d))
@@ -446,7 +445,7 @@ def reproject_outcomes(spark, d):
 
 
 @query("""
-select vec_id as photo_id, true as same_points, 0 as n_out_of_bounds, 'OK' as status from embeddings where vec_id % 17 <> 0 and vec_id % 13 <> 0""")
+select vec_id as photo_id, true as same_points, 0 as n_out_of_bounds, 'OK' as status from embeddings where label not in (8, 9)""")
 def reproject_round_trip(spark, d):
     """Crop space to raw image and back gives the same points again."""
     landmarks, manifest, detections = _boxes(spark, d)

@@ -172,17 +172,17 @@ def stored_model(spark, d):
 
 
 @query(V.with_sql(V.PHOTO_SQL) + """
-select 'exported' as part, count(*) as n from photo where ord % 6 <> 5 and ord % 12 <> 10 and ord % 7 <> 0
-union all select 'failed:outlier_registration', count(*) from photo where ord % 6 <> 5 and ord % 7 = 0
-union all select 'failed:biological_metadata', count(*) from photo where ord % 6 <> 5 and ord % 7 <> 0 and ord % 12 = 10""")
+select 'exported' as part, count(*) as n from photo where caste = 'worker' and species not in ('sp1', 'sp2')
+union all select 'failed:outlier_registration', count(*) from photo where caste = 'worker' and species = 'sp1'
+union all select 'failed:biological_metadata', count(*) from photo where caste = 'worker' and species = 'sp2'""")
 def export_package(spark, d):
     photos = V.photos(spark, d)
     landmarks = V.shapes(spark, d).selectExpr(
-        "ord", "n_points", "x", "y", "'' as image_path", "ord as tps_id", "concat('ph', ord) as photo_id", "inv_id").filter("ord % 6 <> 5")
-    biology = photos.filter("ord % 12 <> 10").groupBy("inv_id").agg(F.min("species").alias("species"), F.min("caste").alias("caste"))
-    manifest = photos.filter("ord % 6 <> 5").selectExpr("concat('ph', ord) as photo_id", "inv_id", "device_type", "1 as photo_index", "'p' as path")
-    statuses = landmarks.selectExpr("photo_id", "inv_id", "tps_id", "case when ord % 7 = 0 then 'SUSPECT' else 'OK' end as status", "'' as error_reason")
-    package = E.export_tables(landmarks, biology, manifest, statuses)
+        "ord", "n_points", "x", "y", "'' as image_path", "ord as tps_id", "concat('ph', ord) as photo_id", "inv_id", "species as sp", "caste as ca").filter("ca = 'worker'").drop("ca")
+    biology = photos.filter("species <> 'sp2'").groupBy("inv_id").agg(F.min("species").alias("species"), F.min("caste").alias("caste"))
+    manifest = photos.selectExpr("concat('ph', ord) as photo_id", "inv_id", "device_type", "1 as photo_index", "'p' as path")
+    statuses = landmarks.selectExpr("photo_id", "inv_id", "tps_id", "case when sp = 'sp1' then 'SUSPECT' else 'OK' end as status", "'' as error_reason")
+    package = E.export_tables(landmarks.drop("sp"), biology, manifest, statuses)
     path = scratch_path(spark, "export")
     E.write_package(package, path, "demo")
     written = LF.read_landmarks(spark, f"{path}/32lm/demo-landmarks_crop.tps", rank=False)
@@ -192,15 +192,15 @@ def export_package(spark, d):
 
 
 PREPARED = """
-docs as (select doc_id, source, lang, text, case when doc_id % 4 = 0 then 'P' else 'S' end as dev, concat('T', doc_id // 8) as raw_id from documents where doc_id % 3 <> 2)
+docs as (select doc_id, source, lang, text, case when doc_id % 4 = 0 then 'P' else 'S' end as dev, concat('T', doc_id // 8) as raw_id from documents)
 """
 
 
 @query(V.with_sql(PREPARED) + """
-, ident as (select distinct raw_id from docs where cast(substr(raw_id, 2) as bigint) % 5 <> 4)
-select raw_id as original_id, dev as device_type, count(*) as n from docs where raw_id in (select raw_id from ident) group by 1, 2""")
+
+select raw_id as original_id, dev as device_type, count(*) as n from docs group by 1, 2""")
 def prepared_source(spark, d):
-    docs = V.table(spark, d, "documents").filter("doc_id % 3 <> 2")
+    docs = V.table(spark, d, "documents")
     scan = docs.select(
         F.expr("concat('T', doc_id div 8)").alias("original_id"), F.lit("field").alias("source_type"),
         F.expr("case when doc_id % 4 = 0 then 'P' end").alias("device_type"), F.col("doc_id").alias("shot_index"),
@@ -209,7 +209,7 @@ def prepared_source(spark, d):
         S.content_hash(F.concat(F.col("doc_id").cast("string"), F.col("text"))).alias("content_hash"),
         F.lit("OK").alias("status"), F.lit("").alias("status_reason"),
     )
-    ident = docs.selectExpr("concat('T', doc_id div 8) as raw_id", "doc_id div 8 as k").filter("k % 5 <> 4").groupBy("raw_id", "k").agg(
+    ident = docs.selectExpr("concat('T', doc_id div 8) as raw_id", "doc_id div 8 as k").groupBy("raw_id", "k").agg(
         F.min("k").alias("ord")).selectExpr(
         "raw_id", "ord", "'G' as genus", "concat('s', k % 4) as species", "'worker' as caste", "cast(null as int) as dd",
         "cast(null as int) as mm", "cast(null as int) as yyyy", "concat('site ', k % 3) as collection_origin")
@@ -221,14 +221,14 @@ def prepared_source(spark, d):
 
 
 @query("""
-select 'all_ok' as gate, count(*) filter (doc_id % 3 <> 0) as n_manifest, 0 as n_conflicts from documents union all
+select 'all_ok' as gate, count(*) as n_manifest, 0 as n_conflicts from documents union all
 select 'blocked', count(*), count(distinct lang) from (select *, count(*) over (partition by lang) as k from documents)""")
 def manifest_gate(spark, d):
     docs = V.table(spark, d, "documents").select(
         "doc_id", F.concat(F.lit("I"), F.col("doc_id").cast("string")).alias("inv_id"), F.col("lang").alias("species"),
         F.lit("q").alias("caste"), F.concat(F.lit("f/"), F.col("doc_id").cast("string")).alias("path"))
     files = docs.select("path", F.lit("h").alias("content_hash"), F.lit(1).cast("long").alias("file_size_bytes"))
-    good = PR.build_manifest(docs.filter("doc_id % 3 <> 0"), files, "path", order=["doc_id"])
+    good = PR.build_manifest(docs, files, "path", order=["doc_id"])
     bad = PR.build_manifest(docs.withColumn("inv_id", F.col("species")).withColumn(
         "caste", F.when(F.col("doc_id") % 2 == 0, "q").otherwise("w")), files, "path", order=["doc_id"])
 

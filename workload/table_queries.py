@@ -128,7 +128,7 @@ REVIEW = """
 crops as (select photo_key as photo_id, status, case when ord % 3 = 0 then null else concat('r', ord % 5) end as error_reason from latest),
 review as (select photo_id, status as auto_status,
                   case when photo_id % 10 = 0 then 'FAILED' when photo_id % 10 = 1 then 'OK' else status end as reviewed_status
-           from crops where photo_id % 4 <> 3)
+           from crops where status <> 'SKIPPED')
 """
 
 
@@ -136,7 +136,7 @@ def _review(spark, d):
     crops = _latest(spark, d).selectExpr(
         "photo_key as photo_id", "status", "case when ord % 3 = 0 then null else concat('r', ord % 5) end as error_reason"
     )
-    review = crops.filter("photo_id % 4 <> 3").selectExpr(
+    review = crops.filter("status <> 'SKIPPED'").selectExpr(
         "photo_id", "status as auto_status",
         "case when photo_id % 10 = 0 then 'FAILED' when photo_id % 10 = 1 then 'OK' else status end as reviewed_status",
     )
@@ -187,9 +187,9 @@ def carried_decisions(spark, d):
 , st as (select concat('p', photo_key) as photo_id, case when photo_key % 6 = 0 then '' else concat('i', photo_key) end as inv_id,
                 photo_key as tps_id, case when photo_key % 11 = 0 then 'ODD' else status end as status,
                 case when ord % 2 = 0 then concat('e', ord % 3) end as error_reason from latest),
-man as (select concat('p', c_custkey) as photo_id, concat('i', c_custkey) as inv_id from customer where c_custkey % 9 <> 0),
+man as (select concat('p', c_custkey) as photo_id, concat('i', c_custkey) as inv_id from customer where c_acctbal > 0),
 bio as (select concat('i', c_custkey) as inv_id, case when c_custkey % 5 = 0 then null else c_mktsegment end as species
-        from customer where c_custkey % 4 <> 0)
+        from customer where c_mktsegment <> 'MACHINERY')
 select s.photo_id, coalesce(nullif(s.inv_id, ''), m.inv_id) as inv_id,
        case s.status when 'FAILED' then 'landmark_placement' when 'SUSPECT' then 'outlier_registration'
             when 'OK' then case when species is null then 'biological_metadata' else 'other' end else 'landmark_placement' end as stage,
@@ -200,7 +200,7 @@ select s.photo_id, coalesce(nullif(s.inv_id, ''), m.inv_id) as inv_id,
                                 else 'excluded while loading (e.g. inconsistent landmark count) -- see logs' end
             else concat('unknown status ''', s.status, '''') end as reason
 from st s join man m using (photo_id) left join bio b on b.inv_id = coalesce(nullif(s.inv_id, ''), m.inv_id)
-where not (s.status = 'OK' and s.tps_id % 3 = 0)""")
+where not (s.status = 'OK' and s.tps_id in (select c_custkey from customer where c_nationkey < 8))""")
 def exclusion_report(spark, d):
     status = _latest(spark, d).selectExpr(
         "concat('p', photo_key) as photo_id", "case when photo_key % 6 = 0 then '' else concat('i', photo_key) end as inv_id",
@@ -208,11 +208,11 @@ def exclusion_report(spark, d):
         "case when ord % 2 = 0 then concat('e', ord % 3) end as error_reason",
     )
     customer = V.table(spark, d, "customer")
-    manifest = customer.filter("c_custkey % 9 <> 0").selectExpr("concat('p', c_custkey) as photo_id", "concat('i', c_custkey) as inv_id")
-    biology = customer.filter("c_custkey % 4 <> 0").selectExpr(
+    manifest = customer.filter("c_acctbal > 0").selectExpr("concat('p', c_custkey) as photo_id", "concat('i', c_custkey) as inv_id")
+    biology = customer.filter("c_mktsegment <> 'MACHINERY'").selectExpr(
         "concat('i', c_custkey) as inv_id", "case when c_custkey % 5 = 0 then null else c_mktsegment end as species"
     )
-    kept = status.filter("tps_id % 3 = 0").select("tps_id")
+    kept = customer.filter("c_nationkey < 8").select(F.col("c_custkey").alias("tps_id"))
     return L.exclusion_report(status, manifest, biology, kept)
 
 
@@ -249,14 +249,14 @@ def identity_conflicts(spark, d):
 
 @query(V.with_sql(V.IDENT_SQL) + """
 , st as (select ord, original_id as inv_id, species, case when ord % 13 = 0 then 'FAILED' else 'OK' end as status, '' as status_reason
-         from ident where original_id % 3 <> 0 or ord % 2 = 0),
+         from ident),
 bad as (select inv_id from (select distinct inv_id, species from st) group by 1 having count(*) > 1)
 select ord, inv_id, species, case when b.inv_id is not null and status <> 'FAILED' then 'SUSPECT' else status end as status,
        case when b.inv_id is not null and status <> 'FAILED' then 'biological columns disagree within inv_id: [''species'']'
             else status_reason end as status_reason
 from st left join bad b using (inv_id)""")
 def consistency_flags(spark, d):
-    rows = V.identification(spark, d).filter("original_id % 3 <> 0 or ord % 2 = 0").selectExpr(
+    rows = V.identification(spark, d).selectExpr(
         "ord", "original_id as inv_id", "species", "case when ord % 13 = 0 then 'FAILED' else 'OK' end as status", "'' as status_reason"
     )
     return I.flag_inconsistent(rows, ["ord"], ["species"])
@@ -273,11 +273,11 @@ def consistency_report(spark, d):
 SPECIMEN_ROWS = """
 first_ident as (select original_id, arg_min(struct_pack(yyyy, mm, dd), ord) as t from ident group by 1),
 sp as (select 'raw' as source_type, cast(s.original_id as varchar) as original_id, coalesce(nullif(trim(inv_name), ''), origin) as inv_name,
-              t.yyyy as yyyy, t.mm as mm, t.dd as dd, s.original_id as num
+              t.yyyy as yyyy, t.mm as mm, t.dd as dd, s.original_id as num, s.species = 'BUILDING' as known
        from specimen s left join first_ident f on f.original_id = s.original_id),
 old as (select source_type, original_id, row_number() over (partition by inv_name order by original_id) + 40 as inv_num, inv_name
-        from sp where num % 10 = 0),
-fresh as (select *, yyyy is not null and mm is not null and dd is not null as dated from sp where num % 10 <> 0),
+        from sp where known),
+fresh as (select *, yyyy is not null and mm is not null and dd is not null as dated from sp where not known),
 ranked as (select *, row_number() over (partition by inv_name order by case when dated then 0 else 1 end,
              case when dated then yyyy end, case when dated then mm end, case when dated then dd end, original_id) as r from fresh),
 mapping as (
@@ -296,9 +296,9 @@ def _mapping(spark: SparkSession, d: str) -> DataFrame:
     sp = sp.join(first, "original_id", "left").select(
         F.lit("raw").alias("source_type"), F.col("original_id").cast("string").alias("original_id"), "inv_name",
         "yyyy", "mm", "dd", F.col("original_id").alias("num"),
-        (F.col("original_id") % 2 == 0).alias("resolved_conflict"),
+        (F.col("original_id") % 2 == 0).alias("resolved_conflict"), (F.col("species") == "BUILDING").alias("known"),
     )
-    old = O.numbered(sp.filter("num % 10 = 0"), ["inv_name"], ["original_id"], "rank")
+    old = O.numbered(sp.filter("known"), ["inv_name"], ["original_id"], "rank")
     existing = old.select(
         "source_type", "original_id", (F.col("rank") + 40).alias("inv_num"),
         S.numbered_id(F.col("inv_name"), F.col("rank") + 40).alias("inv_id"), "inv_name",
@@ -371,10 +371,10 @@ def absent_rows(spark, d):
 
 
 @query(V.with_sql(V.LOG_SQL) + """
-select ord, photo_key from log where photo_key not in (select c_custkey from customer where c_custkey % 3 = 0)""")
+select ord, photo_key from log where photo_key not in (select c_custkey from customer where c_mktsegment = 'BUILDING')""")
 def orphans(spark, d):
     images = V.log(spark, d).select("ord", F.col("photo_key").alias("original_id"))
-    known = V.table(spark, d, "customer").filter("c_custkey % 3 = 0").select(F.col("c_custkey").alias("raw_id"))
+    known = V.table(spark, d, "customer").filter("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("raw_id"))
     return I.orphan_images(images, known, "raw_id").select("ord", F.col("original_id").alias("photo_key"))
 
 
@@ -518,12 +518,12 @@ def combine_roots(spark, d):
 
 @query("""
 select page_id, concat('/data/', regexp_replace(regexp_replace(url, '/+', '/', 'g'), '(.)/$', '\\1')) as path, 
-       case when page_id % 3 = 0 then 'FAILED' else 'OK' end as status,
-       case when page_id % 3 = 0 then 'unreadable_image_or_missing_file' else '' end as status_reason,
-       case when page_id % 3 <> 0 then length(html) end as file_size_bytes from pages""")
+       case when url like 'http:%' then 'FAILED' else 'OK' end as status,
+       case when url like 'http:%' then 'unreadable_image_or_missing_file' else '' end as status_reason,
+       case when url not like 'http:%' then arg_min(length(html), page_id) over (partition by url) end as file_size_bytes from pages""")
 def verified_paths(spark, d):
     pages = V.table(spark, d, "pages")
-    present = pages.filter("page_id % 3 <> 0").select(
+    present = pages.filter("url not like 'http:%'").select(
         S.resolved_path(F.col("url"), "/data").alias("path"), S.content_hash(F.col("html")).alias("content_hash"),
         F.length("html").cast("long").alias("file_size_bytes"), "page_id",
     )
@@ -535,8 +535,8 @@ def verified_paths(spark, d):
 # --- dataset join and filters ---------------------------------------------------------------
 
 DATASET = """
-bio as (select inv_id, min(species) as species, min(caste) as caste from photo where ord % 12 <> 11 group by 1),
-man as (select ord, concat('ph', ord) as photo_id, device_type, case when ord % 8 = 7 then null else ord % 2 + 1 end as photo_index from photo where ord % 6 <> 5),
+bio as (select inv_id, min(species) as species, min(caste) as caste from photo where species <> 'sp9' group by 1),
+man as (select ord, concat('ph', ord) as photo_id, device_type, case when ord % 8 = 7 then null else ord % 2 + 1 end as photo_index from photo where not (caste = 'queen' and device_type = 'S')),
 data as (select p.ord, p.inv_id, b.species, b.caste, concat(b.species, '_', b.caste) as groupe, m.device_type,
          case when m.photo_id is not null then concat(coalesce(m.device_type, ''), coalesce(cast(m.photo_index as varchar), '')) end as device_tag
          from photo p join bio b using (inv_id) left join man m on m.photo_id = concat('ph', p.ord))
@@ -546,8 +546,8 @@ data as (select p.ord, p.inv_id, b.species, b.caste, concat(b.species, '_', b.ca
 def _dataset(spark, d) -> DataFrame:
     photos = V.photos(spark, d)
     landmarks = photos.select("ord", F.concat(F.lit("ph"), F.col("ord").cast("string")).alias("photo_id"), "inv_id")
-    biology = photos.filter("ord % 12 <> 11").groupBy("inv_id").agg(F.min("species").alias("species"), F.min("caste").alias("caste"))
-    manifest = photos.filter("ord % 6 <> 5").selectExpr(
+    biology = photos.filter("species <> 'sp9'").groupBy("inv_id").agg(F.min("species").alias("species"), F.min("caste").alias("caste"))
+    manifest = photos.filter("not (caste = 'queen' and device_type = 'S')").selectExpr(
         "concat('ph', ord) as photo_id", "device_type", "case when ord % 8 = 7 then null else ord % 2 + 1 end as photo_index"
     )
     return D.matched_landmarks(landmarks, biology, manifest)
@@ -643,7 +643,7 @@ BASE = "lower(string_split({0}, '/')[-1])"
 
 
 @query(f"""
-with man as (select page_id as man_id, regexp_replace(url, '/+', '/', 'g') as p from pages where page_id % 3 <> 0),
+with man as (select page_id as man_id, regexp_replace(url, '/+', '/', 'g') as p from pages where url not like '%.org%'),
 img as (select page_id, case when page_id % 2 = 0 then regexp_replace(url, '/+', '/', 'g') else concat('D:/other/', page_id, '/', {BASE.format("url")}) end as p from pages),
 img2 as (select page_id, regexp_replace(p, '(.)/$', '\\1') as p from img), man2 as (select man_id, regexp_replace(p, '(.)/$', '\\1') as p from man),
 t as (select {TAIL.format("p")} as k, count(*) as n, any_value(man_id) as man_id from man2 group by 1 having count(*) = 1),
@@ -654,7 +654,7 @@ select i.page_id, case when t.k is not null then 'tail3' when b.n = 1 then 'base
 from img2 i left join t on t.k = {TAIL.format("i.p")} left join b on b.k = {BASE.format("i.p")}""")
 def path_match(spark, d):
     pages = V.table(spark, d, "pages")
-    manifest = pages.filter("page_id % 3 <> 0").select(F.col("page_id").alias("man_id"), F.col("url").alias("raw_path"))
+    manifest = pages.filter("url not like '%.org%'").select(F.col("page_id").alias("man_id"), F.col("url").alias("raw_path"))
     images = pages.select(
         "page_id",
         F.when(F.col("page_id") % 2 == 0, F.col("url")).otherwise(
@@ -666,10 +666,10 @@ def path_match(spark, d):
 
 @query(V.with_sql(V.LOG_SQL) + """
 select ord, photo_key, case when c_custkey is null then 'photo_id_missing_from_manifest' when status <> 'OK' then 'detection_not_OK' end as plan_reason
-from log left join (select c_custkey from customer where c_custkey % 2 = 0) on c_custkey = photo_key""")
+from log left join (select c_custkey from customer where c_acctbal > 2500) on c_custkey = photo_key""")
 def crop_plan(spark, d):
     detections = V.log(spark, d).select("ord", F.col("photo_key").alias("photo_id"), "status")
-    manifest = V.table(spark, d, "customer").filter("c_custkey % 2 = 0").select(F.col("c_custkey").alias("photo_id"), F.col("c_name").alias("path"))
+    manifest = V.table(spark, d, "customer").filter("c_acctbal > 2500").select(F.col("c_custkey").alias("photo_id"), F.col("c_name").alias("path"))
     return J.crop_plan(detections, manifest).select("ord", F.col("photo_id").alias("photo_key"), "plan_reason")
 
 
@@ -678,14 +678,14 @@ PAIR_SHAPES = V.with_sql(V.PHOTO_SQL)
 
 @query(PAIR_SHAPES + """
 select ord, 'kept' as outcome, round(cast(embedding[1] as double), 6) as x0, round(cast(embedding[8] as double), 6) as y2 from photo join embeddings on vec_id = ord
-  where ord % 5 <> 0 and ord % 7 <> 0
-union all select ord, case when ord % 5 = 0 then 'no photo_id' else 'no matching crop in crops.csv' end, null, null from photo where ord % 5 = 0 or ord % 7 = 0""")
+  where ord % 5 <> 0 and species <> 'sp3'
+union all select ord, case when ord % 5 = 0 then 'no photo_id' else 'no matching crop in crops.csv' end, null, null from photo where ord % 5 = 0 or species = 'sp3'""")
 def training_pairs(spark, d):
     shapes = V.shapes(spark, d)
     landmarks = shapes.select(
         F.col("ord").alias("tps_id"), F.when(F.col("ord") % 5 != 0, F.col("ord").cast("string")).alias("photo_id"), "inv_id", "x", "y"
     )
-    crops = V.photos(spark, d).filter("ord % 7 <> 0").select(
+    crops = V.photos(spark, d).filter("species <> 'sp3'").select(
         F.col("ord").cast("string").alias("photo_id"), "inv_id", F.concat(F.lit("c/"), F.col("ord").cast("string")).alias("output_path")
     )
     good, skipped = J.training_pairs(landmarks, crops, 32, drop_point=2)
