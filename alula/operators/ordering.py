@@ -26,7 +26,12 @@ def as_columns(names: Order) -> list[Column]:
 
 
 def order_key(order: Order) -> Column:
-    """One comparable value for a list of order columns."""
+    """One comparable value for a list of order columns.
+
+    Order columns hold no NULL. A single column is used as it is, which keeps
+    ``min`` and ``max`` over numbers in the hash aggregate."""
+    if len(order) == 1:
+        return as_columns(order)[0]
     return F.struct(*[c.alias(f"k{i}") for i, c in enumerate(as_columns(order))])
 
 

@@ -71,14 +71,15 @@ def _level_sums(df: DataFrame, levels: Sequence[str], vector: str) -> DataFrame:
         F.grouping_id().alias("gid"), F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q")
     )
     depth = F.lit(len(levels)) - F.bit_count(F.col("gid"))
+    width = F.max("pos") + 1  # coordinates are numbered from 0
     return (
         rolled.filter(F.col("pos").isNotNull())
         .groupBy(depth.alias("depth"))
         .agg(
-            (F.count(F.lit(1)) / F.countDistinct("pos")).cast("long").alias("cells"),
+            (F.count(F.lit(1)) / width).cast("long").alias("cells"),
             F.sum(F.col("s") * F.col("s") / F.col("n")).alias("b"),
             F.sum("q").alias("q"),
-            (F.sum("n") / F.countDistinct("pos")).cast("long").alias("rows"),
+            (F.sum("n") / width).cast("long").alias("rows"),
         )
     )
 
