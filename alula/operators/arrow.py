@@ -57,17 +57,22 @@ def append_arrow(
     df: DataFrame,
     fields: Sequence[T.StructField],
     kernel: Callable[[pa.RecordBatch], Sequence[pa.Array]],
+    drop: Sequence[str] = (),
 ) -> DataFrame:
-    """The frame's own columns plus columns computed batch by batch."""
+    """The frame's own columns plus columns computed batch by batch.
+
+    Columns in ``drop`` feed the kernel but are not sent back."""
+    kept = [f for f in df.schema.fields if f.name not in drop]
+    names = [f.name for f in (*kept, *fields)]
+    positions = [df.columns.index(f.name) for f in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                added = list(kernel(batch))
-                names = [*batch.schema.names, *[f.name for f in fields]]
-                yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=names)
+                carried = [batch.column(i) for i in positions]
+                yield pa.RecordBatch.from_arrays([*carried, *kernel(batch)], names=names)
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, *fields]))
+    return df.mapInArrow(run, T.StructType([*kept, *fields]))
 
 
 def summed_vectors(

@@ -394,7 +394,7 @@ def load_model(spark: SparkSession, path: str) -> TrainedModel:
 
 
 def score_shapes(model: TrainedModel, df: DataFrame, projection: bool = False) -> DataFrame:
-    """Adds the distance to the model's mean shape and class probabilities.
+    """Replaces ``x``/``y`` by the distance to the model's mean shape and class probabilities.
 
     Rows with another landmark count are skipped. Works on batch and streaming
     frames alike: align, project and score happen inside one Arrow pass."""
@@ -416,7 +416,7 @@ def score_shapes(model: TrainedModel, df: DataFrame, projection: bool = False) -
     fields = [T.StructField("procrustes_distance", T.DoubleType()), T.StructField("proba", DOUBLES)]
     if projection:
         fields.append(T.StructField("lda", DOUBLES))
-    return append_arrow(df.filter(F.size("x") == p), fields, kernel)
+    return append_arrow(df.filter(F.size("x") == p), fields, kernel, drop=("x", "y"))
 
 
 def predict(model: TrainedModel, df: DataFrame, require_rows: bool = True) -> DataFrame:

@@ -35,7 +35,7 @@ def unit_shapes(batch: pa.RecordBatch, label: str | None = None) -> tuple[np.nda
 
 
 def standardized(df: DataFrame, label: str | None = None) -> DataFrame:
-    """Adds centred, unit-size ``xs``/``ys`` and the raw ``centroid_size``.
+    """Replaces ``x``/``y`` by centred, unit-size ``xs``/``ys`` and the raw ``centroid_size``.
 
     A shape of size 0 stops the query and names the row. Every column of ``df``
     travels through Arrow, so select what is needed first."""
@@ -45,21 +45,23 @@ def standardized(df: DataFrame, label: str | None = None) -> DataFrame:
         return [pa.array(size), list_column(z.real), list_column(z.imag)]
 
     fields = [T.StructField("centroid_size", T.DoubleType()), T.StructField("xs", DOUBLES), T.StructField("ys", DOUBLES)]
-    return append_arrow(df, fields, kernel)
+    return append_arrow(df, fields, kernel, drop=("x", "y"))
 
 
 def rotated_onto(df: DataFrame, rx: str, ry: str) -> DataFrame:
-    """Adds ``ax``/``ay``: ``xs``/``ys`` rotated onto the reference held in each row."""
+    """Replaces ``xs``/``ys`` by ``ax``/``ay``, rotated onto the reference held in each row."""
 
     def kernel(batch: pa.RecordBatch) -> list[pa.Array]:
         z = rotate_rows(complex_shapes(batch, "xs", "ys"), complex_shapes(batch, rx, ry))
         return [list_column(z.real), list_column(z.imag)]
 
-    return append_arrow(df, ALIGNED, kernel)
+    return append_arrow(df, ALIGNED, kernel, drop=("xs", "ys", rx, ry))
 
 
 def align_to_reference(df: DataFrame, reference: np.ndarray, label: str | None = None) -> DataFrame:
-    """Single-pass alignment onto a frozen (p, 2) shape, with the Procrustes distance.
+    """Single-pass alignment onto a frozen (p, 2) shape: ``x``/``y`` become ``ax``/``ay``.
+
+    Adds the centroid size and the Procrustes distance.
 
     One Arrow pass: measured five times faster than the same arithmetic as
     higher-order array functions, and the arrays are computed once whatever is
@@ -75,7 +77,7 @@ def align_to_reference(df: DataFrame, reference: np.ndarray, label: str | None =
         return [pa.array(size), list_column(a.real), list_column(a.imag), pa.array(distance)]
 
     size, distance = (T.StructField(n, T.DoubleType()) for n in ("centroid_size", "procrustes_distance"))
-    return append_arrow(df, [size, *ALIGNED, distance], kernel)
+    return append_arrow(df, [size, *ALIGNED, distance], kernel, drop=("x", "y"))
 
 
 # --- consensus ---------------------------------------------------------------------------
@@ -114,7 +116,7 @@ def aligned_columns(df: DataFrame, ref: np.ndarray) -> DataFrame:
         z = rotate_rows(complex_shapes(batch, "xs", "ys"), ref)
         return [list_column(z.real), list_column(z.imag)]
 
-    return append_arrow(df, ALIGNED, kernel)
+    return append_arrow(df, ALIGNED, kernel, drop=("xs", "ys"))
 
 
 def _starts(order: Order) -> list[Column]:
@@ -224,7 +226,7 @@ def consensus_by_group(df: DataFrame, group: str, order: Order = ("ord",), max_i
         z = rotate_rows(complex_shapes(batch, "xs", "ys"), previous[at_row.astype(int)])
         return [list_column(z.real), list_column(z.imag)]
 
-    aligned = append_arrow(base, ALIGNED, kernel)
+    aligned = append_arrow(base, ALIGNED, kernel, drop=("xs", "ys"))
     means = spark.createDataFrame(
         [
             (names[i], refs[i].real.tolist(), refs[i].imag.tolist(), rows[i]["n"], int(passes[i]))
@@ -293,7 +295,7 @@ def _joined_consensus(base: DataFrame, starts: DataFrame, group: str, p: int, ma
             break
     refs = state.select(group, F.col("px").alias("__rx"), F.col("py").alias("__ry"))
     joined = base.join(refs, group)
-    aligned = rotated_onto(joined, "__rx", "__ry").drop("__rx", "__ry")
+    aligned = rotated_onto(joined, "__rx", "__ry")
     means = state.select(group, F.col("rx").alias("mean_x"), F.col("ry").alias("mean_y"), "n", "n_iterations")
     return GroupedConsensus(aligned, means, base)
 
