@@ -98,17 +98,19 @@ def _heaviest(df: DataFrame, keys: Sequence[str], limit: int) -> tuple[bool, int
 
 
 def running_totals(
-    df: DataFrame, keys: Sequence[str], order: Order, measures: Mapping[str, Column]
+    df: DataFrame, keys: Sequence[str], order: Order, measures: Mapping[str, Column], sizes_from: DataFrame | None = None
 ) -> DataFrame:
     """Inclusive running sums of integer measures per key, in ``order``.
 
     While every key fits comfortably in one task this is a plain window. When
     one key is heavier than the limit, rows are range-split on (key, order),
     each slice is summed on its own and the sums of earlier slices are added.
-    The split is pinned first because both steps must see the same slices."""
+    The split is pinned first because both steps must see the same slices.
+    ``sizes_from`` is a cheaper frame with the same keys and at least as many
+    rows, for looking at the sizes."""
     spark = df.sparkSession
     limit = hot_group_rows(spark)
-    heavy, total = _heaviest(df, keys, limit)
+    heavy, total = _heaviest(df if sizes_from is None else sizes_from, keys, limit)
     ordered = as_columns(order)
     if not heavy:
         # a constant key keeps Spark from treating the frame as one unkeyed window
@@ -142,9 +144,11 @@ def running_totals(
     )
 
 
-def numbered(df: DataFrame, keys: Sequence[str], order: Order, out: str, start: int = 1) -> DataFrame:
+def numbered(
+    df: DataFrame, keys: Sequence[str], order: Order, out: str, start: int = 1, sizes_from: DataFrame | None = None
+) -> DataFrame:
     """Dense numbering per key (or over the whole table for no keys)."""
-    counted = running_totals(df, keys, order, {out: F.lit(1)})
+    counted = running_totals(df, keys, order, {out: F.lit(1)}, sizes_from)
     return counted if start == 1 else counted.withColumn(out, F.col(out) + (start - 1))
 
 

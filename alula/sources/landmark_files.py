@@ -198,7 +198,8 @@ def read_landmarks(spark: SparkSession, paths: str | Sequence[str], strict: bool
     ``strict`` fails the query on the first problem instead of dropping blocks.
     ``rank=False`` skips the ranking: ``ord`` is then unique and increases
     within each file split only."""
-    parsed = parse_blocks(scan_blocks(spark, paths))
+    blocks = scan_blocks(spark, paths)
+    parsed = parse_blocks(blocks)
     if strict:
         first = F.get("problems", 0)
         message = F.concat(first["message"], F.lit(" (line "), first["line_in_block"].cast("string"), F.lit(" of its block)"))
@@ -207,7 +208,7 @@ def read_landmarks(spark: SparkSession, paths: str | Sequence[str], strict: bool
         )
     kept = parsed.filter("usable")
     if rank:
-        kept = numbered(kept, [], FILE_ORDER, "ord", start=0)
+        kept = numbered(kept, [], FILE_ORDER, "ord", start=0, sizes_from=blocks)  # counting needs no parsing
     else:
         kept = kept.withColumn("ord", F.monotonically_increasing_id())
     return kept.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in LANDMARKS.fields])
@@ -215,8 +216,11 @@ def read_landmarks(spark: SparkSession, paths: str | Sequence[str], strict: bool
 
 def read_landmark_errors(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """One row per problem: source, specimen_index, line_no (in the file), message."""
-    parsed = parse_blocks(scan_blocks(spark, paths)).select(*FILE_ORDER, "problems", "n_lines")
-    placed = running_totals(parsed, ["source"], FILE_ORDER[1:], {"specimen": F.lit(1), "last": F.col("n_lines")})
+    blocks = scan_blocks(spark, paths)
+    parsed = parse_blocks(blocks).select(*FILE_ORDER, "problems", "n_lines")
+    placed = running_totals(
+        parsed, ["source"], FILE_ORDER[1:], {"specimen": F.lit(1), "last": F.col("n_lines")}, sizes_from=blocks
+    )
     first_line = F.col("last") - F.col("n_lines")
     return placed.select(
         "source", (F.col("specimen") - 1).alias("specimen_index"), first_line.alias("first"), F.explode("problems").alias("p")
