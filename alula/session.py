@@ -48,8 +48,8 @@ def broadcast_bytes(spark: SparkSession) -> int:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach.
 
-    The cluster names it in ``spark.checkpoint.dir``; only where that is unset
-    (single-machine tests) is a temporary folder made."""
+    The cluster names it in ``spark.checkpoint.dir``; only where that is unset and the session runs on
+    one machine (tests) is a temporary folder made."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         if spark.sparkContext.getCheckpointDir() is None:
@@ -58,6 +58,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
     return spark.sparkContext.getCheckpointDir()
 
