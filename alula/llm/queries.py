@@ -51,10 +51,10 @@ def exact_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     "op4_minhash_near_dedup",
     rf"""
     with recursive n as (
-      select doc_id, list_filter(string_split_regex({NORMAL}, '[\x20\x09-\x0D]+'), x -> x <> '') as w from documents
+      select doc_id, list_filter(string_split_regex({NORMAL}, '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents
     ), s as (
       select doc_id, case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
-        else list_distinct(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i+4], ' '))) end as s from n
+        else list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) end as s from n
     ), e as (select doc_id, unnest(s) as g from s),
     c as (select a.doc_id as a, b.doc_id as b, count(*) as n from e a join e b on a.g = b.g and a.doc_id < b.doc_id group by all),
     l as (
