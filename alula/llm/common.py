@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import contextlib
 import string
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from alula.session import scratch_path
 
@@ -49,18 +49,6 @@ def unit_hash(*columns: Column, seed: int = 0) -> Column:
     return (F.pmod(F.xxhash64(F.lit(seed), *columns), F.lit(1 << 52)) / F.lit(float(1 << 52))).cast("double")
 
 
-@contextlib.contextmanager
-def text_batches(spark: SparkSession, rows: int = TEXT_BATCH_ROWS):
-    """Smaller Arrow batches while a plan over whole texts is built *and* run (the setting is read at run time)."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(rows))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, old)
-
-
 def slices(batches: Iterable[pa.RecordBatch], rows: int = TEXT_BATCH_ROWS) -> Iterator[pa.RecordBatch]:
     """The batches cut to at most ``rows`` rows, so that what is derived from them stays small."""
     for batch in batches:
@@ -68,9 +56,9 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int = TEXT_BATCH_ROWS) -> It
             yield batch.slice(at, rows)
 
 
-def mean_chars(df: DataFrame, column: str) -> float:
-    """Mean length of a text column."""
-    return df.agg(F.avg(F.octet_length(F.col(column)))).first()[0] or 0.0
+def extended(schema: StructType, ddl: str) -> StructType:
+    """The schema with further columns."""
+    return StructType([*schema.fields, *StructType.fromDDL(ddl).fields])
 
 
 def without_rows(docs: DataFrame, keys: list[Column], dropped: DataFrame) -> DataFrame:

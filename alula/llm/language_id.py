@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from alula.llm.common import slices, unit_hash
+from alula.llm.common import extended, slices, unit_hash
 
 UNDETERMINED = "und"
 #: Most labelled texts learnt from, the longest text among them, and the landmarks chosen from them.
@@ -185,5 +185,5 @@ def identify_languages(docs: DataFrame, model: SpectrumModel, keep: list[str]) -
 
     names = list(keep)
     schema_names = [*names, "__lang_pred", "__score"]
-    schema = docs.select(*names).schema.add("__lang_pred", "string").add("__score", "double")
+    schema = extended(docs.select(*names).schema, "__lang_pred string, __score double")
     return docs.select(*names, F.col("text").alias("__text")).mapInArrow(run, schema)

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alula.llm import exact_dedup, language_id, minhash
+from alula.llm import exact_dedup, language_id, minhash, mixing, pieces, token_files
 from alula.llm.common import held_out, table
 from alula.session import ship_package
 
@@ -76,3 +77,26 @@ def language_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language_id.train_language_id(docs, ~held_out(F.col("doc_id")))
     found = language_id.identify_languages(docs, model, ["doc_id"])
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("__lang_pred").alias("lang_pred"), F.col("__score").alias("score"))
+
+
+@query("op2_soft_mixing")
+def mixing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id")))
+    model, fit = mixing.fit_mixture(docs, mixing.label_domains(labels))
+    rows = mixing.with_copies(docs, model, fit, ["doc_id", "source"], F.col("doc_id"))
+    return rows.select("doc_id", "source", *[F.col(f"__{c}").alias(c) for c in ("n_tokens", "domain", "rate", "copies")])
+
+
+@query("op3_token_files")
+def token_files_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = token_files.write_token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return token_files.stored_documents(token_files.read_token_files(spark, path))
+
+
+@query("op5_sentencepiece")
+def pieces_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pieces.encode_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), ["doc_id"])
+    return found.select(
+        "doc_id", F.size("__pieces").cast("long").alias("n_pieces"), F.col("__crc32").alias("ids_crc32"), F.col("__round_trip").alias("round_trip"),
+        F.col("__pieces").alias("pieces"),
+    )

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from alula.llm import exact_dedup, language_id, minhash
+from alula.llm import exact_dedup, language_id, minhash, mixing, pieces
 from alula.llm.common import held_out, written
 from alula.session import ship_package
-from pyspark.sql import functions as F
 
 #: A language is rejected when not even its best regression speaks for it.
 LEAST_LANGUAGE_SCORE = 0.25
+#: A vocabulary file of the public tokenizers.
+PIECE_MODEL = "piece_bpe_32k.model"
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,10 +34,26 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return minhash.drop_near_duplicates(docs)
 
 
+def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeats and drops documents so that the labelled domains come near their target weights."""
+    ship_package(spark)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~held_out(F.col("doc_id")))
+    return mixing.mixed_rows(docs, mixing.label_domains(labels))
+
+
+def encode_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every document, with the check that they decode to its text."""
+    ship_package(spark)
+    found = pieces.encode_pieces(docs, public_tokenizers.path(PIECE_MODEL), ["doc_id", "lang", "source"])
+    return found.select("doc_id", "lang", "source", F.col("__pieces").alias("pieces"), F.size("__pieces").alias("n_pieces"), F.col("__round_trip").alias("round_trip"))
+
+
 STAGES = [
     ("language_id", identify_language),
     ("exact_dedup", drop_exact_copies),
     ("minhash_near_dedup", drop_near_copies),
+    ("soft_mixing", mix_domains),
+    ("sentencepiece", encode_text),
 ]
 
 #: Learnt models decide in two stages, which SQL cannot express.
