@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import string
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,6 +40,25 @@ def ascii_lower(text: Column) -> Column:
     )
 
 
+class Remembered(dict):
+    """Key -> ``compute(key)``, remembered for the keys used last: between ``size`` and twice as many.
+
+    When a generation of keys is full it becomes the older one, and the one before that is forgotten."""
+
+    def __init__(self, compute: Callable[[Any], Any], size: int):
+        self.compute, self.size, self.older = compute, size, {}
+
+    def __missing__(self, key: Any) -> Any:
+        value = self.older.get(key)
+        if value is None:
+            value = self.compute(key)
+        if len(self) >= self.size:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 def held_out(doc_id: Column) -> Column:
     """The fold that no model may learn labels from: crc32 of the id's decimal text leaves 1 modulo 3."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from alula.llm.common import extended, slices, unit_hash, written
+from alula.llm.common import Remembered, extended, slices, unit_hash, written
 
 #: Labelled documents that the classifier learns from at most, and the longest of them in characters.
 SAMPLE_ROWS, SAMPLE_CHARS = 2000, 100_000
@@ -37,19 +37,14 @@ WORD_CACHE = 300_000
 MAX_STEPS, TOLERANCE, RIDGE = 60, 1e-5, 1e-3
 
 
-class _WordBuckets(dict):
-    """Word -> bucket of the word and of its shape (Aa0 for letters and digits, runs joined), as one number."""
+def _word_buckets(word: str) -> int:
+    """Bucket of the word and of its shape (Aa0 for letters and digits, runs joined), as one number."""
+    shape = re.sub(r"(.)\1+", r"\1", re.sub(r"[^\W\d_]", lambda m: "A" if m[0].isupper() else "a", re.sub(r"\d", "0", word)))
+    value = xxhash.xxh3_64_intdigest(word.lower().encode("utf-8", "surrogatepass")) % WORD_BUCKETS
+    return value * SHAPE_BUCKETS + xxhash.xxh3_64_intdigest(shape.encode("utf-8", "surrogatepass")) % SHAPE_BUCKETS
 
-    def __missing__(self, word: str) -> int:
-        if len(self) >= WORD_CACHE:
-            self.clear()
-        shape = re.sub(r"(.)\1+", r"\1", re.sub(r"[^\W\d_]", lambda m: "A" if m[0].isupper() else "a", re.sub(r"\d", "0", word)))
-        value = xxhash.xxh3_64_intdigest(word.lower().encode("utf-8", "surrogatepass")) % WORD_BUCKETS
-        value = self[word] = value * SHAPE_BUCKETS + xxhash.xxh3_64_intdigest(shape.encode("utf-8", "surrogatepass")) % SHAPE_BUCKETS
-        return value
 
-
-_buckets = _WordBuckets()
+_buckets = Remembered(_word_buckets, WORD_CACHE)
 
 
 def features(text: str | None) -> tuple[int, np.ndarray, np.ndarray]:

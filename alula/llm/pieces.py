@@ -25,11 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from alula.llm.common import extended, slices
+from alula.llm.common import Remembered, extended, slices
 
 BLANK = "▁"
-#: Words a worker remembers before it starts afresh, and the characters taken from a text at a time.
-WORD_CACHE, SPAN = 300_000, 1 << 20
+#: Words a worker remembers are at most twice these;  the characters taken from a text at a time.
+WORD_CACHE, SPAN = 500_000, 1 << 20
 
 
 class PieceModel:
@@ -121,24 +121,23 @@ class PieceModel:
         return raw[1:].decode("utf-8", "replace")
 
 
-class _Words(dict):
+class _Words(Remembered):
     """Word -> its ids as bytes of 32-bit integers. ``first``: a blank goes before the word (its key may start with more),
     else a line break. Words with line breaks are put together from their lines: no piece has a line break."""
 
     def __init__(self, model: PieceModel, first: bool):
+        super().__init__(self.ids, WORD_CACHE)
         self.model, self.first = model, first
 
+    def ids(self, word: str) -> bytes:
+        ids = self.model._part(word, self.first)
+        return np.array(ids if self.first else self.model._spelled("\n") + ids, dtype=np.int32).tobytes()
+
     def __missing__(self, word: str) -> bytes:
         if self.first and "\n" in word:
             start, *lines = word.split("\n")
             return b"".join([self[start], *map(self.model.lines.__getitem__, lines)])
-        if len(self) >= WORD_CACHE:
-            self.clear()
-        ids = self.model._part(word, self.first)
-        value = np.array(ids if self.first else self.model._spelled("\n") + ids, dtype=np.int32).tobytes()
-        if len(word) < 200:
-            self[word] = value
-        return value
+        return super().__missing__(word) if len(word) < 200 else self.ids(word)
 
 
 @lru_cache(maxsize=2)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alula.llm import exact_dedup, language_id, minhash, mixing, pieces, token_files
+from alula.llm import exact_dedup, language_id, licenses, main_text, minhash, mixing, multi_index, passages, pieces, token_files
 from alula.llm.common import held_out, table
 from alula.session import ship_package
 
@@ -100,3 +100,59 @@ def pieces_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.size("__pieces").cast("long").alias("n_pieces"), F.col("__crc32").alias("ids_crc32"), F.col("__round_trip").alias("round_trip"),
         F.col("__pieces").alias("pieces"),
     )
+
+
+@query(
+    "op8_embedding_near_dedup",
+    """
+    with recursive v as (
+      select vec_id, list_transform(embedding, lambda x: x::double) as e from embeddings
+    ), l as (
+      select a.vec_id as a, b.vec_id as b from v a join v b on a.vec_id < b.vec_id
+      where list_cosine_similarity(a.e, b.e) >= 0.9
+    ), u as (select a, b from l union all select b, a from l),
+    r as (select vec_id as a, vec_id as b from v union select r.a, u.b from r join u on u.a = r.b),
+    c as (select a, min(b) as component_id from r group by a), d as (select a, count(*) as n from u group by a)
+    select vec_id, coalesce(d.n, 0) as n_links, c.component_id, vec_id = c.component_id as kept
+    from v join c on c.a = vec_id left join d on d.a = vec_id
+    """,
+)
+def vectors_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query("op6_main_text")
+def main_text_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = main_text.main_texts(table(spark, sf_dir, "pages"), ["page_id", "url"])
+    return found.select("page_id", "url", F.col("__text").alias("text"), F.col("__n_chars").alias("n_chars"))
+
+
+@query("op10_quality_attention")
+def quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id"))).select("doc_id", F.col("quality").alias("label"))
+    found = passages.score_quality(docs, passages.train_quality(docs, labels), ["doc_id"])
+    score = F.col("__score")
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score"), F.when(score >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
+@query(
+    "op7_licenses",
+    r"""
+    with n as (
+      select doc_id, list_concat(
+        list_transform(regexp_extract_all(coalesce(text, ''), 'Licensed under the Apache License, Version 2\.0'), lambda x: 'Apache-2.0'),
+        list_transform(regexp_extract_all(coalesce(text, ''), 'Licensed under CC BY-NC 4\.0'), lambda x: 'CC-BY-NC-4.0'),
+        list_transform(regexp_extract_all(coalesce(text, ''), 'licensed under the GNU General Public License, version 3'), lambda x: 'GPL-3.0'),
+        list_transform(regexp_extract_all(coalesce(text, ''), 'All rights reserved'), lambda x: 'Proprietary'),
+        list_transform(regexp_extract_all(coalesce(text, ''), 'Released under the MIT License'), lambda x: 'MIT')) as found
+      from documents
+    )
+    select doc_id, len(found) as n_notices, array_to_string(list_sort(list_distinct(found)), ',') as families from n
+    """,
+)
+def licenses_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = licenses.scan_licenses(docs, licenses.train_licenses(docs), ["doc_id"])
+    names = F.array_sort(F.array_distinct(F.transform("__notices", lambda x: x["family"])))
+    return found.select("doc_id", F.size("__notices").cast("long").alias("n_notices"), F.array_join(names, ",").alias("families"))
