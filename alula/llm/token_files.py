@@ -39,7 +39,8 @@ BLOCK = 512
 SEGMENT_IDS = 1 << 19
 #: Text bytes that one task encodes, about.
 TASK_BYTES = 24 << 20
-WORD_CACHE = 300_000
+#: Words a worker remembers are at most twice these.
+WORD_CACHE = 600_000
 END_ID = 1
 
 
@@ -134,13 +135,16 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}  # the words known before the last change of generations
 
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
         words = [None if self.odd.search(t) else t.split() for t in texts]
         if len(self.known) > WORD_CACHE:
-            self.known = {}
-        known = self.known
-        new = list({w for ws in words if ws for w in ws if w not in known})
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        missing = {w for ws in words if ws for w in ws if w not in known}
+        known.update((w, older[w]) for w in missing if w in older)
+        new = [w for w in missing if w not in known]
         for at in range(0, len(new), 4096):
             part = new[at : at + 4096]
             for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
