@@ -15,6 +15,7 @@ from alula.operators.ordering import check_failure_runs, numbered
 from alula.schema import EXPORT_BIO_COLUMNS, EXCLUSION_COLUMNS
 from alula.session import pinned
 from alula.sources.landmark_files import write_landmarks
+from alula.sources.ledger import slug_of
 
 MAX_UNREADABLE_RUN = 5  # fixed value: this many unreadable images in a row mean a wrong folder
 
@@ -66,7 +67,7 @@ def export_tables(
 def write_package(tables: dict[str, DataFrame], path: str, name: str, single_file: bool = False) -> str:
     """Writes the package below ``<path>/<n>lm/``; returns that folder."""
     n_points = tables["crop"].select("n_points").first()[0]
-    folder = f"{path}/{n_points}lm/{S.slug_text(name)}"
+    folder = f"{path}/{n_points}lm/{slug_of(tables["crop"].sparkSession, name)}"
     for part in ("crop", "raw"):
         if part in tables:
             write_landmarks(tables[part], f"{folder}-landmarks_{part}.tps", ["tps_id"], single_file)

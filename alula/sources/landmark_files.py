@@ -6,6 +6,7 @@ separator gives one row per block and lets Spark cut large files into splits."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 import numpy as np
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from alula.functions import strings as S
 from alula.functions.shapes import dropped_point
-from alula.operators.ordering import evaluated_once, numbered, running_totals, sequential_ids
+from alula.operators.ordering import evaluated_once, lookup, numbered, running_totals, sequential_ids
 from alula.schema import LANDMARKS
 
 
@@ -26,25 +27,23 @@ class LandmarkFileError(ValueError):
 BLOCK_SEPARATOR = "\nLM="
 DIRECTIVES = r"(?i)^(LM=|IMAGE=|ID=|COMMENT=|SCALE=)"
 LINE_BREAK = "\r\n|\n|\r"
+STRAY = "expected 'LM=', found: '"
 WHOLE_NUMBER = r"^[+-]?\d+$"
-# A block without surprises: count, pairs, directives. Possessive, so it never backtracks.
-TIDY_BLOCK = (
-    r"(?i)\A\d{1,4}[ \t\r]*+(?:\n[ \t]*+[^\s,=]++[ \t,]++[^\s,=]++[ \t\r]*+)++"
-    r"(?:\n[ \t]*+(?:IMAGE|ID|COMMENT|SCALE)=[^\n]*+)++\s*+\z"
-)
-TIDY_LIMIT = 8000  # characters; longer blocks take the line-by-line way
-PAIRS = r"(?is)\A(.*?)\s*\n[ \t]*(?:IMAGE|ID|COMMENT|SCALE)="
+NUMBER = r"(?i)^[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:e[+-]?\d+)?|inf(?:inity)?|nan)$"
 
 
 def _blocks(scan: DataFrame) -> DataFrame:
-    """(source, start, seq, pos, text): one row per block, its count line first.
+    """(source, start, seq, own, pos, text): one row per block, its count line first; ``own``: the scanned
+    record names its ``LM=`` itself, which of all records only the first of a file can.
 
     Blocks whose ``LM=`` is indented or in lower case are cut out here."""
     own = F.regexp_like(F.col("value"), F.lit(r"(?is)^\s*LM="))
     whole = F.when(own, F.col("value")).otherwise(F.concat(F.lit("LM="), F.col("value")))
-    pieces = F.split(whole, r"(?im)^[ \t]*LM=")
+    cut = F.split(whole, r"(?im)^[ \t]*LM=")
+    # like the line separator does, a block cut out here loses the line break before the next one
+    pieces = F.transform(cut, lambda t, i: F.when(i < F.size(cut) - 1, F.regexp_replace(t, r"(?:\r\n|\n|\r)\z", "")).otherwise(t))
     return (
-        scan.select("source", "start", "seq", F.posexplode_outer(pieces).alias("pos", "text"))
+        scan.select("source", "start", "seq", own.alias("own"), F.posexplode_outer(pieces).alias("pos", "text"))
         .filter((F.col("pos") > 0) | (F.trim(F.regexp_replace("text", r"\s+", " ")) != ""))
     )
 
@@ -70,28 +69,17 @@ def stream_blocks(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _after_equals(line: Column) -> Column:
-    return F.trim(F.substring(line, F.instr(line, "=") + 1, F.length(line)))
+    return S.stripped(F.substring(line, F.instr(line, "=") + 1, F.length(line)))
 
 
-def _tidy(blocks: DataFrame) -> DataFrame:
-    """Adds ``pairs`` (count, x1, y1, ...) for blocks read in one go, else NULL.
-
-    Line-by-line reading only has to look at what is left in ``rest``."""
-    plain = (F.length("text") < TIDY_LIMIT) & F.ltrim("text").rlike(TIDY_BLOCK)
-    tokens = F.split(F.regexp_extract(F.ltrim("text"), PAIRS, 1), r"[\s,]+").try_cast("array<double>")
-    found = evaluated_once(blocks.withColumn("pairs", F.when(plain, tokens)))
-    whole = (F.size("pairs") == 2 * F.get("pairs", 0) + 1) & (F.size(F.array_compact("pairs")) == F.size("pairs"))
-    checked = evaluated_once(found.withColumn("pairs", F.when(whole, F.col("pairs"))))
-    short = F.regexp_replace(F.ltrim("text"), r"(?is)\A(\d+)(.*?)(\n[ \t]*(?:IMAGE|ID|COMMENT|SCALE)=)", "$1$3")
-    return checked.withColumn("rest", F.when(F.col("pairs").isNotNull(), short).otherwise(F.col("text")))
+def _number(c: Column) -> Column:
+    return F.when(c.rlike(NUMBER), c.try_cast("double"))
 
 
 def parse_blocks(blocks: DataFrame) -> DataFrame:
     """Fields of every block plus ``problems``: array of (line_in_block, message)."""
-    blocks = _tidy(blocks)
-    tidy = F.col("pairs").isNotNull()
     numbered_lines = F.filter(
-        F.transform(F.split("rest", LINE_BREAK), lambda t, i: F.struct(i.alias("n"), F.trim(t).alias("t"))),
+        F.transform(F.split("text", LINE_BREAK), lambda t, i: F.struct(i.alias("n"), S.stripped(t).alias("t"))),
         lambda e: (e["t"] != "") | (e["n"] == 0),
     )
     split = blocks.withColumn("lines", numbered_lines).withColumn("count_text", F.get("lines", 0)["t"])
@@ -103,8 +91,8 @@ def parse_blocks(blocks: DataFrame) -> DataFrame:
     cut = evaluated_once(split.withColumn("head", F.slice("body", F.lit(1), F.greatest(head_size, F.lit(0)))).drop("lines"))
 
     def coordinate(e: Column) -> Column:
-        parts = F.split(F.trim(F.translate(e["t"], ",", " ")), r"\s+")
-        x, y = F.get(parts, 0).try_cast("double"), F.get(parts, 1).try_cast("double")
+        parts = F.split(S.stripped(F.translate(e["t"], ",", " ")), r"\s+")
+        x, y = _number(F.get(parts, 0)), _number(F.get(parts, 1))
         return F.struct(
             e["n"].alias("n"), e["t"].alias("t"), x.alias("x"), y.alias("y"),
             F.when(F.size(parts) < 2, "malformed landmark: '")
@@ -149,43 +137,37 @@ def parse_blocks(blocks: DataFrame) -> DataFrame:
     quote = F.lit("'")
     uncounted = F.concat(
         F.array(note(F.lit(0), F.concat(F.lit("unreadable point count in 'LM="), F.col("count_text"), quote))),
-        F.transform("body", lambda e: note(e["n"], F.concat(F.lit("expected 'LM=', found: '"), e["t"], quote))),
+        F.transform("body", lambda e: note(e["n"], F.concat(F.lit(STRAY), e["t"], quote))),
     )
     faults = F.transform(
         F.filter("taken", lambda e: e["fault"].isNotNull()),
         lambda e: note(e["n"], F.concat(e["fault"], e["t"], quote)),
     )
     wrong_count = F.when(
-        ~tidy & (F.size("pts") != F.col("n_points")),
+        F.size("pts") != F.col("n_points"),
         note(F.lit(0), F.format_string("expected %d landmarks, found %d", F.col("n_points"), F.size("pts"))),
     )
     bad_ids = F.transform(
         F.filter("id_lines", lambda e: ~e["v"].rlike(WHOLE_NUMBER)),
-        lambda e: note(e["n"] + F.when(tidy, F.col("n_points")).otherwise(0), F.concat(F.lit("non-integer ID: '"), e["t"], quote)),
+        lambda e: note(e["n"], F.concat(F.lit("non-integer ID: '"), e["t"], quote)),
     )
     no_id = F.when(F.col("tps_id").isNull(), note(F.lit(0), F.lit("no ID= found for this specimen")))
     counted = F.concat(faults, F.array_compact(F.array(wrong_count)), bad_ids, F.array_compact(F.array(no_id)))
     known = F.col("n_points").isNotNull()
     usable = (
-        known & (F.size(faults) == 0) & (tidy | (F.size("pts") == F.col("n_points"))) & F.col("tps_id").isNotNull()
+        known & (F.size(faults) == 0) & (F.size("pts") == F.col("n_points")) & F.col("tps_id").isNotNull()
     )
 
-    def coordinates(axis: str, offset: int) -> Column:
-        every = F.transform(F.sequence(F.lit(1), F.col("n_points")), lambda k: F.get("pairs", 2 * k - 2 + offset))
-        return F.when(tidy, every).otherwise(F.transform("pts", lambda e: e[axis])).alias(axis)
-
-    breaks = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
-
     return evaluated_once(fields.select(
-        "source", "start", "seq", "pos", "n_points",
-        coordinates("x", 1),
-        coordinates("y", 2),
+        "source", "start", "seq", "own", "pos", "n_points", "count_text",
+        F.transform("pts", lambda e: e["x"]).alias("x"),
+        F.transform("pts", lambda e: e["y"]).alias("y"),
         "image_path", "tps_id",
         S.comment_field(F.col("comment"), "photo_id").alias("photo_id"),
         S.comment_field(F.col("comment"), "inv_id").alias("inv_id"),
         F.coalesce(usable, F.lit(False)).alias("usable"),
         F.when(known, counted).otherwise(uncounted).alias("problems"),
-        F.when(tidy, breaks).otherwise(F.size(F.split(F.regexp_replace("text", r"\r\z", ""), LINE_BREAK))).alias("n_lines"),
+        F.size(F.split(F.regexp_replace("text", r"\r\z", ""), LINE_BREAK)).alias("n_lines"),
     ))
 
 
@@ -215,17 +197,28 @@ def read_landmarks(spark: SparkSession, paths: str | Sequence[str], strict: bool
 
 
 def read_landmark_errors(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """One row per problem: source, specimen_index, line_no (in the file), message."""
+    """One row per problem: source, specimen_index, line_no (in the file), message.
+
+    A block whose count is unreadable takes a number of its own; the lines left over after it belong to the next.
+    Text before the first block is no block: its lines carry number 0."""
     blocks = scan_blocks(spark, paths)
-    parsed = parse_blocks(blocks).select(*FILE_ORDER, "problems", "n_lines")
+    parsed = parse_blocks(blocks).select(*FILE_ORDER, "own", "count_text", "problems", "n_lines")
     placed = running_totals(
         parsed, ["source"], FILE_ORDER[1:], {"specimen": F.lit(1), "last": F.col("n_lines")}, sizes_from=blocks
     )
+    headed = blocks.groupBy("source").agg((~F.min_by("own", F.struct(*FILE_ORDER[1:]))).cast("long").alias("headed"))
     first_line = F.col("last") - F.col("n_lines")
-    return placed.select(
-        "source", (F.col("specimen") - 1).alias("specimen_index"), first_line.alias("first"), F.explode("problems").alias("p")
-    ).select(
-        "source", "specimen_index", (F.col("first") + F.col("p.line_in_block")).alias("line_no"), F.col("p.message").alias("message")
+    leading = (F.col("headed") == 1) & (F.col("specimen") == 1)
+    every = lookup(placed, headed, ["source"]).select(
+        "source", "count_text", leading.alias("leading"), (F.col("specimen") - F.col("headed") - 1).alias("k"),
+        first_line.alias("first"), F.explode("problems").alias("p"),
+    )
+    uncounted = F.col("leading") & (F.col("p.line_in_block") == 1)
+    stray = F.col("p.message").startswith(STRAY)
+    return every.filter(~uncounted | (F.col("count_text") != "")).select(
+        "source", F.when(F.col("leading"), 0).otherwise(F.col("k") + stray.cast("long")).cast("long").alias("specimen_index"),
+        (F.col("first") + F.col("p.line_in_block")).alias("line_no"),
+        F.when(uncounted, F.concat(F.lit(STRAY), F.col("count_text"), F.lit("'"))).otherwise(F.col("p.message")).alias("message"),
     )
 
 
@@ -238,10 +231,12 @@ def read_reference(spark: SparkSession, path: str) -> np.ndarray:
 
 
 def read_uploads(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Several files together; each must yield a block, ids are renumbered."""
+    """Several files, or folders of part files, together; each must yield a block, ids are renumbered."""
     rows = read_landmarks(spark, list(paths), strict=False)
-    seen = {r[0].rsplit("/", 1)[-1] for r in rows.select("source").distinct().collect()}
-    empty = [p for p in paths if p.rstrip("/").rsplit("/", 1)[-1] not in seen]
+    sources = rows.select(F.regexp_replace("source", r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "/").alias("file")).distinct()
+    wanted = spark.createDataFrame([(p, "/" + re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "", p).strip("/")) for p in paths], "path string, prefix string")
+    inside = (F.col("file") == F.col("prefix")) | F.col("file").startswith(F.concat("prefix", F.lit("/")))
+    empty = [r["path"] for r in wanted.join(sources, inside, "left_anti").collect()]
     if empty:
         raise LandmarkFileError(f"no valid specimen found in {empty}")
     return sequential_ids(rows, "tps_id", "photo_id", ("ord",)).select(LANDMARKS.fieldNames())

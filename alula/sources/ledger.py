@@ -9,7 +9,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alula.functions.strings import slug_text
+from alula.functions.strings import slug
 from alula.schema import PREFERRED_METRICS
 from alula.sources.tables import path_exists
 
@@ -83,9 +83,14 @@ def next_versions(names: DataFrame) -> DataFrame:
     )
 
 
+def slug_of(spark: SparkSession, text: str) -> str:
+    """A folder name for one text."""
+    return spark.range(1).select(slug(F.lit(text)).alias("v")).first()["v"]
+
+
 def resolve_model_slug(spark: SparkSession, root: str, family: str, base_name: str) -> str:
     """Folder name of a new run that clobbers no earlier one."""
-    base = slug_text(base_name)
+    base = slug_of(spark, base_name)
     existing = _listed(spark, f"{root}/{family}") or [None]
     names = spark.createDataFrame([(base, e) for e in existing], "base string, existing string")
     return next_versions(names).first()["slug"]
@@ -93,7 +98,7 @@ def resolve_model_slug(spark: SparkSession, root: str, family: str, base_name: s
 
 def find_model(spark: SparkSession, models: str, runs: str, name: str, family: str = "lda") -> str:
     """Folder of a model by run id (slug) or by the name recorded in its metrics."""
-    folder = f"{models}/{family}/{slug_text(name)}"
+    folder = f"{models}/{family}/{slug_of(spark, name)}"
     if path_exists(spark, folder):
         return folder
     hits = []

@@ -48,7 +48,7 @@ def test_every_kind_of_problem(spark, tmp_path):
     )
     path = write(tmp_path, text)
     assert errors(spark, path) == [
-        (0, 1, "unreadable point count in 'LM=two'"), (0, 2, "expected 'LM=', found: '1 2'"),
+        (0, 1, "unreadable point count in 'LM=two'"), (1, 2, "expected 'LM=', found: '1 2'"),
         (1, 5, "malformed landmark: '9'"), (2, 10, "non-numeric coordinate: 'x y'"),
         (3, 13, "no ID= found for this specimen"), (4, 18, "non-integer ID: 'ID=z'"),
     ]
@@ -65,6 +65,22 @@ def test_tidy_blocks_report_the_same_lines(spark, tmp_path):
     assert rows[5]["y"] == [2.0, 4.0] and rows[6]["x"] == [1.0] and set(rows) == {5, 6}
 
 
+def test_white_space_of_any_kind_and_numbers_as_written(spark, tmp_path):
+    many = "\n".join(f"\t{i} {i}\t" for i in range(3000))
+    path = write(tmp_path, f"LM=3000\n{many}\n\tIMAGE=q\n\tID=5\t\nLM=1\n1d 2f\nID=6\nLM=1\n\t1e2,+.5\n ID= 8\t\n")
+    rows = {int(r["tps_id"]): r for r in LF.read_landmarks(spark, path, strict=False).collect()}
+    assert set(rows) == {5, 8} and rows[5]["x"] == [float(i) for i in range(3000)] and (rows[8]["x"], rows[8]["y"]) == ([100.0], [0.5])
+    assert (1, 3005, "non-numeric coordinate: '1d 2f'") in errors(spark, path)
+
+
+def test_text_before_the_first_block_is_no_block(spark, tmp_path):
+    path = write(tmp_path, "title\n\nmore\nLM=two\n5 5\nLM=1\n1 1\nID=z\n")
+    assert errors(spark, path) == [
+        (0, 1, "expected 'LM=', found: 'title'"), (0, 3, "expected 'LM=', found: 'more'"), (0, 4, "unreadable point count in 'LM=two'"),
+        (1, 5, "expected 'LM=', found: '5 5'"), (1, 6, "no ID= found for this specimen"), (1, 8, "non-integer ID: 'ID=z'"),
+    ]
+
+
 def test_order_survives_many_splits(spark, tmp_path):
     path = write(tmp_path, "".join(f"LM=1\n{i} {i}\nID={i}\n" for i in range(500)))
     spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
@@ -102,5 +118,10 @@ def test_uploads_are_renumbered_and_must_not_be_empty(spark, tmp_path):
     b = write(tmp_path, GOOD.replace("p7", "y"), "b.tps")
     rows = LF.read_uploads(spark, [a, b]).collect()
     assert {r["photo_id"]: int(r["tps_id"]) for r in rows} == {"y": 1, "z": 2}
+    LF.write_landmarks(LF.read_landmarks(spark, a), str(tmp_path / "folder"))
+    assert LF.read_uploads(spark, [str(tmp_path / "folder"), b]).count() == 2
+    (tmp_path / "other").mkdir()
+    with pytest.raises(LF.LandmarkFileError, match="other/a.tps"):
+        LF.read_uploads(spark, [a, write(tmp_path / "other", "nothing", "a.tps")])
     with pytest.raises(LF.LandmarkFileError, match="c.tps"):
         LF.read_uploads(spark, [a, write(tmp_path, "nothing here", "c.tps")])

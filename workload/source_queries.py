@@ -49,44 +49,52 @@ def landmark_file_round_trip(spark, d):
                        F.round(total, 4).alias("check_sum"))
 
 
+# Blocks with every kind of damage; coordinates are thousandths of the vectors' own entries.
 DAMAGE = """
-case vec_id % 8 when 1 then 'expected 3 landmarks, found 2' when 2 then 'malformed landmark: ''7''' when 3 then 'non-numeric coordinate: ''a b'''
+case vec_id % 8 when 1 then 'expected 3 landmarks, found 2' when 2 then 'malformed landmark: ''7''' when 3 then 'non-numeric coordinate: ''1d 2f'''
                 when 4 then 'no ID= found for this specimen' when 5 then 'non-integer ID: ''ID=x1''' when 6 then 'unreadable point count in ''LM=three''' end
 """
 
 
 def _damaged(spark: SparkSession, d: str) -> str:
-    """Three-point blocks; most kinds of damage occur in every eighth block each."""
-    v = V.table(spark, d, "embeddings").select("vec_id")
-    block = F.expr("""
+    """One file of three-point blocks; most kinds of damage occur in every eighth block each."""
+    v = V.table(spark, d, "embeddings").select("vec_id", "embedding")
+    value = "cast(round(cast(embedding[{}] as double) * 1000) as int)"
+    pairs = ["concat({}, '{}', {})".format(value.format(2 * k), s, value.format(2 * k + 1)) for k, s in ((0, " "), (1, " "), (2, " "), (1, ","), (2, "\\t"))]
+    plain = "concat_ws('\\n', {}, {}, {})".format(*pairs[:3])
+    block = F.expr(f"""
       case vec_id % 8
         when 1 then concat('LM=3\\n1 2\\n3 4\\nIMAGE=i\\nID=', vec_id)
         when 2 then concat('LM=3\\n1 2\\n7\\n3 4\\n5 6\\nIMAGE=i\\nID=', vec_id)
-        when 3 then concat('LM=3\\n1 2\\na b\\n3 4\\n5 6\\nID=', vec_id)
+        when 3 then concat('LM=3\\n1 2\\n1d 2f\\n3 4\\n5 6\\nID=', vec_id)
         when 4 then 'LM=3\\n1 2\\n3 4\\n5 6\\nIMAGE=i'
-        when 5 then concat('LM=3\\n1 2\\n3 4\\n5 6\\nID=x1\\nID=', vec_id)
-        when 6 then 'LM=three'
-        when 7 then concat('  lm=3\\n\\n1,2\\n3, 4\\n5 6 9\\nscale=2\\nid=', vec_id, '\\nimage=a=b\\ncomment=photo_id=p', vec_id)
-        else concat('LM=3\\n1 2\\n3 4\\n5 6\\nID=', vec_id, '\\nIMAGE=i\\nCOMMENT=free text') end""")
+        when 5 then concat('LM=3\\n', {plain}, '\\nID=x1\\nID=', vec_id)
+        when 6 then 'LM=three\\n8 9'
+        when 7 then concat('\\tlm=3 \\t\\n\\n', {pairs[0]}, '\\n\\t', {pairs[3]}, '\\n', {pairs[4]}, ' 9\\t\\nscale=2\\n\\tid=', vec_id, '\\t\\nimage=a=b\\ncomment=photo_id=p', vec_id)
+        else concat('LM=3\\n', {plain}, '\\nID=', vec_id, '\\nIMAGE=i\\nCOMMENT=free text') end""")
     path = scratch_path(spark, "damaged")
-    v.select("vec_id", block.alias("value")).repartitionByRange(4, "vec_id").sortWithinPartitions("vec_id").select("value").write.text(path)
+    v.select("vec_id", block.alias("value")).coalesce(1).sortWithinPartitions("vec_id").select("value").write.text(path)
     return path
 
 
 @query(f"""
-select message, count(*) as n from (
-  select {DAMAGE} as message from embeddings
-  union all select 'no ID= found for this specimen' from embeddings where false) where message is not null group by 1""")
+with b as (select vec_id, {DAMAGE} as message, case vec_id % 8 when 2 then 3 when 3 then 3 when 5 then 5 else 1 end as off,
+                  case vec_id % 8 when 0 then 7 when 1 then 5 when 2 then 7 when 3 then 6 when 4 then 5 when 5 then 6 when 6 then 2 else 9 end as n from embeddings),
+p as (select *, row_number() over (order by vec_id) - 1 as k, coalesce(sum(n) over (order by vec_id rows between unbounded preceding and 1 preceding), 0) as before from b)
+select k as specimen_index, cast(before + off as bigint) as line_no, message from p where message is not null
+union all select k + 1, cast(before + 2 as bigint), 'expected ''LM='', found: ''8 9''' from p where vec_id % 8 = 6""")
 def landmark_file_errors(spark, d):
-    return LF.read_landmark_errors(spark, _damaged(spark, d)).groupBy("message").agg(F.count(F.lit(1)).alias("n"))
+    found = LF.read_landmark_errors(spark, _damaged(spark, d))
+    return found.select("specimen_index", F.col("line_no").cast("long").alias("line_no"), "message")
 
 
 @query("""
 select vec_id as tps_id, case when vec_id % 8 = 7 then 'a=b' when vec_id % 8 = 5 then '' else 'i' end as image_path,
-       case when vec_id % 8 = 7 then concat('p', vec_id) end as photo_id from embeddings where vec_id % 8 in (0, 5, 7)""")
+       case when vec_id % 8 = 7 then concat('p', vec_id) end as photo_id, list_transform([1, 3, 5], lambda i: round(cast(embedding[i] as double) * 1000) + 0.0) as x,
+       list_transform([2, 4, 6], lambda i: round(cast(embedding[i] as double) * 1000) + 0.0) as y from embeddings where vec_id % 8 in (0, 5, 7)""")
 def damaged_file_survivors(spark, d):
     rows = LF.read_landmarks(spark, _damaged(spark, d), strict=False, rank=False)
-    return rows.select(F.col("tps_id").cast("long").alias("tps_id"), "image_path", "photo_id")
+    return rows.select(F.col("tps_id").cast("long").alias("tps_id"), "image_path", "photo_id", "x", "y")
 
 
 @query("""
@@ -105,8 +113,8 @@ def merged_landmark_uploads(spark, d):
     for k in range(2):
         paths.append(scratch_path(spark, "upload"))
         LF.write_landmarks(rows.filter(F.col("ord") % 2 == k), paths[-1])
-    merged = LF.read_landmarks(spark, paths, strict=False, rank=False)
-    return O.sequential_ids(merged).select("photo_id", "tps_id")
+    merged = LF.read_uploads(spark, paths)
+    return merged.select("photo_id", F.col("tps_id").cast("long").alias("tps_id"))
 
 
 @query("""
@@ -244,11 +252,11 @@ def manifest_gate(spark, d):
 @query()
 def train_and_evaluate(spark, d):
     """Whole train job on the embedded shapes, then the stored model applied to the same photos."""
-    data = V.shapes(spark, d).selectExpr(
+    data = V.near_shapes(spark, d).selectExpr(
         "ord", "n_points", "x", "y", "ord as tps_id", "concat('ph', ord) as photo_id", "inv_id", "species", "caste",
         "'' as image_path", "device_type as device")
     models, runs = scratch_path(spark, "models"), scratch_path(spark, "runs")
-    trained = T.train(spark, data, "species", "demo", models, runs, max_iter=2)
+    trained = T.train(spark, data, "species", "demo", models, runs)
     T.evaluate(spark, trained.model_path, data, "field", runs, trained.run_id)
     return LG.comparison_table(LG.read_runs(spark, runs)).select("run", "n", "accuracy_top1", "accuracy_top3")
 
