@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from hashlib import sha256
 from math import ceil
 
 import numpy as np
@@ -12,9 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from alula.functions.shapes import interleaved
-from alula.operators.arrow import matrix
-from alula.operators.ordering import lookup
-from alula.session import setting
+from alula.operators.arrow import list_column, matrix
+from alula.operators.ordering import lookup, numbered
+from alula.session import pinned, setting
 
 PERMUTATION_ROWS = 50_000  # rows shuffled together in one task
 
@@ -160,56 +161,81 @@ def _permuted_sums(
 ) -> np.ndarray:
     """Sum over cells of |S|^2/n, for every permutation of one level.
 
-    Small strata are shuffled whole, many per task. A stratum too large for one
-    task is cut into pieces by a hash of the row id: how many of each label fall
-    into each piece is drawn first (without replacement, so cell sizes stay
-    exact), then each piece shuffles its own rows."""
+    Permutation ``p`` sorts a stratum's rows by a hash of (seed, level, p, stratum, row id) and deals the labels
+    out in that order: the label that stands k-th when rows are sorted by (label, row id) goes to the k-th row. The same
+    rule holds for every stratum. Those that fit in a task are shuffled whole, many per task; in larger ones the two
+    orders are numbered by a distributed sort, so the result depends on the seed and the row ids only."""
     spark = df.sparkSession
     size = setting(spark, "permutationRows", PERMUTATION_ROWS)
     stratum = F.to_json(F.struct(*parents)) if parents else F.lit("all")
-    rows = df.select(
+    rows = pinned(df.select(
         stratum.alias("stratum"),
         F.col(label).cast("string").alias("label"),
         F.col(row_id).cast("string").alias("rid"),
         F.col(vector).alias("v"),
-    )
+    ))
     sizes = rows.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"))
     n_rows = sizes.agg(F.sum("n")).first()[0] or 0
-    large = sizes.filter(F.col("n") > size).withColumn("pieces", F.ceil(F.col("n") / size).cast("int"))
-    placed = lookup(rows, large.select("stratum", "pieces"), ["stratum"])
+    large = sizes.filter(F.col("n") > size).select("stratum", F.lit(True).alias("large"))
+    placed = lookup(rows, large, ["stratum"])
     buckets = max(1, ceil(n_rows / size))
-    small = placed.filter(F.col("pieces").isNull()).withColumn(
+    small = placed.filter(F.col("large").isNull()).withColumn(
         "bucket", F.pmod(F.xxhash64("stratum"), F.lit(buckets))
     )
     per_bucket = small.groupBy("bucket").applyInArrow(
-        _whole_strata_kernel(n_perm, seed), "q array<double>"
+        _whole_strata_kernel(label, n_perm, seed), "q array<double>"
     )
     total = np.zeros(n_perm)
     for r in per_bucket.select(F.posexplode_outer("q").alias("pos", "q")).groupBy("pos").agg(F.sum("q").alias("q")).collect():
-        total[r["pos"]] += r["q"]
+        if r["pos"] is not None:
+            total[r["pos"]] += r["q"]
     if large.isEmpty():
         return total
-    piece = F.pmod(F.xxhash64(F.lit(seed), "rid"), F.col("pieces")).cast("int")
-    cut = placed.filter(F.col("pieces").isNotNull()).withColumn("piece", piece)
-    counts = cut.groupBy("stratum", "piece", "label").agg(F.count(F.lit(1)).alias("n"))
-    plan = counts.groupBy("stratum").applyInArrow(
-        _allocation_kernel(n_perm, seed), "stratum string, piece int, label string, per_perm array<long>"
-    )
-    sums = (
-        cut.select("stratum", "piece", "rid", "v")
-        .groupBy("stratum", "piece")
-        .cogroup(plan.groupBy("stratum", "piece"))
-        .applyInArrow(_piece_kernel(n_perm, seed), "stratum string, label string, perm int, s array<double>")
+    for r in _large_strata(placed.filter("large").drop("large"), label, n_perm, seed).collect():  # one number per permutation
+        total[r["perm"]] += r["q"]
+    return total
+
+
+def _large_strata(rows: DataFrame, name: str, n_perm: int, seed: int) -> DataFrame:
+    """(perm, q) of strata whose orders are numbered by distributed sorts. Only ids and labels are sorted; every row then
+    gets its labels, one per permutation, and each batch adds up its own vectors before anything is shuffled."""
+    held = numbered(rows.select("stratum", "label", "rid"), ["stratum"], ["label", "rid"], "place")
+    perms = F.explode(F.sequence(F.lit(0), F.lit(n_perm - 1)))
+    draws = rows.select("stratum", "rid", perms.alias("perm"))
+    text = F.concat_ws("|", F.lit(str(seed)), F.lit(name), F.col("perm").cast("string"), "stratum", "rid")
+    draws = draws.withColumn("draw", F.substring(F.sha2(text, 256), 1, 16))
+    ranked = numbered(draws, ["stratum", "perm"], ["draw", "rid"], "place")
+    dealt = ranked.join(held.select("stratum", "place", "label"), ["stratum", "place"]).groupBy("stratum", "rid").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("perm", "label"))), lambda e: e["label"]).alias("labels")
     )
-    cell_sizes = counts.groupBy("stratum", "label").agg(F.sum("n").alias("n"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = matrix(batch.column("v"))
+            strata = _codes(batch.column("stratum"))
+            firsts = {k: i for i, k in reversed(list(enumerate(strata.tolist())))}
+            for k, i in firsts.items():
+                inside = strata == k
+                labels = np.asarray(batch.column("labels").filter(pa.array(inside)).to_pylist(), dtype=object)
+                own = x[inside]
+                for perm in range(n_perm):
+                    names, code = np.unique(labels[:, perm].astype(str), return_inverse=True)
+                    sums = np.zeros((len(names), x.shape[1]))
+                    np.add.at(sums, code, own)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([batch.column("stratum")[i].as_py()] * len(names)), pa.array(names.tolist()),
+                         pa.array([perm] * len(names), pa.int32()), list_column(sums)],
+                        ["stratum", "label", "perm", "s"],
+                    )
+
+    joined = rows.select("stratum", "rid", "v").join(dealt, ["stratum", "rid"])
+    sums = joined.mapInArrow(run, "stratum string, label string, perm int, s array<double>")
     coordinates = sums.select("stratum", "label", "perm", F.posexplode_outer("s").alias("pos", "s"))
     cells = coordinates.groupBy("stratum", "label", "perm", "pos").agg(F.sum("s").alias("s"))
-    share = cells.join(cell_sizes, ["stratum", "label"]).groupBy("perm").agg(
-        F.sum(F.col("s") * F.col("s") / F.col("n")).alias("q")
-    )
-    for r in share.collect():  # one number per permutation
-        total[r["perm"]] += r["q"]
-    return total
+    cell_sizes = rows.groupBy("stratum", "label").agg(F.count(F.lit(1)).alias("n"))
+    return cells.join(cell_sizes, ["stratum", "label"]).groupBy("perm").agg(F.sum(F.col("s") * F.col("s") / F.col("n")).alias("q"))
 
 
 def _codes(column: pa.ChunkedArray) -> np.ndarray:
@@ -217,98 +243,23 @@ def _codes(column: pa.ChunkedArray) -> np.ndarray:
     return np.unique(values.astype(str), return_inverse=True)[1]
 
 
-def _whole_strata_kernel(n_perm: int, seed: int):
+def _whole_strata_kernel(name: str, n_perm: int, seed: int):
     def run(key, table):
         rid = np.asarray(table.column("rid").to_pylist(), dtype=str)
-        start = np.argsort(rid, kind="stable")
+        names = np.asarray(table.column("stratum").to_pylist(), dtype=str)
+        labels = np.asarray(table.column("label").to_pylist(), dtype=str)
+        start = np.lexsort((rid, labels, names))
+        rid, names, labels = rid[start], names[start], labels[start]
         x = matrix(table.column("v").combine_chunks())[start]
-        strata = _codes(table.column("stratum"))[start]
-        labels = _codes(table.column("label"))[start]
-        cell_order = np.lexsort((labels, strata))
-        cell = np.stack([strata[cell_order], labels[cell_order]])
-        first = np.flatnonzero(np.r_[True, (np.diff(cell) != 0).any(axis=0)])
+        changes = (names[1:] != names[:-1]) | (labels[1:] != labels[:-1])
+        first = np.flatnonzero(np.r_[True, changes])
         sizes = np.diff(np.r_[first, len(x)])
         out = np.empty(n_perm)
         for perm in range(n_perm):
-            rng = np.random.default_rng([seed, perm, key[0].as_py() & 0xFFFFFFFF])
-            shuffled = np.lexsort((rng.random(len(x)), strata))
-            s = np.add.reduceat(x[shuffled], first, axis=0)
+            texts = (f"{seed}|{name}|{perm}|{n}|{r}" for n, r in zip(names, rid))
+            draws = np.array([int.from_bytes(sha256(t.encode()).digest()[:8], "big") for t in texts], dtype=np.uint64)
+            s = np.add.reduceat(x[np.lexsort((rid, draws, names))], first, axis=0)
             out[perm] = ((s * s).sum(axis=1) / sizes).sum()
         return pa.table({"q": pa.array([out.tolist()], type=pa.list_(pa.float64()))})
 
     return run
-
-
-def _drawn_labels(rng: np.random.Generator, left: np.ndarray, n: int) -> np.ndarray:
-    """Labels among ``n`` rows taken without replacement from ``left``.
-
-    numpy draws this exactly below a billion rows. Above, each margin is drawn
-    from its normal limit (relative deviation below 1e-9) and kept feasible."""
-    if left.sum() < 1_000_000_000:
-        return rng.multivariate_hypergeometric(left, n, method="marginals")
-    take = np.zeros_like(left)
-    rest, remaining = n, int(left.sum())
-    for i, k in enumerate(left.tolist()):
-        others = remaining - k
-        p = k / remaining if remaining else 0.0
-        spread = rest * p * (1 - p) * (remaining - rest) / max(remaining - 1, 1)
-        value = int(round(rng.normal(rest * p, spread**0.5))) if spread > 0 else int(round(rest * p))
-        take[i] = min(max(value, rest - others, 0), k, rest)
-        rest, remaining = rest - int(take[i]), others
-    return take
-
-
-def _allocation_kernel(n_perm: int, seed: int):
-    """How many of each label go to each piece of one large stratum."""
-
-    def run(key, table):
-        pdf = table.to_pandas()
-        grid = pdf.pivot_table(index="piece", columns="label", values="n", aggfunc="sum", fill_value=0).sort_index()
-        piece_sizes, names = grid.sum(axis=1).to_numpy(), list(grid.columns)
-        drawn = np.zeros((len(piece_sizes), len(names), n_perm), dtype=np.int64)
-        tag = int.from_bytes(key[0].as_py().encode()[:8].ljust(8, b"\0"), "little")
-        for perm in range(n_perm):
-            rng = np.random.default_rng([seed, perm, tag])
-            left = grid.to_numpy().sum(axis=0)
-            for k, n in enumerate(piece_sizes):
-                take = _drawn_labels(rng, left, int(n))
-                drawn[k, :, perm] = take
-                left = left - take
-        pieces = grid.index.to_numpy()
-        return pa.table({
-            "stratum": pa.array([key[0].as_py()] * (len(pieces) * len(names)), type=pa.string()),
-            "piece": pa.array(np.repeat(pieces, len(names)), type=pa.int32()),
-            "label": pa.array(names * len(pieces), type=pa.string()),
-            "per_perm": pa.array(drawn.reshape(-1, n_perm).tolist(), type=pa.list_(pa.int64())),
-        })
-
-    return run
-
-
-def _piece_kernel(n_perm: int, seed: int):
-    """Cell sums of one piece for every permutation."""
-
-    def run(key, rows, plan):
-        rid = np.asarray(rows.column("rid").to_pylist(), dtype=str)
-        x = matrix(rows.column("v").combine_chunks())[np.argsort(rid, kind="stable")]
-        names = np.asarray(plan.column("label").to_pylist(), dtype=object)
-        order = np.argsort(names.astype(str))
-        names = names[order]
-        take = np.asarray(plan.column("per_perm").to_pylist(), dtype=np.int64)[order]
-        labels, perms, sums = [], [], []
-        for perm in range(n_perm):
-            rng = np.random.default_rng([seed, perm, key[1].as_py()])
-            used = np.flatnonzero(take[:, perm])
-            first = np.r_[0, np.cumsum(take[used, perm])[:-1]]
-            s = np.add.reduceat(x[rng.permutation(len(x))], first, axis=0)
-            labels += names[used].tolist()
-            perms += [perm] * len(used)
-            sums += s.tolist()
-        return pa.table({
-            "stratum": pa.array([key[0].as_py()] * len(labels), type=pa.string()),
-            "label": pa.array(labels, type=pa.string()),
-            "perm": pa.array(perms, type=pa.int32()),
-            "s": pa.array(sums, type=pa.list_(pa.float64())),
-        })
-
-    return run

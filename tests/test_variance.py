@@ -73,12 +73,24 @@ def test_permuted_sums_have_the_right_expectation(spark, limits, piece):
     assert between_sums.mean() == pytest.approx(total * 2 / 44, rel=0.12)
 
 
-def test_large_margin_draw_is_feasible():
-    rng = np.random.default_rng(1)
-    left = np.array([1_500_000_000, 700_000_000, 3])
-    for n in (5, 1_000_000, 2_000_000_000):
-        take = VA._drawn_labels(rng, left, n)
-        assert take.sum() == n and (take >= 0).all() and (take <= left).all()
+def test_no_setting_changes_the_draws(spark, limits):
+    _, df = table(spark, 45, 8)
+    whole = VA._permuted_sums(df, ["species"], "caste", "v", 20, 3, "ord")
+    for piece in (1, 9, 20):
+        with limits(permutationRows=piece):
+            assert VA._permuted_sums(df, ["species"], "caste", "v", 20, 3, "ord") == pytest.approx(whole)
+
+
+def test_strata_are_shuffled_independently(spark, limits):
+    """The same rows in three strata, with ids that differ: equal orders would give three equal sums."""
+    rows = [(f"sp{k}", "ab"[i % 2], [float(i)], 100 * k + i) for k in range(3) for i in range(10)]
+    sums = []
+    for k in range(3):
+        df = spark.createDataFrame([r for r in rows if r[0] == f"sp{k}"], "species string, caste string, v array<double>, ord long")
+        for piece in (100, 4):
+            with limits(permutationRows=piece):
+                sums.append(VA._permuted_sums(df, ["species"], "caste", "v", 12, 3, "ord").tolist())
+    assert sums[0] == pytest.approx(sums[1]) and sums[0] != sums[2] and sums[2] != sums[4]
 
 
 def test_between_within_identity(spark):
