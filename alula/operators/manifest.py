@@ -138,7 +138,9 @@ def manifest_table(df: DataFrame) -> DataFrame:
 
 
 class CollisionError(ValueError):
-    """Combined roots share keys that must be unique."""
+    """Combined roots share keys that must be unique; ``table`` has all of them, the message some."""
+
+    table: DataFrame | None = None
 
 
 def repeated_keys(df: DataFrame, key: str) -> DataFrame:
@@ -159,5 +161,7 @@ def combine_roots(roots: Sequence[tuple[DataFrame, DataFrame]]) -> tuple[DataFra
     for frame, key in ((manifest, "photo_id"), (biology, "inv_id")):
         clash = [r[0] for r in repeated_keys(frame, key).orderBy(key).limit(50).collect()]
         if clash:
-            raise CollisionError(f"{key} collision across combined roots: {clash}")
+            error = CollisionError(f"{key} collision across combined roots: {clash}")
+            error.table = repeated_keys(frame, key)
+            raise error
     return manifest, biology

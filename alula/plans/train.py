@@ -25,7 +25,7 @@ class TrainingRun:
     run_path: str
     metrics: Mapping
     predictions: DataFrame
-    singletons: list[str]
+    singletons: DataFrame
 
 
 def _named(spark: SparkSession, column) -> str:
@@ -55,14 +55,14 @@ def train(
     base = f"{base}_{len(shape)}LM_{level}"
     run_id = LG.resolve_model_slug(spark, models, FAMILY, base)
     run_path, model_path = f"{runs}/{FAMILY}/{run_id}/train/{dataset_label}", f"{models}/{FAMILY}/{run_id}"
-    alone = [r[0] for r in singleton_classes(scored, "__class").orderBy("__class").limit(100).collect()]
+    alone = singleton_classes(scored, "__class")
 
     proba, classes = LD.leave_group_out(scored, "__class", "inv_id", row_id=order)
     table = P.with_correctness(P.prediction_columns(proba.drop("scores"), level, classes), level, F.col("__class"))
     table.drop("__class").write.mode("overwrite").parquet(f"{run_path}/loocv_predictions")
     predictions = spark.read.parquet(f"{run_path}/loocv_predictions")
     metrics = {
-        "run_id": run_id, "model_name": base + run_id[len(S.slug_text(base)):], "level": level, "n_specimens": fitted.n_specimens,
+        "run_id": run_id, "model_name": base + run_id[len(LG.slug_of(spark, base)):], "level": level, "n_specimens": fitted.n_specimens,
         "n_points": len(shape), "n_pca_components": len(pca.loadings),
         "pca_explained_variance_cum": float(pca.explained_ratio.sum()), "gpa_n_iterations": fitted.n_iterations,
         **P.accuracy(predictions).first().asDict(),

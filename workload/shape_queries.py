@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from alula.functions import shapes as G
 from alula.operators import cropspace as C
@@ -14,8 +15,10 @@ from alula.operators import outliers as U
 from alula.operators import reports as P
 from alula.operators import superimposition as A
 from alula.operators import variance as VA
-from alula.operators.arrow import exploded_points
+from alula.operators.arrow import append_arrow, exploded_points, list_column, matrix
+from alula.plans import train as TR
 from alula.plans.variance_report import variance_report
+from alula.schema import DOUBLES
 from workload import views as V
 from workload.registry import query
 
@@ -46,6 +49,17 @@ def consensus_sql(rounds: int) -> str:
     return ",".join(parts)
 
 
+def settled_sql(rounds: int, ref: str = "ref", key: str = "") -> str:
+    """its: the first pass that moves the reference by less than the tolerance (per ``key``)."""
+    by, using = (f"{key}, ", f"{key}, i") if key else ("", "i")
+    shifts = " union all ".join(
+        f"select {by}{k} as k, sqrt(sum((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y))) as shift from {ref}{k} a join {ref}{k - 1} b using ({using})"
+        + (f" group by {key}" if key else "")
+        for k in range(1, rounds + 1)
+    )
+    return f"its as (select {by}min(k)::int as n_iterations from ({shifts}) where shift < 1e-8" + (f" group by {key})" if key else ")")
+
+
 def grouped_consensus_sql(rounds: int) -> str:
     parts = [
         "gs as (select s.*, p.species from std s join photo p using (ord))",
@@ -109,15 +123,16 @@ def gpa_one_pass_mean(spark, d):
         "i", _r("mean_x"), _r("mean_y"))
 
 
-ROUNDS = 3
+#: Passes that the SQL writes out, more than the iteration takes to settle on these shapes.
+ROUNDS = 9
 
 
-@query(V.with_sql(V.POINTS_SQL, STD_SQL, consensus_sql(ROUNDS)) + f"""
+@query(V.with_sql(V.NEAR_POINTS_SQL, STD_SQL, consensus_sql(ROUNDS), settled_sql(ROUNDS)) + f"""
 select a.ord, round(any_value(cs), 6) as centroid_size,
-       round(sqrt(sum((a.x - r.x) * (a.x - r.x) + (a.y - r.y) * (a.y - r.y))), 6) as distance, {ROUNDS}::int as n_iterations
-from al{ROUNDS} a join ref{ROUNDS} r using (i) group by 1""")
+       round(sqrt(sum((a.x - r.x) * (a.x - r.x) + (a.y - r.y) * (a.y - r.y))), 6) as distance, any_value(n_iterations) as n_iterations
+from al{ROUNDS} a join ref{ROUNDS} r using (i), its group by 1""")
 def gpa_consensus(spark, d):
-    fitted = A.consensus(V.shapes(spark, d), ["ord"], max_iter=ROUNDS)
+    fitted = A.consensus(V.near_shapes(spark, d), ["ord"])
     mx, my = (G.literal_array(fitted.mean_shape[:, k].tolist()) for k in (0, 1))
     return fitted.aligned.select(
         "ord", _r("centroid_size"), F.round(G.shape_distance(F.col("ax"), F.col("ay"), mx, my), 6).alias("distance"),
@@ -125,19 +140,19 @@ def gpa_consensus(spark, d):
     )
 
 
-@query(V.with_sql(V.PHOTO_SQL, V.POINTS_SQL, STD_SQL, grouped_consensus_sql(ROUNDS)) + f"""
-select species, i, round(x, 6) + 0.0 as mean_x, round(y, 6) + 0.0 as mean_y from gref{ROUNDS}""")
+@query(V.with_sql(V.PHOTO_SQL, V.NEAR_POINTS_SQL, STD_SQL, grouped_consensus_sql(ROUNDS), settled_sql(ROUNDS, "gref", "species")) + f"""
+select species, i, round(x, 6) + 0.0 as mean_x, round(y, 6) + 0.0 as mean_y, n_iterations from gref{ROUNDS} join its using (species)""")
 def gpa_by_species(spark, d):
-    fitted = A.consensus_by_group(V.shapes(spark, d), "species", ["ord"], max_iter=ROUNDS)
-    pts = exploded_points(fitted.means, ["species"], "mean_x", "mean_y")
-    return pts.select("species", F.col("i").cast("long").alias("i"), F.col("px").alias("mean_x"), F.col("py").alias("mean_y")).select(
-        "species", "i", _r("mean_x"), _r("mean_y"))
+    fitted = A.consensus_by_group(V.near_shapes(spark, d), "species", ["ord"])
+    pts = exploded_points(fitted.means, ["species", "n_iterations"], "mean_x", "mean_y")
+    return pts.select("species", F.col("i").cast("long").alias("i"), F.col("px").alias("mean_x"), F.col("py").alias("mean_y"), "n_iterations").select(
+        "species", "i", _r("mean_x"), _r("mean_y"), F.col("n_iterations").cast("int").alias("n_iterations"))
 
 
-@query(V.with_sql(V.PHOTO_SQL, V.POINTS_SQL) + "," + STD_SQL + "," + consensus_sql(2) + """
-select row_number() over (order by i) - 1 as i, round(x, 6) + 0.0 as x, round(y, 6) + 0.0 as y from ref2 where i <> 3""")
+@query(V.with_sql(V.PHOTO_SQL, V.NEAR_POINTS_SQL) + "," + STD_SQL + "," + consensus_sql(ROUNDS) + f"""
+select row_number() over (order by i) - 1 as i, round(x, 6) + 0.0 as x, round(y, 6) + 0.0 as y from ref{ROUNDS} where i <> 3""")
 def reference_shape(spark, d):
-    shape = A.reference_shape(V.shapes(spark, d), "ord", n_points=32, drop_point=3, max_iter=2)
+    shape = A.reference_shape(V.near_shapes(spark, d), "ord", n_points=32, drop_point=3)
     frame = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(shape)], "i long, x double, y double")
     return frame.select("i", _r("x"), _r("y"))
 
@@ -169,9 +184,9 @@ flg as (select ord, species, count(*) filter (dist > md + {factor} * mad) as n_o
 select ord, species, n_outlier_landmarks, n_outlier_landmarks >= {heavy} * p as heavy from flg"""
 
 
-@query(V.with_sql(V.PHOTO_SQL, V.POINTS_SQL, STD_SQL, grouped_consensus_sql(ROUNDS)) + "," + _mad_sql(f"gal{ROUNDS}", 2.0, 0.25))
+@query(V.with_sql(V.PHOTO_SQL, V.NEAR_POINTS_SQL, STD_SQL, grouped_consensus_sql(ROUNDS)) + "," + _mad_sql(f"gal{ROUNDS}", 6.0, 0.55))
 def outlier_flags_by_species(spark, d):
-    return U.flag_by_group(V.shapes(spark, d), "species", "ord", ["ord"], max_iter=ROUNDS, mad_factor=2.0, heavy_fraction=0.25)
+    return U.flag_by_group(V.near_shapes(spark, d), "species", "ord", ["ord"])
 
 
 @query(V.with_sql(V.PHOTO_SQL, V.POINTS_SQL, STD_SQL, *FROZEN, "js as (select a.ord, a.i, a.x, a.y, p.species from al a join photo p using (ord))") + "," + _mad_sql("js", 2.0, 0.25))
@@ -209,9 +224,9 @@ def nested_anova(spark, d):
     return table.select("rank", "source", _r("ss"), "df", _r("ms"), _r("f"))
 
 
-@query(V.with_sql(V.PHOTO_SQL, V.POINTS_SQL, STD_SQL, consensus_sql(ROUNDS), LONG_SQL.replace("from al", f"from al{ROUNDS}")) + ANOVA_SQL)
+@query(V.with_sql(V.PHOTO_SQL, V.NEAR_POINTS_SQL, STD_SQL, consensus_sql(ROUNDS), LONG_SQL.replace("from al", f"from al{ROUNDS}")) + ANOVA_SQL)
 def variance_report_job(spark, d):
-    table = variance_report(V.shapes(spark, d), ["species", "caste", "inv_id"], max_iter=ROUNDS)
+    table = variance_report(V.near_shapes(spark, d), ["species", "caste", "inv_id"])
     return table.select("rank", "source", _r("ss"), "df", _r("ms"), _r("f"))
 
 
@@ -229,22 +244,95 @@ def between_within(spark, d):
     return VA.between_within(_vectors(spark, d), "species").select(_r("ss_between"), _r("ss_within"), _r("ss_total"))
 
 
-@query()
+PERMUTED_SQL = """
+, lv as (select 1 as depth, 'species' as lev, 'all' as stratum, species as label, ord from photo
+         union all select 2, 'caste', concat('{"species":"', species, '"}'), caste, ord from photo),
+held as (select *, row_number() over (partition by depth, stratum order by label, cast(ord as varchar)) as place from lv),
+drw as (select depth, stratum, ord, perm, row_number() over (partition by depth, stratum, perm
+          order by substr(sha256(concat_ws('|', '11', lev, perm, stratum, ord)), 1, 16), cast(ord as varchar)) as place from lv, range(99) t(perm)),
+dealt as (select d.depth, d.perm, d.stratum, d.ord, h.label from drw d join held h using (depth, stratum, place)),
+pc as (select depth, perm, stratum, label, pos, sum(v) as s, count(*) as n from dealt join lp using (ord) group by all),
+pq as (select depth, perm, sum(s * s / n) as q from pc group by all),
+c0 as (select pos, sum(v) as s, sum(v * v) as q, count(*) as n from lp group by 1),
+c1 as (select pos, species, sum(v) as s, count(*) as n from lp group by all), c2 as (select pos, species, caste, sum(v) as s, count(*) as n from lp group by all),
+bs as (select 0 as depth, sum(s * s / n) as b, 1 as c, sum(q) as q, max(n) as n from c0
+       union all select 1, sum(s * s / n), count(*) / 64, null, null from c1 union all select 2, sum(s * s / n), count(*) / 64, null, null from c2),
+whole as (select b as b0, q, n from bs where depth = 0),
+lev as (select x.depth, x.b - y.b as ss, x.c - y.c as df, y.b as below from bs x join bs y on x.depth = y.depth + 1),
+res as (select whole.q - b as ss, whole.n - c as df from whole, bs where depth = 2),
+hit as (select depth, (1 + count(*) filter (pq.q - below >= ss - 1e-9 * (whole.q - b0))) / 100.0 as p from pq join lev using (depth), whole group by 1)
+select cast(depth as int) as rank, case depth when 1 then 'species' else 'caste' end as source, round(lev.ss, 6) as ss, cast(lev.df as bigint) as df,
+       round(lev.ss / lev.df, 6) as ms, round(lev.ss / lev.df / (res.ss / res.df), 6) as f, round(cast(p as double), 6) as p from lev join hit using (depth), res
+union all select 3, 'Residual', round(ss, 6), cast(df as bigint), round(ss / df, 6), null, null from res"""
+
+
+@query(V.with_sql(V.PHOTO_SQL, V.POINTS_SQL, STD_SQL, *FROZEN, LONG_SQL) + PERMUTED_SQL)
 def permutation_p(spark, d):
-    return VA.nested_anova(_vectors(spark, d), ["species", "caste"], n_perm=99, seed=11)
+    table = VA.nested_anova(_vectors(spark, d), ["species", "caste"], n_perm=99, seed=11)
+    return table.select("rank", "source", _r("ss"), "df", _r("ms"), _r("f"), _r("p"))
 
 
 # --- classifier ----------------------------------------------------------------------------------
 
 
 @query(V.with_sql(V.PHOTO_SQL, V.POINTS_SQL, STD_SQL, *FROZEN, LONG_SQL) + """
-select species, pos, count(*) as n, round(avg(v), 6) + 0.0 as mean, round(var_pop(v) * count(*), 6) as scatter from lp group by 1, 2""")
+, sq as (select pos, sum(v * v) as q from lp group by 1)
+select species, pos, count(*) as n, round(avg(v), 6) + 0.0 as mean, round(any_value(q), 6) as square_sum from lp join sq using (pos) group by 1, 2""")
 def class_statistics(spark, d):
-    long = _vectors(spark, d).select("species", F.posexplode_outer("v").alias("pos", "v"))
-    return long.groupBy("species", F.col("pos").cast("long").alias("pos")).agg(
-        F.count(F.lit(1)).alias("n"), (F.round(F.avg("v"), 6) + 0.0).alias("mean"),
-        F.round(F.var_pop("v") * F.count(F.lit(1)), 6).alias("scatter"),
-    )
+    sums = LD.class_sums(_vectors(spark, d), "species", "v")
+    rows = [
+        (c, k, int(n), float(s / n), float(sums.products[k, k]))
+        for c, n, per in zip(sums.classes, sums.counts, sums.sums) for k, s in enumerate(per)
+    ]
+    frame = spark.createDataFrame(rows, "species string, pos long, n long, mean double, square_sum double")
+    return frame.select("species", "pos", "n", _r("mean"), _r("square_sum"))
+
+
+# Two scores of an aligned shape, so that discriminants have a closed form of 2 x 2 matrices.
+TWO_SQL = "sc as (select ord, inv_id, species, sum(cos(pos) * v) as s1, sum(sin(pos) * v) as s2 from lp group by all)"
+# Given gc (fold, species, n, a, b) and gp (fold, p11, p12, p22), the posteriors of sc joined with its fold.
+POSTERIOR_SQL = """
+gt as (select fold, sum(n) as n, count(*) as k, sum(a * a / n) as q11, sum(a * b / n) as q12, sum(b * b / n) as q22 from gc group by 1),
+w as (select fold, n, (p11 - q11) / (n - k) as w11, (p12 - q12) / (n - k) as w12, (p22 - q22) / (n - k) as w22 from gt join gp using (fold)),
+inv as (select fold, n, w22 / (w11 * w22 - w12 * w12) as i11, -w12 / (w11 * w22 - w12 * w12) as i12, w11 / (w11 * w22 - w12 * w12) as i22 from w),
+cls as (select fold, species, a / gc.n as m1, b / gc.n as m2, ln(gc.n / inv.n) as prior, i11, i12, i22 from gc join inv using (fold)),
+lg as (select r.ord, cls.species, m1 * (i11 * s1 + i12 * s2) + m2 * (i12 * s1 + i22 * s2) - 0.5 * (m1 * m1 * i11 + 2 * m1 * m2 * i12 + m2 * m2 * i22) + prior as l
+       from scf r join cls using (fold)),
+mx as (select ord, max(l) as top from lg group by 1)
+select ord, species as cls, round(exp(l - top) / sum(exp(l - top)) over (partition by ord), 6) + 0.0 as p from lg join mx using (ord)"""
+
+
+def _two_scores(spark, d) -> DataFrame:
+    score = lambda f: F.aggregate("v", F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("k")), lambda a, x: F.struct((a["s"] + f(a["k"]) * x).alias("s"), (a["k"] + 1).alias("k")))["s"]
+    return _vectors(spark, d).select("ord", "inv_id", "species", F.array(score(F.cos), score(F.sin)).alias("scores"))
+
+
+def _by_class(rows: DataFrame, classes: list[str]) -> DataFrame:
+    exploded = rows.select("ord", F.posexplode("proba").alias("k", "p"))
+    return exploded.select("ord", F.get(F.array(*[F.lit(c) for c in classes]), F.col("k")).alias("cls"), _r("p"))
+
+
+@query(V.with_sql(V.PHOTO_SQL, V.POINTS_SQL, STD_SQL, *FROZEN, LONG_SQL, TWO_SQL) + """
+, scf as (select *, 0 as fold from sc), gc as (select 0 as fold, species, count(*) as n, sum(s1) as a, sum(s2) as b from sc group by all),
+gp as (select 0 as fold, sum(s1 * s1) as p11, sum(s1 * s2) as p12, sum(s2 * s2) as p22 from sc),""" + POSTERIOR_SQL)
+def discriminant_posteriors(spark, d):
+    rows = _two_scores(spark, d)
+    model = LD.fit_discriminant(rows, "species")
+    kernel = lambda batch: [list_column(LD.posteriors(matrix(batch.column("scores")), model.coef, model.intercept))]
+    return _by_class(append_arrow(rows, [T.StructField("proba", DOUBLES)], kernel), model.classes)
+
+
+@query(V.with_sql(V.PHOTO_SQL, V.POINTS_SQL, STD_SQL, *FROZEN, LONG_SQL, TWO_SQL) + """
+, scf as (select *, inv_id as fold from sc),
+c as (select species, count(*) as n, sum(s1) as a, sum(s2) as b from sc group by 1),
+g as (select inv_id, species, count(*) as n, sum(s1) as a, sum(s2) as b, sum(s1 * s1) as p11, sum(s1 * s2) as p12, sum(s2 * s2) as p22 from sc group by all),
+t as (select sum(s1 * s1) as p11, sum(s1 * s2) as p12, sum(s2 * s2) as p22 from sc),
+gc as (select inv_id as fold, c.species, c.n - if(c.species = g.species, g.n, 0) as n, c.a - if(c.species = g.species, g.a, 0) as a,
+              c.b - if(c.species = g.species, g.b, 0) as b from c, g where c.n - if(c.species = g.species, g.n, 0) > 0),
+gp as (select inv_id as fold, t.p11 - g.p11 as p11, t.p12 - g.p12 as p12, t.p22 - g.p22 as p22 from g, t),""" + POSTERIOR_SQL)
+def left_out_posteriors(spark, d):
+    proba, classes = LD.leave_group_out(_two_scores(spark, d), "species", "inv_id")
+    return _by_class(proba, classes)
 
 
 def _fitted(spark, d) -> tuple[DataFrame, np.ndarray, LD.Components]:
@@ -304,11 +392,12 @@ def logo_cv(spark, d):
 
 
 @query(V.with_sql(V.PHOTO_SQL, V.POINTS_SQL, STD_SQL, *FROZEN) + """
-select species, i, round(avg(x), 6) + 0.0 as cx, round(avg(y), 6) + 0.0 as cy, count(*) as n from al join photo using (ord) group by 1, 2""")
+select species, i, round(avg(x), 6) + 0.0 as cx, round(avg(y), 6) + 0.0 as cy from al join photo using (ord) group by 1, 2""")
 def group_centroids(spark, d):
-    pts = exploded_points(frozen_aligned(spark, d), ["species"])
-    return pts.groupBy("species", F.col("i").cast("long").alias("i")).agg(
-        (F.round(F.avg("px"), 6) + 0.0).alias("cx"), (F.round(F.avg("py"), 6) + 0.0).alias("cy"), F.count(F.lit(1)).alias("n"))
+    model = _model(spark, d)
+    data = V.shapes(spark, d).select(F.col("ord").alias("tps_id"), "species", "device_type", "x", "y")
+    tables = TR.classification_report(model, P.with_correctness(LD.predict(model, data), "species", F.col("species")), data)
+    return tables["centroids"].select(F.col("grp").alias("species"), F.col("i").cast("long").alias("i"), _r("x").alias("cx"), _r("y").alias("cy"))
 
 
 # --- numbering ---------------------------------------------------------------------------------------
@@ -385,7 +474,7 @@ def renumber_statuses(spark, d):
     clouds, ref = _clouds(spark, d)
     biology = V.photos(spark, d).groupBy("inv_id").agg(F.min("species").alias("species"))
     # the deformation is noise of one size, so no specimen stands out from its species
-    return N.renumber(clouds, ref, biology, max_iter=20).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+    return N.renumber(clouds, ref, biology).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query()

@@ -489,6 +489,12 @@ def duplicate_groups(spark, d):
     return M.duplicate_groups(_scan(spark, d), "stem")
 
 
+@query(V.with_sql(V.SCAN_SQL, SCANNED) + """
+select content_hash, stem, count(*) over (partition by content_hash) as n_copies from parsed qualify count(*) over (partition by content_hash) > 1""")
+def duplicate_members(spark, d):
+    return M.duplicate_members(_scan(spark, d), "stem")
+
+
 @query("""
 select l_orderkey, l_linenumber, n_rows, n_failed from (
   select l_orderkey, l_linenumber, count(*) as n_rows, count(*) - 1 + 0 * count(*) as n_failed from lineitem group by 1, 2)""")

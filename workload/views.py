@@ -47,6 +47,22 @@ pts as (
   from embeddings, range(32) t(i))
 """
 
+#: Shapes near one template, so that the consensus settles; every fiftieth is far off it in three fifths of its points.
+_NEAR = "cos(2 * pi() * i / 32) * (1 + 0.3 * (i % 3)) + {w} * {x}", "sin(2 * pi() * i / 32) * (1 + 0.3 * (i % 3)) + {w} * {y}"
+_NEAR_WEIGHT = "case when vec_id % 50 = 7 and i % 5 < 3 then 2.0e0 else 0.02e0 end"
+
+
+def near_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x, y = (t.format(w=_NEAR_WEIGHT, x="cast(embedding[2 * i] as double)", y="cast(embedding[2 * i + 1] as double)") for t in _NEAR)
+    return table(spark, sf_dir, "embeddings").selectExpr(
+        *PHOTO_COLUMNS, "32 as n_points", f"transform(sequence(0, 31), i -> {x}) as x", f"transform(sequence(0, 31), i -> {y}) as y"
+    )
+
+
+NEAR_POINTS_SQL = "pts as (select vec_id as ord, i, {} as x, {} as y from embeddings, range(32) t(i))".format(
+    *(t.format(w=_NEAR_WEIGHT, x="cast(embedding[2 * i + 1] as double)", y="cast(embedding[2 * i + 2] as double)") for t in _NEAR)
+)
+
 LOG_SQL = """
 log as (
   select event_id as ord, user_id as photo_key,
