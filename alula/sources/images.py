@@ -23,17 +23,21 @@ def _glob() -> str:
 def scan_files(spark: SparkSession, folder: str) -> DataFrame:
     """path, file_size_bytes, content_hash and ext of every image below a folder.
 
-    Content is dropped right after hashing and never shuffled."""
+    Content is dropped right after hashing and never shuffled. Every listed file gives a row: one that vanishes or
+    cannot be read before it is hashed has size -1 and no hash."""
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", _glob())
         .option("ignoreMissingFiles", True)
+        .option("ignoreCorruptFiles", True)
         .load(folder)
     )
+    hashed = files.select("path", F.col("length").alias("n"), S.content_hash(F.col("content")).alias("content_hash"))
     local = F.regexp_replace("path", "^file:/+", "/")
-    return files.select(
-        local.alias("path"), F.col("length").alias("file_size_bytes"), S.content_hash(F.col("content")).alias("content_hash")
+    every = files.select("path").join(hashed, "path", "left")  # listing opens no file
+    return every.select(
+        local.alias("path"), F.coalesce("n", F.lit(-1)).cast("long").alias("file_size_bytes"), "content_hash"
     ).withColumn("ext", S.path_extension(F.col("path")))
 
 
@@ -46,7 +50,7 @@ def scan_root(spark: SparkSession, folder: str, source_type: str, photographer_s
     files = files.withColumn("source_type", F.lit(source_type)).withColumn("photographer", photographer).withColumn(
         "root_ord", F.lit(root_ord)
     )
-    return scan_records(files, S.path_stem(F.col("raw_path")))
+    return scan_records(files, S.path_stem(F.col("raw_path")), F.col("content_hash").isNotNull())
 
 
 def scan_roots(spark: SparkSession, roots: Sequence[Mapping]) -> DataFrame:

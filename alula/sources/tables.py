@@ -20,19 +20,34 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def move_path(spark: SparkSession, source: str, target: str) -> None:
-    """Replaces ``target`` by ``source``."""
+    """Replaces ``target`` by ``source``. The old table is kept beside it until the new one is in place."""
     path = spark._jvm.org.apache.hadoop.fs.Path
     system = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
-    system.delete(path(target), True)
+    old = target.rstrip("/") + "__old"
+    if system.exists(path(target)):
+        system.delete(path(old), True)
+        if not system.rename(path(target), path(old)):
+            raise OSError(f"could not put {target} aside")
     if not system.rename(path(source), path(target)):
+        system.rename(path(old), path(target))
         raise OSError(f"could not move {source} to {target}")
+    system.delete(path(old), True)
+
+
+def restore_interrupted(spark: SparkSession, target: str) -> None:
+    """Puts the old table back if a replacement stopped between its two moves."""
+    old = target.rstrip("/") + "__old"
+    if path_exists(spark, old) and not path_exists(spark, target):
+        path = spark._jvm.org.apache.hadoop.fs.Path
+        path(target).getFileSystem(spark._jsc.hadoopConfiguration()).rename(path(old), path(target))
 
 
 def read_text_table(spark: SparkSession, path: str | Sequence[str], order: bool = False) -> DataFrame:
     """CSV with header, all columns text, blanks as NULL, a leading BOM ignored.
 
-    ``order`` adds ``ord``, increasing in file order within each split."""
-    raw = spark.read.option("header", True).option("escape", '"').option("multiLine", False).csv(
+    Quoted fields may hold line breaks, so a file is read whole by one task. ``order`` adds ``ord``, increasing in
+    file order within each file."""
+    raw = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(
         path if isinstance(path, str) else list(path)
     )
     names = [c.lstrip("﻿") for c in raw.columns]
@@ -84,6 +99,7 @@ def update_step_stats(
         F.round(mean, 4).alias("mean_time_s"), F.round(F.lit(float(total_time_s)), 4).alias("total_time_s"),
         F.lit(now).alias("updated_at"),
     )
+    restore_interrupted(spark, path)
     existing = spark.read.parquet(path) if path_exists(spark, path) else spark.createDataFrame([], STEP_STATS)
     merged = pinned(upsert(with_columns(existing, STEP_STATS), with_columns(row, STEP_STATS), ["step", "approach"]))
     replace_table(merged, path)

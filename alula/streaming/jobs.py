@@ -35,12 +35,13 @@ def _append(stream: DataFrame, target: str) -> None:
 
 
 def run_landmark_ingest(spark: SparkSession, folder: str, target: str) -> DataFrame:
-    """Usable blocks of new landmark files appended to a table; files already seen are not read again."""
-    parsed = parse_blocks(stream_blocks(spark, folder)).filter("usable")
-    rows = parsed.select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in LANDMARKS.fields if f.name != "ord"]
-    )
-    _append(rows, target)
+    """Usable blocks of new landmark files appended to a table; files already seen are not read again.
+
+    What is wrong with the other blocks goes to the table ``<target>__errors``: source, place of the block, line and message."""
+    fields = [F.col(f.name).cast(f.dataType).alias(f.name) for f in LANDMARKS.fields if f.name != "ord"]
+    _append(parse_blocks(stream_blocks(spark, folder)).filter("usable").select(*fields), target)
+    faults = parse_blocks(stream_blocks(spark, folder)).select("source", "start", "pos", F.explode("problems").alias("p"))
+    _append(faults.select("source", "start", "pos", "p.line_in_block", "p.message"), f"{target}__errors")
     return spark.read.parquet(target)
 
 
