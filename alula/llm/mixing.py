@@ -17,14 +17,13 @@ to no document, are ignored; a document with several labels counts once for each
 
 from __future__ import annotations
 
-import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from alula.llm.common import Remembered, extended, slices, unit_hash, written
@@ -34,14 +33,21 @@ SAMPLE_ROWS, SAMPLE_CHARS = 2000, 100_000
 WORD_BUCKETS, SHAPE_BUCKETS = 1 << 14, 1 << 8
 FEATURES = WORD_BUCKETS + SHAPE_BUCKETS
 WORD_CACHE = 300_000
-MAX_STEPS, TOLERANCE, RIDGE = 60, 1e-5, 1e-3
+MAX_STEPS, TOLERANCE, RIDGE = 60, 1e-6, 1e-3
 
 
 def _word_buckets(word: str) -> int:
-    """Bucket of the word and of its shape (Aa0 for letters and digits, runs joined), as one number."""
-    shape = re.sub(r"(.)\1+", r"\1", re.sub(r"[^\W\d_]", lambda m: "A" if m[0].isupper() else "a", re.sub(r"\d", "0", word)))
-    value = xxhash.xxh3_64_intdigest(word.lower().encode("utf-8", "surrogatepass")) % WORD_BUCKETS
-    return value * SHAPE_BUCKETS + xxhash.xxh3_64_intdigest(shape.encode("utf-8", "surrogatepass")) % SHAPE_BUCKETS
+    """Bucket of the word in lower case and of its shape, as one number.
+
+    A shape is the case of the word, whether it has digits, and the last characters that are neither letters nor digits."""
+    lower = word.lower()
+    case = 0 if word == lower else 1 if word[1:] == lower[1:] else 2 if word == word.upper() else 3
+    end = len(word)
+    while end and not word[end - 1].isalnum() and len(word) - end < 3:
+        end -= 1
+    shape = f"{case}{'0' if word.isalpha() else '1' if any(map(str.isdigit, word)) else '2'}{word[end:]}"
+    value = zlib.crc32(lower.encode("utf-8", "surrogatepass")) % WORD_BUCKETS
+    return value * SHAPE_BUCKETS + zlib.crc32(shape.encode("utf-8", "surrogatepass")) % SHAPE_BUCKETS
 
 
 _buckets = Remembered(_word_buckets, WORD_CACHE)
@@ -195,21 +201,21 @@ def fit_rates(members: DataFrame, domains: list[str], targets: dict[str, float],
     return fit
 
 
-def with_copies(docs: DataFrame, model: DomainModel, fit: RateFit, keep: list[str], id_column: Column) -> DataFrame:
-    """``keep`` columns with __n_tokens, __domain (the likeliest), __rate and __copies of every row."""
+def with_copies(members: DataFrame, fit: RateFit, id_column: str = "doc_id") -> DataFrame:
+    """The rows of ``members`` with __domain (the likeliest), __rate and __copies instead of __posterior."""
+    names = [c for c in members.columns if c != "__posterior"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, k = batch.num_rows, len(fit.domains)
             p = batch.column("__posterior").flatten().to_numpy(zero_copy_only=False).reshape(n, k)
-            names = [c for c in batch.schema.names if c != "__posterior"]
-            rates = fit.points(p)[0]
             best = [fit.domains[i] for i in p.argmax(axis=1)] if k else [None] * n
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(best, pa.string()), pa.array(rates, pa.float64())], [*names, "__domain", "__rate"])
+            columns = [*[batch.column(c) for c in names], pa.array(best, pa.string()), pa.array(fit.points(p)[0], pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, [*names, "__domain", "__rate"])
 
-    found = memberships(docs, model, keep)
-    schema = extended(found.drop("__posterior").schema, "__domain string, __rate double")
-    draw = (unit_hash(id_column, seed=22) < F.col("__rate") - F.floor("__rate")).cast("int")
-    return found.mapInArrow(run, schema).withColumn("__copies", F.floor("__rate").cast("int") + draw)
+    schema = extended(members.select(*names).schema, "__domain string, __rate double")
+    draw = (unit_hash(F.col(id_column), seed=22) < F.col("__rate") - F.floor("__rate")).cast("int")
+    return members.mapInArrow(run, schema).withColumn("__copies", F.floor("__rate").cast("int") + draw)
 
 
 #: Domains of the labelled table and the mixture that is aimed at.
@@ -222,15 +228,15 @@ def label_domains(labels: DataFrame) -> DataFrame:
     return labels.select("doc_id", domain.alias("domain"))
 
 
-def fit_mixture(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> tuple[DomainModel, RateFit]:
-    """The classifier, and the rates fitted over all documents."""
+def fit_mixture(docs: DataFrame, labels: DataFrame, keep: list[str], targets: dict[str, float] | None = None) -> tuple[DataFrame, RateFit]:
+    """The written memberships of all documents with ``keep`` columns, so that texts are scored once, and the rates."""
     model = train_domains(docs, labels)
-    members = written(memberships(docs, model, []), "memberships")
-    return model, fit_rates(members, model.domains, targets or TARGETS)
+    members = written(memberships(docs, model, keep), "memberships")
+    return members, fit_rates(members, model.domains, targets or TARGETS)
 
 
 def mixed_rows(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
     """The rows of ``docs``, each as often as its copies, with the columns of ``docs``."""
-    model, fit = fit_mixture(docs, labels, targets)
-    rows = with_copies(docs, model, fit, docs.columns, F.col("doc_id"))
-    return rows.where("__copies > 0").withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col("__copies")))).select(*docs.columns)
+    members, fit = fit_mixture(docs, labels, docs.columns, targets)
+    rows = with_copies(members, fit).where("__copies > 0")
+    return rows.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col("__copies")))).select(*docs.columns)

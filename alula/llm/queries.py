@@ -82,8 +82,7 @@ def language_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_soft_mixing")
 def mixing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id")))
-    model, fit = mixing.fit_mixture(docs, mixing.label_domains(labels))
-    rows = mixing.with_copies(docs, model, fit, ["doc_id", "source"], F.col("doc_id"))
+    rows = mixing.with_copies(*mixing.fit_mixture(docs, mixing.label_domains(labels), ["doc_id", "source"]))
     return rows.select("doc_id", "source", *[F.col(f"__{c}").alias(c) for c in ("n_tokens", "domain", "rate", "copies")])
 
 
