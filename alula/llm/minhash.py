@@ -7,9 +7,10 @@ signatures by bit counts, corrected for the chance that low bits agree (2^-BITS)
 five standard errors below the threshold go, the others are confirmed on the full sets. A pair at 0.75 exactly shares
 no band with probability 5e-6.
 
-Nothing grows with the square of a group. Equal sets are one class, represented by its smallest id. In a bucket,
-members are first compared with one of them; then only members of *different* components found so far meet,
-and a pair is made only if its estimate passes. Pairs within a component cannot change the result.
+Groups are not compared pair by pair. Equal sets are one class, represented by its smallest id. In a bucket, members are
+first compared with its centre, the one that meets most others in all buckets. Then only members of *different* components
+found so far meet, with signatures of ``FINE_HASHES`` single bits, and a pair is made only if its estimate passes. Pairs
+within a component cannot change the result.
 
 Nulls count as empty. Documents without words are linked with nothing. Rows that share an id count as linked. A row
 without an id is linked with nothing, stays, and has no component.
@@ -25,34 +26,29 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from alula.llm.common import slices, without_rows, written
+from alula.llm.common import Remembered, slices, without_rows, written
 from alula.llm.components import connected_components
 
 SHINGLE = 5
 HASHES, BANDS, BITS = 128, 32, 4
+#: Minima of which one bit each is kept for the documents whose buckets stay mixed.
+FINE_HASHES, FINE_BITS = 2048, 1
 ROWS = HASHES // BANDS
 #: Similarity threshold in hundredths.
 THRESHOLD = 75
-#: Distinct words a worker remembers before it starts afresh.
+#: Words a worker remembers are at most twice these.
 WORD_CACHE = 400_000
 
 _rng = np.random.default_rng(20250607)
 _FACTORS = _rng.integers(1, 1 << 32, HASHES, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
 _SHIFTS = _rng.integers(0, 1 << 32, HASHES, dtype=np.uint64).astype(np.uint32)
+_FINE_FACTORS = np.random.default_rng(20250608).integers(1, 1 << 32, FINE_HASHES, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
 _PLACES = _rng.integers(1, 1 << 63, SHINGLE, dtype=np.uint64) | np.uint64(1)
 _BAND_SEEDS = _rng.integers(1, 1 << 63, BANDS, dtype=np.uint64)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORD_CACHE:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_words = _WordHashes()
+_words = Remembered(xxhash.xxh3_64_intdigest, WORD_CACHE)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -76,19 +72,19 @@ def shingle_set(text: bytes | None) -> np.ndarray:
     return np.unique(_mixed(h))
 
 
-def minima(shingles: np.ndarray) -> np.ndarray:
-    """``HASHES`` minima of a non-empty set, a block of shingles at a time."""
-    low = np.full(HASHES, 0xFFFFFFFF, dtype=np.uint32)
-    for at in range(0, len(shingles), 2048):
-        part = (shingles[at : at + 2048] >> np.uint64(17)).astype(np.uint32)
-        np.minimum(low, (np.multiply.outer(_FACTORS, part) ^ _SHIFTS[:, None]).min(axis=1), out=low)
+def minima(shingles: np.ndarray, factors: np.ndarray = _FACTORS, shifts: np.ndarray = _SHIFTS, block: int = 2048) -> np.ndarray:
+    """One minimum per factor of a non-empty set, a block of shingles at a time."""
+    low = np.full(len(factors), 0xFFFFFFFF, dtype=np.uint32)
+    for at in range(0, len(shingles), block):
+        part = (shingles[at : at + block] >> np.uint64(17)).astype(np.uint32)
+        np.minimum(low, (np.multiply.outer(factors, part) ^ shifts[:, None]).min(axis=1), out=low)
     return low
 
 
-def packed(low: np.ndarray) -> np.ndarray:
-    """The lowest BITS bits of (scrambled) minima, 64 // BITS of them in each long."""
-    bits = ((low * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS)).astype(np.uint64).reshape(-1, 64 // BITS)
-    return (bits << (np.arange(64 // BITS, dtype=np.uint64) * np.uint64(BITS))).sum(axis=1, dtype=np.uint64).view(np.int64)
+def packed(low: np.ndarray, bits: int = BITS) -> np.ndarray:
+    """The lowest bits of (scrambled) minima, 64 // bits of them in each long."""
+    fields = ((low * np.uint32(0x9E3779B1)) >> np.uint32(32 - bits)).astype(np.uint64).reshape(-1, 64 // bits)
+    return (fields << (np.arange(64 // bits, dtype=np.uint64) * np.uint64(bits))).sum(axis=1, dtype=np.uint64).view(np.int64)
 
 
 def band_keys(low: np.ndarray) -> np.ndarray:
@@ -121,27 +117,39 @@ def signatures(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_signature_rows, schema)
 
 
-def estimated_similarity(a: Column, b: Column) -> Column:
-    """Collision-corrected similarity of two packed signatures: differing b-bit fields are counted with ``bit_count``."""
-    ones = sum(1 << (BITS * i) for i in range(64 // BITS))
+def estimated_similarity(a: Column, b: Column, hashes: int = HASHES, bits: int = BITS) -> Column:
+    """Collision-corrected similarity of two packed signatures: differing fields are counted with ``bit_count``."""
+    ones = sum(1 << (bits * i) for i in range(64 // bits))
+    ones -= (ones >> 63) << 64
     differing = F.lit(0)
-    for i in range(HASHES * BITS // 64):
-        x = a[i].bitwiseXOR(b[i])
-        folded = x
-        for s in range(1, BITS):
+    for i in range(hashes * bits // 64):
+        folded = x = a[i].bitwiseXOR(b[i])
+        for s in range(1, bits):
             folded = folded.bitwiseOR(F.shiftrightunsigned(x, s))
-        differing = differing + F.bit_count(folded.bitwiseAND(F.lit(ones)))
-    agree = 1 - differing / HASHES
-    chance = 2.0**-BITS
+        differing = differing + F.bit_count(folded.bitwiseAND(F.lit(ones)) if bits > 1 else folded)
+    agree = 1 - differing / hashes
+    chance = 2.0**-bits
     return (agree - chance) / (1 - chance)
 
 
-def plausible(a: str, b: str) -> Column:
+def plausible(a: str, b: str, column: str = "signature", hashes: int = HASHES, bits: int = BITS) -> Column:
     """The pair's sizes allow the threshold and its estimate is at most five standard errors below it."""
-    t = THRESHOLD / 100
-    error = (t * (1 - t) / HASHES) ** 0.5 / (1 - 2.0**-BITS)
+    t, chance = THRESHOLD / 100, 2.0**-bits
+    agree = chance + (1 - chance) * t
+    error = (agree * (1 - agree) / hashes) ** 0.5 / (1 - chance)
     small, large = F.least(f"{a}.n_shingles", f"{b}.n_shingles"), F.greatest(f"{a}.n_shingles", f"{b}.n_shingles")
-    return (small * 100 >= large * THRESHOLD) & (estimated_similarity(F.col(f"{a}.signature"), F.col(f"{b}.signature")) >= t - 5 * error)
+    near = estimated_similarity(F.col(f"{a}.{column}"), F.col(f"{b}.{column}"), hashes, bits) >= t - 5 * error
+    return (small * 100 >= large * THRESHOLD) & near
+
+
+def _fine_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    shifts = np.zeros(1, dtype=np.uint32)
+    for batch in slices(batches):
+        sets = [shingle_set(t) for t in batch.column("text").cast(pa.binary()).to_pylist()]
+        fine = [packed(minima(s, _FINE_FACTORS, shifts, 256), FINE_BITS) for s in sets]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(fine, pa.list_(pa.int64()))], ["id", "n_shingles", "fine"]
+        )
 
 
 def _confirmed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,23 +184,30 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def near_links(reps: DataFrame, docs: DataFrame) -> DataFrame:
     """Confirmed links (a, b) that connect all near-duplicate classes; ``reps`` has one signature row per class."""
     entries = reps.select("id", F.explode("bands").alias("key"))
-    order = F.struct(F.xxhash64("id"), "id")
-    buckets = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first")).where("n > 1")
-    members = written(entries.join(buckets.select("key", F.col("first.id").alias("first")), "key"), "buckets")
-    wanted = members.select(F.col("id").alias("doc_id")).distinct()
-    texts = written(docs.join(wanted.hint("shuffle_hash"), "doc_id", "left_semi").select(F.col("doc_id").alias("id"), "text").dropDuplicates(["id"]), "bucket-texts")
-    marks = written(reps.join(members.select("id").distinct(), "id", "left_semi").select("id", "n_shingles", "signature"), "bucket-marks")
-
-    stars = members.where("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b")).distinct()
+    shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = written(entries.join(shared, "key"), "buckets")
+    wanted = members.groupBy("id").agg(F.sum("n").alias("weight"))
+    held = docs.join(wanted.select(F.col("id").alias("doc_id")).hint("shuffle_hash"), "doc_id", "left_semi")
+    texts = written(held.select(F.col("doc_id").alias("id"), "text").dropDuplicates(["id"]), "bucket-texts")
+    marks = written(reps.join(wanted.select("id"), "id", "left_semi").select("id", "n_shingles", "signature"), "bucket-marks")
+
+    ranked = members.join(wanted, "id").select("key", "id", "weight")
+    centres = ranked.groupBy("key").agg(F.max_by("id", F.struct("weight", "id")).alias("centre"))
+    stars = members.join(centres, "key").where("id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b")).distinct()
     likely = stars.join(marks.alias("x"), F.col("a") == F.col("x.id")).join(marks.alias("y"), F.col("b") == F.col("y.id")).where(plausible("x", "y"))
     first = written(confirmed(likely.select("a", "b"), texts), "near-links")
 
     found = connected_components(first)
     placed = members.join(found, members["id"] == found["node"], "left").select("key", "id", F.coalesce("component", "id").alias("component"))
     mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
-    rest = written(placed.join(mixed, "key").join(marks, "id"), "mixed-buckets")
-    meet = rest.alias("x").join(rest.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component")) & plausible("x", "y"))
-    crossing = written(meet.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct(), "crossing-pairs")
+    rest = written(placed.join(mixed, "key"), "mixed-buckets")
+    fine = texts.join(rest.select("id").distinct(), "id", "left_semi").mapInArrow(_fine_rows, "id long, n_shingles long, fine array<long>")
+    rest = written(rest.join(fine, "id").join(reps.select("id", "bands"), "id"), "mixed-marks")
+    # The cheaper test comes first; a pair is made in the first bucket that it shares only.
+    near = plausible("x", "y", "fine", FINE_HASHES // 4, FINE_BITS) & plausible("x", "y", "fine", FINE_HASHES, FINE_BITS)
+    near = near & (F.element_at(F.array_intersect("x.bands", "y.bands"), 1) == F.col("x.key"))
+    meet = rest.alias("x").join(rest.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component")) & near)
+    crossing = written(meet.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")), "crossing-pairs")
     if crossing.isEmpty():
         return first
     return first.union(written(confirmed(crossing, texts), "near-links"))
