@@ -72,6 +72,8 @@ class DomainModel:
     weights: np.ndarray  # (FEATURES + 1) x domains, the last row holds intercepts
 
     def posterior(self, at: np.ndarray, values: np.ndarray) -> np.ndarray:
+        if not self.domains:
+            return np.zeros(0)
         z = values @ self.weights[at] + self.weights[-1]
         e = np.exp(z - z.max())
         return e / e.sum()
