@@ -5,8 +5,14 @@ landmark has, and is normalised to 1 for equal sets. Landmarks are texts of the
 sends a text to ``k(text, landmarks) K^-1/2``; one ridge regression per language (that language +1, the others -1)
 is solved on it. A batch is scored by one product of its presence matrix with the landmarks' n-gram weights.
 
+The regressions add up to the same number for every text, so they compare languages but cannot tell that none fits. That is
+told by a text's n-gram log-likelihood, per letter, in windows, each under the language that explains it best. Every
+language is measured from the median of its own sample texts, each taken without its own n-grams. A text that lies beyond
+``TO_SHUFFLED`` of the way to the sample with its letters shuffled, and too far below for its length (``FAR_BELOW``), is
+claimed by no language and has score 0; this leaves room for names, code and foreign lines in a text. Where fewer than ``LEAST_MEASURED`` texts can be measured, any shared n-gram is a claim.
+
 Texts are lower-cased, whatever is no letter becomes a blank, and blanks in a row count as one. Null texts and texts
-without a letter get ``und`` with score 0; a text that shares no n-gram with a landmark gets the commonest language
+without a letter get ``und`` with score 0; a text that shares no n-gram of letters with a landmark gets the commonest language
 with score 0. Very long texts are read piece by piece, whole. Labels are learnt from a bounded sample only
 (``SAMPLE_ROWS`` and ``SAMPLE_CHARS``); null labels and null ids teach nothing.
 """
@@ -31,6 +37,9 @@ LETTERS, SHARED = 80, 15
 SYMBOLS = 1 + LETTERS + SHARED
 RIDGE = 1e-2
 PIECE = 1 << 18
+#: Letters that one language has to explain; robust deviations of as many letters that a text may stay below; its share of the way to
+#: shuffled letters; texts to measure by.
+WINDOW, FAR_BELOW, TO_SHUFFLED, LEAST_MEASURED = 128, 10.0, 0.75, 8
 
 
 @dataclass
@@ -40,6 +49,10 @@ class SpectrumModel:
     slots: np.ndarray  # n-gram codes, sorted; their places are columns of the presence matrix
     weights: np.ndarray  # slots x languages
     ridge: float = RIDGE
+    familiar: np.ndarray | None = field(default=None, repr=False)  # languages x (slots and unknown): log-likelihoods
+    centres: np.ndarray | None = None  # log-likelihood of a letter in the median text of each language
+    slack: float = np.inf  # how far below a text may stay
+    by_letter: float = 0.0  # robust deviation of a letter
     lookup: np.ndarray | None = field(default=None, repr=False)
     slot_of: np.ndarray | None = field(default=None, repr=False)
 
@@ -63,27 +76,117 @@ def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
 
 
-def gram_codes(text: str, lookup: np.ndarray) -> Iterator[np.ndarray]:
-    """Codes of all 1-, 2- and 3-grams of a text, piece by piece."""
+def symbols(text: str, lookup: np.ndarray) -> Iterator[np.ndarray]:
+    """Symbols of a text between blanks, piece by piece."""
     for at in range(0, max(len(text), 1), PIECE):
         s = lookup[code_points(text[max(0, at - 2) : at + PIECE])]
         s = s[np.concatenate(([True], (s[1:] != 0) | (s[:-1] != 0)))] if len(s) else s
-        s = np.concatenate(([0], s, [0])).astype(np.int32)
-        two = s[:-1] * SYMBOLS + s[1:]
-        yield s + SYMBOLS**3 + SYMBOLS**2
-        yield two + SYMBOLS**3
-        yield two[:-1] * SYMBOLS + s[2:]
+        yield np.concatenate(([0], s, [0])).astype(np.int32)
+
+
+def grams(s: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes of the 1-, 2- and 3-grams of a piece."""
+    two = s[:-1] * SYMBOLS + s[1:]
+    return s + SYMBOLS**3 + SYMBOLS**2, two + SYMBOLS**3, two[:-1] * SYMBOLS + s[2:]
+
+
+def gram_codes(text: str, lookup: np.ndarray) -> Iterator[np.ndarray]:
+    """Codes of all 1-, 2- and 3-grams of a text, piece by piece."""
+    for s in symbols(text, lookup):
+        yield from grams(s)
+
+
+def read_text(text: str, model: SpectrumModel, row: np.ndarray) -> Iterator[np.ndarray]:
+    """Marks a text's slots in ``row``; yields the slots of each letter (alone, after its neighbour, between both), -1 if unknown."""
+    for s in symbols(text, model.lookup):
+        one, two, three = (model.slot_of[codes] for codes in grams(s))
+        for at in (one, two, three):
+            row[at[at >= 0]] = 1.0
+        letters = np.flatnonzero(s[1:-1])
+        yield np.stack([one[1:-1][letters], two[:-1][letters], three[letters]])
 
 
 def presence(texts: list[str], model: SpectrumModel) -> np.ndarray:
     """One row per text: 1 where it has the n-gram, scaled to unit length."""
     out = np.zeros((len(texts), len(model.slots)), dtype=np.float32)
     for row, text in zip(out, texts):
-        for codes in gram_codes(text, model.lookup):
-            at = model.slot_of[codes]
-            row[at[at >= 0]] = 1.0
-    size = np.sqrt(out.sum(axis=1, keepdims=True))
-    return out / np.maximum(size, 1.0)
+        for _ in read_text(text, model, row):
+            pass
+    return unit_length(out)
+
+
+def unit_length(rows: np.ndarray) -> np.ndarray:
+    return rows / np.maximum(np.sqrt(rows.sum(axis=1, keepdims=True)), 1.0)
+
+
+def windows(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums over windows of letters, and the letters in each."""
+    starts = np.arange(0, len(values), WINDOW)
+    return np.add.reduceat(values, starts), np.diff(np.append(starts, len(values)))
+
+
+def fit_claims(model: SpectrumModel, texts: list[str], labels: list[str]) -> None:
+    """Log-likelihoods of the n-grams in each language, and how far the sample's texts stay from their language's median."""
+    place = {c: i for i, c in enumerate(model.languages)}
+    scratch = np.zeros(len(model.slots), dtype=np.float32)
+    counts = np.zeros((len(place), len(model.slots) + 1), dtype=np.float64)
+    sizes = np.zeros(len(place), dtype=np.int64)
+    for text, label in zip(texts, labels):
+        for at in read_text(text, model, scratch):
+            counts[place[label]] += np.bincount(at.ravel() + 1, minlength=counts.shape[1])[np.r_[1 : counts.shape[1], 0]]
+            sizes[place[label]] += at.shape[1]
+    counts[:, -1] = 0
+    model.familiar = np.log((counts + 0.5) / (sizes + 1)[:, None]).astype(np.float32)
+    means: list[list[float]] = [[] for _ in place]
+    parts: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in place]
+    for text, label in zip(texts, labels):
+        k, found = place[label], list(read_text(text, model, scratch))
+        at = np.hstack(found)
+        n = at.shape[1]
+        if not n or n == sizes[k]:
+            continue
+        slots, back, own = np.unique(at.ravel(), return_inverse=True, return_counts=True)
+        left = np.where(slots >= 0, counts[k, slots] - own, 0)
+        values = np.log((left + 0.5) / (sizes[k] - n + 1))[back].reshape(3, -1).sum(axis=0)
+        means[k].append(values.mean())
+        parts[k].append(windows(values))
+    measured = [k for k, m in enumerate(means) if m]
+    centres = {k: float(np.median(means[k])) for k in measured}
+    rest = np.median(list(centres.values())) if centres else 0.0
+    model.centres = np.array([centres.get(k, rest) for k in range(len(place))], dtype=np.float64)
+    if sum(map(len, means)) < LEAST_MEASURED:
+        return
+    rng = np.random.default_rng(9)
+    shuffled = [explained(list(read_text(shuffle_letters(x[: 16 * WINDOW], rng), model, scratch)), model)[0] for x in texts if has_letter(x[: 16 * WINDOW])]
+    letters_off = np.concatenate([(s / n - centres[k]) * np.sqrt(n) for k in measured for s, n in parts[k]])
+    model.slack = max(0.0, -float(np.median(shuffled)) * TO_SHUFFLED)
+    model.by_letter = 1.4826 * float(np.median(np.abs(letters_off)))
+
+
+def shuffle_letters(text: str, rng: np.random.Generator) -> str:
+    """The text with its letters in random order, blanks and signs in place."""
+    at = [i for i, c in enumerate(text) if c.isalpha()]
+    out = list(text)
+    for i, j in zip(at, rng.permutation(at).tolist()):
+        out[i] = text[j]
+    return "".join(out)
+
+
+def explained(parts: list[np.ndarray], model: SpectrumModel) -> tuple[float, int]:
+    """Log-likelihood of a letter, from the centre of the language that explains its window best, and the number of letters."""
+    total, letters = 0.0, 0
+    for at in parts:
+        if at.shape[1]:
+            sums, n = zip(*(windows(f[at].sum(axis=0, dtype=np.float64)) for f in model.familiar))
+            total += float((np.array(sums) - model.centres[:, None] * n[0]).max(axis=0).sum())
+            letters += at.shape[1]
+    return total / max(letters, 1), letters
+
+
+def claimed(parts: list[np.ndarray], model: SpectrumModel) -> bool:
+    """Whether learnt languages explain a text's letters nearly as well as their own sample texts."""
+    value, letters = explained(parts, model)
+    return letters > 0 and value >= -max(model.slack, FAR_BELOW * model.by_letter / letters**0.5)
 
 
 def has_letter(text: str | None) -> bool:
@@ -125,6 +228,7 @@ def fit_spectrum(texts: list[str], labels: list[str], landmarks: int = LANDMARKS
     penalty[-1, -1] = 1e-9
     solved = np.linalg.solve(gram + penalty, moment)
     model.weights = np.vstack([base.T @ root @ solved[:-1], solved[-1:]]).astype(np.float32)
+    fit_claims(model, texts, labels)
     return model
 
 
@@ -162,12 +266,16 @@ def predict_language(texts: list[str | None], model: SpectrumModel) -> tuple[lis
         return langs, scores
     for k in range(0, len(at), 64):
         part = at[k : k + 64]
-        p = presence([texts[i] for i in part], model)
-        f = p @ model.weights[:-1] + model.weights[-1]
-        best = f.argmax(axis=1)
-        known = p.any(axis=1)
-        for i, b, v, ok in zip(part, best, f.max(axis=1), known):
-            langs[i], scores[i] = (model.languages[b], min(1.0, max(0.0, (float(v) + 1) / 2))) if ok else (model.languages[0], 0.0)
+        rows = np.zeros((len(part), len(model.slots)), dtype=np.float32)
+        known, fits = [], []
+        for row, i in zip(rows, part):
+            read = list(read_text(texts[i], model, row))
+            known.append(any((x >= 0).any() for x in read))
+            fits.append(known[-1] and claimed(read, model))
+        f = unit_length(rows) @ model.weights[:-1] + model.weights[-1]
+        for i, v, some, fit in zip(part, f, known, fits):
+            langs[i] = model.languages[v.argmax() if some else 0]
+            scores[i] = min(1.0, max(0.0, (float(v.max()) + 1) / 2)) if fit else 0.0
     return langs, scores
 
 

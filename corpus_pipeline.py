@@ -10,8 +10,6 @@ from alula.llm import exact_dedup, language_id, minhash, mixing, pieces
 from alula.llm.common import held_out, written
 from alula.session import ship_package
 
-#: A language is rejected when not even its best regression speaks for it.
-LEAST_LANGUAGE_SCORE = 0.25
 #: A vocabulary file of the public tokenizers.
 PIECE_MODEL = "piece_bpe_32k.model"
 
@@ -21,7 +19,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     ship_package(spark)
     model = language_id.train_language_id(docs, ~held_out(F.col("doc_id")))
     found = language_id.identify_languages(docs, model, docs.columns)
-    good = (F.col("__lang_pred") != language_id.UNDETERMINED) & (F.col("__score") >= LEAST_LANGUAGE_SCORE)
+    good = (F.col("__lang_pred") != language_id.UNDETERMINED) & (F.col("__score") > 0)
     return found.where(good).select(*docs.columns)
 
 

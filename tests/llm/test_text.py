@@ -153,6 +153,25 @@ def test_languages_are_told_apart(documents):
     assert {r["__lang_pred"] for r in language_id.identify_languages(docs, empty, ["doc_id"]).collect()} == {"und"}
 
 
+@pytest.mark.parametrize("languages", [["xx"], ["xx", "yy"], ["xx", "yy", "zz"]])
+def test_texts_in_no_learnt_language_are_rejected(documents, spark, languages):
+    import corpus_pipeline
+
+    rng = random.Random(15)
+    rows = [(i, _speech(rng, lang := languages[i % len(languages)], rng.randint(3, 40)), lang) for i in range(240)]
+    both = " ".join(_speech(rng, x, 60) for x in languages)
+    rows += [(500, both, None), (501, rows[0][1] + "\nReleased under the MIT License.", None), (502, _speech(rng, "xx", 3), None)]
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    foreign = [
+        " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(40)), "qwx vbz jjpq wvf " * 30,
+        "吾輩は猫である。名前はまだ無い。どこで生れたかとんと見当がつかぬ。" * 3, "Все люди рождаются свободными и равными в своем достоинстве и правах.", "ЖЖЖ",
+        "".join(rng.sample(list(both), len(both))) if len(languages) > 1 else "dfg " * 40,
+    ]
+    docs = documents(rows + [(1000 + i, x, "xx") for i, x in enumerate(foreign[:1])] + [(1001 + i, x) for i, x in enumerate(foreign[1:])])
+    kept = corpus_pipeline.identify_language(spark, docs, "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(r[0] for r in rows)
+
+
 def test_kernel_is_shared_ngram_presence():
     model = language_id.fit_spectrum(["kalo mi", "strich grund"], ["a", "b"])
     x = language_id.presence(["kalo mi", "grund kalo", "KALO, MI!!"], model.ready())
