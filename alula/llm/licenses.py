@@ -1,10 +1,10 @@
 """Licence notices in documents, found by a trained paragraph classifier, in DataFrame functions only.
 
-Paragraphs are lines, cut further at sentence ends. Their features are words and word pairs, as far as they hold an *anchor*: a word
-of a licence template that the corpus hardly uses. A multinomial logistic regression over the licence families and the class
+Paragraphs are lines, cut further at sentence ends. Their features are words and word pairs, as far as they hold an *anchor*: any word
+of a licence template but ``SMALL_WORDS``, however often the corpus has it. A multinomial logistic regression over the licence families and the class
 ``unknown`` is fitted on the templates, on variants of them with words missing or around them, on look-alikes, and on a
-bounded sample of corpus paragraphs; a temperature fitted on a part held back calibrates its probabilities. A paragraph
-without an anchor has no feature and is unknown, so only texts with an anchor are cut up at all. A prediction counts when
+bounded sample of corpus paragraphs, without those that agree with a template themselves; a temperature fitted on a part held back calibrates its probabilities. Only texts
+with a template's word pair that holds an anchor are cut up at all: agreement takes two pairs. A prediction counts when
 its probability is at least ``CERTAIN`` and when a template of the family agrees: at least ``AGREEMENT`` of the
 template's word pairs, or of the paragraph's, are shared.
 
@@ -77,6 +77,9 @@ def pairs_of(words: list[str]) -> list[str]:
     return [f"{a} {b}" for a, b in zip(words, words[1:])]
 
 
+TEMPLATE_PAIRS = [set(pairs_of(words_of(t))) for ts in TEMPLATES.values() for t in ts]
+
+
 @dataclass
 class LicenseModel:
     families: list[str]  # the last is UNKNOWN
@@ -86,6 +89,12 @@ class LicenseModel:
     temperature: float
 
 
+def agreement(words: list[str]) -> float:
+    """Largest share of word pairs that the words have in common with a template."""
+    pairs = set(pairs_of(words))
+    return max(len(pairs & own) / max(min(len(own), len(pairs)), 3) for own in TEMPLATE_PAIRS)
+
+
 def _variants(words: list[str], noise: list[list[str]]) -> list[list[str]]:
     """The words, with each word missing, each end missing, and other text before or after."""
     out = [words, *[words[:i] + words[i + 1 :] for i in range(len(words)) if len(words) > 4]]
@@ -94,15 +103,9 @@ def _variants(words: list[str], noise: list[list[str]]) -> list[list[str]]:
 
 
 def fit_licenses(sample: list[str], steps: int = 200) -> LicenseModel:
-    """Fits on the templates and sampled corpus paragraphs (those that hold a template are left out)."""
-    known = [" ".join(words_of(t)) for ts in TEMPLATES.values() for t in ts]
-    corpus = [w for w in map(words_of, sample) if w and not any(k in " ".join(w) for k in known)]
-    counts: dict[str, int] = {}
-    for words in corpus:
-        for w in set(words):
-            counts[w] = counts.get(w, 0) + 1
-    template_words = {w for k in known for w in k.split()}
-    anchors = sorted(w for w in template_words if len(w) > 1 and counts.get(w, 0) <= max(1, len(corpus) // 1000) and w not in SMALL_WORDS)
+    """Fits on the templates and sampled corpus paragraphs (those that agree with a template are left out)."""
+    corpus = [w for w in map(words_of, sample) if w and agreement(w) < AGREEMENT]
+    anchors = sorted({w for ts in TEMPLATES.values() for t in ts for w in words_of(t) if len(w) > 1 and w not in SMALL_WORDS})
     families = [*sorted(TEMPLATES), UNKNOWN]
     rows: list[tuple[int, list[str]]] = []
     for k, family in enumerate(families[:-1]):
@@ -147,7 +150,7 @@ def fit_licenses(sample: list[str], steps: int = 200) -> LicenseModel:
     return LicenseModel(families, anchors, weights, [round(float(z), 6) for z in w[-1]], float(temperatures[int(np.argmin(losses))]))
 
 
-#: Words too short of meaning to be anchors even where a corpus does not use them.
+#: Words too short of meaning to be anchors.
 SMALL_WORDS = frozenset("a an and any are as at be by can either following in is it may met no not of on or part that the this to use under with without you work".split())
 
 
@@ -179,10 +182,15 @@ def _array(values: list) -> Column:
 
 
 def license_notices(text: Column, model: LicenseModel) -> Column:
-    """Array of (family, probability, agreement, paragraph) of a text's confirmed notices, in text order; null without an
-    anchor."""
+    """Array of (family, probability, agreement, paragraph) of a text's confirmed notices, in text order; null without a
+    template's word pair."""
     t = F.coalesce(text, F.lit(""))
-    pattern = r"(?i)\b(?:" + "|".join(re.escape(a) for a in model.anchors) + r")\b"
+    followers: dict[str, set[str]] = {}
+    for a, b in (p.split() for own in TEMPLATE_PAIRS for p in own):
+        if a in model.anchors or b in model.anchors:
+            followers.setdefault(a, set()).add(b)
+    pairs = "|".join(f"{re.escape(a)}[^a-z0-9]+(?:{'|'.join(map(re.escape, sorted(bs)))})" for a, bs in sorted(followers.items()))
+    pattern = f"(?<![a-z0-9])(?:{pairs})"
     table = F.create_map(*[c for g, w in model.weights.items() for c in (F.lit(g), _array(w))])
     families = _array(model.families)
 
@@ -213,11 +221,11 @@ def license_notices(text: Column, model: LicenseModel) -> Column:
         agreement = F.greatest(*shares)
         return F.struct(row["family"].alias("family"), row["probability"].alias("probability"), agreement.alias("agreement"), row["paragraph"].alias("paragraph"))
 
-    paragraphs = F.filter(F.split(t, CUT), lambda p: p.rlike(pattern))
+    paragraphs = F.filter(F.split(t, CUT), lambda p: F.lower(p).rlike(pattern))
     rows = F.transform(F.transform(F.transform(paragraphs, judged), scored), decided)
     rows = F.filter(rows, lambda r: (r["family"] != UNKNOWN) & (r["probability"] >= CERTAIN))
     rows = F.filter(F.transform(rows, confirmed), lambda r: r["agreement"] >= AGREEMENT)
-    return F.when(t.rlike(pattern), rows)
+    return F.when(F.lower(t).rlike(pattern), rows)
 
 
 def scan_licenses(docs: DataFrame, model: LicenseModel, keep: list[str]) -> DataFrame:

@@ -267,6 +267,20 @@ def test_licences_are_found_and_confirmed(documents):
     assert licenses.scan_licenses(documents([]), licenses.train_licenses(documents([])), ["doc_id"]).count() == 0
 
 
+NOTICES = {"All rights reserved.": "Proprietary", "Copyright, all rights reserved.": "Proprietary", "Released under the MIT License.": "MIT",
+           "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0", "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0"}
+
+
+@pytest.mark.parametrize("notice", NOTICES)
+def test_a_common_licence_is_still_found(documents, notice):
+    rng = random.Random(16)
+    odd = ["The software was free for the public.", "All work was done under the terms of the person.", "Rights and copyright of the source, version two."]
+    rows = [(i, f"{_speech(rng, 'xx', 30)}.\n{odd[i % 3]} {_speech(rng, 'yy', 9)}." + (f"\n{notice}" if i % 3 == 0 else "")) for i in range(240)]
+    docs = documents([*rows, (900, f"ka lo. {notice} mi"), (901, "Released under the MIT License.")])
+    got = {r["doc_id"]: [n["family"] for n in r["__notices"]] for r in licenses.scan_licenses(docs, licenses.train_licenses(docs), ["doc_id"]).collect()}
+    assert got == {i: [NOTICES[notice]] if i % 3 == 0 else [] for i in range(240)} | {900: [NOTICES[notice]], 901: ["MIT"]}
+
+
 def test_stages_keep_the_columns_and_clean_documents(documents, spark, tmp_path):
     import corpus_pipeline
 
