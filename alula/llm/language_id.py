@@ -11,7 +11,9 @@ language is measured from the median of its own sample texts, each taken without
 ``TO_SHUFFLED`` of the way to the sample with its letters shuffled, and too far below for its length (``FAR_BELOW``), is
 claimed by no language and has score 0; this leaves room for names, code and foreign lines in a text. Where fewer than ``LEAST_MEASURED`` texts can be measured, any shared n-gram is a claim.
 
-Texts are lower-cased, whatever is no letter becomes a blank, and blanks in a row count as one. Null texts and texts
+Every letter and combining mark is a symbol of its own. n-grams are 64-bit codes, found in a hash table of the landmarks' n-grams.
+
+Texts are lower-cased, whatever is neither letter nor mark becomes a blank, and blanks in a row count as one. Null texts and texts
 without a letter get ``und`` with score 0; a text that shares no n-gram of letters with a landmark gets the commonest language
 with score 0. Very long texts are read piece by piece, whole. Labels are learnt from a bounded sample only
 (``SAMPLE_ROWS`` and ``SAMPLE_CHARS``); null labels and null ids teach nothing.
@@ -19,8 +21,11 @@ with score 0. Very long texts are read piece by piece, whole. Labels are learnt
 
 from __future__ import annotations
 
+import sys
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,9 +37,9 @@ from alula.llm.common import extended, slices, unit_hash
 UNDETERMINED = "und"
 #: Most labelled texts learnt from, the longest text among them, and the landmarks chosen from them.
 SAMPLE_ROWS, SAMPLE_CHARS, LANDMARKS = 2000, 100_000, 160
-#: Letters with a symbol of their own; the others share ``SHARED`` symbols by code block. 0 is the blank.
-LETTERS, SHARED = 80, 15
-SYMBOLS = 1 + LETTERS + SHARED
+#: Bits of a symbol, and what stands in place of the missing symbols of 1- and 2-grams: more than any code point. 0 is the blank.
+BITS = 21
+ONE, TWO = (0x1FFFFF << 2 * BITS) | (0x1FFFFF << BITS), 0x1FFFFE << 2 * BITS
 RIDGE = 1e-2
 PIECE = 1 << 18
 #: Letters that one language has to explain; robust deviations of as many letters that a text may stay below; its share of the way to
@@ -45,7 +50,6 @@ WINDOW, FAR_BELOW, TO_SHUFFLED, LEAST_MEASURED = 128, 10.0, 0.75, 8
 @dataclass
 class SpectrumModel:
     languages: list[str]
-    symbol_of: dict[int, int]
     slots: np.ndarray  # n-gram codes, sorted; their places are columns of the presence matrix
     weights: np.ndarray  # slots x languages
     ridge: float = RIDGE
@@ -53,22 +57,59 @@ class SpectrumModel:
     centres: np.ndarray | None = None  # log-likelihood of a letter in the median text of each language
     slack: float = np.inf  # how far below a text may stay
     by_letter: float = 0.0  # robust deviation of a letter
-    lookup: np.ndarray | None = field(default=None, repr=False)
-    slot_of: np.ndarray | None = field(default=None, repr=False)
+    slot_of: SlotTable | None = field(default=None, repr=False)
 
     def ready(self) -> SpectrumModel:
-        if self.lookup is None:
-            self.lookup = symbol_table(self.symbol_of)
-            self.slot_of = np.full(SYMBOLS**3 + SYMBOLS**2 + SYMBOLS, -1, dtype=np.int32)
-            self.slot_of[self.slots] = np.arange(len(self.slots))
+        if self.slot_of is None:
+            self.slot_of = SlotTable(self.slots)
         return self
 
 
-def symbol_table(symbol_of: dict[int, int]) -> np.ndarray:
-    table = np.zeros(0x110000, dtype=np.uint8)
-    for code in range(0x110000):
-        if chr(code).isalpha():
-            table[code] = symbol_of.get(code, 1 + LETTERS + (code >> 7) % SHARED)
+class SlotTable:
+    """Places of codes in ``slots``, -1 for others: open addressing, at most an eighth full."""
+
+    def __init__(self, slots: np.ndarray):
+        self.bits = max(4, int(8 * len(slots)).bit_length())
+        self.mask = (1 << self.bits) - 1
+        self.keys = np.full(self.mask + 1, -1, dtype=np.int64)
+        self.places = np.full(self.mask + 1, -1, dtype=np.int32)
+        left = np.arange(len(slots))
+        at = self.first(slots)
+        while len(left):
+            open_at, who = np.unique(np.where(self.keys[at] == -1, at, -1), return_index=True)
+            who = who[open_at >= 0]
+            self.keys[at[who]], self.places[at[who]] = slots[left[who]], left[who]
+            stay = np.ones(len(left), dtype=bool)
+            stay[who] = False
+            left, at = left[stay], (at[stay] + 1) & self.mask
+
+    def first(self, codes: np.ndarray) -> np.ndarray:
+        mixed = codes.astype(np.uint64)
+        mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def __getitem__(self, codes: np.ndarray) -> np.ndarray:
+        at = self.first(codes)
+        keys = self.keys[at]
+        out = np.where(keys == codes, self.places[at], -1)
+        left = np.flatnonzero((keys != codes) & (keys != -1))
+        while len(left):
+            at = (at if len(at) == len(left) else at[left]) + 1 & self.mask
+            keys, wanted = self.keys[at], codes[left]
+            same = keys == wanted
+            out[left[same]] = self.places[at[same]]
+            more = ~same & (keys != -1)
+            left, at = left[more], at[more]
+        return out
+
+
+@lru_cache(maxsize=1)
+def symbol_table() -> np.ndarray:
+    """Code point -> itself for letters and combining marks, else the blank."""
+    table = np.zeros(0x110000, dtype=np.int64)
+    for code in range(sys.maxunicode + 1):
+        if chr(code).isalpha() or unicodedata.category(chr(code))[0] == "M":
+            table[code] = code
     return table
 
 
@@ -76,29 +117,29 @@ def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
 
 
-def symbols(text: str, lookup: np.ndarray) -> Iterator[np.ndarray]:
+def symbols(text: str) -> Iterator[np.ndarray]:
     """Symbols of a text between blanks, piece by piece."""
     for at in range(0, max(len(text), 1), PIECE):
-        s = lookup[code_points(text[max(0, at - 2) : at + PIECE])]
+        s = symbol_table()[code_points(text[max(0, at - 2) : at + PIECE])]
         s = s[np.concatenate(([True], (s[1:] != 0) | (s[:-1] != 0)))] if len(s) else s
-        yield np.concatenate(([0], s, [0])).astype(np.int32)
+        yield np.concatenate(([0], s, [0]))
 
 
 def grams(s: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Codes of the 1-, 2- and 3-grams of a piece."""
-    two = s[:-1] * SYMBOLS + s[1:]
-    return s + SYMBOLS**3 + SYMBOLS**2, two + SYMBOLS**3, two[:-1] * SYMBOLS + s[2:]
+    two = (s[:-1] << BITS) | s[1:]
+    return s | ONE, two | TWO, (two[:-1] << BITS) | s[2:]
 
 
-def gram_codes(text: str, lookup: np.ndarray) -> Iterator[np.ndarray]:
+def gram_codes(text: str) -> Iterator[np.ndarray]:
     """Codes of all 1-, 2- and 3-grams of a text, piece by piece."""
-    for s in symbols(text, lookup):
+    for s in symbols(text):
         yield from grams(s)
 
 
 def read_text(text: str, model: SpectrumModel, row: np.ndarray) -> Iterator[np.ndarray]:
     """Marks a text's slots in ``row``; yields the slots of each letter (alone, after its neighbour, between both), -1 if unknown."""
-    for s in symbols(text, model.lookup):
+    for s in symbols(text):
         one, two, three = (model.slot_of[codes] for codes in grams(s))
         for at in (one, two, three):
             row[at[at >= 0]] = 1.0
@@ -196,20 +237,12 @@ def has_letter(text: str | None) -> bool:
 def fit_spectrum(texts: list[str], labels: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> SpectrumModel:
     """Fits on a sample in the order given; landmarks are dealt to the languages in turn."""
     languages = sorted(set(labels), key=lambda x: (-labels.count(x), x))
-    counts: dict[int, int] = {}
-    for text in texts:
-        values, n = np.unique(code_points(text), return_counts=True)
-        for v, k in zip(values.tolist(), n.tolist()):
-            if chr(v).isalpha():
-                counts[v] = counts.get(v, 0) + k
-    common = sorted(counts, key=lambda v: (-counts[v], v))[:LETTERS]
-    model = SpectrumModel(languages, {v: i + 1 for i, v in enumerate(common)}, np.zeros(0, dtype=np.int64), np.zeros((0, 0)), ridge)
+    model = SpectrumModel(languages, np.zeros(0, dtype=np.int64), np.zeros((0, 0)), ridge)
     if not languages:
         return model
     each = max(1, landmarks // len(languages))
     chosen = [i for c in languages for i in [k for k, x in enumerate(labels) if x == c][:each]]
-    lookup = symbol_table(model.symbol_of)
-    model.slots = np.unique(np.concatenate([np.unique(c) for i in chosen for c in gram_codes(texts[i], lookup)]))
+    model.slots = np.unique(np.concatenate([np.unique(c) for i in chosen for c in gram_codes(texts[i])]))
     model.ready()
     base = presence([texts[i] for i in chosen], model).astype(np.float64)
     values, vectors = np.linalg.eigh(base @ base.T)
@@ -281,7 +314,7 @@ def predict_language(texts: list[str | None], model: SpectrumModel) -> tuple[lis
 
 def identify_languages(docs: DataFrame, model: SpectrumModel, keep: list[str]) -> DataFrame:
     """``keep`` columns of every row with lang_pred and score."""
-    model.lookup = model.slot_of = None
+    model.slot_of = None
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -181,6 +181,39 @@ def test_kernel_is_shared_ngram_presence():
     assert np.isclose(x[0] @ x[1], len(sets[0] & sets[1]) / (len(sets[0]) * len(sets[1])) ** 0.5)
 
 
+#: Letters and marks of scripts; two languages of each differ in the order in which they join them.
+SCRIPTS = {"latin": "abcdefghijklmnopqrstuvwxyzäöüéèñßçàâ", "cyrillic": "абвгдежзийклмнопрстуфхцчшщъыьэюя", "arabic": "ابتثجحخدذرزسشصضطظعغفقكلمنهوي", "indic": "कखगघचछजझटठडढणतथदधनपफबभमयरलवशषसह"}
+MARKS = "ािीुूेैोौं्"
+
+
+def test_two_languages_in_each_of_four_scripts():
+    rng = random.Random(17)
+    words = {}
+    for k, (script, letters) in enumerate(SCRIPTS.items()):
+        for half in "ab":
+            pool = random.Random(100 * k + ord(half))
+            made = ["".join(pool.choice(letters) + ("" if script != "indic" else MARKS[pool.randrange(len(MARKS))]) for _ in range(2)) for _ in range(12)]
+            words[f"{script}-{half}"] = made
+    words |= {f"indic-{half}": [c + m for c in SCRIPTS["indic"][:6] for m in marks] for half, marks in (("a", MARKS[:3]), ("b", MARKS[3:6]))}
+
+    def said(lang):
+        return " ".join(rng.choice(words[lang]) + rng.choice(words[lang]) for _ in range(12))
+
+    sample = [(lang, said(lang)) for _ in range(40) for lang in words]
+    model = language_id.fit_spectrum([x for _, x in sample], [lang for lang, _ in sample])
+    fresh = [(lang, said(lang)) for _ in range(20) for lang in words]
+    langs, scores = language_id.predict_language([x for _, x in fresh], model)
+    assert np.mean([got == lang for got, (lang, _) in zip(langs, fresh)]) > 0.99 and (scores > 0).all()
+
+
+def test_codes_are_found_in_the_slot_table():
+    rng = np.random.default_rng(18)
+    codes = np.unique(rng.integers(0, 1 << 62, 5000))
+    table = language_id.SlotTable(codes[::2])
+    assert (table[codes[::2]] == np.arange(len(codes[::2]))).all() and (table[codes[1::2]] == -1).all()
+    assert (language_id.SlotTable(codes[:0])[codes] == -1).all()
+
+
 def test_quality_is_learnt_from_labels(documents, spark):
     rng = random.Random(11)
     rows, labels = [], []
