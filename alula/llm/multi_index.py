@@ -10,14 +10,16 @@ Codebooks are fitted on a bounded sample; every vector is indexed and every vect
 are cut into blocks of members and blocks of queries, so that no task holds a whole crowded cell, and a block
 returns link counts and a spanning forest of its links, never its pairs.
 
-Vectors that are null, empty, zero, or hold a null or non-finite component link with nothing, and so do vectors whose length is
-not the commonest. Rows that share an id are linked; a row without an id links with nothing, stays, and has no component.
+Vectors that are null, empty, zero, or hold a null or non-finite component link with nothing. Vectors link with vectors of
+their own length only, and every length has its own index. Rows that share an id are linked; a row without an id links
+with nothing, stays, and has no component.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -236,15 +238,20 @@ def near_duplicate_vectors(rows: DataFrame, id_column: str = "vec_id", vector_co
     """One row per row: vec_id, n_links (other vectors linked directly), component_id (smallest id reachable), kept."""
     all_rows = rows.select(F.col(id_column).cast("long").alias("vec_id"), F.col(vector_column).alias("vector"))
     usable = valid(F.col("vector")) & F.col("vec_id").isNotNull()
-    commonest = all_rows.where(usable).groupBy(F.size("vector").alias("d")).count().orderBy(F.desc("count"), "d").first()
     lone = F.when(F.col("vec_id").isNotNull(), F.col("vec_id"))
-    if commonest is None:
-        return all_rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), lone.alias("component_id"), F.lit(True).alias("kept"))
-    usable = usable & (F.size("vector") == commonest["d"])
     classes = all_rows.where(usable).groupBy("vector").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies"))
     classes = written(classes, "vector-classes")
-    index = fit_index(classes, classes.count())
-    partial = written(near_vectors(classes, index), "vector-links")
+    sizes = classes.groupBy(F.size("vector").alias("d")).count().orderBy("d").collect()
+    if not sizes:
+        return all_rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), lone.alias("component_id"), F.lit(True).alias("kept"))
+    # Each length's links are written on their own, so that one index at a time is held.
+    partials = [rows.sparkSession.createDataFrame([], "id long, links long, root long")]
+    for r in sizes:
+        if r["count"] == 1:
+            continue
+        same = classes.where(F.size("vector") == r["d"])
+        partials.append(written(near_vectors(same, fit_index(same, r["count"])), "vector-links"))
+    partial = reduce(DataFrame.unionByName, partials)
     counts = partial.groupBy("id").agg(F.sum("links").alias("links"))
     found = connected_components(partial.where("id <> root").select("id", "root"))
     named = classes.join(counts, "id", "left").join(found, classes["id"] == found["node"], "left")

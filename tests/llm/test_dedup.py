@@ -178,6 +178,26 @@ def test_near_vectors_match_brute_force(spark):
     assert all(found[i] == (0, i, True) for i, _ in odd)
 
 
+def test_vectors_of_every_length_are_compared(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for d, n in ((8, 120), (12, 80), (1, 3), (2, 3)):
+        x = rng.normal(size=(n, d))
+        x[n // 2 :] = x[: n - n // 2] * 2 + 0.01 * rng.normal(size=(n - n // 2, d))
+        rows += [(len(rows) + i, v.tolist()) for i, v in enumerate([*x, x[0]])]
+    rows += [(900, [1.0] * 5), (901, [1.0] * 5), (902, [1.0] * 6)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in multi_index.near_duplicate_vectors(df).collect()}
+    for d in (1, 2, 5, 6, 8, 12):
+        ids = [i for i, v in rows if len(v) == d]
+        unit = multi_index.unit_rows(np.array([v for _, v in rows if len(v) == d]))
+        hits = (unit @ unit.T >= 0.9) & ~np.eye(len(unit), dtype=bool)
+        label = np.array(ids)
+        for _ in ids:
+            label = np.minimum(label, np.where(hits, label[None, :], 10**6).min(axis=1))
+        assert [found[i] for i in ids] == [(int(h), int(c), i == c) for i, h, c in zip(ids, hits.sum(axis=1), label)]
+
+
 def test_cells_come_in_multi_sequence_order():
     rng = np.random.default_rng(6)
     index = multi_index.MultiIndex(rng.normal(size=(7, 3)), rng.normal(size=(5, 3)))
