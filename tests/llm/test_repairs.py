@@ -183,7 +183,7 @@ def _cheapest(rows):
 
     def go(at, cost, audit, done, inserts):
         nonlocal best
-        if best is not None and cost > best[0]:
+        if cost > (3 * len(rows) if best is None else best[0]) or not re.fullmatch(r"s?(ua)*u?", "".join(d[:1] for d in done)):
             return
         if at == len(rows) and legal("".join(d[:1] for d in done)):
             if best is None or (cost, audit) < best[:2]:
