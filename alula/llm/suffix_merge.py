@@ -8,7 +8,7 @@ a smaller id, or further left in the same one. Strings never cross documents.
    are read again only where an anchor occurs twice.
 2. The windows of one anchor occurrence overlap: they are one *strip* of at most 2 * WINDOW - GRAM bytes. Equal strips are one class;
    all but the first strip of a class are repeats throughout, so one strip of a class goes on.
-3. Strips with the same anchor go to the same task. It sorts the suffixes of small *shards* of its strips, keeps each shard's
+3. Strips with the same anchor go to the same task. They are cut to what they share with others around the anchor. The task sorts the suffixes of small *shards* of its strips, keeps each shard's
    transform, and merges the transforms by refining their interleaving: a stable partition by the transform's symbols makes an
    interleaving that is right for n symbols right for n + 1, and no suffix is compared again. Borders between
    runs of equal prefixes are refined along (they are the common prefixes). After ``WINDOW`` bytes, the runs between borders
@@ -35,11 +35,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from alula.llm.common import slices, written
+from alula.llm.common import bucketed, slices, written
 
 WINDOW, GRAM = 100, 32
 #: Text bytes kept and read together; bytes of strips merged together, and in one shard; strips of an anchor that one task takes.
 BLOCK_BYTES, COLLECTION_BYTES, SHARD_BYTES, HOT_STRIPS = 4 << 20, 1 << 20, 1 << 17, 256
+#: Text bytes in a bucket of the tables that are joined by block without being shuffled.
+BUCKET_BYTES = 64 << 20
 _FACTORS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 _PLACE_BITS = np.uint64(31)
 LAST = (1 << 63) - 1
@@ -59,12 +61,12 @@ def gram_hashes(raw: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def anchors(raw: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, first window, end of windows) of every anchor occurrence in texts put one after another."""
+def anchors(raw: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, place, first window, end of windows) of every anchor occurrence in texts put one after another."""
     width = WINDOW - GRAM + 1
     empty = np.zeros(0, dtype=np.int64)
     if len(raw) < WINDOW:
-        return empty, empty, empty
+        return empty, empty, empty, empty
     h = gram_hashes(raw)
     key = (h >> _PLACE_BITS << _PLACE_BITS) | np.arange(len(h), dtype=np.uint64)
     n = len(key) - width + 1
@@ -76,7 +78,8 @@ def anchors(raw: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarra
     change = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (inside[1:] != inside[:-1])]))
     ends = np.append(change[1:], n)
     use = inside[change]
-    return h[place[change[use]].astype(np.int64)].view(np.int64), change[use], ends[use]
+    place = place[change[use]].astype(np.int64)
+    return h[place].view(np.int64), place, change[use], ends[use]
 
 
 def _binary(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -130,9 +133,10 @@ def _unpacked(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(raw, dtype=np.uint8), lengths
 
 
-STRIPS = "digest binary, anchor long, doc long, block long, row int, pos int, strip binary"
-_STRIP_TYPES = [pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-_STRIP_NAMES = ["digest", "anchor", "doc", "block", "row", "pos", "strip"]
+#: A block's strips: digests as two numbers, anchors and their places in the strips, where strips start, their sizes and bytes.
+STRIPS = "block long, d1 array<long>, d2 array<long>, anchor array<long>, doc array<long>, row array<int>, pos array<int>, size array<int>, at array<int>, strips binary"
+_STRIP_NAMES = [f.split()[0] for f in STRIPS.split(", ")]
+_STRIP_TYPES = [pa.int64(), *[pa.list_(pa.int64())] * 4, *[pa.list_(pa.int32())] * 4, pa.binary()]
 
 
 def _digest(raw: bytes) -> bytes:
@@ -141,21 +145,39 @@ def _digest(raw: bytes) -> bytes:
 
 def _cut_strips(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The strips of a block's shared anchors."""
+    packer = zstandard.ZstdCompressor(level=1)
     for batch in batches:
         for i in range(batch.num_rows):
             raw, lengths = _unpacked(batch, i)
-            g, lo, hi = anchors(raw, lengths)
+            g, place, lo, hi = anchors(raw, lengths)
             use = np.flatnonzero(np.isin(g, batch.column("shared")[i].values.to_numpy()))
+            lo, hi = lo[use], hi[use]
             starts = np.cumsum(lengths) - lengths
-            row = np.searchsorted(starts, lo[use], side="right") - 1
+            row = np.searchsorted(starts, lo, side="right") - 1
             docs = batch.column("docs")[i].values.to_numpy()[row]
             text = raw.tobytes()
-            for at in range(0, len(use), 4096):
-                part = use[at : at + 4096]
-                strips = [text[a : b + WINDOW - 1] for a, b in zip(lo[part].tolist(), hi[part].tolist())]
-                rows = row[at : at + 4096]
-                columns = [list(map(_digest, strips)), g[part], docs[at : at + 4096], np.full(len(part), batch.column("block")[i].as_py()), rows, lo[part] - starts[rows], strips]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _STRIP_TYPES)], _STRIP_NAMES)
+            strips = [text[a : b + WINDOW - 1] for a, b in zip(lo.tolist(), hi.tolist())]
+            digests = np.frombuffer(b"".join(map(_digest, strips)), dtype=np.int64).reshape(-1, 2)
+            values = [batch.column("block")[i].as_py(), digests[:, 0], digests[:, 1], g[use], docs, row, lo - starts[row], hi - lo + WINDOW - 1, place[use] - lo, packer.compress(b"".join(strips))]
+            yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, _STRIP_TYPES)], _STRIP_NAMES)
+
+
+CHOSEN = "anchor long, at int, doc long, block long, row int, pos int, strip binary, frequent boolean"
+
+
+def _fetched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The strips that a block is asked for."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            size = batch.column("size")[i].values.to_numpy().astype(np.int64)
+            starts = np.cumsum(size) - size
+            text = zstandard.ZstdDecompressor().decompress(batch.column("strips")[i].as_py(), max_output_size=int(size.sum()) + 1)
+            asked = batch.column("asked")[i].values
+            k, frequent = asked.field("k").to_numpy(), asked.field("frequent")
+            columns = [pa.array(batch.column(c)[i].values.to_numpy()[k]) for c in ("anchor", "at", "doc", "row", "pos")]
+            strips = pa.array([text[a : a + n] for a, n in zip(starts[k].tolist(), size[k].tolist())], pa.binary())
+            block = pa.array(np.full(len(k), batch.column("block")[i].as_py()))
+            yield pa.RecordBatch.from_arrays([*columns[:3], block, *columns[3:], strips, frequent], [f.split()[0] for f in CHOSEN.split(", ")])
 
 
 # --- transforms --------------------------------------------------------------------------------
@@ -303,6 +325,37 @@ def _span_batch(block: np.ndarray, row: np.ndarray, start: np.ndarray) -> pa.Rec
     return pa.RecordBatch.from_arrays(columns, ["block", "row", "start", "end"])
 
 
+def _shared_ends(contexts: list[bytes], group: np.ndarray) -> np.ndarray:
+    """How many first bytes of each context another one of its group has too, at least; contexts are shorter than ``WINDOW``."""
+    width = max(map(len, contexts), default=0)
+    if not width:
+        return np.zeros(len(contexts), dtype=np.int64)
+    padded = np.frombuffer(b"".join(c.ljust(width, b"\0") for c in contexts), dtype=np.uint8).reshape(-1, width)
+    keys = np.concatenate([group.astype(">u4").view(np.uint8).reshape(-1, 4), padded], axis=1)
+    order = np.argsort(np.ascontiguousarray(keys).view(f"S{width + 4}").ravel(), kind="stable")
+    differ = padded[order[1:]] != padded[order[:-1]]
+    common = np.where(differ.any(axis=1), differ.argmax(axis=1), width)
+    common[group[order[1:]] != group[order[:-1]]] = 0
+    out = np.zeros(len(contexts), dtype=np.int64)
+    out[order] = np.maximum(np.append(common, 0), np.append(0, common))
+    return np.minimum(out, [len(c) for c in contexts])
+
+
+def trimmed(held: list[tuple]) -> list[tuple]:
+    """Strips (group, place of the anchor, bytes, doc, block, row, pos) cut to what they may share with others of their group.
+
+    A window holds the anchor, so it repeats only within the longest extensions of the anchor to the left and to the right that
+    another strip has too. Most strips are left with less than a window and go."""
+    group = np.array([h[0] for h in held])
+    left = _shared_ends([h[2][: h[1]][::-1] for h in held], group)
+    right = _shared_ends([h[2][h[1] + GRAM :] for h in held], group)
+    return [
+        (strip[at - a : at + GRAM + b], doc, block, row, pos + at - a)
+        for (_, at, strip, doc, block, row, pos), a, b in zip(held, left.tolist(), right.tolist())
+        if a + GRAM + b >= WINDOW
+    ]
+
+
 def _merged_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Spans that go in the first strips of their classes; strips come sorted by anchor."""
 
@@ -318,23 +371,26 @@ def _merged_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         gone = order[later]
         yield _span_batch(block[gone], row[gone], start[gone])
 
-    group: list[tuple] = []
+    raw: list[tuple] = []
     held: list[tuple] = []
-    size, current = 0, None
+    raw_size = size = number = 0
+    current = None
     for batch in slices(batches, 4096):
-        columns = [batch.column(c).to_pylist() for c in ("anchor", "strip", "doc", "block", "row", "pos")]
+        columns = [batch.column(c).to_pylist() for c in ("anchor", "at", "strip", "doc", "block", "row", "pos")]
         for anchor, *rest in zip(*columns):
             if anchor != current:
-                if len(group) > 1:
-                    held += group
-                    size += sum(len(x[0]) for x in group)
+                if raw_size >= COLLECTION_BYTES:
+                    own = trimmed(raw)
+                    held += own
+                    size += sum(len(x[0]) for x in own)
+                    raw, raw_size = [], 0
                     if size >= COLLECTION_BYTES:
                         yield from found(held)
                         held, size = [], 0
-                group, current = [], anchor
-            group.append(tuple(rest))
-    if len(group) > 1:
-        held += group
+                number, current = number + 1, anchor
+            raw.append((number, *rest))
+            raw_size += len(rest[1])
+    held += trimmed(raw)
     if held:
         yield from found(held)
 
@@ -400,23 +456,28 @@ def _removed(with_bytes: bool):
 def remove_repeats(docs: DataFrame, with_bytes: bool = False) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and on request the ``kept`` bytes."""
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), F.col("text").cast("string").alias("text"))
-    blocks = written(rows.mapInArrow(_pack, "block long, data binary, lengths array<int>, docs array<long>, anchors array<long>"), "text-blocks")
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // BUCKET_BYTES + 1)
+    blocks = bucketed(rows.mapInArrow(_pack, "block long, data binary, lengths array<int>, docs array<long>, anchors array<long>"), "text_blocks", "block", buckets)
     texts = blocks.select("block", "data", "lengths", "docs")
     anchor_rows = blocks.select(F.explode("anchors").alias("anchor"), "block").repartition("anchor").sortWithinPartitions("anchor")
     shared = anchor_rows.mapInArrow(_in_runs, "block long, anchor long").groupBy("block").agg(F.collect_set("anchor").alias("shared"))
-    strips = written(texts.join(shared, "block").mapInArrow(_cut_strips, STRIPS), "strips", compression="zstd")
+    strips = bucketed(texts.join(shared, "block").mapInArrow(_cut_strips, STRIPS), "strips", "block", buckets)
 
+    fields = ["d1", "d2", "anchor", "doc", "row", "pos", "size"]
+    each = strips.select("block", F.posexplode(F.arrays_zip(*fields)).alias("k", "s")).select("block", "k", "s.*")
     key = F.struct("doc", "block", "row", "pos")
-    classes = strips.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("first"), F.first("anchor").alias("anchor"), F.first("strip").alias("strip"))
-    classes = written(classes, "strip-classes", compression="zstd")
-    firsts = classes.where("n > 1").select("digest", "first")
-    copies = strips.select("digest", "doc", "block", "row", "pos", F.octet_length("strip").alias("size")).join(firsts, "digest").where(key != F.col("first"))
+    classes = each.groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "block", "row", "pos", "k")).alias("first"), F.first("anchor").alias("anchor"))
+    classes = written(classes, "strip-classes")
+    firsts = classes.where("n > 1").select("d1", "d2", F.struct("first.doc", "first.block", "first.row", "first.pos").alias("first"))
+    copies = each.join(firsts, ["d1", "d2"]).where(key != F.col("first"))
     spans = copies.select("block", "row", F.col("pos").alias("start"), (F.col("pos") + F.col("size")).alias("end"))
 
-    sizes = written(classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("strips")).where("strips > 1"), "anchor-sizes")
-    several = classes.select("anchor", "strip", "first.*")
-    few = several.join(sizes.where(F.col("strips") <= HOT_STRIPS), "anchor", "left_semi").repartition("anchor").sortWithinPartitions("anchor")
-    many = several.join(sizes.where(F.col("strips") > HOT_STRIPS), "anchor", "left_semi")
-    spans = spans.unionByName(few.mapInArrow(_merged_spans, SPANS)).unionByName(_frequent_spans(many))
+    sizes = classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("strips")).where("strips > 1")
+    asked = classes.join(sizes, "anchor").select("first.block", F.struct("first.k", (F.col("strips") > HOT_STRIPS).alias("frequent")).alias("ask"))
+    asked = asked.groupBy("block").agg(F.collect_list("ask").alias("asked"))
+    chosen = written(strips.select("block", "anchor", "at", "doc", "row", "pos", "size", "strips").join(asked, "block").mapInArrow(_fetched, CHOSEN), "chosen-strips", compression="zstd")
+    few = chosen.where(~F.col("frequent")).repartition("anchor").sortWithinPartitions("anchor")
+    spans = spans.unionByName(few.mapInArrow(_merged_spans, SPANS)).unionByName(_frequent_spans(chosen.where("frequent")))
     by_block = spans.groupBy("block").agg(F.collect_list(F.struct("row", "start", "end")).alias("spans"))
     return texts.join(by_block, "block", "left").mapInArrow(_removed(with_bytes), REMOVED + (", kept binary" if with_bytes else ""))

@@ -7,8 +7,8 @@ Components become integers floor(1024 x). A vector is cut into ``PARTS`` parts;
 Search: every entry has a list of all entries, sorted by their distance from it. A part starts at an entry (the one it
 had in the round before), looks through that entry's list, marks what it has seen, and jumps to the list of an entry that is nearer,
 or as near with a lower number. It ends where the list is beyond twice the current distance: by the triangle inequality, nothing
-further down can be as near. All parts of a batch go through their lists together, a few entries at a time. Distances are integers,
-so results are exact.
+further down can be as near. Parts of a batch that are at the same place of the same list look at its next entries together. Distances are
+integers, so results are exact.
 
 A round is one pass over the table: tasks return sums per entry, and the codebooks (of fixed size) are all that reaches the driver.
 
@@ -33,8 +33,10 @@ from alula.llm.common import extended, slices, written
 
 PARTS, ENTRIES, ROUNDS, SCALE = 4, 256, 4, 1024
 #: Entries of a list that are looked at together; rows searched together.
-AHEAD, BATCH_ROWS = 8, 1024
-LARGEST = 1 << 26
+AHEAD, BATCH_ROWS = 32, 8192
+LARGEST, FAR = 1 << 26, 1 << 62
+#: Components times length up to which sums of products are exact in doubles.
+EXACT = 1 << 24
 
 
 @dataclass
@@ -53,34 +55,41 @@ class Codebook:
     def nearest(self, points: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Number of the nearest entry (the lowest of equally near ones) and the squared distance, for integer points."""
         n, k = len(points), len(self.entries)
+        if max(np.abs(points).max(initial=0), np.abs(self.entries).max()) * points.shape[1] <= EXACT:
+            points, entries = points.astype(np.float64), self.entries.astype(np.float64)  # products of these are exact
+        else:
+            entries = self.entries
+        norms, entry_norms = (points**2).sum(axis=1), (entries**2).sum(axis=1)
         best = start.astype(np.int64)
-        distance = ((points - self.entries[best]) ** 2).sum(axis=1)
+        distance = ((points - entries[best]) ** 2).sum(axis=1)
         seen = np.zeros((n, k), dtype=bool)
         seen[np.arange(n), best] = True
-        at = np.ones(n, dtype=np.int64)  # a list begins with the entry itself, or one equal to it
-        at[self.lists[best, 0] != best] = 0
+        at = np.zeros(n, dtype=np.int64)
         active = np.arange(n)
-        steps = np.arange(AHEAD)
         while len(active):
-            place = np.minimum(at[active, None] + steps, k - 1)
-            own = best[active]
-            offered, far = self.lists[own[:, None], place], self.reach[own[:, None], place]
-            limit = 4 * distance[active]
-            look = (far <= limit[:, None]) & ~seen[active[:, None], offered] & (at[active, None] + steps < k)
-            who, column = np.nonzero(look)
-            entry = offered[who, column]
-            seen[active[who], entry] = True
-            found = np.full(look.shape, np.iinfo(np.int64).max)
-            found[who, column] = ((points[active[who]] - self.entries[entry]) ** 2).sum(axis=1)
-            least = found.min(axis=1)
-            number = np.where(found == least[:, None], offered, k).min(axis=1)
-            jump = (least < distance[active]) | ((least == distance[active]) & (number < own))
-            over = ~jump & ((far[:, -1] > limit) | (at[active] + AHEAD >= k))
+            group = best[active] * k + at[active]
+            active = active[np.argsort(group, kind="stable")]
+            group = best[active] * k + at[active]
+            borders = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1], [True]]))
+            least, number, beyond = np.empty(len(active), dtype=distance.dtype), np.empty(len(active), dtype=np.int64), np.empty(len(active), dtype=bool)
+            for a, b in zip(borders[:-1].tolist(), borders[1:].tolist()):
+                who = active[a:b]
+                own, first = divmod(int(group[a]), k)
+                offered, reach = self.lists[own, first : first + AHEAD], self.reach[own, first : first + AHEAD]
+                limit = 4 * distance[who]
+                look = (reach <= limit[:, None]) & ~seen[who[:, None], offered]
+                apart = norms[who, None] - 2 * (points[who] @ entries[offered].T) + entry_norms[offered]
+                apart = np.where(look, apart, FAR)
+                seen[who[:, None], offered] |= look
+                least[a:b] = apart.min(axis=1)
+                number[a:b] = np.where(apart == least[a:b, None], offered, k).min(axis=1)
+                beyond[a:b] = (reach[-1] > limit) | (first + AHEAD >= k)
+            jump = (least < distance[active]) | ((least == distance[active]) & (number < best[active]))
             moved = active[jump]
             best[moved], distance[moved] = number[jump], least[jump]
             at[active] = np.where(jump, 0, at[active] + AHEAD)
-            active = active[~over]
-        return best, distance
+            active = active[jump | ~beyond]
+        return best, distance.astype(np.int64)
 
 
 def usable(vector: Column) -> Column:
