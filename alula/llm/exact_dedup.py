@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from alula.llm.common import ascii_lower, without_rows, written
+from alula.llm.common import ascii_lower, free_name, without_rows, written
 
 MIN_CHUNK, MAX_CHUNK = 256, 4096
 
@@ -105,6 +105,7 @@ def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     if repeated.isEmpty():
         return without_rows(docs, keys, written(gone, "exact-gone"))
     rest = without_rows(docs, keys, written(gone.union(repeated), "exact-gone"))
-    marked = docs.select("*", digest.alias("__hash"))
-    again = marked.join(repeated, marked["doc_id"].eqNullSafe(repeated["doc_id"]) & (marked["__hash"] == repeated["hash"]), "left_semi")
-    return rest.unionByName(again.dropDuplicates(["doc_id", "__hash"]).select(*docs.columns))
+    name = free_name(docs.columns, "__hash")
+    marked = docs.select("*", digest.alias(name))
+    again = marked.join(repeated, marked["doc_id"].eqNullSafe(repeated["doc_id"]) & (marked[name] == repeated["hash"]), "left_semi")
+    return rest.unionByName(again.dropDuplicates(["doc_id", name]).select(*docs.columns))

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from alula.llm.common import extended, slices, unit_hash
+from alula.llm.common import TEXT_BATCH_ROWS, extended, free_name, own_caches, send_small_batches, slices, unit_hash, with_text
 
 UNDETERMINED = "und"
 #: Most labelled texts learnt from, the longest text among them, and the landmarks chosen from them.
@@ -276,17 +276,17 @@ def train_language_id(docs: DataFrame, usable: Column, rows: int = SAMPLE_ROWS)
         return fit_spectrum([], [])
     share = max(1, rows // len(counts))
     part = F.create_map(*[F.lit(x) for c, n in counts.items() for x in (c, min(1.0, 1.5 * share / n))])
-    hashed = labelled.withColumn("u", unit_hash("doc_id", seed=9)).where(F.col("u") < part[F.col("lang")])
-    ids = hashed.select("lang", "u", "doc_id").orderBy("u", "doc_id").limit(4 * rows).collect()
+    marked = labelled.select("doc_id", "lang", "text", unit_hash("doc_id", seed=9).alias("u")).where(F.col("u") < part[F.col("lang")])
+    # One text per id and language (the least), so that a repeated id takes one place; the limit stands before the collect.
+    single = marked.groupBy("u", "doc_id", "lang").agg(F.min("text").alias("text"))
+    found = single.orderBy("u", "doc_id", "lang").limit(4 * rows).collect()
     taken: dict[str, int] = {}
-    wanted = []
-    for r in ids:
+    chosen = []
+    for r in found:
         taken[r["lang"]] = taken.get(r["lang"], 0) + 1
-        if taken[r["lang"]] <= share:
-            wanted.append(r["doc_id"])
-    found = labelled.where(F.col("doc_id").isin(wanted)).withColumn("u", unit_hash("doc_id", seed=9)).collect()
-    found.sort(key=lambda r: (r["u"], r["doc_id"], r["lang"], r["text"]))
-    found = [r for r in found[: 2 * rows] if has_letter(r["text"])]
+        if taken[r["lang"]] <= share and has_letter(r["text"]):
+            chosen.append(r)
+    found = chosen
     return fit_spectrum([r["text"] for r in found], [r["lang"] for r in found])
 
 
@@ -313,18 +313,37 @@ def predict_language(texts: list[str | None], model: SpectrumModel) -> tuple[lis
 
 
 def identify_languages(docs: DataFrame, model: SpectrumModel, keep: list[str]) -> DataFrame:
-    """``keep`` columns of every row with lang_pred and score."""
+    """``keep`` columns of every row and two more: __lang_pred and __score (with underscores in front where ``keep`` has these names)."""
     model.slot_of = None
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    rows, text = with_text(docs, keep)
+    names = list(keep)
+    added = [free_name(names, "__lang_pred"), free_name(names, "__score")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own_caches("language")
         fitted = shared.value.ready()
         for batch in slices(batches):
-            langs, scores = predict_language(batch.column("__text").to_pylist(), fitted)
+            langs, scores = predict_language(batch.column(text).to_pylist(), fitted)
             columns = [batch.column(c) for c in names] + [pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, schema_names)
+            yield pa.RecordBatch.from_arrays(columns, [*names, *added])
 
-    names = list(keep)
-    schema_names = [*names, "__lang_pred", "__score"]
-    schema = extended(docs.select(*names).schema, "__lang_pred string, __score double")
-    return docs.select(*names, F.col("text").alias("__text")).mapInArrow(run, schema)
+    return rows.mapInArrow(run, extended(docs.select(*names).schema, f"`{added[0]}` string, `{added[1]}` double"))
+
+
+def claimed_rows(docs: DataFrame, model: SpectrumModel) -> DataFrame:
+    """The rows whose text a learnt language claims. Only texts go to Python, and only the answer comes back."""
+    model.slot_of = None
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    send_small_batches(docs.sparkSession)
+
+    @F.arrow_udf("boolean")
+    def claimed_text(texts: pa.Array) -> pa.Array:
+        own_caches("language")
+        fitted, out = shared.value.ready(), []
+        for at in range(0, len(texts), TEXT_BATCH_ROWS):
+            langs, scores = predict_language(texts.slice(at, TEXT_BATCH_ROWS).to_pylist(), fitted)
+            out += [lang != UNDETERMINED and score > 0 for lang, score in zip(langs, scores)]
+        return pa.array([bool(x) for x in out], pa.bool_())
+
+    return docs.where(claimed_text(F.col("text").cast("string")))

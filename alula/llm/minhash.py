@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from alula.llm.common import Remembered, slices, without_rows, written
+from alula.llm.common import Remembered, own_caches, send_small_batches, slices, without_rows, written
 from alula.llm.components import connected_components
 
 SHINGLE = 5
@@ -37,7 +37,7 @@ ROWS = HASHES // BANDS
 #: Similarity threshold in hundredths.
 THRESHOLD = 75
 #: Words a worker remembers are at most twice these.
-WORD_CACHE = 400_000
+WORD_CACHE = 250_000
 
 _rng = np.random.default_rng(20250607)
 _FACTORS = _rng.integers(1, 1 << 32, HASHES, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
@@ -48,7 +48,7 @@ _BAND_SEEDS = _rng.integers(1, 1 << 63, BANDS, dtype=np.uint64)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
-_words = Remembered(xxhash.xxh3_64_intdigest, WORD_CACHE)
+_words = Remembered(xxhash.xxh3_64_intdigest, WORD_CACHE, "minhash")
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -96,6 +96,7 @@ def band_keys(low: np.ndarray) -> np.ndarray:
 
 
 def _signature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    own_caches("minhash")
     for batch in slices(batches):
         sizes, digests, signatures, keys = [], [], [], []
         for text in batch.column("text").cast(pa.binary()).to_pylist():
@@ -114,6 +115,7 @@ def _signature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def signatures(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, digest of the set, packed b-bit signature, band keys) of every row."""
     schema = "doc_id long, n_shingles long, digest binary, signature array<long>, bands array<long>"
+    send_small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_signature_rows, schema)
 
 

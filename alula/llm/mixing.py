@@ -17,23 +17,24 @@ to no document, are ignored; a document with several labels counts once for each
 
 from __future__ import annotations
 
+import warnings
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from alula.llm.common import Remembered, extended, slices, unit_hash, written
+from alula.llm.common import TEXT_BATCH_ROWS, Remembered, extended, free_name, own_caches, send_small_batches, slices, unit_hash, written
 
 #: Labelled documents that the classifier learns from at most, and the longest of them in characters.
 SAMPLE_ROWS, SAMPLE_CHARS = 2000, 100_000
 WORD_BUCKETS, SHAPE_BUCKETS = 1 << 14, 1 << 8
 FEATURES = WORD_BUCKETS + SHAPE_BUCKETS
-WORD_CACHE = 300_000
-MAX_STEPS, TOLERANCE, RIDGE = 60, 1e-6, 1e-3
+WORD_CACHE = 200_000
+FEWEST_STEPS, TOLERANCE, RIDGE = 60, 1e-6, 1e-3
 
 
 def _word_buckets(word: str) -> int:
@@ -50,7 +51,7 @@ def _word_buckets(word: str) -> int:
     return value * SHAPE_BUCKETS + zlib.crc32(shape.encode("utf-8", "surrogatepass")) % SHAPE_BUCKETS
 
 
-_buckets = Remembered(_word_buckets, WORD_CACHE)
+_buckets = Remembered(_word_buckets, WORD_CACHE, "mixing")
 
 
 def features(text: str | None) -> tuple[int, np.ndarray, np.ndarray]:
@@ -104,9 +105,11 @@ def fit_domains(rows: list[tuple[str, np.ndarray, np.ndarray]], steps: int = 60)
 def train_domains(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DomainModel:
     """Learns from at most ``rows`` rows of ``labels`` (doc_id, domain), taken by a hash of the id from all of them."""
     known = labels.where("doc_id is not null and domain is not null").select("doc_id", F.col("domain").cast("string").alias("domain"))
-    chosen = known.orderBy(unit_hash("doc_id", seed=2), "doc_id", "domain").limit(rows)
+    chosen = known.distinct().orderBy(unit_hash("doc_id", seed=2), "doc_id", "domain").limit(rows)
     texts = docs.where(F.length("text") <= SAMPLE_CHARS).select("doc_id", F.col("text").alias("__text"))
-    sample = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "domain", "__text")
+    # one text for each label, the least, so that an id with many rows takes one place
+    sample = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "domain").agg(F.min("__text").alias("__text"))
+    send_small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -122,21 +125,25 @@ def train_domains(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -
 
 
 def memberships(docs: DataFrame, model: DomainModel, keep: list[str]) -> DataFrame:
-    """``keep`` columns with __n_tokens (words) and __posterior, in the order of the model's domains."""
+    """``keep`` columns with __n_tokens (words) and __posterior, in the order of the model's domains (the last two columns, with
+    underscores in front where ``keep`` has these names). Only texts go to Python."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = list(keep)
+    send_small_batches(docs.sparkSession)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fitted = shared.value
-        for batch in slices(batches):
-            found = [features(t) for t in batch.column("__text").to_pylist()]
-            columns = [batch.column(c) for c in names]
-            columns += [pa.array([f[0] for f in found], pa.int64())]
-            columns += [pa.array([fitted.posterior(f[1], f[2]).astype(np.float64) for f in found], pa.list_(pa.float64()))]
-            yield pa.RecordBatch.from_arrays(columns, [*names, "__n_tokens", "__posterior"])
+    @F.arrow_udf("struct<n:bigint,p:array<double>>")
+    def membership(texts: pa.Array) -> pa.Array:
+        own_caches("mixing")
+        fitted, counts, found = shared.value, [], []
+        for at in range(0, len(texts), TEXT_BATCH_ROWS):
+            for text in texts.slice(at, TEXT_BATCH_ROWS).to_pylist():
+                n, where, values = features(text)
+                counts.append(n)
+                found.append(fitted.posterior(where, values).astype(np.float64))
+        return pa.StructArray.from_arrays([pa.array(counts, pa.int64()), pa.array(found, pa.list_(pa.float64()))], ["n", "p"])
 
-    schema = extended(docs.select(*names).schema, "__n_tokens long, __posterior array<double>")
-    return docs.select(*names, F.col("text").cast("string").alias("__text")).mapInArrow(run, schema)
+    held = free_name(keep, "__membership")
+    scored = docs.select(*keep, membership(F.col("text").cast("string")).alias(held))
+    return scored.select(*keep, F.col(f"{held}.n").alias(free_name(keep, "__n_tokens")), F.col(f"{held}.p").alias(free_name(keep, "__posterior")))
 
 
 @dataclass
@@ -149,6 +156,7 @@ class RateFit:
     step: float
     ridge: float
     residuals: list[np.ndarray] = field(default_factory=list)
+    settled: bool = True  # whether the last two residuals agree within the tolerance
 
     def points(self, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rates, and the extrapolated points at which the next residual is taken, of posteriors (rows x domains)."""
@@ -179,7 +187,9 @@ def _totals(rows: DataFrame, fit: RateFit) -> np.ndarray:
 def fit_rates(members: DataFrame, domains: list[str], targets: dict[str, float], budget: float = 1.0, ridge: float = RIDGE) -> RateFit:
     """Fits rates to ``targets`` (weights by domain, scaled to sum 1; absent domains 0) times ``budget``.
 
-    ``members`` has __n_tokens and __posterior. All its rows count."""
+    The last two columns of ``members`` are tokens and posteriors. All its rows count. Steps go on until residuals settle, up to a
+    number that the problem's condition gives; ``settled`` of the result says whether they did."""
+    members = members.select(*[F.col(c) for c in members.columns[-2:]]).toDF("__n_tokens", "__posterior")
     k = len(domains)
     weights = np.array([max(0.0, targets.get(d, 0.0)) for d in domains])
     narrow = members.select("__n_tokens", *[F.col("__posterior")[i].alias(f"p{i}") for i in range(k)])
@@ -193,31 +203,49 @@ def fit_rates(members: DataFrame, domains: list[str], targets: dict[str, float],
     gram = sums[k:].reshape(k, k) / everything
     scaled = gram / np.sqrt(np.outer(shares, shares))
     fit = RateFit(domains, budget * weights / weights.sum(), shares, 1.0 / (ridge + np.linalg.eigvalsh(scaled)[-1]), ridge)
-    last = None
-    for _ in range(MAX_STEPS):
+    last, fit.settled = None, False
+    for _ in range(steps_bound(fit)):
         residual = _totals(narrow, fit) / everything - fit.targets
         fit.residuals.append(residual)
         if last is not None and np.abs(residual - last).max() < TOLERANCE:
+            fit.settled = True
             break
         last = residual
+    if not fit.settled:
+        warnings.warn(f"rates had not settled after {len(fit.residuals)} steps (last change {np.abs(residual - last).max():.1e})", RuntimeWarning, stacklevel=2)
     return fit
 
 
-def with_copies(members: DataFrame, fit: RateFit, id_column: str = "doc_id") -> DataFrame:
-    """The rows of ``members`` with __domain (the likeliest), __rate and __copies instead of __posterior."""
-    names = [c for c in members.columns if c != "__posterior"]
+def steps_bound(fit: RateFit) -> int:
+    """Steps after which accelerated descent is surely within the tolerance: its error falls as 2 L / n^2 for curvature L = 1 / step."""
+    return max(FEWEST_STEPS, int(np.ceil((2 / (fit.step * TOLERANCE)) ** 0.5)))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n, k = batch.num_rows, len(fit.domains)
-            p = batch.column("__posterior").flatten().to_numpy(zero_copy_only=False).reshape(n, k)
-            best = [fit.domains[i] for i in p.argmax(axis=1)] if k else [None] * n
-            columns = [*[batch.column(c) for c in names], pa.array(best, pa.string()), pa.array(fit.points(p)[0], pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, [*names, "__domain", "__rate"])
 
-    schema = extended(members.select(*names).schema, "__domain string, __rate double")
-    draw = (unit_hash(F.col(id_column), seed=22) < F.col("__rate") - F.floor("__rate")).cast("int")
-    return members.mapInArrow(run, schema).withColumn("__copies", F.floor("__rate").cast("int") + draw)
+def rate_of(fit: RateFit, posterior: Column) -> Column:
+    """The rate of a document with this posterior."""
+
+    @F.arrow_udf("double")
+    def rate(posteriors: pa.Array) -> pa.Array:
+        p = posteriors.flatten().to_numpy(zero_copy_only=False).reshape(len(posteriors), len(fit.domains))
+        return pa.array(fit.points(p)[0], pa.float64())
+
+    return rate(posterior)
+
+
+def copies_of(rate: Column, doc_id: Column) -> Column:
+    """Copies of a document: the whole part of its rate, and one more with the rest as probability."""
+    return F.floor(rate).cast("int") + (unit_hash(doc_id, seed=22) < rate - F.floor(rate)).cast("int")
+
+
+def with_copies(members: DataFrame, fit: RateFit, id_column: str = "doc_id") -> DataFrame:
+    """The rows of ``members``, whose last two columns are tokens and posteriors, with __domain (the likeliest), __rate and
+    __copies instead of the posterior."""
+    posterior = F.col(members.columns[-1])
+    names = members.columns[:-1]
+    domains = F.array(*[F.lit(d) for d in fit.domains]).cast("array<string>")
+    domain = F.get(domains, F.array_position(posterior, F.array_max(posterior)).cast("int") - 1)
+    rated = members.select(*names, domain.alias("__domain"), rate_of(fit, posterior).alias("__rate"))
+    return rated.withColumn("__copies", copies_of(F.col("__rate"), F.col(id_column)))
 
 
 #: Domains of the labelled table and the mixture that is aimed at.
@@ -240,5 +268,7 @@ def fit_mixture(docs: DataFrame, labels: DataFrame, keep: list[str], targets: di
 def mixed_rows(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
     """The rows of ``docs``, each as often as its copies, with the columns of ``docs``."""
     members, fit = fit_mixture(docs, labels, docs.columns, targets)
-    rows = with_copies(members, fit).where("__copies > 0")
-    return rows.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col("__copies")))).select(*docs.columns)
+    held = free_name(docs.columns, "__rate")
+    rated = members.select(*docs.columns, rate_of(fit, F.col(members.columns[-1])).alias(held))
+    copies = F.array_repeat(F.lit(0), copies_of(F.col(held), F.col("doc_id")))
+    return rated.select(*docs.columns, F.explode(copies).alias(free_name(docs.columns, "__copy"))).select(*docs.columns)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from alula.llm.common import extended, slices, unit_hash
+from alula.llm.common import extended, free_name, slices, unit_hash, with_text
 
 PASSAGE = 500
 SAMPLE_ROWS, SAMPLE_CHARS = 3000, 60_000
@@ -184,9 +184,10 @@ def fit_attention(bags: list[np.ndarray], labels: list[int], rounds: int = ROUND
 def train_quality(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> AttentionModel:
     """Learns from at most ``rows`` rows of ``labels`` (doc_id, label 0 or 1), taken by a hash of the id from all of them."""
     known = labels.where("doc_id is not null and label is not null").select("doc_id", F.col("label").cast("int").alias("label"))
-    chosen = known.orderBy(unit_hash("doc_id", seed=10), "doc_id", "label").limit(rows)
+    chosen = known.distinct().orderBy(unit_hash("doc_id", seed=10), "doc_id", "label").limit(rows)
     texts = docs.where(F.length("text") <= SAMPLE_CHARS).select("doc_id", F.col("text").alias("__text"))
-    sample = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "__text")
+    # one text for each label, the least, so that an id with many rows takes one place
+    sample = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("__text").alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -199,13 +200,15 @@ def train_quality(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -
 
 
 def score_quality(docs: DataFrame, model: AttentionModel, keep: list[str]) -> DataFrame:
-    """``keep`` columns with __score, in [0, 1], of every row's whole text."""
+    """``keep`` columns with __score (underscores in front where ``keep`` has that name), in [0, 1], of every row's whole text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = list(keep)
+    rows, text = with_text(docs, names)
+    score = free_name(names, "__score")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 64):
-            scores = shared.value.score(batch.column("__text").to_pylist())
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(scores, pa.float64())], [*names, "__score"])
+            scores = shared.value.score(batch.column(text).to_pylist())
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(scores, pa.float64())], [*names, score])
 
-    return docs.select(*names, F.col("text").cast("string").alias("__text")).mapInArrow(run, extended(docs.select(*names).schema, "__score double"))
+    return rows.mapInArrow(run, extended(docs.select(*names).schema, f"`{score}` double"))

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from alula.llm.common import Remembered, extended, slices
+from alula.llm.common import Remembered, extended, own_caches, slices, with_text
 
 BLANK = "▁"
 #: Words a worker remembers are at most twice these;  the characters taken from a text at a time.
@@ -126,7 +126,7 @@ class _Words(Remembered):
     else a line break. Words with line breaks are put together from their lines: no piece has a line break."""
 
     def __init__(self, model: PieceModel, first: bool):
-        super().__init__(self.ids, WORD_CACHE)
+        super().__init__(self.ids, WORD_CACHE, "pieces")
         self.model, self.first = model, first
 
     def ids(self, word: str) -> bytes:
@@ -152,11 +152,13 @@ def encode_pieces(docs: DataFrame, model_path: str, keep: list[str], check: bool
     with open(model_path, "rb") as file:
         shared = docs.sparkSession.sparkContext.broadcast(file.read())
     names = list(keep)
+    rows, text = with_text(docs, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own_caches("pieces")
         model = load_model(shared.value)
         for batch in slices(batches, 64):
-            texts = batch.column("__text").to_pylist()
+            texts = batch.column(text).to_pylist()
             ids = [model.encode(t) for t in texts]
             same = [model.decode(i) == (t or "") for i, t in zip(ids, texts)] if check else [None] * len(texts)
             offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
@@ -166,7 +168,7 @@ def encode_pieces(docs: DataFrame, model_path: str, keep: list[str], check: bool
             yield pa.RecordBatch.from_arrays(columns, [*names, "__pieces", "__crc32", "__round_trip"])
 
     schema = extended(docs.select(*names).schema, "__pieces array<int>, __crc32 long, __round_trip boolean")
-    return docs.select(*names, F.col("text").cast("string").alias("__text")).mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def decode_pieces(encoded: DataFrame, model_path: str, pieces: str, keep: list[str]) -> DataFrame:

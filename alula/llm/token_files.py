@@ -18,18 +18,18 @@ id keep the order of their texts. Null texts count as empty and consist of the e
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alula.llm.common import slices
+from alula.llm.common import Remembered, own_caches, send_small_batches, slices
 from alula.session import scratch_path
 
 MAGIC = b"DAC1"
@@ -40,7 +40,7 @@ SEGMENT_IDS = 1 << 19
 #: Text bytes that one task encodes, about.
 TASK_BYTES = 24 << 20
 #: Words a worker remembers are at most twice these.
-WORD_CACHE = 600_000
+WORD_CACHE = 400_000
 END_ID = 1
 
 
@@ -123,38 +123,63 @@ class DacReader:
         return out
 
 
+#: Signs that the tokenizer's splitter takes off the end of a word that ends with a letter or digit.
+TAIL = ".,;:!?"
+
+
 class WordEncoder:
     """A tokenizer whose normaliser and splitter treat words apart, with the ids of a bounded number of words remembered.
 
-    Texts with separators that Python and the tokenizer see differently are encoded whole by the library."""
+    Arrow splits the texts of a batch and lists its different words; each of them is looked up once, without the signs at
+    its end, which are words of their own to the tokenizer. Ids are then put in place for all words at once. Texts with
+    separators that Arrow and the tokenizer see differently are encoded whole by the library."""
 
-    odd = re.compile("[\x1c-\x1f]")
+    odd = "[\x1c-\x1f]"
 
     def __init__(self, definition: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}  # the words known before the last change of generations
-
-    def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
-        words = [None if self.odd.search(t) else t.split() for t in texts]
-        if len(self.known) > WORD_CACHE:
-            self.known, self.older = {}, self.known
-        known, older = self.known, self.older
-        missing = {w for ws in words if ws for w in ws if w not in known}
-        known.update((w, older[w]) for w in missing if w in older)
-        new = [w for w in missing if w not in known]
+        self.known = Remembered(self._ids, WORD_CACHE, "tokens")
+        self.tails = Remembered(self._ids, 4096, "tokens")
+
+    def _ids(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _learn(self, words: set[str]) -> None:
+        known, older = self.known, self.known.older
+        new = [w for w in words if w not in known and w not in older]
         for at in range(0, len(new), 4096):
             part = new[at : at + 4096]
             for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                known[w] = np.array(e.ids, dtype="<u4").tobytes()
-        out = []
-        for text, ws in zip(texts, words):
-            if ws is None:
-                out.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32))
-            else:
-                out.append(np.frombuffer(b"".join(map(known.__getitem__, ws)), dtype="<u4"))
+                known.keep(w, np.array(e.ids, dtype="<u4").tobytes())
+
+    def _word_ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words one after another, and how many each has."""
+        split = []
+        for w in words:
+            core = w.rstrip(TAIL)
+            split.append((core, w[len(core) :]) if core and len(core) != len(w) and core[-1].isalnum() else (w, ""))
+        self._learn({core for core, _ in split})
+        known, tails = self.known, self.tails
+        found = [known[core] + tails[tail] if tail else known[core] for core, tail in split]
+        return np.frombuffer(b"".join(found), dtype="<u4"), np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
+
+    def encode_batch(self, texts: pa.Array) -> list[np.ndarray]:
+        whole = {i: texts[i].as_py() for i in np.flatnonzero(pc.match_substring_regex(texts, self.odd).to_numpy(zero_copy_only=False))}
+        lists = pc.utf8_split_whitespace(texts.cast(pa.large_string()))
+        words = lists.flatten().dictionary_encode()
+        flat, sizes = self._word_ids(words.dictionary.to_pylist())
+        starts = np.cumsum(sizes) - sizes
+        word = words.indices.to_numpy()
+        n = sizes[word]
+        ends = np.append(0, np.cumsum(n))
+        ids = flat[np.arange(ends[-1]) + np.repeat(starts[word] - ends[:-1], n)]
+        offsets = np.append(0, np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False)))
+        cuts = ends[offsets]
+        out = [ids[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+        for i, text in whole.items():
+            out[i] = np.frombuffer(self._ids(text), dtype="<u4")
         return out
 
 
@@ -178,10 +203,12 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID
         shared = spark.sparkContext.broadcast(file.read())
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    send_small_batches(spark)
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // TASK_BYTES + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        own_caches("tokens")
         encoder, part = load_encoder(shared.value), TaskContext.get().partitionId()
         segment = start = 0
         held: list[np.ndarray] = []
@@ -193,8 +220,10 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, SEGMENT_TYPES)], SEGMENT_NAMES)
 
         n = 0
-        for batch in slices(batches, 64):
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode_batch(batch.column("text").to_pylist())):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode_batch(batch.column("text"))):
                 names.append(doc_id)
                 held.append(np.append(ids, np.uint32(end_id)))
                 n += len(held[-1])
