@@ -18,6 +18,7 @@ from alula.operators.ordering import lookup, numbered
 from alula.session import pinned, setting
 
 PERMUTATION_ROWS = 50_000  # rows shuffled together in one task
+PARTIAL_BYTES = 64 << 20  # sums of large strata that a task holds before it passes them on
 
 
 def shape_vector(x: str = "ax", y: str = "ay") -> Column:
@@ -98,6 +99,8 @@ def nested_anova(
     Cells are cumulative, so a caste of two species counts as two cells."""
     if n_perm and seed is None:
         raise ValueError("n_perm > 0 needs a seed")
+    if n_perm:
+        df = pinned(df.select(*levels, vector, row_id))
     k = len(levels)
     # k+1 rows reach this window
     before = Window.partitionBy(F.lit(0)).orderBy("depth")
@@ -156,91 +159,131 @@ def permutation_p_values(
     return out
 
 
+#: Rounds and modulus of the draws.
+ROUNDS, PRIME = 4, (1 << 31) - 1
+
+
+def round_keys(seed: int, name: str, perm: int, stratum: str) -> list[int]:
+    """The keys of one permutation of one stratum."""
+    digest = sha256(f"{seed}|{name}|{perm}|{stratum}".encode()).hexdigest()
+    return [int(digest[8 * r : 8 * r + 8], 16) % PRIME for r in range(ROUNDS)]
+
+
+def half_bits(n: np.ndarray) -> np.ndarray:
+    """Bits of half a number, so that two halves hold 0 .. n - 1; three at least, for variety in small strata."""
+    bits = np.ceil(np.log2(np.maximum(np.asarray(n, dtype=np.float64), 2.0))).astype(np.int64)
+    return np.maximum(3, (bits + 1) // 2)
+
+
+def drawn_places(places: np.ndarray, n: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Where each of the places 0 .. n - 1 goes: a keyed bijection, so no row needs to be compared with another.
+
+    A Feistel network permutes the numbers of ``2 * half_bits`` bits; what it sends beyond n goes through it again until it is
+    inside. ``n`` and ``keys`` (rows of ``ROUNDS``) belong to the places one by one."""
+    bits = half_bits(n)
+    mask = (np.int64(1) << bits) - 1
+    x = places.astype(np.int64)
+    todo = np.arange(len(x))
+    while len(todo):
+        y, b, m = x[todo], bits[todo], mask[todo]
+        for r in range(ROUNDS):
+            k, low = keys[todo, r], y & m
+            z = (low + k) % PRIME
+            z = (z * z + k) % PRIME
+            y = (low << b) | ((y >> b) ^ (((z * z) % PRIME >> 8) & m))
+        x[todo] = y
+        todo = todo[y >= n[todo]]
+    return x
+
+
 def _permuted_sums(
     df: DataFrame, parents: Sequence[str], label: str, vector: str, n_perm: int, seed: int, row_id: str
 ) -> np.ndarray:
     """Sum over cells of |S|^2/n, for every permutation of one level.
 
-    Permutation ``p`` sorts a stratum's rows by a hash of (seed, level, p, stratum, row id) and deals the labels
-    out in that order: the label that stands k-th when rows are sorted by (label, row id) goes to the k-th row. The same
-    rule holds for every stratum. Those that fit in a task are shuffled whole, many per task; in larger ones the two
-    orders are numbered by a distributed sort, so the result depends on the seed and the row ids only."""
+    A stratum's rows are numbered once, by (label, row id). Permutation ``p`` moves the row at a place to the place that a keyed
+    bijection gives, and the row takes the label that stands there: a function of its place and of the labels' first
+    places, without a sort or a row per permutation. The same rule holds for every stratum. Those that fit in a task are
+    numbered whole, many per task; larger ones by one distributed sort, and their batches add up before anything is shuffled."""
     spark = df.sparkSession
     size = setting(spark, "permutationRows", PERMUTATION_ROWS)
     stratum = F.to_json(F.struct(*parents)) if parents else F.lit("all")
-    rows = pinned(df.select(
+    rows = df.select(
         stratum.alias("stratum"),
         F.col(label).cast("string").alias("label"),
         F.col(row_id).cast("string").alias("rid"),
         F.col(vector).alias("v"),
-    ))
-    sizes = rows.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"))
-    n_rows = sizes.agg(F.sum("n")).first()[0] or 0
-    large = sizes.filter(F.col("n") > size).select("stratum", F.lit(True).alias("large"))
-    placed = lookup(rows, large, ["stratum"])
-    buckets = max(1, ceil(n_rows / size))
-    small = placed.filter(F.col("large").isNull()).withColumn(
-        "bucket", F.pmod(F.xxhash64("stratum"), F.lit(buckets))
     )
-    per_bucket = small.groupBy("bucket").applyInArrow(
+    sizes = rows.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"))
+    totals = sizes.agg(F.sum("n").alias("rows"), F.max("n").alias("top")).first()
+    total = np.zeros(n_perm)
+    if not totals["rows"]:
+        return total
+    small, large = rows, None
+    if totals["top"] > size:
+        placed = lookup(rows, sizes.filter(F.col("n") > size).select("stratum", F.lit(True).alias("large")), ["stratum"])
+        small, large = placed.filter(F.col("large").isNull()).drop("large"), placed.filter("large").drop("large")
+    buckets = max(1, ceil(totals["rows"] / size))
+    per_bucket = small.withColumn("bucket", F.pmod(F.xxhash64("stratum"), F.lit(buckets))).groupBy("bucket").applyInArrow(
         _whole_strata_kernel(label, n_perm, seed), "q array<double>"
     )
-    total = np.zeros(n_perm)
     for r in per_bucket.select(F.posexplode_outer("q").alias("pos", "q")).groupBy("pos").agg(F.sum("q").alias("q")).collect():
         if r["pos"] is not None:
             total[r["pos"]] += r["q"]
-    if large.isEmpty():
-        return total
-    for r in _large_strata(placed.filter("large").drop("large"), label, n_perm, seed).collect():  # one number per permutation
-        total[r["perm"]] += r["q"]
+    if large is not None:
+        for r in _large_strata(large, label, n_perm, seed).collect():  # one number per permutation
+            total[r["perm"]] += r["q"]
     return total
 
 
 def _large_strata(rows: DataFrame, name: str, n_perm: int, seed: int) -> DataFrame:
-    """(perm, q) of strata whose orders are numbered by distributed sorts. Only ids and labels are sorted; every row then
-    gets its labels, one per permutation, and each batch adds up its own vectors before anything is shuffled."""
-    held = numbered(rows.select("stratum", "label", "rid"), ["stratum"], ["label", "rid"], "place")
-    perms = F.explode(F.sequence(F.lit(0), F.lit(n_perm - 1)))
-    draws = rows.select("stratum", "rid", perms.alias("perm"))
-    text = F.concat_ws("|", F.lit(str(seed)), F.lit(name), F.col("perm").cast("string"), "stratum", "rid")
-    draws = draws.withColumn("draw", F.substring(F.sha2(text, 256), 1, 16))
-    ranked = numbered(draws, ["stratum", "perm"], ["draw", "rid"], "place")
-    dealt = ranked.join(held.select("stratum", "place", "label"), ["stratum", "place"]).groupBy("stratum", "rid").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("perm", "label"))), lambda e: e["label"]).alias("labels")
-    )
+    """(perm, q) of strata that are numbered by a distributed sort of ids and labels. A row comes with its place and its
+    stratum's labels and their first places; tasks add up vectors per label and permutation."""
+    held = numbered(rows.select("stratum", "label", "rid"), ["stratum"], ["label", "rid"], "place", start=0)
+    cells = rows.groupBy("stratum", "label").agg(F.count(F.lit(1)).alias("n"))
+    bounds = cells.groupBy("stratum").agg(F.array_sort(F.collect_list(F.struct("label", "n"))).alias("cells"))
+    bounds = bounds.select("stratum", F.col("cells.label").alias("names"), F.col("cells.n").alias("sizes"))
+    joined = rows.select("stratum", "rid", "v").join(held.select("stratum", "rid", "place"), ["stratum", "rid"]).join(bounds, "stratum")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            x = matrix(batch.column("v"))
-            strata = _codes(batch.column("stratum"))
-            firsts = {k: i for i, k in reversed(list(enumerate(strata.tolist())))}
-            for k, i in firsts.items():
-                inside = strata == k
-                labels = np.asarray(batch.column("labels").filter(pa.array(inside)).to_pylist(), dtype=object)
-                own = x[inside]
+        sums: dict[str, np.ndarray] = {}
+        names: dict[str, list[str]] = {}
+        keys: dict[str, np.ndarray] = {}
+
+        def added() -> Iterator[pa.RecordBatch]:
+            for k, s in sums.items():
                 for perm in range(n_perm):
-                    names, code = np.unique(labels[:, perm].astype(str), return_inverse=True)
-                    sums = np.zeros((len(names), x.shape[1]))
-                    np.add.at(sums, code, own)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([batch.column("stratum")[i].as_py()] * len(names)), pa.array(names.tolist()),
-                         pa.array([perm] * len(names), pa.int32()), list_column(sums)],
+                        [pa.array([k] * len(names[k])), pa.array(names[k]), pa.array([perm] * len(names[k]), pa.int32()), list_column(s[perm])],
                         ["stratum", "label", "perm", "s"],
                     )
+            sums.clear()
 
-    joined = rows.select("stratum", "rid", "v").join(dealt, ["stratum", "rid"])
-    sums = joined.mapInArrow(run, "stratum string, label string, perm int, s array<double>")
-    coordinates = sums.select("stratum", "label", "perm", F.posexplode_outer("s").alias("pos", "s"))
-    cells = coordinates.groupBy("stratum", "label", "perm", "pos").agg(F.sum("s").alias("s"))
-    cell_sizes = rows.groupBy("stratum", "label").agg(F.count(F.lit(1)).alias("n"))
-    return cells.join(cell_sizes, ["stratum", "label"]).groupBy("perm").agg(F.sum(F.col("s") * F.col("s") / F.col("n")).alias("q"))
-
+        for batch in batches:
+            x = matrix(batch.column("v"))
+            strata = np.asarray(batch.column("stratum").to_pylist(), dtype=object)
+            places = batch.column("place").to_numpy()
+            for k in dict.fromkeys(strata.tolist()):
+                inside = np.flatnonzero(strata == k)
+                counts = batch.column("sizes")[int(inside[0])].values.to_numpy()
+                ends, n = np.cumsum(counts), int(counts.sum())
+                if k not in keys:
+                    keys[k] = np.array([round_keys(seed, name, perm, k) for perm in range(n_perm)], dtype=np.int64)
+                if k not in sums:
+                    names[k] = batch.column("names")[int(inside[0])].as_py()
+                    sums[k] = np.zeros((n_perm, len(counts), x.shape[1]))
+                own, own_n = x[inside], np.full(len(inside), n)
+                for perm in range(n_perm):
+                    drawn = drawn_places(places[inside], own_n, np.broadcast_to(keys[k][perm], (len(inside), ROUNDS)))
+                    np.add.at(sums[k][perm], np.searchsorted(ends, drawn, side="right"), own)
+            if sum(s.nbytes for s in sums.values()) > PARTIAL_BYTES:
+                yield from added()
+        yield from added()
 
-def _codes(column: pa.ChunkedArray) -> np.ndarray:
-    values = np.asarray(column.to_pylist(), dtype=object)
-    return np.unique(values.astype(str), return_inverse=True)[1]
+    partial = joined.mapInArrow(run, "stratum string, label string, perm int, s array<double>")
+    coordinates = partial.select("stratum", "label", "perm", F.posexplode_outer("s").alias("pos", "s"))
+    summed = coordinates.groupBy("stratum", "label", "perm", "pos").agg(F.sum("s").alias("s"))
+    return summed.join(cells, ["stratum", "label"]).groupBy("perm").agg(F.sum(F.col("s") * F.col("s") / F.col("n")).alias("q"))
 
 
 def _whole_strata_kernel(name: str, n_perm: int, seed: int):
@@ -249,16 +292,22 @@ def _whole_strata_kernel(name: str, n_perm: int, seed: int):
         names = np.asarray(table.column("stratum").to_pylist(), dtype=str)
         labels = np.asarray(table.column("label").to_pylist(), dtype=str)
         start = np.lexsort((rid, labels, names))
-        rid, names, labels = rid[start], names[start], labels[start]
+        names, labels = names[start], labels[start]
         x = matrix(table.column("v").combine_chunks())[start]
-        changes = (names[1:] != names[:-1]) | (labels[1:] != labels[:-1])
-        first = np.flatnonzero(np.r_[True, changes])
+        opens = np.r_[True, names[1:] != names[:-1]]
+        first = np.flatnonzero(opens | np.r_[True, labels[1:] != labels[:-1]])
         sizes = np.diff(np.r_[first, len(x)])
+        stratum = np.cumsum(opens) - 1
+        base = np.flatnonzero(opens)
+        n = np.diff(np.r_[base, len(x)])[stratum]
+        base = base[stratum]
+        places = np.arange(len(x)) - base
+        at = np.empty(len(x), dtype=np.int64)
         out = np.empty(n_perm)
         for perm in range(n_perm):
-            texts = (f"{seed}|{name}|{perm}|{n}|{r}" for n, r in zip(names, rid))
-            draws = np.array([int.from_bytes(sha256(t.encode()).digest()[:8], "big") for t in texts], dtype=np.uint64)
-            s = np.add.reduceat(x[np.lexsort((rid, draws, names))], first, axis=0)
+            keys = np.array([round_keys(seed, name, perm, k) for k in names[opens]], dtype=np.int64)[stratum]
+            at[base + drawn_places(places, n, keys)] = np.arange(len(x))
+            s = np.add.reduceat(x[at], first, axis=0)
             out[perm] = ((s * s).sum(axis=1) / sizes).sum()
         return pa.table({"q": pa.array([out.tolist()], type=pa.list_(pa.float64()))})
 

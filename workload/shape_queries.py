@@ -244,13 +244,26 @@ def between_within(spark, d):
     return VA.between_within(_vectors(spark, d), "species").select(_r("ss_between"), _r("ss_within"), _r("ss_total"))
 
 
-PERMUTED_SQL = """
+# A keyed bijection of the places 0 .. n - 1: four Feistel rounds on two halves of b bits, again until the result is inside.
+MIXED_SQL = "(((x & ((1::bigint << b) - 1)) + k) % 2147483647)"
+TWICE_SQL = f"(({MIXED_SQL} * {MIXED_SQL} + k) % 2147483647)"
+FEISTEL_SQL = (
+    "list_reduce(list_concat([{x}], keys), lambda x, k: ((x & ((1::bigint << b) - 1)) << b)"
+    f" | xor(x >> b, ({TWICE_SQL} * {TWICE_SQL} % 2147483647 >> 8) & ((1::bigint << b) - 1)))"
+)
+PERMUTED_SQL = f"""
 , lv as (select 1 as depth, 'species' as lev, 'all' as stratum, species as label, ord from photo
-         union all select 2, 'caste', concat('{"species":"', species, '"}'), caste, ord from photo),
-held as (select *, row_number() over (partition by depth, stratum order by label, cast(ord as varchar)) as place from lv),
-drw as (select depth, stratum, ord, perm, row_number() over (partition by depth, stratum, perm
-          order by substr(sha256(concat_ws('|', '11', lev, perm, stratum, ord)), 1, 16), cast(ord as varchar)) as place from lv, range(99) t(perm)),
-dealt as (select d.depth, d.perm, d.stratum, d.ord, h.label from drw d join held h using (depth, stratum, place)),
+         union all select 2, 'caste', concat('{{"species":"', species, '"}}'), caste, ord from photo),
+held as (select *, row_number() over (partition by depth, stratum order by label, cast(ord as varchar)) - 1 as place, count(*) over (partition by depth, stratum) as n from lv),
+kd as (select distinct depth, lev, stratum, n, perm, sha256(concat_ws('|', '11', lev, perm, stratum)) as h from held, range(99) t(perm)),
+ky as materialized (
+  select depth, stratum, perm, n, greatest(3, (ceil(log2(greatest(n, 2)))::bigint + 1) // 2) as b,
+    list_transform(range(4), lambda r: ('0x' || substr(h, 8 * r + 1, 8))::bigint % 2147483647) as keys from kd
+), wk as (
+  select depth, stratum, perm, ord, n, b, keys, {FEISTEL_SQL.format(x='place')} as x from held join ky using (depth, stratum, n)
+  union all select depth, stratum, perm, ord, n, b, keys, {FEISTEL_SQL.format(x='x')} from wk where x >= n
+),
+dealt as (select d.depth, d.perm, d.stratum, d.ord, h.label from wk d join held h on h.depth = d.depth and h.stratum = d.stratum and h.place = d.x),
 pc as (select depth, perm, stratum, label, pos, sum(v) as s, count(*) as n from dealt join lp using (ord) group by all),
 pq as (select depth, perm, sum(s * s / n) as q from pc group by all),
 c0 as (select pos, sum(v) as s, sum(v * v) as q, count(*) as n from lp group by 1),
@@ -266,7 +279,7 @@ select cast(depth as int) as rank, case depth when 1 then 'species' else 'caste'
 union all select 3, 'Residual', round(ss, 6), cast(df as bigint), round(ss / df, 6), null, null from res"""
 
 
-@query(V.with_sql(V.PHOTO_SQL, V.POINTS_SQL, STD_SQL, *FROZEN, LONG_SQL) + PERMUTED_SQL)
+@query(V.with_sql(V.PHOTO_SQL, V.POINTS_SQL, STD_SQL, *FROZEN, LONG_SQL).replace("with", "with recursive", 1) + PERMUTED_SQL)
 def permutation_p(spark, d):
     table = VA.nested_anova(_vectors(spark, d), ["species", "caste"], n_perm=99, seed=11)
     return table.select("rank", "source", _r("ss"), "df", _r("ms"), _r("f"), _r("p"))
