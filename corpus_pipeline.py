@@ -18,9 +18,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Drops documents without letters and those that no learnt language claims."""
     ship_package(spark)
     model = language_id.train_language_id(docs, ~held_out(F.col("doc_id")))
-    found = language_id.identify_languages(docs, model, docs.columns)
-    good = (F.col("__lang_pred") != language_id.UNDETERMINED) & (F.col("__score") > 0)
-    return found.where(good).select(*docs.columns)
+    return language_id.claimed_rows(docs, model)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
