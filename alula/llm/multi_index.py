@@ -174,13 +174,17 @@ def _forest(hits: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.n
 
 
 def _met(queries: pa.Table, members: pa.Table) -> pa.Table:
-    """Links of a block of queries with a block of members: (id, links, smallest id of its part of the forest)."""
+    """Links of a block of queries with a block of members: (id, links, smallest id of its part of the forest).
+
+    A pair counts for the query. It counts for the member too where the member does not visit the query's own cell, and so
+    does not find the pair itself."""
     names = ["id", "links", "root"]
     empty = pa.table([pa.array([], pa.int64())] * 3, names=names)
     if not queries.num_rows or not members.num_rows:
         return empty
     left, right = queries.column("ask_id").to_numpy(), members.column("id").to_numpy()
-    copies = members.column("copies").to_numpy()
+    copies, visits = members.column("copies").to_numpy(), _matrix(members.column("visits"))
+    own_cell, own_copies = queries.column("ask_own").to_numpy(), queries.column("ask_copies").to_numpy()
     u, v = unit_rows(_matrix(queries.column("ask_vector"))), unit_rows(_matrix(members.column("vector")))
     out = []
     for at in range(0, len(left), BLOCK_ROWS):
@@ -191,8 +195,12 @@ def _met(queries: pa.Table, members: pa.Table) -> pa.Table:
             continue
         hits = hits[rows][:, columns]
         a, b = _forest(hits, part[rows], right[columns])
+        asks, found = np.nonzero(hits)
+        one_way = (visits[columns][found] != own_cell[at : at + BLOCK_ROWS][rows][asks][:, None]).all(axis=1)
+        back = np.zeros(len(b), dtype=np.int64)
+        np.add.at(back, found[one_way], own_copies[at : at + BLOCK_ROWS][rows][asks[one_way]])
         out.append(pa.table([pa.array(part[rows]), pa.array(hits @ copies[columns]), pa.array(a)], names=names))
-        out.append(pa.table([pa.array(right[columns]), pa.array(np.zeros(len(b), dtype=np.int64)), pa.array(b)], names=names))
+        out.append(pa.table([pa.array(right[columns]), pa.array(back), pa.array(b)], names=names))
     return pa.concat_tables(out) if out else empty
 
 
@@ -225,10 +233,10 @@ def near_vectors(classes: DataFrame, index: MultiIndex) -> DataFrame:
     def every(n: str) -> Column:
         return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
 
-    asking = placed.select("id", "vector", F.explode("visits").alias("cell")).join(blocks, "cell")
-    asking = asking.withColumn("q", block("query_blocks")).withColumn("m", every("member_blocks")).select("cell", "q", "m", "id", "vector")
-    held = placed.select("id", "copies", "vector", "cell").join(blocks, "cell")
-    held = held.withColumn("m", block("member_blocks")).withColumn("q", every("query_blocks")).select("cell", "q", "m", "id", "copies", "vector")
+    asking = placed.select("id", "copies", "vector", F.col("cell").alias("own"), F.explode("visits").alias("cell")).join(blocks, "cell")
+    asking = asking.withColumn("q", block("query_blocks")).withColumn("m", every("member_blocks")).select("cell", "q", "m", "id", "copies", "own", "vector")
+    held = placed.select("id", "copies", "vector", "cell", "visits").join(blocks, "cell")
+    held = held.withColumn("m", block("member_blocks")).withColumn("q", every("query_blocks")).select("cell", "q", "m", "id", "copies", "visits", "vector")
     asking = asking.toDF(*[f"ask_{c}" for c in asking.columns])
     pairs = asking.groupBy("ask_cell", "ask_q", "ask_m").cogroup(held.groupBy("cell", "q", "m"))
     return pairs.applyInArrow(_met, "id long, links long, root long")

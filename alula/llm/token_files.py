@@ -40,7 +40,7 @@ SEGMENT_IDS = 1 << 19
 #: Text bytes that one task encodes, about.
 TASK_BYTES = 24 << 20
 #: Words a worker remembers are at most twice these.
-WORD_CACHE = 400_000
+WORD_CACHE = 500_000
 END_ID = 1
 
 
@@ -123,6 +123,8 @@ class DacReader:
         return out
 
 
+#: New words that are encoded together.
+JOINED = 32
 #: Signs that the tokenizer's splitter takes off the end of a word that ends with a letter or digit.
 TAIL = ".,;:!?"
 
@@ -140,6 +142,9 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)  # ids that end a word
+        self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known = Remembered(self._ids, WORD_CACHE, "tokens")
         self.tails = Remembered(self._ids, 4096, "tokens")
 
@@ -147,10 +152,24 @@ class WordEncoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def _learn(self, words: set[str]) -> None:
+        """Words of letters alone are encoded together, as texts: each has one id that ends a word, its last."""
         known, older = self.known, self.known.older
         new = [w for w in words if w not in known and w not in older]
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
+        letters, alone = [w for w in new if w.isalpha()], [w for w in new if not w.isalpha()]
+        groups = [letters[a : a + JOINED] for a in range(0, len(letters), JOINED)]
+        for at in range(0, len(groups), 64):
+            part = groups[at : at + 64]
+            for group, e in zip(part, self.tokenizer.encode_batch_fast([" ".join(g) for g in part], add_special_tokens=False)):
+                ids = np.array(e.ids, dtype="<u4")
+                ends = ((np.flatnonzero(self.closes[ids]) + 1) * 4).tolist()
+                if len(ends) != len(group) or ends[-1] != 4 * len(ids):
+                    alone += group
+                    continue
+                raw = ids.tobytes()
+                for w, a, b in zip(group, [0, *ends], ends):
+                    known.keep(w, raw[a:b])
+        for at in range(0, len(alone), 4096):
+            part = alone[at : at + 4096]
             for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
                 known.keep(w, np.array(e.ids, dtype="<u4").tobytes())
 
@@ -159,7 +178,12 @@ class WordEncoder:
         split = []
         for w in words:
             core = w.rstrip(TAIL)
-            split.append((core, w[len(core) :]) if core and len(core) != len(w) and core[-1].isalnum() else (w, ""))
+            tail = w[len(core) :]
+            if tail and not (core and core[-1].isalnum()):
+                core, tail = w, ""
+            if core and (core.isascii() or max(core) < "\u0180"):
+                core = core.lower()  # the tokenizer does so too
+            split.append((core, tail))
         self._learn({core for core, _ in split})
         known, tails = self.known, self.tails
         found = [known[core] + tails[tail] if tail else known[core] for core, tail in split]

@@ -213,3 +213,26 @@ def test_no_usable_vector(spark):
     df = spark.createDataFrame([(1, None), (2, [0.0])], "vec_id long, embedding array<float>")
     assert sorted(map(tuple, multi_index.near_duplicate_vectors(df).collect())) == [(1, 0, 1, True), (2, 0, 2, True)]
     assert multi_index.near_duplicate_vectors(df.limit(0)).count() == 0
+
+
+def test_links_count_for_both_ends_over_many_cells(spark, monkeypatch):
+    """Pairs near the threshold in hundreds of cells: often only one end visits the other's cell."""
+    monkeypatch.setattr(multi_index, "CELL_ROWS", 8)
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(1500, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    other = rng.normal(size=x.shape)
+    other -= (other * x).sum(axis=1, keepdims=True) * x
+    other /= np.linalg.norm(other, axis=1, keepdims=True)
+    cosine = rng.uniform(0.905, 0.92, size=(len(x), 1))
+    rows = np.concatenate([x, cosine * x + np.sqrt(1 - cosine**2) * other])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
+    found = {r["vec_id"]: r for r in multi_index.near_duplicate_vectors(df).collect()}
+    unit = multi_index.unit_rows(rows)
+    links = (unit @ unit.T >= 0.9).sum(axis=1) - 1
+    got = np.array([found[i]["n_links"] for i in range(len(rows))])
+    assert (got <= links).all() and got.sum() >= 0.99 * links.sum()
+    # a pair counts for both ends or for neither
+    pairs = [(got[i], got[i + len(x)]) for i in range(len(x)) if links[i] == 1 == links[i + len(x)]]
+    assert len(pairs) > 1000 and all(a == b for a, b in pairs)
+    assert all(found[i]["component_id"] == i for i in range(len(x)) if got[i] == 0)
