@@ -192,11 +192,14 @@ def _gather(values: np.ndarray, first: np.ndarray, rows: np.ndarray, width: int)
 
 
 def spread_rows(df: DataFrame, key: str) -> DataFrame:
-    """Rows hashed over all cores: solving costs far more than moving a row, and a
-    small file would otherwise be a single task."""
+    """Rows hashed over all cores where the input is so small that it is read by fewer tasks than there are cores: solving costs far
+    more than moving a row. Larger inputs are not shuffled."""
     spark = df.sparkSession
-    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return df.repartition(parts, F.xxhash64(key))
+    cores = spark.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size >= cores * spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes():
+        return df
+    return df.repartition(max(cores, int(spark.conf.get("spark.sql.shuffle.partitions"))), F.xxhash64(key))
 
 
 def number_landmarks(

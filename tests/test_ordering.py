@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -90,3 +91,22 @@ def test_medians_are_exact_in_both_plans(spark, rows, limits, hot):
 def test_sequential_ids_put_missing_first(spark):
     df = spark.createDataFrame([(1, "b"), (2, None), (3, "a")], "ord long, photo_id string")
     assert {r["ord"]: r["tps_id"] for r in O.sequential_ids(df).collect()} == {2: 1, 3: 2, 1: 3}
+
+
+def test_medians_of_a_wide_range_take_seven_passes(spark, limits):
+    """Values from 1e-300 to 1e300, of both signs, with ties, zeros of both signs and infinities."""
+    rng = random.Random(9)
+    data = [("a", rng.choice([-1, 1]) * 10 ** rng.uniform(-300, 300)) for _ in range(301)]
+    data += [("b", 10 ** rng.uniform(-300, 300)) for _ in range(200)] + [("c", rng.choice([0.0, -0.0, 1e-300])) for _ in range(90)]
+    data += [("d", x) for x in (1.7e308, 1.6e308, float("inf"), -1.0)] + [(None, 3.5), (None, 4.5)]
+    df = spark.createDataFrame(data, "key string, v double").repartition(3)
+    with limits(hotGroupRows=3):
+        got = {r["key"]: r["m"] for r in MD.grouped_medians(df, ["key"], {"m": F.col("v")}).collect()}
+    import statistics
+
+    for key in ("a", "b", "c"):
+        assert got[key] == pytest.approx(statistics.median(v for k, v in data if k == key), rel=1e-15, abs=0)
+    assert got["d"] == pytest.approx(1.65e308) and got[None] == 4.0
+    assert sum(MD.PASSES) == 64 and len(MD.PASSES) == 7
+    codes = MD.ordered_bits(np.array([-np.inf, -1e300, -1e-300, -0.0, 0.0, 1e-300, 1.0, np.inf]))
+    assert (np.diff(codes) >= 0).all() and codes[3] == codes[4] and MD.from_ordered_bits(codes)[1] == -1e300
