@@ -53,14 +53,26 @@ def _enclosing_rectangle(p: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndar
     return corners, w, h, direction
 
 
-def _slide_inside(a0: np.ndarray, a1: np.ndarray, limit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Interval moved into [0, limit]; the whole range when it is too long."""
-    too_long = a1 - a0 > limit
-    up = np.maximum(-a0, 0.0)
-    b0, b1 = a0 + up, a1 + up
-    down = np.maximum(b1 - limit, 0.0)
-    b0, b1 = b0 - down, b1 - down
-    return np.where(too_long, 0.0, b0), np.where(too_long, limit, b1)
+def _axis_window(middle: np.ndarray, want: np.ndarray, limit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and length of a window on one axis: whole pixels around the middle, kept within [0, limit]."""
+    start, end = np.rint(middle - want / 2), np.rint(middle + want / 2)
+    length = np.minimum(end - start, limit)
+    return np.clip(start, 0.0, limit - length), length
+
+
+def _fitted_size(size: np.ndarray, ratio: float) -> tuple[np.ndarray, np.ndarray]:
+    """Size of the window of the wanted ratio for each (width, height), and whether it is a larger one.
+
+    A size near the ratio stays. Else the first of three candidates that fits inside is taken (same width, same height); where rounding
+    lets neither fit, both sides take their larger value."""
+    by_width = np.stack([size[:, 0], np.maximum(1, np.rint(size[:, 0] / ratio))], axis=1)
+    by_height = np.stack([np.maximum(1, np.rint(size[:, 1] * ratio)), size[:, 1]], axis=1)
+    candidates = np.stack([size, by_width, by_height, np.maximum(by_width, by_height)], axis=1)
+    suits = (candidates <= size[:, None, :]).all(axis=2)
+    suits[:, 0] = np.abs(size[:, 0] / np.maximum(size[:, 1], 1) - ratio) <= RATIO_SLACK
+    suits[:, 3] = True
+    choice = suits.argmax(axis=1)
+    return candidates[np.arange(len(size)), choice], choice == 3
 
 
 def window_geometry(corners: np.ndarray, width: np.ndarray, height: np.ndarray, padding: float, ratio: float) -> pd.DataFrame:
@@ -88,22 +100,15 @@ def window_geometry(corners: np.ndarray, width: np.ndarray, height: np.ndarray,
     want_w = np.where(wide, span_w, span_h * ratio)
     want_h = np.where(wide, span_w / ratio, span_h)
     mid_x, mid_y = (x0 + x1) / 2.0, (y0 + y1) / 2.0
-    left, right = _slide_inside(np.rint(mid_x - want_w / 2), np.rint(mid_x + want_w / 2), canvas_w)
-    top, bottom = _slide_inside(np.rint(mid_y - want_h / 2), np.rint(mid_y + want_h / 2), canvas_h)
-    usable &= (right > left) & (bottom > top)
-    cur_w, cur_h = right - left, bottom - top
-    off = usable & (np.abs(cur_w / np.maximum(cur_h, 1) - ratio) > RATIO_SLACK)
-    fit_h = np.maximum(1, np.rint(cur_w / ratio))
-    fit_w = np.maximum(1, np.rint(cur_h * ratio))
-    cut_h = off & (fit_h <= cur_h)
-    cut_w = off & ~cut_h & (fit_w <= cur_w)
-    grow = off & ~cut_h & ~cut_w
-    bottom = np.where(cut_h, top + fit_h, bottom)
-    right = np.where(cut_w, left + fit_w, right)
-    more_h = np.where(grow, np.maximum(0, fit_h - cur_h), 0.0)
-    more_w = np.where(grow, np.maximum(0, fit_w - cur_w), 0.0)
-    left, right = left - np.floor(more_w / 2), right + more_w - np.floor(more_w / 2)
-    top, bottom = top - np.floor(more_h / 2), bottom + more_h - np.floor(more_h / 2)
+    left, inside_w = _axis_window(mid_x, want_w, canvas_w)
+    top, inside_h = _axis_window(mid_y, want_h, canvas_h)
+    usable &= (inside_w > 0) & (inside_h > 0)
+    inside = np.stack([inside_w, inside_h], axis=1)
+    size, larger = _fitted_size(inside, ratio)
+    # a larger window grows about the middle, a smaller one keeps its upper left corner
+    shift = np.where(larger[:, None], np.floor((size - inside) / 2), 0.0)
+    left, top = left - shift[:, 0], top - shift[:, 1]
+    right, bottom = left + size[:, 0], top + size[:, 1]
     return pd.DataFrame({
         "m00": c, "m01": s, "m02": m02, "m10": -s, "m11": c, "m12": m12,
         "left": left, "top": top, "right": right, "bottom": bottom,

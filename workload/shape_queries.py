@@ -558,3 +558,46 @@ def reproject_round_trip(spark, d):
     inside = G.count_outside(F.col("ox"), F.col("oy"), C.OUT_WIDTH, C.OUT_HEIGHT)
     return joined.select("photo_id", same.alias("same_points"), (F.col("n_out_of_bounds") - inside).alias("n_out_of_bounds"),
                          F.when((F.col("n_out_of_bounds") > 0) == (F.col("status") == "SUSPECT"), "OK").otherwise("wrong").alias("status"))
+
+
+UPRIGHT_SQL = """
+with sized as (
+  select vec_id, 3000 + (vec_id % 5) * 200 as w, 2000 + (vec_id % 3) * 100 as h, (vec_id * 373) % 3600 as cx, (vec_id * 257) % 2300 as cy,
+         1 + (vec_id * 11) % 61 + case when (vec_id * 11) % 61 = (vec_id * 7) % 83 then 1 else 0 end as a, 1 + (vec_id * 7) % 83 as b,
+         [floor(1500 + 1000 * cast(v as double)) for v in embedding[1:64:2]] as xs, [floor(1000 + 1000 * cast(v as double)) for v in embedding[2:64:2]] as ys
+  from embeddings),
+turned as (
+  select vec_id, a, b, greatest(a, b) as long, least(a, b) as short, case when a > b then w else h end as cw, case when a > b then h else w end as ch,
+         case when a > b then cx else h - cy end as mx, case when a > b then cy else cx end as my,
+         case when a > b then xs else [h - y for y in ys] end as us, case when a > b then ys else xs end as vs
+  from sized),
+want as (select *, greatest(44 * long, 88 * short) as ww, greatest(22 * long, 44 * short) as wh from turned),
+cut as (select *, least(ww, cw) as iw, least(wh, ch) as ih from want),
+placed as (select *, greatest(0, least(mx - ww / 2, cw - iw)) as l, greatest(0, least(my - wh / 2, ch - ih)) as t, abs(iw / ih - 2.0) > 0.02 as off from cut),
+fitted as (select *, case when off and iw / 2 > ih then 2 * ih else iw end as sw, case when off and iw / 2 <= ih then iw / 2 else ih end as sh from placed)
+select vec_id as photo_id, l::double as l, t::double as t, (l + sw)::double as r, (t + sh)::double as b, true as aspect_right, round((us[1] - l) * 512 / sw, 3) as x1, round((vs[1] - t) * 256 / sh, 3) as y1,
+       round((list_sum(us) - 32 * l) * 512 / sw, 3) as sum_x, round((list_sum(vs) - 32 * t) * 256 / sh, 3) as sum_y
+from fitted"""
+
+
+@query(UPRIGHT_SQL)
+def reproject_points(spark, d):
+    """Upright and quarter-turned boxes, some beyond the image or larger than it: window and points are plain arithmetic in SQL."""
+    sized = V.shapes(spark, d).selectExpr(
+        "ord as photo_id", "x", "y", "3000 + (ord % 5) * 200 as width", "2000 + (ord % 3) * 100 as height", "(ord * 373) % 3600 as cx", "(ord * 257) % 2300 as cy",
+        "1 + (ord * 11) % 61 + case when (ord * 11) % 61 = (ord * 7) % 83 then 1 else 0 end as a", "1 + (ord * 7) % 83 as b")
+    landmarks = sized.selectExpr(
+        "photo_id", "transform(x, v -> cast(floor(1500 + 1000 * v) as double)) as x", "transform(y, v -> cast(floor(1000 + 1000 * v) as double)) as y")
+    manifest = sized.selectExpr("photo_id", "concat('img/', photo_id) as path", "width", "height")
+    signs = [(-1, -1), (1, -1), (1, 1), (-1, 1)]
+    corners = [c for n, (sx, sy) in enumerate(signs, start=1) for c in (f"(cx + ({sx}) * 20 * a) / width as x{n}", f"(cy + ({sy}) * 20 * b) / height as y{n}")]
+    detections = sized.selectExpr("photo_id", "'OK' as status", *corners)
+    moved = C.reproject(landmarks, manifest, detections, direction="to_crop")
+    framed = sized.join(detections, "photo_id").select(
+        "photo_id", "a", "b", C.crop_transform([F.col(c) for c in C.CORNER_COLUMNS], F.col("width").cast("double"), F.col("height").cast("double")).alias("g"))
+    ratio = F.greatest("a", "b") / F.least("a", "b")
+    total = lambda c: F.round(F.aggregate(c, F.lit(0.0), lambda s, v: s + v), 3)
+    return framed.join(moved, "photo_id").select(
+        "photo_id", F.col("g.left").alias("l"), F.col("g.top").alias("t"), F.col("g.right").alias("r"), F.col("g.bottom").alias("b"),
+        (F.abs(F.col("aspect_ratio") - ratio) < 0.001 * ratio).alias("aspect_right"), F.round(F.col("rx")[0], 3).alias("x1"), F.round(F.col("ry")[0], 3).alias("y1"),
+        total("rx").alias("sum_x"), total("ry").alias("sum_y"))
