@@ -17,6 +17,7 @@ from alula.functions import strings as S
 from alula.functions.shapes import dropped_point
 from alula.operators.ordering import evaluated_once, lookup, numbered, running_totals, sequential_ids
 from alula.schema import LANDMARKS
+from alula.session import broadcast_bytes, pinned
 
 
 class LandmarkFileError(ValueError):
@@ -172,6 +173,30 @@ def parse_blocks(blocks: DataFrame) -> DataFrame:
 
 
 FILE_ORDER = ["source", "start", "seq", "pos"]
+#: Bytes that a row of the table of file splits takes at most in a broadcast, its path included.
+SPLIT_ROW_BYTES = 1024
+
+
+def _ranked_by_split(rows: DataFrame, counted: DataFrame) -> DataFrame:
+    """Adds ``ord``, the rank in file order from 0, without moving the rows.
+
+    Rows of a file split stand together in one task, in file order. A first pass over ``counted`` (the same rows, as cheap as they
+    can be had) gives each split's number of rows and its first place in the task; sums over that small table, one row per
+    split, give the ranks at which splits begin. The second pass checks that every row stands where the first pass saw its
+    split: should Spark cut or pack the files differently in between, some row does not, and the query fails."""
+    spark = rows.sparkSession
+    place = F.monotonically_increasing_id()
+    splits = pinned(
+        counted.select("source", "start", place.alias("place")).groupBy("source", "start").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("first"))
+    )
+    ends = running_totals(splits, [], ["source", "start"], {"end": F.col("n")})
+    table = ends.select(F.col("source").alias("__source"), F.col("start").alias("__start"), "first", "n", (F.col("end") - F.col("n")).alias("before"))
+    if splits.count() * SPLIT_ROW_BYTES <= broadcast_bytes(spark):
+        table = F.broadcast(table)
+    placed = rows.withColumn("place", place).join(table, (F.col("source") == F.col("__source")) & (F.col("start") == F.col("__start")), "left")
+    inside = (F.col("place") >= F.col("first")) & (F.col("place") < F.col("first") + F.col("n"))
+    moved = F.raise_error(F.lit("file splits changed while they were ranked; set spark.sql.files.minPartitionNum")).cast("long")
+    return placed.select(*rows.columns, F.when(inside, F.col("place") - F.col("first") + F.col("before")).otherwise(moved).alias("ord"))
 
 
 def read_landmarks(spark: SparkSession, paths: str | Sequence[str], strict: bool = True, rank: bool = True) -> DataFrame:
@@ -190,7 +215,8 @@ def read_landmarks(spark: SparkSession, paths: str | Sequence[str], strict: bool
         )
     kept = parsed.filter("usable")
     if rank:
-        kept = numbered(kept, [], FILE_ORDER, "ord", start=0, sizes_from=blocks)  # counting needs no parsing
+        # of a strict reading every block stays, so that counting needs no parsing
+        kept = _ranked_by_split(kept, blocks if strict else kept)
     else:
         kept = kept.withColumn("ord", F.monotonically_increasing_id())
     return kept.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in LANDMARKS.fields])

@@ -125,3 +125,32 @@ def test_uploads_are_renumbered_and_must_not_be_empty(spark, tmp_path):
         LF.read_uploads(spark, [a, write(tmp_path / "other", "nothing", "a.tps")])
     with pytest.raises(LF.LandmarkFileError, match="c.tps"):
         LF.read_uploads(spark, [a, write(tmp_path, "nothing here", "c.tps")])
+
+
+def test_ranks_come_from_file_splits(spark, tmp_path, limits):
+    """Ranks follow (file, place in the file) over many splits; rows with coordinates are not shuffled for it."""
+    block = "LM=2\n1.5 2\n{v} 4\nIMAGE=i\nID={id}\n"
+    n = 0
+    for k, size in enumerate((40, 3, 120, 1, 77)):
+        text = "".join(block.format(v="x" if (n + i) % 13 == 5 else n + i, id=n + i) for i in range(size))
+        write(tmp_path, text, f"part-{k}.tps")
+        n += size
+    wanted = [(r, i) for r, i in enumerate(i for i in range(n) if i % 13 != 5)]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        rows = LF.read_landmarks(spark, str(tmp_path), strict=False)
+        assert rows.rdd.getNumPartitions() > 5
+        assert sorted((r["ord"], int(r["tps_id"])) for r in rows.collect()) == wanted
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert not [line for line in plan.split("\n") if "Exchange" in line and "Broadcast" not in line and "x#" in line]
+        with limits(broadcastBytes=0, hotGroupRows=3):
+            assert sorted((r["ord"], int(r["tps_id"])) for r in LF.read_landmarks(spark, str(tmp_path), strict=False).collect()) == wanted
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_changed_splits_are_noticed(spark, tmp_path):
+    write(tmp_path, GOOD * 9)
+    blocks = LF.scan_blocks(spark, str(tmp_path))
+    with pytest.raises(Exception, match="file splits changed"):
+        LF._ranked_by_split(blocks, blocks.limit(4)).collect()
