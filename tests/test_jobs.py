@@ -185,3 +185,70 @@ def test_windowed_counters_drop_late_rows(spark, tmp_path):
     query.awaitTermination()
     rows = {str(r["start"]): r["n"] for r in spark.sql("select window.start as start, n from late").collect()}
     assert rows["2024-01-01 10:00:00"] == 2
+
+
+def _files(folder):
+    return {str(p): p.stat().st_mtime_ns for p in folder.rglob("*.parquet")}
+
+
+def _crash_after(monkeypatch, writes):
+    """Lets a stream die once, right after so many tables were written."""
+    real, left = ST._store_batch, [writes]
+
+    def store(*args):
+        real(*args)
+        left[0] -= 1
+        if left[0] == 0:
+            raise RuntimeError("killed")
+
+    monkeypatch.setattr(ST, "_store_batch", store)
+
+
+def test_latest_status_writes_changed_keys_only(spark, tmp_path, monkeypatch):
+    folder, target = str(tmp_path / "in"), tmp_path / "out"
+    spark.range(2000).selectExpr("id as ord", "concat('p', id) as photo_id", "'OK' as status").coalesce(1).write.parquet(folder)
+    assert ST.run_latest_status(spark, folder, str(target)).count() == 2000
+    before = _files(target)
+    late = [(5000, "p1", "FAILED"), (-1, "p2", "FAILED"), (5001, "new", "OK")]
+    spark.createDataFrame(late, "ord long, photo_id string, status string").coalesce(1).write.mode("append").parquet(folder)
+    with monkeypatch.context() as patch:
+        _crash_after(patch, 1)
+        with pytest.raises(Exception, match="killed"):
+            ST.run_latest_status(spark, folder, str(target))
+    got = {r["photo_id"]: (r["status"], r["ord"]) for r in ST.run_latest_status(spark, folder, str(target)).collect()}
+    assert len(got) == 2001 and (got["p1"], got["p2"], got["new"]) == (("FAILED", 5000), ("OK", 2), ("OK", 5001))
+    after = _files(target)
+    assert before.items() <= after.items()
+    assert spark.read.parquet(*(set(after) - set(before))).count() == 3
+
+
+def test_content_dedup_keeps_its_memory_on_disk(spark, tmp_path, monkeypatch):
+    folder, target = str(tmp_path / "in"), str(tmp_path / "out")
+    make = lambda *hashes: spark.createDataFrame([(i, h) for i, h in enumerate(hashes)], "ord long, content_hash string").coalesce(1)
+    make("a", "b", "a", None).write.parquet(folder)
+    assert sorted(str(r["content_hash"]) for r in ST.run_content_dedup(spark, folder, target).collect()) == ["None", "a", "b"]
+    make("b", "c", None, "c").write.mode("append").parquet(folder)
+    with monkeypatch.context() as patch:
+        _crash_after(patch, 1)
+        with pytest.raises(Exception, match="killed"):
+            ST.run_content_dedup(spark, folder, target)
+    assert sorted(str(r["content_hash"]) for r in ST.run_content_dedup(spark, folder, target).collect()) == ["None", "a", "b", "c"]
+    make("a", "b").write.mode("append").parquet(folder)
+    assert ST.run_content_dedup(spark, folder, target).count() == 4
+
+
+def test_ingest_tables_agree_after_a_crash(spark, tmp_path, monkeypatch):
+    folder, target = tmp_path / "in", str(tmp_path / "out")
+    folder.mkdir()
+    good = "LM=1\n1 2\nIMAGE=i\nID=7\n"
+    (folder / "a.tps").write_text(good + good.replace("LM=1", "LM=2") + good.replace("ID=7", "ID=8"))
+    with monkeypatch.context() as patch:
+        _crash_after(patch, 1)
+        with pytest.raises(Exception, match="killed"):
+            ST.run_landmark_ingest(spark, str(folder), target)
+    for _ in range(2):
+        rows = ST.run_landmark_ingest(spark, str(folder), target).collect()
+        assert sorted(int(r["tps_id"]) for r in rows) == [7, 8] and all(r["x"] == [1.0] for r in rows)
+        assert [r["message"] for r in spark.read.parquet(f"{target}__errors").collect()] == ["expected 2 landmarks, found 1"]
+    (folder / "b.tps").write_text(good.replace("ID=7", "ID=9"))
+    assert ST.run_landmark_ingest(spark, str(folder), target).count() == 3
