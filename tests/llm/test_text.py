@@ -300,6 +300,31 @@ def test_licences_are_found_and_confirmed(documents):
     assert licenses.scan_licenses(documents([]), licenses.train_licenses(documents([])), ["doc_id"]).count() == 0
 
 
+#: Licences that are none of those listed, each a near relative of one, and notices of listed ones in other words.
+RELATIVES = [
+    "This work is licensed under the GNU General Public License, version 2.", "Licensed under the GNU Affero General Public License, version 3.",
+    "Released under the BSD 2-Clause License.", "Licensed under the Apache License, Version 1.1.", "Licensed under CC BY-ND 4.0.", "Released under the ISC License.",
+    "Licensed under CC BY-SA 2.5.", "Licensed under the Open Software License, version 3.0.", "Licensed under the GNU Lesser General Public License, version 3.",
+    "Licensed under the Academic Free License, version 3.0.", "Released under the BSD 1-Clause License.", "Licensed under CC BY-NC 3.0.",
+    "This work is licensed under the GNU General Public License, version 1.", "Licensed under the Apache License.", "Released under the X11 License.",
+]
+LISTED = {
+    "The code is licensed under the Apache License, Version 2.0.": "Apache-2.0", "It was released under the BSD 3-Clause License.": "BSD-3-Clause",
+    "This text is licensed under CC BY 4.0.": "CC-BY-4.0", "This text is licensed under CC BY-SA 4.0.": "CC-BY-SA-4.0",
+    "This book is licensed under the GNU General Public License, version 3.": "GPL-3.0", "All of it is licensed under the GNU Lesser General Public License, version 2.1.": "LGPL-2.1",
+}
+
+
+def test_other_licences_are_not_taken_for_listed_ones(documents):
+    rows = [(i, t) for i, t in enumerate([*RELATIVES, *LISTED])]
+    rng = random.Random(5)
+    corpus = documents([(i, f"{_speech(rng, 'xx', 30)}.") for i in range(60)])
+    got = {r["doc_id"]: {n["family"] for n in r["__notices"]} for r in licenses.scan_licenses(documents(rows), licenses.train_licenses(corpus), ["doc_id"]).collect()}
+    assert {t: got[i] for i, t in rows if t in RELATIVES and got[i] - {licenses.OTHER}} == {}
+    assert sum(bool(got[i]) for i, t in rows if t in RELATIVES) >= 9
+    assert {t: got[i] for i, t in rows if t in LISTED} == {t: {f} for t, f in LISTED.items()}
+
+
 NOTICES = {"All rights reserved.": "Proprietary", "Copyright, all rights reserved.": "Proprietary", "Released under the MIT License.": "MIT",
            "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0", "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0"}
 
