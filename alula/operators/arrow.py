@@ -53,6 +53,16 @@ def exploded_points(df: DataFrame, keys: Sequence[str], x: str = "ax", y: str =
     return points.select(*keys, "i", "pt.px", "pt.py")
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """The names wanted, lengthened until no column of the frame has them."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def append_arrow(
     df: DataFrame,
     fields: Sequence[T.StructField],

@@ -1,8 +1,8 @@
 """PCA and linear discriminant models of aligned shapes.
 
-Fitting needs only sums (counts, class sums, one product matrix), so each fit is
-a distributed aggregation followed by a solve of model size. Cross-validation
-subtracts a specimen's own sums from the totals instead of refitting."""
+Components need one triangular factor of all rows, discriminants only sums (counts, class
+sums, one product matrix), so each fit is a distributed aggregation followed by a solve of
+model size. Cross-validation takes a specimen's few rows out of the inverse instead of refitting."""
 
 from __future__ import annotations
 
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from alula.operators.arrow import append_arrow, gathered, list_column, matrix, shape_matrix, summed_vectors
+from alula.operators.arrow import append_arrow, free_names, list_column, matrix, shape_matrix, summed_vectors
 from alula.operators.dataset import EmptyDatasetError
 from alula.operators.reports import prediction_columns
 from alula.operators.superimposition import rotate_rows, unit_shapes
@@ -25,6 +25,8 @@ from alula.schema import DOUBLES
 from alula.session import broadcast_bytes, hot_group_rows, setting
 
 RANK_TOLERANCE = 1e-4  # fixed value: relative singular values below this are dropped
+FACTOR_ROWS = 4096  # rows reduced at once to a triangular factor
+FACTOR_GROUPS = 64  # factors that reach the driver
 FOLD_ROWS = 20_000  # rows whose specimens are cross-validated together in one task
 
 
@@ -42,34 +44,67 @@ class Components:
     explained_ratio: np.ndarray  # (k,)
 
 
-def fit_components(df: DataFrame, n_points: int, centre: np.ndarray, x: str = "ax", y: str = "ay") -> Components:
-    """Keeps 2p - 4 components, the freedom left after planar superimposition.
+def stacked_factor(factor: np.ndarray | None, rows: np.ndarray) -> np.ndarray:
+    """Triangular factor of ``rows`` below what an earlier factor stands for."""
+    return np.linalg.qr(rows if factor is None else np.vstack([factor, rows]), mode="r")
 
-    ``centre`` (any fixed shape near the data) is subtracted before summing so
-    the product sums stay accurate."""
-    width = 2 * n_points
-    shift = np.asarray(centre, dtype=float).reshape(-1)
 
-    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        s, q, n = np.zeros(width), np.zeros((width, width)), 0
+def triangular_factor(df: DataFrame, n_points: int, shift: np.ndarray, x: str, y: str) -> tuple[int, np.ndarray]:
+    """Row count and the triangular factor of (1, shape - shift) over all rows.
+
+    Each task reduces its rows to one factor, ``FACTOR_GROUPS`` groups of tasks to one each, and the driver combines those."""
+    width = 2 * n_points + 1
+    schema = "task int, n long, factor array<double>"
+
+    def row(task: int, n: int, factor: np.ndarray) -> pa.RecordBatch:
+        flat = np.zeros((width, width))
+        flat[: len(factor)] = factor
+        return pa.RecordBatch.from_arrays(
+            [pa.array([task], pa.int32()), pa.array([n], pa.int64()), list_column(flat.reshape(1, -1))], ["task", "n", "factor"]
+        )
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        factor, n, task = None, 0, 0
         for batch in batches:
             if batch.num_rows:
                 v = shape_matrix(batch, x, y) - shift
-                s += v.sum(axis=0)
-                q += v.T @ v
+                task = batch.column("task")[0].as_py()
                 n += len(v)
+                for at in range(0, len(v), FACTOR_ROWS):
+                    part = v[at : at + FACTOR_ROWS]
+                    factor = stacked_factor(factor, np.column_stack([np.ones(len(part)), part]))
         if n:
-            yield n, np.concatenate([s, q.ravel()])
+            yield row(task, n, factor)
 
-    n, flat = gathered(summed_vectors(df.select(x, y), [], fold), width + width * width)
+    def combine(table: pa.Table) -> pa.Table:
+        factor = None
+        for flat in matrix(table.column("factor").combine_chunks()):
+            factor = stacked_factor(factor, flat.reshape(width, width))
+        return pa.Table.from_batches([row(0, int(np.sum(table.column("n").to_numpy())), factor)])
+
+    parts = df.select(x, y, F.spark_partition_id().alias("task")).mapInArrow(fold, schema)
+    joined = parts.groupBy(F.pmod("task", F.lit(FACTOR_GROUPS)).alias("part")).applyInArrow(combine, schema)
+    n, factor = 0, None
+    for r in joined.orderBy("n").collect():  # at most FACTOR_GROUPS rows of model size
+        n += r["n"]
+        factor = stacked_factor(factor, np.reshape(r["factor"], (width, width)))
+    return n, np.zeros((width, width)) if factor is None else factor
+
+
+def fit_components(df: DataFrame, n_points: int, centre: np.ndarray, x: str = "ax", y: str = "ay") -> Components:
+    """Keeps 2p - 4 components, the freedom left after planar superimposition.
+
+    Components come from the triangular factor of the centred rows, not from their products, which would square the ratio
+    of the largest to the smallest deviation. ``centre`` is any fixed shape near the data."""
+    width = 2 * n_points
+    shift = np.asarray(centre, dtype=float).reshape(-1)
+    n, factor = triangular_factor(df, n_points, shift, x, y)
     keep = width - 4
     if n < keep:
         raise ModelError(f"{keep} components need at least {keep} rows, found {n}")
-    mean = flat[:width] / n
-    cov = (flat[width:].reshape(width, width) - n * np.outer(mean, mean)) / (n - 1)
-    values, vectors = np.linalg.eigh(cov)
-    order = np.argsort(values)[::-1]
-    values, loadings = np.maximum(values[order], 0.0), vectors[:, order].T
+    mean = factor[0, 1:] / factor[0, 0]
+    _, singular, loadings = np.linalg.svd(factor[1:, 1:])
+    values = singular**2 / (n - 1)
     largest = np.abs(loadings).argmax(axis=1)
     loadings = loadings * np.sign(loadings[np.arange(width), largest])[:, None]
     return Components(mean + shift, loadings[:keep], values[:keep] / values.sum())
@@ -107,6 +142,18 @@ class ClassSums:
     products: np.ndarray  # (d, d)
 
 
+def whitening(counts: np.ndarray, sums: np.ndarray, products: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Map to scores of unit pooled covariance (N - K), and the relative singular values, ascending, dropped ones included."""
+    n, k = counts.sum(), len(counts)
+    within = products - (sums.T / counts) @ sums
+    sd = np.sqrt(np.maximum(np.diag(within), 0.0) / n)
+    sd = np.where(sd == 0, 1.0, sd)
+    values, vectors = np.linalg.eigh(within / np.outer(sd, sd) / (n - k))
+    singular = np.sqrt(np.maximum(values, 0.0))
+    kept = singular > RANK_TOLERANCE
+    return vectors[:, kept] / singular[kept] / sd[:, None], singular
+
+
 def solve(classes: Sequence[str], counts: np.ndarray, sums: np.ndarray, products: np.ndarray) -> Discriminant:
     """Linear discriminant from sums: frequency priors, pooled covariance with N - K."""
     n, k = counts.sum(), len(counts)
@@ -115,13 +162,7 @@ def solve(classes: Sequence[str], counts: np.ndarray, sums: np.ndarray, products
     means = sums / counts[:, None]
     priors = counts / n
     xbar = priors @ means
-    within = products - (sums.T / counts) @ sums
-    sd = np.sqrt(np.maximum(np.diag(within), 0.0) / n)
-    sd = np.where(sd == 0, 1.0, sd)
-    values, vectors = np.linalg.eigh(within / np.outer(sd, sd) / (n - k))
-    singular = np.sqrt(np.maximum(values, 0.0))
-    kept = singular > RANK_TOLERANCE
-    whiten = vectors[:, kept] / singular[kept] / sd[:, None]
+    whiten, _ = whitening(counts, sums, products)
     spread = (np.sqrt(n * priors / (k - 1))[:, None] * (means - xbar)) @ whiten
     _, s, vt = np.linalg.svd(spread, full_matrices=False)
     axes = whiten @ vt[s > RANK_TOLERANCE * s[0]].T
@@ -208,51 +249,117 @@ def _reduced_model(totals: ClassSums, held: np.ndarray, sums: np.ndarray, produc
     return present, model.coef, model.intercept
 
 
+class Downdate:
+    """Posteriors of rows under a model without them, by a low-rank change of the pooled inverse.
+
+    In scores of unit pooled covariance, a specimen's m rows take Z'CZ out of the identity, where Z are the rows less their
+    class means and C adds a class's mean shift; the inverse of what remains needs one m x m solve. A fold whose
+    rank could differ from that of all rows, or that has more rows than scores, is solved in full."""
+
+    def __init__(self, totals: ClassSums):
+        self.totals = totals
+        self.n = totals.counts.sum()
+        self.whiten, singular = whitening(totals.counts, totals.sums, totals.products)
+        kept = singular > RANK_TOLERANCE
+        self.least_kept = singular[kept].min() if kept.any() else 0.0
+        self.most_dropped = singular[~kept].max() if not kept.all() else 0.0
+        self.centre = totals.sums.sum(axis=0) / self.n
+        self.means = (totals.sums / totals.counts[:, None] - self.centre) @ self.whiten
+
+    def posteriors(self, codes: np.ndarray, x: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(x), len(self.totals.counts)))
+        fast = self._reduced(codes, (x - self.centre) @ self.whiten) if len(x) < self.whiten.shape[1] else None
+        if fast is None:
+            present, coef, intercept = _fold_model(self.totals, codes, x)
+            fast = present, x @ coef.T + intercept
+        present, logits = fast
+        e = np.exp(logits - logits.max(axis=1, keepdims=True))
+        out[:, present] = e / e.sum(axis=1, keepdims=True)
+        return out
+
+    def _reduced(self, codes: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+        """Present classes and logits, or None if the fold's rank is in doubt."""
+        k = len(self.totals.counts)
+        held = np.bincount(codes, minlength=k)
+        counts = self.totals.counts - held
+        present = np.flatnonzero(counts > 0)
+        n, classes = counts.sum(), len(present)
+        if classes < 2 or n <= classes:
+            return None
+        sums = self.means * self.totals.counts[:, None]
+        np.subtract.at(sums, codes, y)
+        means = sums[present] / counts[present, None]
+        z = y - self.means[codes]
+        same = codes[:, None] == codes[None, :]
+        # Z is of unit covariance with N - K; the sums of squares below are those of the scatter.
+        gram = z @ z.T / (self.n - k)
+        share = np.where(counts[codes] > 0, 1.0 / np.maximum(counts[codes], 1), 0.0)
+        change = np.eye(len(y)) + same * share[:, None]
+        root = np.linalg.cholesky(change)
+        left = 1.0 - np.linalg.eigvalsh(root.T @ gram @ root).max()
+        if left <= 0 or self.least_kept * left**0.5 <= 2 * RANK_TOLERANCE or self.most_dropped >= RANK_TOLERANCE / 2 * left**0.5:
+            return None
+        inner = np.linalg.inv(np.linalg.inv(change) - gram) / (self.n - k)
+        scale = (n - classes) / (self.n - k)
+        turned = means + (means @ z.T) @ inner @ z  # means times the inverse without the fold
+        priors = counts[present] / n
+        offset = priors @ means
+        spread = np.sqrt(priors)[:, None] * (means - offset)
+        strength = np.linalg.eigvalsh(spread @ spread.T + (spread @ z.T) @ inner @ (z @ spread.T))
+        if strength[1] <= (2 * RANK_TOLERANCE) ** 2 * strength[-1]:
+            return None
+        return present, scale * (y @ turned.T - 0.5 * (means * turned).sum(axis=1)) + np.log(priors)
+
+
 def leave_group_out(
-    df: DataFrame, label: str, group: str = "inv_id", scores: str = "scores", row_id: str = "ord"
+    df: DataFrame, label: str, group: str = "inv_id", scores: str = "scores"
 ) -> tuple[DataFrame, list[str]]:
-    """Class probabilities of each row from a model that never saw its specimen.
+    """The labelled rows with their class probabilities, ``proba``, from a model that never saw their specimen.
 
-    Specimens are handled many per task. A specimen too large for one task is
-    reduced to its sums first and its rows are then scored wherever they are.
-    A class absent from a fold has probability 0 there."""
+    Specimens are handled many per task, and rows travel once, with all their columns. A specimen too large for one task
+    is reduced to its sums first and its rows are then scored wherever they are. A class absent from a fold has
+    probability 0 there."""
     spark = df.sparkSession
     totals = class_sums(df, label, scores)
-    k = len(totals.classes)
     names = np.array(totals.classes, dtype=str)
+    grp, lab, bucket_of = free_names(df, "grp", "lab", "bucket")
     rows = df.filter(F.col(label).isNotNull()).select(
-        row_id, F.col(group).cast("string").alias("grp"), F.col(label).cast("string").alias("lab"), scores
+        "*", F.col(group).cast("string").alias(grp), F.col(label).cast("string").alias(lab)
     )
-    sizes = rows.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
+    sizes = rows.groupBy(grp).agg(F.count(F.lit(1)).alias("n"))
     limit = min(hot_group_rows(spark), setting(spark, "foldGroupRows", 200_000))
-    large = sizes.filter(F.col("n") > limit).select("grp")
+    large = sizes.filter(F.col("n") > limit).select(grp)
     has_large = not large.isEmpty()
     n_rows = int(totals.counts.sum())
     buckets = max(1, ceil(n_rows / setting(spark, "foldRows", FOLD_ROWS)))
-    small = rows.join(large, "grp", "left_anti") if has_large else rows
-    schema = T.StructType([df.schema[row_id], T.StructField("proba", DOUBLES)])
+    small = rows.join(large, grp, "left_anti") if has_large else rows
+    columns = df.columns
+    schema = T.StructType([*df.schema.fields, T.StructField("proba", DOUBLES)])
+    model = Downdate(totals)
 
     def fold(table):
-        groups = np.asarray(table.column("grp").to_pylist(), dtype=object)
-        codes = np.searchsorted(names, np.asarray(table.column("lab").to_pylist(), dtype=str))
+        groups = np.asarray(table.column(grp).to_pylist(), dtype=object)
+        codes = np.searchsorted(names, np.asarray(table.column(lab).to_pylist(), dtype=str))
         x = matrix(table.column(scores).combine_chunks())
-        out = np.zeros((len(x), k))
+        out = np.zeros((len(x), len(names)))
         _, at = np.unique(groups.astype(str), return_inverse=True)
         order = np.argsort(at, kind="stable")
         for members in np.split(order, np.flatnonzero(np.diff(at[order])) + 1):
-            present, coef, intercept = _fold_model(totals, codes[members], x[members])
-            out[np.ix_(members, present)] = posteriors(x[members], coef, intercept)
-        return pa.table({row_id: table.column(row_id).combine_chunks(), "proba": list_column(out)})
+            out[members] = model.posteriors(codes[members], x[members])
+        return table.select(columns).append_column("proba", list_column(out))
 
-    bucket = F.pmod(F.xxhash64("grp"), F.lit(buckets)).alias("bucket")
-    scored = small.groupBy(bucket).applyInArrow(fold, schema)
+    scored = small.groupBy(F.pmod(F.xxhash64(grp), F.lit(buckets)).alias(bucket_of)).applyInArrow(fold, schema)
     if has_large:
-        scored = scored.unionByName(_score_large(rows.join(large, "grp", "left_semi"), totals, scores, row_id, schema))
-    return df.join(scored, row_id), totals.classes
+        held = rows.join(large, grp, "left_semi")
+        scored = scored.unionByName(_score_large(held, totals, scores, grp, lab, columns, schema))
+    return scored, totals.classes
 
 
-def _score_large(rows: DataFrame, totals: ClassSums, scores: str, row_id: str, schema: T.StructType) -> DataFrame:
+def _score_large(
+    rows: DataFrame, totals: ClassSums, scores: str, grp: str, lab: str, columns: list[str], schema: T.StructType
+) -> DataFrame:
     k, d = totals.sums.shape
+    (weight,) = free_names(rows, "w")
     names = np.array(totals.classes, dtype=str)
 
     def per_group(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -262,8 +369,8 @@ def _score_large(rows: DataFrame, totals: ClassSums, scores: str, row_id: str, s
             if not batch.num_rows:
                 continue
             x = matrix(batch.column(scores))
-            codes = np.searchsorted(names, np.asarray(batch.column("lab").to_pylist(), dtype=str))
-            groups, at = np.unique(np.asarray(batch.column("grp").to_pylist(), dtype=str), return_inverse=True)
+            codes = np.searchsorted(names, np.asarray(batch.column(lab).to_pylist(), dtype=str))
+            groups, at = np.unique(np.asarray(batch.column(grp).to_pylist(), dtype=str), return_inverse=True)
             for g, name in enumerate(groups.tolist()):
                 mine = at == g
                 s = np.zeros((k, d))
@@ -274,7 +381,7 @@ def _score_large(rows: DataFrame, totals: ClassSums, scores: str, row_id: str, s
         for name, flat in acc.items():
             yield name, seen[name], flat
 
-    sums = summed_vectors(rows.select("grp", "lab", scores), ["grp"], per_group)
+    sums = summed_vectors(rows.select(grp, lab, scores), [grp], per_group)
 
     def models(key, table):
         flat = np.zeros(k + k * d + d * d)
@@ -284,25 +391,25 @@ def _score_large(rows: DataFrame, totals: ClassSums, scores: str, row_id: str, s
         )
         weights = np.full((k, d + 1), np.nan)
         weights[present] = np.column_stack([coef, intercept])
-        return pa.table({"grp": [key[0].as_py()], "w": pa.array([weights.ravel().tolist()], type=pa.list_(pa.float64()))})
+        return pa.table({grp: [key[0].as_py()], weight: pa.array([weights.ravel().tolist()], type=pa.list_(pa.float64()))})
 
     # one weight row per large specimen; each large specimen brings at least the limit's rows
-    weights = sums.groupBy("grp").applyInArrow(models, "grp string, w array<double>")
+    weights = sums.groupBy(grp).applyInArrow(models, T.StructType([T.StructField(grp, T.StringType()), T.StructField(weight, DOUBLES)]))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             x = matrix(batch.column(scores))
-            w = matrix(batch.column("w")).reshape(len(x), k, d + 1)
+            w = matrix(batch.column(weight)).reshape(len(x), k, d + 1)
             logits = np.einsum("nd,nkd->nk", x, w[:, :, :d]) + w[:, :, d]
             logits = np.where(np.isnan(logits), -np.inf, logits)
             e = np.exp(logits - logits.max(axis=1, keepdims=True))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(row_id), list_column(e / e.sum(axis=1, keepdims=True))], names=[row_id, "proba"]
+                [*(batch.column(c) for c in columns), list_column(e / e.sum(axis=1, keepdims=True))], names=[*columns, "proba"]
             )
 
-    return rows.join(weights, "grp").select(row_id, scores, "w").mapInArrow(score, schema)
+    return rows.join(weights, grp).select(*columns, weight).mapInArrow(score, schema)
 
 
 # --- trained model ---------------------------------------------------------------------------------

@@ -57,7 +57,7 @@ def train(
     run_path, model_path = f"{runs}/{FAMILY}/{run_id}/train/{dataset_label}", f"{models}/{FAMILY}/{run_id}"
     alone = singleton_classes(scored, "__class")
 
-    proba, classes = LD.leave_group_out(scored, "__class", "inv_id", row_id=order)
+    proba, classes = LD.leave_group_out(scored, "__class", "inv_id")
     table = P.with_correctness(P.prediction_columns(proba.drop("scores"), level, classes), level, F.col("__class"))
     table.drop("__class").write.mode("overwrite").parquet(f"{run_path}/loocv_predictions")
     predictions = spark.read.parquet(f"{run_path}/loocv_predictions")

@@ -42,19 +42,37 @@ def restore_interrupted(spark: SparkSession, target: str) -> None:
         path(target).getFileSystem(spark._jsc.hadoopConfiguration()).rename(path(old), path(target))
 
 
+def broken_in_quotes(spark: SparkSession, path: str | Sequence[str]) -> list[str]:
+    """Files in which a line ends inside quotes: some line of them has an odd number of quotes."""
+    lines = spark.read.text(path if isinstance(path, str) else list(path))
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"')))
+    name = lines.metadataColumn("_metadata")["file_path"].alias("file")
+    return [r["file"] for r in lines.where(quotes % 2 == 1).select(name).distinct().collect()]  # at most one row per file
+
+
 def read_text_table(spark: SparkSession, path: str | Sequence[str], order: bool = False) -> DataFrame:
     """CSV with header, all columns text, blanks as NULL, a leading BOM ignored.
 
-    Quoted fields may hold line breaks, so a file is read whole by one task. ``order`` adds ``ord``, increasing in
-    file order within each file."""
-    raw = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(
-        path if isinstance(path, str) else list(path)
-    )
+    Files are read in splits. Only those with a line break inside quotes are read whole, by one task each; a scan of the
+    quotes, line by line, finds them. ``order`` adds ``ord``, increasing in file order within each file."""
+    paths = path if isinstance(path, str) else list(path)
+    reader = spark.read.option("header", True).option("escape", '"')
+    whole = broken_in_quotes(spark, path)
+    raw = reader.option("multiLine", bool(whole)).csv(paths)
+    if whole:
+        in_splits = reader.option("multiLine", False).schema(raw.schema).csv(paths)
+        raw = _of_files(in_splits, whole, False).union(_of_files(raw, whole, True))
     names = [c.lstrip("﻿") for c in raw.columns]
     cleaned = raw.toDF(*names).select(*[blank_to_null(F.col(f"`{c}`")).alias(c) for c in names])
     return cleaned.withColumn("ord", F.monotonically_increasing_id()) if order else cleaned
 
 
+def _of_files(df: DataFrame, files: list[str], inside: bool) -> DataFrame:
+    """Rows of the files listed, or of the others; the scan skips files that the filter excludes."""
+    listed = df.metadataColumn("_metadata")["file_path"].isin(files)
+    return df.where(listed if inside else ~listed)
+
+
 def with_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Columns of a schema, cast; absent ones are NULL."""
     return df.select(

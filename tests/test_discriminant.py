@@ -69,6 +69,47 @@ def test_leave_group_out_equals_refitting(spark, limits, large):
                 assert p[classes.index("lonely")] == 0
 
 
+def test_few_rows_leave_the_inverse(spark, monkeypatch):
+    """Small specimens take the low-rank way, a null score and a class that one specimen holds included."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for i in range(150):
+        c = i % 3
+        rows.append((i, f"c{c}", f"g{i // 9}{c}" if i else None, [*(rng.normal(c, 1, 9) * np.logspace(0, -3, 9)).tolist(), 0.0], "kept"))
+    rows += [(900 + i, "lonely", "only", [*(rng.normal(4, 1, 9) * np.logspace(0, -3, 9)).tolist(), 0.0], "kept") for i in range(4)]
+    rows.append((999, None, "g0", [0.0] * 10, "kept"))
+    df = spark.createDataFrame(rows, "ord long, label string, inv_id string, scores array<double>, grp string").repartition(3)
+    out, classes = LD.leave_group_out(df, "label")
+    assert out.columns == [*df.columns, "proba"]
+    got = {r["ord"]: np.array(r["proba"]) for r in out.collect()}
+    rows.pop()
+    assert len(got) == len(rows)
+    x, labels, groups = np.array([r[3] for r in rows])[:, :9], np.array([r[1] for r in rows]), np.array([str(r[2]) for r in rows])
+    for g in set(groups.tolist()):
+        held = groups == g
+        present, expected = plain_fit(x[~held], labels[~held], x[held])
+        for row, e in zip(np.flatnonzero(held), expected):
+            assert np.allclose(got[rows[row][0]][[classes.index(c) for c in present]], e, atol=1e-8)
+    model = LD.Downdate(LD.class_sums(df, "label"))
+    monkeypatch.setattr(LD, "_fold_model", lambda *a: pytest.fail("solved in full"))
+    codes, full = np.searchsorted(classes, labels), np.array([r[3] for r in rows])
+    for g in set(groups.tolist()):
+        model.posteriors(codes[groups == g], full[groups == g])
+
+
+def test_folds_that_change_the_rank_are_solved_in_full(spark):
+    rng = np.random.default_rng(9)
+    x = rng.normal(0, 1, (40, 6))
+    x[:, 5] = 0
+    x[:2, 5] = [1.0, -1.0]  # only one specimen varies in the last score
+    rows = [(i, f"c{i // 2 % 2}", f"g{i // 2}", v.tolist()) for i, v in enumerate(x)]
+    out, _ = LD.leave_group_out(spark.createDataFrame(rows, SCHEMA), "label")
+    got = {r["ord"]: r["proba"] for r in out.collect()}
+    labels = np.array([r[1] for r in rows])
+    _, expected = plain_fit(x[2:, :5], labels[2:], x[:2, :5])
+    assert np.allclose([got[0], got[1]], expected, atol=1e-8)
+
+
 def test_one_class_is_an_error(spark):
     df = spark.createDataFrame([(1, "a", "g", [1.0, 2.0]), (2, "a", "h", [2.0, 1.0])], SCHEMA)
     with pytest.raises(LD.ModelError):
@@ -104,6 +145,18 @@ def test_components_match_covariance(fitted):
     assert (pca.loadings[np.arange(12), strongest] > 0).all()
 
 
+def test_small_deviations_keep_their_components(spark):
+    """Deviations of 1 to 1e-10: products of coordinates would lose all below 1e-8."""
+    rng = np.random.default_rng(3)
+    turn, _ = np.linalg.qr(rng.normal(size=(12, 12)))
+    v = (rng.normal(size=(300, 12)) * np.logspace(0, -10, 12)) @ turn
+    df = spark.createDataFrame([(r[::2].tolist(), r[1::2].tolist()) for r in v], "ax array<double>, ay array<double>").repartition(5)
+    pca = LD.fit_components(df, 6, np.zeros(12))
+    s = np.linalg.svd(v - v.mean(axis=0), compute_uv=False)
+    assert np.allclose(pca.explained_ratio, s[:8] ** 2 / (s**2).sum(), rtol=1e-6, atol=0)
+    assert np.allclose(pca.loadings @ pca.loadings.T, np.eye(8), atol=1e-12)
+
+
 def test_too_few_rows_for_components(spark):
     df = frame(spark, population(5)).withColumnRenamed("x", "ax").withColumnRenamed("y", "ay")
     with pytest.raises(LD.ModelError, match="components"):

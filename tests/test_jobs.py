@@ -158,6 +158,31 @@ def test_step_stats_and_tables(spark, tmp_path):
     assert [tuple(r) for r in TB.read_text_table(spark, str(csv)).collect()] == [("1", None), ("2", "x")]
 
 
+def test_only_quoted_line_breaks_need_whole_files(spark, tmp_path):
+    folder = tmp_path / "log parts"
+    folder.mkdir()
+    plain = [(str(i), f'say ""{i}""') for i in range(4000)]
+    broken = [("a", "two\nlines"), ("b", "x"), ("c", "it ends\r\nhere")]
+    for name, rows in (("plain%1.csv", plain), ("broken.csv", broken)):
+        body = "".join(f'{k},"{v}"\n' for k, v in rows)
+        (folder / name).write_text("key,said\n" + body, newline="")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        assert [f.rsplit("/", 1)[1] for f in TB.broken_in_quotes(spark, str(folder))] == ["broken.csv"]
+        alone = TB.read_text_table(spark, str(folder / "plain%1.csv"), order=True)
+        assert alone.rdd.getNumPartitions() > 5
+        assert [r["key"] for r in alone.orderBy("ord").collect()] == [k for k, _ in plain]
+        both = TB.read_text_table(spark, str(folder), order=True)
+        assert both.rdd.getNumPartitions() > 5
+        rows = [(r["key"], r["said"].replace("\r\n", "\n")) for r in both.orderBy("ord").collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert [r for r in rows if r[0].isdigit()] == [(k, v.replace('""', '"')) for k, v in plain]
+    assert [r for r in rows if not r[0].isdigit()] == [(k, v.replace("\r\n", "\n")) for k, v in broken]
+
+
 def test_streams_resume(spark, tmp_path):
     folder, target = str(tmp_path / "in"), str(tmp_path / "out")
     make = lambda *rows: spark.createDataFrame(list(rows), "ord long, photo_id string, step string, status string")

@@ -369,6 +369,26 @@ def pca_total_variance(spark, d):
     )
 
 
+@query(V.with_sql(V.PHOTO_SQL, V.POINTS_SQL, STD_SQL, *FROZEN, LONG_SQL) + """
+, c as (select a.pos as i, b.pos as j, covar_samp(a.v, b.v) as c from lp a join lp b using (ord) group by all),
+cc as (select a.i, b.j, sum(a.c * b.c) as c from c a join c b on a.j = b.i group by all),
+t as (select sum(c) filter (i = j) as t1, sum(c * c) as t2 from c), t3 as (select sum(c.c * cc.c) as t3 from c join cc using (i, j)), t4 as (select sum(c * c) as t4 from cc)
+select round(t2 / t1 ** 2, 8) as second, round(t3 / t1 ** 3, 8) as third, round(t4 / t1 ** 4, 8) as fourth, cast(0 as bigint) as correlated from t, t3, t4""")
+def pca_power_sums(spark, d):
+    """Sums of powers of the components' variances are traces of powers of the covariance matrix; scores are uncorrelated.
+
+    Three of the four components left out are null (centred, turned), so the fourth has the rest of the variance."""
+    rows, _, pca = _fitted(spark, d)
+    sums = LD.class_sums(LD.with_scores(rows.select("species", "ax", "ay"), pca), "species")
+    n, total = sums.counts.sum(), sums.sums.sum(axis=0)
+    cov = (sums.products - np.outer(total, total) / n) / (n - 1)
+    kept = float(pca.explained_ratio.sum())
+    share = np.append(np.diag(cov) / np.trace(cov) * kept, 1 - kept)
+    apart = int((np.abs(np.triu(cov, 1)) > 1e-10 * np.trace(cov)).sum())
+    row = [round(float((share**k).sum()), 8) for k in (2, 3, 4)]
+    return spark.createDataFrame([(*row, apart)], "second double, third double, fourth double, correlated long")
+
+
 @query()
 def pca_scores(spark, d):
     rows, _, pca = _fitted(spark, d)
