@@ -3,8 +3,10 @@
 A page's elements are scored by the running text below them (neither boilerplate nor links), with a premium for elements that say
 they hold an article and a discount for the whole page. Every page votes for the *generalised path* (tags and classes from the
 root, without digits) of its best container; Spark counts the votes of each host over all its pages. Then each
-page is read again: of its own paths, the one with the most votes of its host wins, and the text of all elements on that
-path is the page's main text. A page whose paths nobody voted for uses its own best.
+page is read again: of its own paths, the one with the most votes of its host wins (then the highest score, then the first by
+name), and the text of all elements on that path is the page's main text. The paths with at least ``FREQUENT`` of a host's votes, a
+hundred at most, travel with its pages as a list. A page that voted for a rarer path has all its paths looked up in the table of votes instead, so
+that every vote counts however large the host is.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles, hidden elements and reader comments are left out wherever
 they stand, by tag, role, class or id. Character references are decoded, white space becomes one blank, and blocks are joined by one
@@ -22,10 +24,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from alula.llm.common import extended, slices, written
+from alula.llm.common import extended, free_name, send_small_batches, slices, written
 
-#: Votes that a path needs, as a share of its host's: at most a hundred paths per host remain.
-LEAST_VOTES = 0.01
+#: Share of a host's votes from which a path is in the host's list.
+FREQUENT = 0.01
 
 # Elements by kind, and words in classes, ids and roles that mark boilerplate or main content.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -184,36 +186,67 @@ def _host(url: str) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(F.col(url).cast("string"), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
-def host_paths(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
-    """(host, paths): the paths that the pages of a host voted for, the most voted first."""
+def _order() -> list[Column]:
+    """Of a host's paths the one that sorts first by these wins."""
+    return [(-F.col("votes")).alias("v"), (-F.col("score")).alias("s"), F.col("path")]
+
+
+def page_votes(pages: DataFrame) -> DataFrame:
+    """(host, page, path, score) of every row of ``pages`` (host, page, html) that has a container; the votes."""
 
     def votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             best = [Page(x).best_path() or (None, 0.0) for x in batch.column("html").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("host"), pa.array([b[0] for b in best], pa.string()), pa.array([b[1] for b in best], pa.float64())], ["host", "path", "score"]
+                [batch.column("host"), batch.column("page"), pa.array([b[0] for b in best], pa.string()), pa.array([b[1] for b in best], pa.float64())],
+                ["host", "page", "path", "score"],
             )
 
-    cast = pages.select(_host(url).alias("host"), F.col(html).cast("string").alias("html"))
-    counted = cast.mapInArrow(votes, "host string, path string, score double").where("path is not null")
-    counted = written(counted.groupBy("host", "path").agg(F.count(F.lit(1)).alias("votes"), F.sum("score").alias("score")), "path-votes")
-    all_votes = counted.groupBy("host").agg(F.sum("votes").alias("all"))
-    kept = counted.join(all_votes, "host").where(F.col("votes") >= LEAST_VOTES * F.col("all"))
-    order = F.array_sort(F.collect_list(F.struct((-F.col("votes")).alias("v"), (-F.col("score")).alias("s"), "path")))
-    return kept.groupBy("host").agg(F.transform(order, lambda x: x["path"]).alias("paths"))
+    return pages.select("host", "page", "html").mapInArrow(votes, "host string, page string, path string, score double").where("path is not null")
+
+
+def rare_winners(pages: DataFrame, counted: DataFrame) -> DataFrame:
+    """(host, page, winner): of all paths of a page the one with the most votes of its host, found by a join."""
+
+    def own_paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = [sorted(Page(x).scores()) for x in batch.column("html").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("host"), batch.column("page"), pa.array(found, pa.list_(pa.string()))], ["host", "page", "paths"])
+
+    own = pages.select("host", "page", "html").mapInArrow(own_paths, "host string, page string, paths array<string>")
+    met = own.select("host", "page", F.explode("paths").alias("path")).join(counted, ["host", "path"])
+    return met.groupBy("host", "page").agg(F.min(F.struct(*_order())).alias("first")).select("host", "page", F.col("first.path").alias("winner"))
 
 
 def main_texts(pages: DataFrame, keep: list[str], html: str = "html", url: str = "url") -> DataFrame:
-    """``keep`` columns with __text and __n_chars (code points) of every page."""
+    """``keep`` columns with __text and __n_chars (code points) of every page (underscores in front where ``keep`` has these names)."""
+    send_small_batches(pages.sparkSession)
+    cast = pages.select(_host(url).alias("host"), F.col(html).cast("string").alias("html")).withColumn("page", F.sha2("html", 256))
+    marks = written(page_votes(cast), "page-votes")
+    counted = written(marks.groupBy("host", "path").agg(F.count(F.lit(1)).alias("votes"), F.sum("score").alias("score")), "path-votes")
+    judged = counted.join(counted.groupBy("host").agg(F.sum("votes").alias("all")), "host")
+    frequent = F.col("votes") >= FREQUENT * F.col("all")
+    listed = judged.where(frequent).groupBy("host").agg(F.array_sort(F.collect_list(F.struct(*_order()))).alias("found"))
+    listed = written(listed.select("host", F.transform("found", lambda x: x["path"]).alias("paths")), "host-paths")
+    rare = written(marks.join(judged.where(~frequent), ["host", "path"], "left_semi").select("host", "page").distinct(), "rare-pages")
+
     names = list(keep)
-    winners = written(host_paths(pages, html, url), "host-paths")
+    added = [free_name(names, "__text"), free_name(names, "__n_chars")]
+    n_html, n_host, n_page, n_paths, n_winner = (free_name(names, f"__{x}") for x in ("html", "host", "page", "paths", "winner"))
+    rows = pages.select(*names, F.col(html).cast("string").alias(n_html), _host(url).alias(n_host))
+    rows = rows.join(listed.toDF(n_host, n_paths), n_host, "left")
+    if rare.isEmpty():
+        rows = rows.withColumn(n_winner, F.lit(None).cast("string"))
+    else:
+        found = cast.join(rare, ["host", "page"], "left_semi").dropDuplicates(["host", "page"])
+        winners = written(rare_winners(found, counted), "rare-winners")
+        rows = rows.withColumn(n_page, F.sha2(n_html, 256)).join(winners.toDF(n_host, n_page, n_winner), [n_host, n_page], "left").drop(n_page)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            texts = [extract(h, p or []) for h, p in zip(batch.column("__html").to_pylist(), batch.column("__paths").to_pylist())]
+            given = zip(*(batch.column(c).to_pylist() for c in (n_html, n_paths, n_winner)))
+            texts = [extract(h, [w] if w is not None else p or []) for h, p, w in given]
             columns = [batch.column(c) for c in names] + [pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, [*names, "__text", "__n_chars"])
+            yield pa.RecordBatch.from_arrays(columns, [*names, *added])
 
-    rows = pages.select(*names, F.col(html).cast("string").alias("__html"), _host(url).alias("__host"))
-    known = winners.select(F.col("host").alias("__host"), F.col("paths").alias("__paths"))
-    return rows.join(known, "__host", "left").drop("__host").mapInArrow(run, extended(pages.select(*names).schema, "__text string, __n_chars long"))
+    return rows.drop(n_host).mapInArrow(run, extended(pages.select(*names).schema, f"`{added[0]}` string, `{added[1]}` long"))

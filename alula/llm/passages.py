@@ -128,6 +128,23 @@ class AttentionModel:
         y = 1 / (1 + np.exp(-np.clip(z @ w["out"] + w["out_bias"], -30, 30)))
         return {"h": h, "t": t, "s": s, "a": a, "z": z, "y": y}
 
+    def gradients(self, bags: np.ndarray, owner: np.ndarray, truth: np.ndarray) -> dict[str, np.ndarray]:
+        """Derivatives of the mean log loss by every learnt weight."""
+        w, n = self.weights, len(truth)
+        f = self.forward(bags, owner, n)
+        dy = (f["y"] - truth) / n
+        dz = dy[:, None] * w["out"]
+        da = (dz[owner] * f["h"]).sum(axis=1)
+        starts = np.searchsorted(owner, np.arange(n))
+        de = f["a"] * (da - np.add.reduceat(f["a"] * da, starts)[owner])
+        dt = de[:, None] * w["w"] * f["s"] * (1 - f["t"] ** 2)
+        ds = de[:, None] * w["w"] * f["t"] * f["s"] * (1 - f["s"])
+        dh = (f["a"][:, None] * dz[owner] + dt @ w["v"].T + ds @ w["u"].T) * (1 - f["h"] ** 2)
+        return {
+            "encode": ((bags - w["mean"]) / w["scale"]).T @ dh, "bias": dh.sum(axis=0), "v": f["h"].T @ dt, "u": f["h"].T @ ds,
+            "w": (f["t"] * f["s"]).T @ de, "out": f["z"].T @ dy, "out_bias": dy.sum(),
+        }
+
     def score(self, texts: list[str | None]) -> np.ndarray:
         if not self.weights:
             return np.full(len(texts), self.prior)
@@ -159,19 +176,7 @@ def fit_attention(bags: list[np.ndarray], labels: list[int], rounds: int = ROUND
             part = order[at : at + 128]
             x = np.concatenate([bags[i] for i in part]).astype(np.float64)
             owner = np.repeat(np.arange(len(part)), [len(bags[i]) for i in part])
-            f = model.forward(x, owner, len(part))
-            dy = (f["y"] - truth[part]) / len(part)
-            dz = dy[:, None] * w["out"]
-            da = (dz[owner] * f["h"]).sum(axis=1)
-            starts = np.searchsorted(owner, np.arange(len(part)))
-            de = f["a"] * (da - np.add.reduceat(f["a"] * da, starts)[owner])
-            dt = de[:, None] * w["w"] * f["s"] * (1 - f["t"] ** 2)
-            ds = de[:, None] * w["w"] * f["t"] * f["s"] * (1 - f["s"])
-            dh = (f["a"][:, None] * dz[owner] + dt @ w["v"].T + ds @ w["u"].T) * (1 - f["h"] ** 2)
-            g = {
-                "encode": ((x - w["mean"]) / w["scale"]).T @ dh, "bias": dh.sum(axis=0), "v": f["h"].T @ dt, "u": f["h"].T @ ds,
-                "w": (f["t"] * f["s"]).T @ de, "out": f["z"].T @ dy, "out_bias": dy.sum(),
-            }
+            g = model.gradients(x, owner, truth[part])
             step += 1
             for k in learnt:
                 grad = g[k] + DECAY * w[k]

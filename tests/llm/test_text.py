@@ -131,6 +131,88 @@ def test_votes_of_the_host_decide(spark):
     assert found.where("page_id = 9").first()["__text"] == "short but right"
 
 
+class _Tree:
+    """An element of a made-up page: what the plain reader below walks, and the markup that the operator reads."""
+
+    def __init__(self, rng, depth=0):
+        self.tag = rng.choice(["div", "div", "section", "article", "ul", "nav", "p"]) if depth else "body"
+        self.classes = [rng.choice(["box", "col2", "col7", "story", "ad", "x-y"]) for _ in range(rng.choice([0, 1, 1]))] if depth else []
+        self.children = []
+        for _ in range(rng.randint(1, 3)):
+            kind = rng.random()
+            if kind < 0.5 or depth > 2 or self.tag == "p":
+                word = rng.choice(["ka", "lomi", "strigrund"]) * rng.randint(1, 6)
+                self.children.append((rng.choice(["", "", "b", "a"]), word))
+            else:
+                self.children.append(_Tree(rng, depth + 1))
+
+    def markup(self):
+        inner = "".join(c.markup() if isinstance(c, _Tree) else f"<{c[0]}>{c[1]}</{c[0]}>" if c[0] else f" {c[1]} " for c in self.children)
+        return f"<{self.tag} class='{' '.join(self.classes)}'>{inner}</{self.tag}>"
+
+    def label(self):
+        return ".".join([self.tag, *sorted(c.strip("27") for c in self.classes)])
+
+    def dropped(self):
+        return self.tag == "nav" or ("ad" in self.classes and self.tag != "article")
+
+    def mass(self):
+        return 0 if self.dropped() else sum(c.mass() if isinstance(c, _Tree) else len(c[1]) * (c[0] != "a") for c in self.children)
+
+    def text(self):
+        if self.dropped():
+            return " "
+        return " " + "".join(c.text() if isinstance(c, _Tree) else c[1] if c[0] else f" {c[1]} " for c in self.children) + " "
+
+    def nodes(self, above):
+        path = f"{above}>{self.label()}"
+        yield path, self
+        if not self.dropped():
+            for c in self.children:
+                if isinstance(c, _Tree):
+                    yield from c.nodes(path)
+
+    def scores(self):
+        premium = {"body": 0.5, "article": 1.5}
+        found = {"": self.mass() * 0.5, ">html": self.mass() * 0.5}
+        for path, node in self.nodes(">html"):
+            if node.mass() and node.tag not in ("p", "ul"):
+                factor = premium.get(node.tag, 1.25 if "story" in node.classes else 1.0)
+                found[path] = found.get(path, 0) + node.mass() * factor
+        return {k: v for k, v in found.items() if v}
+
+    def at(self, path):
+        if path in ("", ">html"):
+            return " ".join(self.text().split())
+        hits = [(k, n) for k, n in self.nodes(">html") if k == path]
+        return " ".join("".join(n.text() for _, n in hits).split())
+
+
+def test_pages_of_large_hosts_against_a_plain_reader(spark):
+    """Hosts of 20 to 500 random pages: rare paths have their votes counted like frequent ones."""
+    rng = random.Random(22)
+    trees = [(i, f"http://h{min(i // 500, 1 + i % 3)}.org/{i}", _Tree(rng)) for i in range(700)]
+    host = {i: url.split("/")[2] for i, url, _ in trees}
+    votes, sums = {}, {}
+    for i, _, tree in trees:
+        scores = tree.scores()
+        if scores:
+            best = min(scores, key=lambda p: (-scores[p], -p.count(">"), p))
+            key = host[i], best
+            votes[key], sums[key] = votes.get(key, 0) + 1, sums.get(key, 0) + scores[best]
+    expected = {}
+    for i, _, tree in trees:
+        own = [p for p in tree.scores() if (host[i], p) in votes]
+        expected[i] = tree.at(min(own, key=lambda p: (-votes[host[i], p], -sums[host[i], p], p))) if own else ""
+    df = spark.createDataFrame([(i, u, f"<html>{t.markup()}</html>") for i, u, t in trees], "page_id long, url string, html string").repartition(5)
+    got = {r["page_id"]: r["__text"] for r in main_text.main_texts(df, ["page_id"]).collect()}
+    assert got == expected
+    seen = {}
+    for (h, _), n in votes.items():
+        seen[h] = seen.get(h, 0) + n
+    assert any(n < main_text.FREQUENT * seen[h] for (h, _), n in votes.items())
+
+
 SYLLABLES = {"xx": ["ka", "lo", "mi"], "yy": ["stri", "grund", "ach"], "zz": ["ção", "inho", "ões"]}
 
 
@@ -186,6 +268,40 @@ SCRIPTS = {"latin": "abcdefghijklmnopqrstuvwxyzäöüéèñßçàâ", "cyrillic"
 MARKS = "ािीुूेैोौं्"
 
 
+def _plain_grams(text):
+    """The 1-, 2- and 3-grams of letters and single blanks, as a set of strings."""
+    kept = "".join(c if c.isalpha() else " " for c in text.lower())
+    padded = f" {' '.join(kept.split())} "
+    return {padded[i : i + n] for n in (1, 2, 3) for i in range(len(padded) - n + 1)}
+
+
+def test_landmarks_on_every_text_give_dense_kernel_ridge():
+    """With every sample text a landmark, nothing is approximated: a plain n x n ridge on shared n-grams decides alike."""
+    rng = random.Random(23)
+    sample = [(lang, _speech(rng, lang, 8)) for _ in range(12) for lang in SYLLABLES]
+    texts, labels = [x for _, x in sample], [lang for lang, _ in sample]
+    model = language_id.fit_spectrum(texts, labels, landmarks=3 * len(texts))
+    sets = [_plain_grams(t) for t in texts]
+    kernel = lambda a, b: len(a & b) / (len(a) * len(b)) ** 0.5
+    dense = np.array([[kernel(a, b) for b in sets] for a in sets])
+    rank = np.linalg.matrix_rank(dense, tol=1e-8 * np.linalg.eigvalsh(dense)[-1])
+    penalty = language_id.RIDGE * len(texts) / (rank + 1)
+    n = len(texts)
+    system = np.block([[dense + penalty * np.eye(n), np.ones((n, 1))], [np.ones((1, n)), np.zeros((1, 1))]])
+    signs = np.array([[1.0 if x == c else -1.0 for c in model.languages] for x in labels])
+    solved = np.linalg.solve(system, np.vstack([signs, np.zeros((1, len(model.languages)))]))
+    fresh = [_speech(rng, lang, k) for lang in SYLLABLES for k in (1, 3, 9)] + [_speech(rng, "xx", 4) + " " + _speech(rng, "yy", 4)]
+    known = set().union(*sets)
+    rows = []
+    for t in fresh:
+        grams = _plain_grams(t) & known  # n-grams that no landmark has are not in the rows' length
+        rows.append([len(grams & s) / (len(grams) * len(s)) ** 0.5 for s in sets])
+    expected = np.array(rows) @ solved[:-1] + solved[-1]
+    got = language_id.presence(fresh, model) @ model.weights[:-1] + model.weights[-1]
+    assert np.allclose(got, expected, atol=2e-3)
+    assert [model.languages[k] for k in expected.argmax(axis=1)] == language_id.predict_language(fresh, model)[0]
+
+
 def test_two_languages_in_each_of_four_scripts():
     rng = random.Random(17)
     words = {}
@@ -246,6 +362,33 @@ def test_attention_gradients_and_passages():
     assert np.allclose(np.add.reduceat(f["a"], [0, len(bags)]), 1)
 
 
+def test_gradients_of_every_weight():
+    """Differences of the loss for a small change of each weight, one at a time."""
+    texts = ["ka lo mi. " * 150, "### $$ " * 30, "", "Lo mi 77, ka! " * 90]
+    bags = [passages.encode(t).astype(np.float64) for t in texts]
+    model = passages.fit_attention(bags * 8, [1, 0, 0, 1] * 8, rounds=2)
+    x, owner, truth = np.concatenate(bags), np.repeat(np.arange(4), [len(b) for b in bags]), np.array([1.0, 0.0, 1.0, 0.0])
+    assert len(bags[0]) > 1
+
+    def loss():
+        y = model.forward(x, owner, 4)["y"]
+        return -(truth * np.log(y) + (1 - truth) * np.log(1 - y)).mean()
+
+    found = model.gradients(x, owner, truth)
+    for name, gradient in found.items():
+        w = model.weights[name] = np.array(model.weights[name], dtype=np.float64)
+        numeric = np.zeros(w.size)
+        for k in range(w.size):
+            at = np.unravel_index(k, w.shape)
+            old = float(w[at])
+            w[at] = old + 1e-5
+            up = loss()
+            w[at] = old - 1e-5
+            numeric[k] = (up - loss()) / 2e-5
+            w[at] = old
+        assert np.allclose(numeric, np.ravel(gradient), atol=1e-7, rtol=1e-4), name
+
+
 def test_rates_meet_the_targets(spark):
     rng = np.random.default_rng(12)
     p = rng.dirichlet([0.4, 0.4, 0.4], 500)
