@@ -15,8 +15,10 @@ a smaller id, or further left in the same one. Strings never cross documents.
    are the repeated intervals.
 4. Spans of repeats are put together per document.
 
-An anchor in more than ``HOT_STRIPS`` different strips (a frequent passage with many surroundings) is not gathered in one task: its
-windows are grouped by a 128-bit digest, with partial minima before the shuffle. Nothing is dropped, capped or sampled.
+An anchor in more than ``HOT_STRIPS`` different strips (a frequent passage with many surroundings) is not gathered in one task. Its
+strips are cut again by a *second anchor*, the string with the next smallest hash in a window, and the pair of anchors and their distance
+stands for the anchor: equal windows have equal pairs, and most pairs are not frequent. The windows of pairs that still have too many
+strips are grouped by a 128-bit digest, with partial minima before the shuffle. Nothing is dropped, capped or sampled.
 
 Null and empty texts have no bytes. Rows without an id come after all others. Rows that share an id count in the order in which the
 table is read. Other columns are ignored, whatever their names.
@@ -407,8 +409,52 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["window", "doc", "block", "row", "pos"])
 
 
+SECOND = "digest binary, anchor long, at int, doc long, block long, row int, pos int, size int, strip binary"
+
+
+def second_anchors(strip: bytes, at: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(pair of anchors, first window, end of windows) of a strip whose anchor stands at ``at``."""
+    h = gram_hashes(np.frombuffer(strip, dtype=np.uint8))
+    own, h[at] = h[at : at + 1].copy(), np.iinfo(np.uint64).max
+    width = WINDOW - GRAM + 1
+    place = np.lib.stride_tricks.sliding_window_view(h, width).argmin(axis=1) + np.arange(len(h) - width + 1)
+    lo = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
+    second = place[lo]
+    pair = (own * _FACTORS[0] ^ h[second]) * _FACTORS[2] + (second - at).astype(np.uint64) * _FACTORS[3]
+    return (pair ^ (pair >> np.uint64(31))).view(np.int64), lo, np.append(lo[1:], len(place))
+
+
+def _cut_again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The strips of frequent anchors, cut where the second anchor of their windows changes."""
+    types = [pa.binary(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+    for batch in slices(batches, 1024):
+        columns: list[list] = [[] for _ in types]
+        for strip, at, doc, block, row, pos in zip(*(batch.column(c).to_pylist() for c in ("strip", "at", "doc", "block", "row", "pos"))):
+            for pair, a, b in zip(*(x.tolist() for x in second_anchors(strip, at))):
+                part = strip[a : b + WINDOW - 1]
+                for c, v in zip(columns, (_digest(part), pair, at - a, doc, block, row, pos + a, len(part), part)):
+                    c.append(v)
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], [f.split()[0] for f in SECOND.split(", ")])
+
+
 def _frequent_spans(strips: DataFrame) -> DataFrame:
     """Spans that go in strips whose anchor has too many strips for one task."""
+    rows = written(strips.mapInArrow(_cut_again, SECOND), "second-strips", compression="zstd")
+    key = F.struct("doc", "block", "row", "pos")
+    classes = rows.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("first"), F.first("anchor").alias("anchor"))
+    classes = written(classes, "second-classes")
+    copies = rows.drop("strip", "anchor").join(classes.where("n > 1").select("digest", "first"), "digest").where(key != F.col("first"))
+    spans = copies.select("block", "row", F.col("pos").alias("start"), (F.col("pos") + F.col("size")).alias("end"))
+    sizes = classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("strips")).where("strips > 1")
+    asked = classes.join(sizes, "anchor").select("digest", "first", (F.col("strips") > HOT_STRIPS).alias("frequent"))
+    chosen = rows.join(asked, "digest").where(key == F.col("first")).select(*[f.split()[0] for f in CHOSEN.split(", ")])
+    chosen = written(chosen, "second-chosen", compression="zstd")
+    few = chosen.where(~F.col("frequent")).repartition("anchor").sortWithinPartitions("anchor")
+    return spans.unionByName(few.mapInArrow(_merged_spans, SPANS)).unionByName(_window_spans(chosen.where("frequent")))
+
+
+def _window_spans(strips: DataFrame) -> DataFrame:
+    """Spans that go in strips whose pair of anchors is frequent too, window by window."""
     rows = written(strips.mapInArrow(_windows, "window binary, doc long, block long, row int, pos int"), "frequent-windows")
     key = F.struct("doc", "block", "row", "pos")
     firsts = rows.groupBy("window").agg(F.min(key).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("window", "first")

@@ -116,12 +116,26 @@ def test_removed_bytes_match_brute_force(documents):
     assert _removed(documents, _passages()) == _expected_removed(_passages())
 
 
-def test_frequent_anchors_and_small_blocks_give_the_same(documents, monkeypatch):
+@pytest.mark.parametrize("strips", [1, 3, 12])
+def test_frequent_anchors_and_small_blocks_give_the_same(documents, monkeypatch, strips):
     """Limits are read where tasks are built, so they reach the workers in the functions' own values."""
-    monkeypatch.setattr(suffix_merge, "HOT_STRIPS", 3)
+    monkeypatch.setattr(suffix_merge, "HOT_STRIPS", strips)
     assert _removed(documents, _passages()) == _expected_removed(_passages())
 
 
+def test_second_anchors_depend_on_the_window_only():
+    rng = random.Random(6)
+    for alphabet in ("ab", "abcdefgh"):
+        strip = "".join(rng.choice(alphabet) for _ in range(160)).encode()
+        at = int(suffix_merge.gram_hashes(np.frombuffer(strip, np.uint8))[60:69].argmin()) + 60
+        pair, lo, hi = suffix_merge.second_anchors(strip, at)
+        assert lo[0] == 0 and hi[-1] == len(strip) - suffix_merge.WINDOW + 1 and (lo[1:] == hi[:-1]).all()
+        for p, a, b in zip(pair.tolist(), lo.tolist(), hi.tolist()):
+            for k in range(a, b):
+                alone = suffix_merge.second_anchors(strip[k : k + suffix_merge.WINDOW], at - k)
+                assert [x.tolist() for x in alone] == [[p], [0], [1]]
+
+
 def test_kept_bytes_and_empty_tables(documents):
     text = "".join(random.Random(2).choices("abcdefgh", k=250))
     found = {r["doc_id"]: r for r in suffix_merge.remove_repeats(documents([(1, text), (2, "new " + text + " end")]), with_bytes=True).collect()}
