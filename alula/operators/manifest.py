@@ -12,15 +12,21 @@ from alula.operators.ordering import Order, first_rows, numbered, with_repeats
 from alula.schema import FAILED, MANIFEST_COLUMNS, OK, SUSPECT, keep_present
 
 
-def verify_paths(df: DataFrame, files: DataFrame, path_column: str, base_dir: str | None) -> DataFrame:
-    """Resolves each path against a file scan (path, content_hash, file_size_bytes)."""
+def verify_paths(
+    df: DataFrame, files: DataFrame, path_column: str, base_dir: str | None, also: Sequence[str] = ()
+) -> DataFrame:
+    """Resolves each path against a file scan (path, content_hash, file_size_bytes).
+
+    The scan holds a path once. Where it holds several files of one resolved path, ``also`` names the
+    columns of both frames that tell them apart."""
     located = df.withColumn("__path", S.resolved_path(F.col(path_column), base_dir))
     found = files.select(
         F.col("path").alias("__path"),
         F.col("content_hash").alias("__hash"),
         F.col("file_size_bytes").alias("__size"),
+        *also,
     )
-    joined = located.join(found, "__path", "left")
+    joined = located.join(found, ["__path", *also], "left")
     missing = F.col("__hash").isNull()
     technical = ["path", "ext", "content_hash", "file_size_bytes", "status", "status_reason"]
     return joined.select(

@@ -218,3 +218,18 @@ def test_group_split(spark):
             X.split_groups(df, "g", *bad, 1)
     with pytest.raises(X.SplitError):
         X.split_groups(df.filter("g in ('g1', 'g2')"), "g", 0.7, 0.15, 0.15, 1)
+
+
+def test_addresses_that_differ_by_a_slash_are_different_files(spark, tmp_path):
+    import duckdb
+
+    from workload import all_queries
+
+    pages = [(3, "https://a/x", "three"), (1, "https://a/x/", "1"), (2, "https://a/x", "22"), (4, "http://a/x", ""), (5, "https://a//x", "fives")]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    found, sql = (q["verified_paths"] for q in all_queries())
+    con = duckdb.connect()
+    con.execute(f"create view pages as select * from '{tmp_path}/pages.parquet/*.parquet'")
+    rows = sorted(tuple(r) for r in found(spark, str(tmp_path)).collect())
+    assert rows == sorted(con.execute(sql).fetchall())
+    assert [r[-1] for r in rows] == [1, 2, 2, None, 5]
