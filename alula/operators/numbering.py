@@ -26,7 +26,8 @@ START_ANGLES = (0, 90, 180, 270)
 MIRRORS = (False, True)
 MAX_ROUNDS = 15
 
-BATCH = 1024  # clouds solved together
+#: Entries of the cost tables that are solved together: what a task holds does not grow with its rows.
+CELLS = 1 << 21
 
 Method = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
@@ -40,7 +41,9 @@ def assign_batch(cost: np.ndarray) -> np.ndarray:
     u = cost.min(axis=2)
     reduced = cost - u[:, :, None]
     v = reduced.min(axis=1)
-    tight = reduced - v[:, None, :] <= 0
+    reduced -= v[:, None, :]
+    tight = reduced <= 0
+    del reduced
     col_of = np.full((m, n), -1)
     row_of = np.full((m, n), -1)
     open_col = np.ones((m, n), dtype=bool)
@@ -125,6 +128,21 @@ def _augment(cost, u, v, col_of, row_of, todo, start) -> None:
         live, j = live[more], before[more]
 
 
+def solved_together(points: int, starts: int = 1) -> int:
+    """How many clouds of so many points are solved at once, from so many starts each."""
+    return max(1, CELLS // (starts * points * points))
+
+
+def squared_gaps(clouds: np.ndarray, reference: np.ndarray) -> np.ndarray:
+    """Squared distance of every point of every cloud to every point of the reference."""
+    out = clouds.real[:, :, None] - reference.real
+    out *= out
+    across = clouds.imag[:, :, None] - reference.imag
+    across *= across
+    out += across
+    return out
+
+
 def rotate_and_match(z: np.ndarray, reference: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Assignment alternated with a similarity fit, best of several starts.
 
@@ -147,8 +165,7 @@ def rotate_and_match(z: np.ndarray, reference: np.ndarray) -> tuple[np.ndarray,
     assigned = np.full((m * k, n), -1)
     live = survivors = np.arange(m * k)
     for _ in range(MAX_ROUNDS):
-        gap = current[live][:, :, None] - reference
-        found = assign_batch(gap.real**2 + gap.imag**2)
+        found = assign_batch(squared_gaps(current[live], reference))
         same = (found == assigned[live]).all(axis=1)
         live, found = live[~same], found[~same]
         if not len(live):
@@ -211,7 +228,7 @@ def number_landmarks(
     with infinite cost and keeps its original order."""
     zones = np.asarray(reference)[:, 0] + 1j * np.asarray(reference)[:, 1]
     n = len(zones)
-    solve = METHODS[method]
+    solve, together = METHODS[method], solved_together(n, len(START_ANGLES) * len(MIRRORS))
 
     def kernel(batch: pa.RecordBatch) -> list[pa.Array]:
         xs, sizes, first = _ragged(batch.column("x"))
@@ -232,8 +249,8 @@ def number_landmarks(
             status[fit[flat]] = FAILED
             reason[fit[flat]] = "degenerate specimen: landmarks coincide"
             fit, z = fit[~flat], z[~flat]
-        for lo in range(0, len(fit), BATCH):
-            part, cloud = fit[lo : lo + BATCH], z[lo : lo + BATCH]
+        for lo in range(0, len(fit), together):
+            part, cloud = fit[lo : lo + together], z[lo : lo + together]
             order, score = solve(cloud, zones)
             cost[part] = score
             slots = first[part][:, None] + np.arange(n)
@@ -323,8 +340,9 @@ def matched_distances(df: DataFrame, px: str, py: str, tx: str, ty: str) -> Data
             if a == 0 or b == 0:
                 continue
             every = np.flatnonzero((n1 == a) & (n2 == b))
-            for lo in range(0, len(every), BATCH):
-                rows = every[lo : lo + BATCH]
+            together = solved_together(max(a, b))
+            for lo in range(0, len(every), together):
+                rows = every[lo : lo + together]
                 p = _gather(x1, f1, rows, a) + 1j * _gather(y1, f1, rows, a)
                 t = _gather(x2, f2, rows, b) + 1j * _gather(y2, f2, rows, b)
                 dist = np.abs(p[:, :, None] - t[:, None, :])

@@ -88,3 +88,23 @@ def test_localisation_error(spark):
     assert (total["n_specimens"], total["n_matched_points"], total["n_missed_points"], total["n_spurious_points"]) == (3, 4, 1, 1)
     assert total["mean_error_px"] == pytest.approx(1.75) and total["median_error_px"] == 1.0
     assert total["pct_within_5px"] == 1.0
+
+
+def test_what_is_solved_together_does_not_grow_with_the_rows(spark):
+    N.register_method("how_many", lambda z, ref: (np.tile(np.arange(z.shape[1]), (len(z), 1)), np.full(len(z), float(len(z)))))
+    rng = np.random.default_rng(6)
+    many = frame(spark, list(rng.normal(size=(700, 32, 2)))).coalesce(1)
+    costs = [r["registration_cost"] for r in N.number_landmarks(many, rng.normal(size=(32, 2)), "how_many").collect()]
+    assert len(costs) == 700 and max(costs) * 8 * 32 * 32 <= 1 << 21
+
+
+def test_solver_holds_few_copies_of_its_cost_table():
+    import tracemalloc
+
+    rng = np.random.default_rng(7)
+    z, ref = rng.normal(size=(2, 256, 32)), rng.normal(size=(2, 32))
+    tracemalloc.start()
+    N.rotate_and_match(z[0] + 1j * z[1], ref[0] + 1j * ref[1])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 3.5 * 8 * 256 * 8 * 32 * 32
