@@ -8,7 +8,7 @@ a smaller id, or further left in the same one. Strings never cross documents.
    are read again only where an anchor occurs twice.
 2. The windows of one anchor occurrence overlap: they are one *strip* of at most 2 * WINDOW - GRAM bytes. Equal strips are one class;
    all but the first strip of a class are repeats throughout, so one strip of a class goes on.
-3. Strips with the same anchor go to the same task. They are cut to what they share with others around the anchor. The task sorts the suffixes of small *shards* of its strips, keeps each shard's
+3. Strips with the same anchor go to the same task. They are cut to what they share with others around the anchor, and of equal cut strips one goes on. The task sorts the suffixes of small *shards* of its strips, keeps each shard's
    transform, and merges the transforms by refining their interleaving: a stable partition by the transform's symbols makes an
    interleaving that is right for n symbols right for n + 1, and no suffix is compared again. Borders between
    runs of equal prefixes are refined along (they are the common prefixes). After ``WINDOW`` bytes, the runs between borders
@@ -18,7 +18,7 @@ a smaller id, or further left in the same one. Strings never cross documents.
 An anchor in more than ``HOT_STRIPS`` different strips (a frequent passage with many surroundings) is not gathered in one task. Its
 strips are cut again by a *second anchor*, the string with the next smallest hash in a window, and the pair of anchors and their distance
 stands for the anchor: equal windows have equal pairs, and most pairs are not frequent. The windows of pairs that still have too many
-strips are grouped by a 128-bit digest, with partial minima before the shuffle. Nothing is dropped, capped or sampled.
+strips are compared within batches of strips first; those that are first there are grouped by a 128-bit digest, with partial minima before the shuffle. Nothing is dropped, capped or sampled.
 
 Null and empty texts have no bytes. Rows without an id come after all others. Rows that share an id count in the order in which the
 table is read. Other columns are ignored, whatever their names.
@@ -44,6 +44,8 @@ WINDOW, GRAM = 100, 32
 BLOCK_BYTES, COLLECTION_BYTES, SHARD_BYTES, HOT_STRIPS = 4 << 20, 1 << 20, 1 << 17, 256
 #: Text bytes in a bucket of the tables that are joined by block without being shuffled.
 BUCKET_BYTES = 64 << 20
+#: Hashes computed together, so that they stay in the processor's cache; strips whose windows are compared before they are shuffled.
+HASHED, WINDOW_STRIPS = 1 << 14, 2048
 _FACTORS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 _PLACE_BITS = np.uint64(31)
 LAST = (1 << 63) - 1
@@ -51,6 +53,14 @@ LAST = (1 << 63) - 1
 
 def gram_hashes(raw: np.ndarray) -> np.ndarray:
     """A 64-bit hash of every ``GRAM`` bytes."""
+    n = len(raw) - GRAM + 1
+    out = np.empty(max(n, 0), dtype=np.uint64)
+    for at in range(0, n, HASHED):
+        out[at : at + HASHED] = _some_hashes(raw[at : at + HASHED + GRAM - 1])
+    return out
+
+
+def _some_hashes(raw: np.ndarray) -> np.ndarray:
     n = len(raw) - GRAM + 1
     x = raw.astype(np.uint64)
     for step in (1, 2, 4):
@@ -348,21 +358,41 @@ def trimmed(held: list[tuple]) -> list[tuple]:
 
     A window holds the anchor, so it repeats only within the longest extensions of the anchor to the left and to the right that
     another strip has too. Most strips are left with less than a window and go."""
-    group = np.array([h[0] for h in held])
+    group = np.array([h[0] for h in held], dtype=np.int64)
     left = _shared_ends([h[2][: h[1]][::-1] for h in held], group)
     right = _shared_ends([h[2][h[1] + GRAM :] for h in held], group)
     return [
-        (strip[at - a : at + GRAM + b], doc, block, row, pos + at - a)
-        for (_, at, strip, doc, block, row, pos), a, b in zip(held, left.tolist(), right.tolist())
+        (group, a, strip[at - a : at + GRAM + b], doc, block, row, pos + at - a)
+        for (group, at, strip, doc, block, row, pos), a, b in zip(held, left.tolist(), right.tolist())
         if a + GRAM + b >= WINDOW
     ]
 
 
+def _without_copies(held: list[tuple]) -> tuple[list[tuple], list[tuple]]:
+    """The first of equal strips (group, place, bytes, doc, block, row, pos) of a group, and the others."""
+    firsts: dict[tuple, tuple] = {}
+    copies = []
+    for h in held:
+        first = firsts.setdefault((h[0], h[2]), h)
+        if first is not h:
+            if h[3:] < first[3:]:
+                firsts[h[0], h[2]], h = h, first
+            copies.append(h)
+    return list(firsts.values()), copies
+
+
+def _span_of(held: list[tuple]) -> pa.RecordBatch:
+    """Whole strips that go, as spans."""
+    block, row, start = (np.array([h[k] for h in held], dtype=np.int64) for k in (4, 5, 6))
+    end = start + np.array([len(h[2]) for h in held], dtype=np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(block, pa.int64()), *[pa.array(x, pa.int32()) for x in (row, start, end)]], ["block", "row", "start", "end"])
+
+
 def _merged_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Spans that go in the first strips of their classes; strips come sorted by anchor."""
 
     def found(held: list[tuple]) -> Iterator[pa.RecordBatch]:
-        strips, doc, block, row, pos = zip(*held)
+        _, _, strips, doc, block, row, pos = zip(*held)
         which, offset, run = repeated_windows(list(strips))
         if not len(which):
             return
@@ -373,6 +403,11 @@ def _merged_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         gone = order[later]
         yield _span_batch(block[gone], row[gone], start[gone])
 
+    def settled(raw: list[tuple]) -> tuple[list[tuple], list[tuple]]:
+        """Strips to merge, and strips that go whole: those that equal another one once both are cut to what they share."""
+        own, copies = _without_copies(trimmed(raw))
+        return (trimmed(own) if copies else own), copies
+
     raw: list[tuple] = []
     held: list[tuple] = []
     raw_size = size = number = 0
@@ -382,9 +417,11 @@ def _merged_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         for anchor, *rest in zip(*columns):
             if anchor != current:
                 if raw_size >= COLLECTION_BYTES:
-                    own = trimmed(raw)
+                    own, copies = settled(raw)
+                    if copies:
+                        yield _span_of(copies)
                     held += own
-                    size += sum(len(x[0]) for x in own)
+                    size += sum(len(x[2]) for x in own)
                     raw, raw_size = [], 0
                     if size >= COLLECTION_BYTES:
                         yield from found(held)
@@ -392,21 +429,35 @@ def _merged_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 number, current = number + 1, anchor
             raw.append((number, *rest))
             raw_size += len(rest[1])
-    held += trimmed(raw)
+    own, copies = settled(raw)
+    if copies:
+        yield _span_of(copies)
+    held += own
     if held:
         yield from found(held)
 
 
+WINDOWS = "window binary, doc long, block long, row int, pos int, end int"
+
+
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every window of the strips of frequent anchors."""
-    for batch in slices(batches, 256):
-        columns: list[list] = [[], [], [], [], []]
-        for strip, doc, block, row, pos in zip(*(batch.column(c).to_pylist() for c in ("strip", "doc", "block", "row", "pos"))):
-            for k in range(len(strip) - WINDOW + 1):
-                for c, v in zip(columns, (_digest(strip[k : k + WINDOW]), doc, block, row, pos + k)):
-                    c.append(v)
-        types = [pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["window", "doc", "block", "row", "pos"])
+    """Every different window of the strips of frequent anchors, by its first occurrence; later ones in the same batch go as spans without a window."""
+    for batch in slices(batches, WINDOW_STRIPS):
+        strips = batch.column("strip").to_pylist()
+        counts = np.array([max(len(s) - WINDOW + 1, 0) for s in strips], dtype=np.int64)
+        digests = np.frombuffer(b"".join(_digest(s[k : k + WINDOW]) for s in strips for k in range(len(s) - WINDOW + 1)), dtype=np.int64).reshape(-1, 2)
+        doc, block, row, pos = (np.repeat(batch.column(c).to_numpy().astype(np.int64), counts) for c in ("doc", "block", "row", "pos"))
+        pos = pos + np.arange(len(pos)) - np.repeat(np.cumsum(counts) - counts, counts)
+        order = np.lexsort((pos, row, block, doc, digests[:, 1], digests[:, 0]))
+        later = np.append(False, (digests[order[1:]] == digests[order[:-1]]).all(axis=1))[: len(order)]
+        first, gone = order[~later], order[later]
+        spans = _span_batch(block[gone], row[gone], pos[gone])
+        windows = [pa.array([digests[i].tobytes() for i in first], pa.binary()), *[pa.array(x[first], t) for x, t in ((doc, pa.int64()), (block, pa.int64()), (row, pa.int32()), (pos, pa.int32()), (pos + WINDOW, pa.int32()))]]
+        names = [f.split()[0] for f in WINDOWS.split(", ")]
+        yield pa.RecordBatch.from_arrays(windows, names)
+        if len(gone):
+            none = [pa.nulls(spans.num_rows, pa.binary()), pa.nulls(spans.num_rows, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*none, *spans.columns], names)
 
 
 SECOND = "digest binary, anchor long, at int, doc long, block long, row int, pos int, size int, strip binary"
@@ -455,11 +506,12 @@ def _frequent_spans(strips: DataFrame) -> DataFrame:
 
 def _window_spans(strips: DataFrame) -> DataFrame:
     """Spans that go in strips whose pair of anchors is frequent too, window by window."""
-    rows = written(strips.mapInArrow(_windows, "window binary, doc long, block long, row int, pos int"), "frequent-windows")
+    found = written(strips.mapInArrow(_windows, WINDOWS), "frequent-windows")
+    rows = found.where("window is not null")
     key = F.struct("doc", "block", "row", "pos")
     firsts = rows.groupBy("window").agg(F.min(key).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("window", "first")
     later = rows.join(firsts, "window").where(key != F.col("first"))
-    return later.select("block", "row", F.col("pos").alias("start"), (F.col("pos") + WINDOW).alias("end"))
+    return found.where("window is null").unionByName(later.select(*rows.columns)).select("block", "row", F.col("pos").alias("start"), "end")
 
 
 REMOVED = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"

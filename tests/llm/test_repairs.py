@@ -9,6 +9,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -136,6 +137,34 @@ def test_second_anchors_depend_on_the_window_only():
                 assert [x.tolist() for x in alone] == [[p], [0], [1]]
 
 
+def _strip_batch(strips, at):
+    n = len(strips)
+    columns = [pa.array([5] * n), pa.array([at] * n, pa.int32()), pa.array(range(n), pa.int64()), pa.array([0] * n, pa.int64())]
+    columns += [pa.array(range(n), pa.int32()), pa.array([7] * n, pa.int32()), pa.array(strips, pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, ["anchor", "at", "doc", "block", "row", "pos", "strip"])
+
+
+def test_passages_that_are_equal_once_cut_are_not_merged(monkeypatch):
+    rng = random.Random(8)
+    passage = bytes(rng.choices(b"abcdefgh", k=120))
+    strips = [b"-%03d" % k + passage + b"%03d-" % k for k in (112, 223, 334)]
+    asked = []
+    monkeypatch.setattr(suffix_merge, "repeated_windows", lambda strips: asked.append(strips))
+    found = [tuple(r.values()) for b in suffix_merge._merged_spans(iter([_strip_batch(strips, 50)])) for r in b.to_pylist()]
+    assert sorted(found) == [(0, 1, 11, 131), (0, 2, 11, 131)] and not asked
+
+
+def test_windows_of_frequent_pairs_are_shuffled_once_a_batch():
+    rng = random.Random(9)
+    passage = bytes(rng.choices(b"abcdefgh", k=110))
+    batch = _strip_batch([passage + b"%03d" % k for k in range(300)], 50)
+    rows = [r for b in suffix_merge._windows(iter([batch])) for r in b.to_pylist()]
+    windows = [r for r in rows if r["window"] is not None]
+    assert len(windows) == len({r["window"] for r in windows}) == 11 + 3 + 30 + 300
+    spans = {(r["row"], r["pos"], r["end"]) for r in rows if r["window"] is None}
+    assert len(spans) == 299 == len(rows) - len(windows) and (299, 7, 119) in spans
+
+
 def test_kept_bytes_and_empty_tables(documents):
     text = "".join(random.Random(2).choices("abcdefgh", k=250))
     found = {r["doc_id"]: r for r in suffix_merge.remove_repeats(documents([(1, text), (2, "new " + text + " end")]), with_bytes=True).collect()}
